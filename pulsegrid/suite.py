@@ -272,3 +272,527 @@ for _m in ("zscore", "minmax", "robust"):
         return q
 
     _mk2(_m)
+
+
+# ---------------------------------------------------------------- sources / sinks
+from pulsegrid.operators import baselines  # noqa: E402
+from pulsegrid.session import shared_dir  # noqa: E402
+from pulsegrid.sources import files  # noqa: E402
+
+
+def _p1_order(src: str) -> str:
+    return src
+
+
+@register("src_parquet", S.P1, ["value"])
+def q_src_parquet(spark, d):
+    """SRC-02: canonical frame written once to the shared folder and read back with its schema."""
+    path = shared_dir(spark, "datasets", "src_parquet", unique=True)
+    files.write_frame(p1(spark, d), path, "parquet")
+    return files.read_frame(spark, path, "parquet")
+
+
+@register("src_dispatch", S.P1M, ["value"])
+def q_src_dispatch(spark, d):
+    """SRC-03 + SNK-03: save as JSON with a manifest, load by the manifest's format."""
+    path = shared_dir(spark, "datasets", "src_dispatch", unique=True)
+    files.save_dataset(p1m(spark, d), path, "events_by_user", {"panel": "P1", "masked": "true"}, fmt="json")
+    data, _ = files.load_dataset(spark, path)
+    return data
+
+
+@register("snk_parquet_roundtrip", S.P2, ["value"])
+def q_snk_parquet_roundtrip(spark, d):
+    """SNK-02: parquet dataset save + load of the hourly panel."""
+    path = shared_dir(spark, "datasets", "snk_parquet", unique=True)
+    files.save_dataset(p2(spark, d), path, "hourly", fmt="parquet")
+    data, _ = files.load_dataset(spark, path)
+    return data
+
+
+@register("snk_csv_roundtrip", S.P1, ["value"])
+def q_snk_csv_roundtrip(spark, d):
+    """SNK-01: CSV with header, partitioned by series, read back with an explicit schema."""
+    path = shared_dir(spark, "datasets", "snk_csv", unique=True)
+    files.write_frame(p1(spark, d), path, "csv", partition_by=["series_id"])
+    return files.read_frame(spark, path, "csv").select("series_id", "ts", "seq", "value")
+
+
+@register("snk_json_roundtrip", S.P1M, ["value"])
+def q_snk_json_roundtrip(spark, d):
+    """SNK-04: JSON result sink and read-back."""
+    path = shared_dir(spark, "datasets", "snk_json", unique=True)
+    files.write_frame(p1m(spark, d), path, "json")
+    return files.read_frame(spark, path, "json")
+
+
+@register(
+    "src_csv",
+    "SELECT 'orders' AS series_id, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS ts, CAST(0 AS BIGINT) AS seq, sum(o_totalprice) AS value FROM orders GROUP BY 2",
+    ["value"],
+    bits=8,
+)
+def q_src_csv(spark, d):
+    """SRC-01: the reference's CSV shape (timestamp index + one value column)."""
+    path = shared_dir(spark, "datasets", "src_csv", unique=True)
+    files.write_frame(p3(spark, d).select("ts", "value"), path, "csv")
+    return files.read_series_csv(spark, path, "orders")
+
+
+_SPINE_SQL = """
+SELECT sp.series_id, sp.ts, CAST(0 AS BIGINT) AS seq, h.value FROM (
+  SELECT series_id, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS ts FROM (
+    SELECT CAST(user_id AS VARCHAR) AS series_id, min(date_trunc('hour', ts)) AS lo, max(date_trunc('hour', ts)) AS hi
+    FROM events GROUP BY 1)) sp
+LEFT JOIN (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, sum(value) AS value
+           FROM events GROUP BY 1, 2) h ON sp.series_id = h.series_id AND sp.ts = h.ts"""
+
+
+@register("time_spine", _SPINE_SQL, ["value"])
+def q_time_spine(spark, d):
+    """SRC-04: hourly grid per user with the hourly value sums left-joined (gap fill)."""
+    from pulsegrid.sources.spine import fill_on_spine
+
+    ev = panels.table(spark, d, "events").select("user_id", "ts", "value")
+    hourly = ev.groupBy(
+        F.col("user_id").cast("string").alias("series_id"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")
+    ).agg(F.sum("value").alias("value"))
+    return fill_on_spine(hourly.withColumn("seq", F.lit(0).cast("long")), "1 hour")
+
+
+# ---------------------------------------------------------------- generators
+_ORDN = S.with_n(S.with_ord(S.P2))
+
+
+@register(
+    "gen_trend",
+    f"SELECT series_id, ts, seq, value, ord, CASE WHEN n > 1 THEN ord * 0.1 * n / (n - 1) ELSE 0.0 END AS trend FROM ({_ORDN}) _g",
+    ["value", "trend"],
+)
+def q_gen_trend(spark, d):
+    """GEN-01: linear ramp column on the hourly panel."""
+    return columns.gen_trend(p2(spark, d), 0.1)
+
+
+@register(
+    "gen_seasonality",
+    f"SELECT series_id, ts, seq, value, ord, 0.5 * sin(2 * pi() * ord / 24) + 0.3 * 0.5 * sin(2 * pi() * ord / 168) AS seasonal FROM ({S.with_ord(S.P2)}) _g",
+    ["value", "seasonal"],
+)
+def q_gen_seasonality(spark, d):
+    """GEN-02: two-harmonic seasonal column."""
+    return columns.gen_seasonality(p2(spark, d), 0.5, 24)
+
+
+@register(
+    "gen_sine",
+    f"SELECT series_id, ts, seq, ord, sin(CASE WHEN n > 1 THEN ord * (10.0 * pi()) / (n - 1) ELSE 0.0 END) AS sine FROM ({S.with_n(S.with_ord(S.P1))}) _g",
+    ["sine"],
+)
+def q_gen_sine(spark, d):
+    """GEN-06: evenly spaced phase over 10*pi along each series."""
+    return columns.gen_sine(p1(spark, d))
+
+
+@register("add_noise")
+def q_add_noise(spark, d):
+    """GEN-03: hash-seeded Gaussian noise column (partition-independent)."""
+    return columns.add_noise(p2(spark, d), 0.1, 42)
+
+
+@register("inject_spikes")
+def q_inject_spikes(spark, d):
+    """GEN-04: exactly floor(p*n) spikes of +/-3*level per series."""
+    return columns.inject_spikes(p1(spark, d), 0.05, 0.1, 42)
+
+
+@register("compose_components")
+def q_compose_components(spark, d):
+    """GEN-05: synthetic value = trend + season + noise + spike on the hourly grid."""
+    return columns.compose_components(p2(spark, d))
+
+
+# ---------------------------------------------------------------- projections / filters / limits
+@register("drop_missing", f"SELECT * FROM ({S.P1M}) _d WHERE value IS NOT NULL", ["value"])
+def q_drop_missing(spark, d):
+    """PRJ-01."""
+    return columns.drop_missing(p1m(spark, d))
+
+
+def _diff_sql(src):
+    return f"SELECT series_id, ts, seq, value - lag(value) OVER ({S.W}) AS value FROM ({src}) _a"
+
+
+@register(
+    "difference",
+    f"SELECT * FROM ({_diff_sql(f'SELECT * FROM ({_diff_sql(S.P1M)}) _b WHERE value IS NOT NULL')}) _c WHERE value IS NOT NULL",
+    ["value"],
+)
+def q_difference(spark, d):
+    """PRJ-02: second difference with NULL rows dropped after each pass."""
+    return columns.difference(p1m(spark, d), 2)
+
+
+@register("row_ordinal", S.with_ord(S.P1), ["value"])
+def q_row_ordinal(spark, d):
+    """PRJ-04: 0-based position in (ts, seq) order."""
+    return columns.row_ordinal(p1(spark, d))
+
+
+@register("row_ordinal_long", S.with_ord(S.P4), ["value"])
+def q_row_ordinal_long(spark, d):
+    """PRJ-04 on one long series."""
+    return columns.row_ordinal(p4(spark, d))
+
+
+@register(
+    "train_test_split",
+    f"SELECT series_id, ts, seq, value, ord, CASE WHEN ord < floor(n * 0.8) THEN 'train' ELSE 'test' END AS split FROM ({_ORDN}) _s",
+    ["value"],
+)
+def q_train_test_split(spark, d):
+    """FLT-01: positional 80/20 split per series."""
+    return columns.train_test_split(p2(spark, d), 0.8)
+
+
+@register(
+    "split_by_flag",
+    f"SELECT series_id, ts, seq, value, CASE WHEN outlier THEN 'anomalous' ELSE 'normal' END AS part FROM ({S.iqr_flag(S.P1)}) _f",
+    ["value"],
+)
+def q_split_by_flag(spark, d):
+    """FLT-02: rows labelled normal/anomalous by a left join of IQR flags."""
+    base = p1(spark, d)
+    flags = clean.outlier_iqr(base).select("series_id", "ts", "seq", F.col("outlier").alias("anomaly"))
+    return columns.split_by_flag(base, flags, "anomaly")
+
+
+@register(
+    "head_per_series",
+    f"SELECT series_id, ts, seq, value FROM ({S.with_ord(S.P1)}) _h WHERE ord < 10",
+    ["value"],
+)
+def q_head_per_series(spark, d):
+    """LIM-01: first 10 rows of each series (top-k report)."""
+    return columns.head_per_series(p1(spark, d), 10)
+
+
+@register(
+    "tail_per_series",
+    f"SELECT series_id, ts, seq, value FROM (SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY ts DESC, seq DESC) AS rn FROM ({S.P1}) _a) _t WHERE rn <= 10",
+    ["value"],
+)
+def q_tail_per_series(spark, d):
+    """LIM-02: last 10 rows of each series."""
+    return columns.tail_per_series(p1(spark, d), 10)
+
+
+@register("head_global", f"SELECT * FROM ({S.P1}) _g ORDER BY series_id, ts, seq LIMIT 10", ["value"])
+def q_head_global(spark, d):
+    """LIM-01 (global preview): first 10 rows in key order."""
+    return columns.head(p1(spark, d), 10)
+
+
+# ---------------------------------------------------------------- joins / sets
+_ALIGN_SQL = """
+WITH ev AS (SELECT CAST(user_id AS VARCHAR) AS series_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, event_type, value FROM events),
+a AS (SELECT series_id, ts, CAST(count(*) AS DOUBLE) AS v FROM ev GROUP BY 1, 2),
+b AS (SELECT series_id, ts, sum(value) AS v FROM ev WHERE event_type = 'click' GROUP BY 1, 2),
+c AS (SELECT series_id, ts, max(value) AS v FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT coalesce(a.series_id, b.series_id, c.series_id) AS series_id, coalesce(a.ts, b.ts, c.ts) AS ts,
+       a.v AS events, b.v AS clicks, c.v AS purchase_max
+FROM a FULL OUTER JOIN b ON a.series_id = b.series_id AND a.ts = b.ts
+FULL OUTER JOIN c ON coalesce(a.series_id, b.series_id) = c.series_id AND coalesce(a.ts, b.ts) = c.ts"""
+
+
+@register("align_outer", _ALIGN_SQL, ["events", "clicks", "purchase_max"])
+def q_align_outer(spark, d):
+    """JOI-01: three hourly per-user series with different coverage, aligned by full outer semantics."""
+    ev = panels.table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("series_id"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"),
+        "event_type",
+        "value",
+    )
+    a = ev.groupBy("series_id", "ts").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    b = ev.filter(F.col("event_type") == "click").groupBy("series_id", "ts").agg(F.sum("value").alias("value"))
+    c = ev.filter(F.col("event_type") == "purchase").groupBy("series_id", "ts").agg(F.max("value").alias("value"))
+    return setops.align_outer({"events": a, "clicks": b, "purchase_max": c})
+
+
+@register(
+    "union_series",
+    f"SELECT *, 'hourly' AS source FROM ({S.P2}) _a UNION ALL SELECT *, 'daily_orders' AS source FROM ({S.P3}) _b",
+    ["value"],
+    bits=8,
+)
+def q_union_series(spark, d):
+    """SET-01: hourly event-type series and the daily revenue series in one long table."""
+    return setops.union_series({"hourly": p2(spark, d), "daily_orders": p3(spark, d)})
+
+
+# ---------------------------------------------------------------- aggregates
+@register(
+    "summary_stats",
+    f"SELECT series_id, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max, CASE WHEN count(value) >= 3 THEN skewness(value) END AS skew, CASE WHEN count(value) >= 4 THEN kurtosis(value) END AS kurtosis FROM ({S.P1M}) _s GROUP BY series_id",
+    ["mean", "std", "min", "max", "skew", "kurtosis"],
+)
+def q_summary_stats(spark, d):
+    """AGG-01: count, mean, sample std, min, max, adjusted skew/kurtosis per user."""
+    return stats.summary_stats(p1m(spark, d))
+
+
+@register(
+    "summary_stats_hourly",
+    f"SELECT series_id, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max, CASE WHEN count(value) >= 3 THEN skewness(value) END AS skew, CASE WHEN count(value) >= 4 THEN kurtosis(value) END AS kurtosis FROM ({S.P2}) _s GROUP BY series_id",
+    ["mean", "std", "min", "max", "skew", "kurtosis"],
+)
+def q_summary_stats_hourly(spark, d):
+    """AGG-01 on the hourly panel (gaps are NULL and skipped)."""
+    return stats.summary_stats(p2(spark, d))
+
+
+@register(
+    "iqr_bounds",
+    f"SELECT series_id, q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT series_id, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM ({S.P1}) _a GROUP BY 1) _b",
+    ["q1", "q3", "iqr", "lower", "upper"],
+)
+def q_iqr_bounds(spark, d):
+    """AGG-02: quartiles and fences."""
+    return stats.iqr_bounds(p1(spark, d))
+
+
+@register("median_mad", S.median_mad(S.P1M), ["median", "mad"])
+def q_median_mad(spark, d):
+    """AGG-03: median and unscaled MAD per series."""
+    return stats.median_mad(p1m(spark, d))
+
+
+_HIST_SQL = f"""
+SELECT series_id, bin, lo + (bin - 1) * ((hi - lo) / 50.0) AS bin_lo, lo + bin * ((hi - lo) / 50.0) AS bin_hi, count(*) AS count
+FROM (SELECT p.series_id, r.lo, r.hi,
+        CASE WHEN r.hi - r.lo = 0 THEN CAST(1 AS BIGINT)
+             ELSE least(CAST(50 AS BIGINT), CAST(floor((p.value - r.lo) / (r.hi - r.lo) * 50) AS BIGINT) + 1) END AS bin
+      FROM ({S.P1}) p JOIN (SELECT series_id, min(value) AS lo, max(value) AS hi FROM ({S.P1}) _r GROUP BY 1) r USING (series_id)
+      WHERE p.value IS NOT NULL) _h
+GROUP BY series_id, bin, lo, hi"""
+
+
+@register("histogram", _HIST_SQL, ["bin_lo", "bin_hi"])
+def q_histogram(spark, d):
+    """AGG-04: 50 equal-width bins per series."""
+    return stats.histogram(p1(spark, d), 50)
+
+
+def _acf_sql(src, nlags):
+    c = f"SELECT series_id, ts, seq, value FROM ({src}) _c WHERE value IS NOT NULL"
+    dd = f"SELECT c.*, c.value - m.mu AS d, m.n FROM ({c}) c JOIN (SELECT series_id, avg(value) AS mu, count(*) AS n FROM ({c}) _m GROUP BY 1) m USING (series_id)"
+    prods = ", ".join(f"d * lag(d, {k}) OVER ({S.W}) AS p{k}" for k in range(1, nlags + 1))
+    pr = f"SELECT series_id, n, d * d AS p0, {prods} FROM ({dd}) _d"
+    sums = ", ".join(f"sum(p{k}) AS s{k}" for k in range(nlags + 1))
+    sm = f"SELECT series_id, any_value(n) AS n, {sums} FROM ({pr}) _p GROUP BY series_id"
+    unions = " UNION ALL ".join(
+        f"SELECT series_id, CAST({k} AS INTEGER) AS lag, coalesce(s{k}, 0.0) / nullif(s0, 0) AS acf, n FROM ({sm}) _s{k}"
+        for k in range(nlags + 1)
+    )
+    return f"SELECT series_id, lag, acf FROM ({unions}) _u WHERE lag < n"
+
+
+@register("acf", _acf_sql(S.P2, 50), ["acf"])
+def q_acf(spark, d):
+    """AGG-05: autocorrelation, lags 0..50, of each hourly series (NULLs dropped)."""
+    return stats.acf(p2(spark, d), 50)
+
+
+@register("acf_users", _acf_sql(S.P1M, 10), ["acf"])
+def q_acf_users(spark, d):
+    """AGG-05, lags 0..10, per user with missing values dropped."""
+    return stats.acf(p1m(spark, d), 10)
+
+
+@register(
+    "anomaly_rate",
+    f"SELECT series_id, count(*) AS n, count(outlier) AS n_scored, CAST(count_if(coalesce(outlier, false)) AS BIGINT) AS n_anomalies, count_if(coalesce(outlier, false)) * 100.0 / count(*) AS rate_pct FROM ({S.iqr_flag(S.P1)}) _r GROUP BY series_id",
+    ["rate_pct"],
+)
+def q_anomaly_rate(spark, d):
+    """AGG-06: share of flagged rows (IQR flags) per series, in percent."""
+    f = clean.outlier_iqr(p1(spark, d)).withColumnRenamed("outlier", "anomaly")
+    return stats.anomaly_rate(f, "anomaly")
+
+
+# ---------------------------------------------------------------- baseline forecasts, metrics, ensembles
+_SPLIT = f"SELECT *, CASE WHEN ord < floor(n * 0.8) THEN 'train' ELSE 'test' END AS split, CAST(floor(n * 0.8) AS BIGINT) AS n_train FROM ({S.with_n(S.with_ord(S.P2))}) _s"
+_BASE_FC = f"""
+WITH s AS ({_SPLIT}),
+tr AS (SELECT * FROM s WHERE split = 'train'),
+sizes AS (SELECT series_id, CAST(count_if(split = 'train') AS BIGINT) AS n_train, CAST(count_if(split = 'test') AS BIGINT) AS n_test FROM s GROUP BY 1),
+agg AS (SELECT series_id, arg_max(value, CASE WHEN value IS NOT NULL THEN ord END) AS last, avg(value) AS mean FROM tr GROUP BY 1),
+st AS (SELECT series_id, n_train, unnest(generate_series(1, n_test)) AS step FROM sizes WHERE n_test > 0),
+x AS (SELECT st.series_id, st.step, agg.last, agg.mean, tr.value AS snaive
+      FROM st LEFT JOIN agg USING (series_id)
+      LEFT JOIN tr ON tr.series_id = st.series_id AND tr.ord = st.n_train - 24 + ((st.step - 1) % 24))
+SELECT series_id, 'naive' AS model, CAST(step AS INTEGER) AS step, last AS forecast FROM x
+UNION ALL SELECT series_id, 'mean', CAST(step AS INTEGER), mean FROM x
+UNION ALL SELECT series_id, 'snaive', CAST(step AS INTEGER), snaive FROM x"""
+_TEST = f"SELECT series_id, ts, CAST(ord - n_train + 1 AS INTEGER) AS step, value AS actual FROM ({_SPLIT}) _t WHERE split = 'test'"
+
+
+def _baseline(spark, d):
+    train, test, sizes = baselines.split_parts(p2(spark, d), 0.8)
+    return train, test, sizes, baselines.baseline_forecasts(train, sizes, 24)
+
+
+@register("baseline_forecast", _BASE_FC, ["forecast"])
+def q_baseline_forecast(spark, d):
+    """Deterministic naive / mean / seasonal-naive forecasts over each test horizon."""
+    return _baseline(spark, d)[3]
+
+
+@register(
+    "forecast_metrics",
+    f"""SELECT f.series_id, f.model, count(*) AS n_compared, avg(abs(f.forecast - t.actual)) AS mae,
+       avg((f.forecast - t.actual) * (f.forecast - t.actual)) AS mse,
+       sqrt(avg((f.forecast - t.actual) * (f.forecast - t.actual))) AS rmse
+    FROM ({_BASE_FC}) f JOIN ({_TEST}) t ON f.series_id = t.series_id AND f.step = t.step
+    WHERE t.actual IS NOT NULL AND f.forecast IS NOT NULL GROUP BY 1, 2""",
+    ["mae", "mse", "rmse"],
+)
+def q_forecast_metrics(spark, d):
+    """MET-01: MAE/MSE/RMSE per series and model against the held-out 20 %."""
+    _, test, _, fc = _baseline(spark, d)
+    return stats.forecast_metrics(test.select("series_id", "step", "actual"), fc)
+
+
+@register(
+    "ensemble_average",
+    f"SELECT series_id, step, avg(forecast) AS forecast, count(forecast) AS n_members FROM ({_BASE_FC}) _e GROUP BY 1, 2",
+    ["forecast"],
+)
+def q_ensemble_average(spark, d):
+    """ENS-02: mean of the member forecasts per step (missing members skipped)."""
+    return baselines.ensemble(_baseline(spark, d)[3], "average")
+
+
+@register(
+    "ensemble_median",
+    f"SELECT series_id, step, quantile_cont(forecast, 0.5) AS forecast, count(forecast) AS n_members FROM ({_BASE_FC}) _e GROUP BY 1, 2",
+    ["forecast"],
+)
+def q_ensemble_median(spark, d):
+    """ENS-03: median of the member forecasts per step."""
+    return baselines.ensemble(_baseline(spark, d)[3], "median")
+
+
+@register(
+    "overlay_forecast",
+    f"""SELECT series_id, ts, value, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ({_SPLIT}) _a WHERE split = 'train'
+    UNION ALL SELECT series_id, ts, actual, 'test', step FROM ({_TEST}) _b
+    UNION ALL SELECT f.series_id, t.ts, f.forecast, 'forecast:' || f.model, f.step FROM ({_BASE_FC}) f
+      JOIN ({_TEST}) t ON f.series_id = t.series_id AND f.step = t.step""",
+    ["value"],
+)
+def q_overlay_forecast(spark, d):
+    """SET-02: train, test and forecasts stacked with a role tag (forecast ts from the test rows)."""
+    train, test, _, fc = _baseline(spark, d)
+    tr = train.select("series_id", "ts", "value", F.lit(None).cast("int").alias("step"))
+    te = test.select("series_id", "ts", F.col("actual").alias("value"), "step")
+    fts = fc.join(test.select("series_id", "step", "ts"), ["series_id", "step"]).select(
+        "series_id", "ts", F.col("forecast").alias("value"), "step", F.concat(F.lit("forecast:"), "model").alias("_role")
+    )
+    return setops.overlay({"train": tr, "test": te}).unionByName(fts.withColumnRenamed("_role", "role"))
+
+
+# ---------------------------------------------------------------- scaling of features, decomposition
+_FEAT_COLS = S.FEATURES
+
+
+def _scale_sql():
+    f = S.features(S.P1)
+    stats_cols = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _FEAT_COLS)
+    scaled = ", ".join(
+        f"(f.{c} - s.m_{c}) / (CASE WHEN s.s_{c} = 0 THEN 1.0 ELSE s.s_{c} END) AS {c}" for c in _FEAT_COLS
+    )
+    return f"SELECT f.series_id, f.ts, f.seq, {scaled} FROM ({f}) f JOIN (SELECT series_id, {stats_cols} FROM ({f}) _x GROUP BY 1) s USING (series_id)"
+
+
+@register("scale_features", _scale_sql(), _FEAT_COLS)
+def q_scale_features(spark, d):
+    """NRM-04: detector features standardised with stored per-series mean / population std."""
+    feats = rolling.anomaly_features(p1(spark, d))
+    model = clean.fit_scaler(feats, _FEAT_COLS)
+    return clean.apply_scaler(feats, model, _FEAT_COLS)
+
+
+def _decomp_sql(src, period, model):
+    c = f"SELECT * FROM ({src}) _c WHERE value IS NOT NULL"
+    t = S.with_n(S.with_ord(_cma_sql(c, period)))
+    if model == "additive":
+        det, seas, resid = "value - trend", "pa - pm", "value - trend - seasonal"
+    else:
+        det, seas, resid = "value / nullif(trend, 0)", "pa / nullif(pm, 0)", "(value / nullif(trend, 0)) / nullif(seasonal, 0)"
+    ph = f"SELECT series_id, ord % {period} AS ph, avg({det}) AS pa FROM ({t}) _t GROUP BY 1, 2"
+    ph2 = f"SELECT series_id, ph, {seas} AS seasonal FROM (SELECT *, avg(pa) OVER (PARTITION BY series_id) AS pm FROM ({ph}) _p) _q"
+    j = f"SELECT t.*, p.seasonal FROM ({t}) t LEFT JOIN ({ph2}) p ON t.series_id = p.series_id AND t.ord % {period} = p.ph"
+    ok = f"n >= {2 * period}"
+    return (
+        f"SELECT series_id, ts, seq, value, CASE WHEN {ok} THEN trend END AS trend, CASE WHEN {ok} THEN seasonal END AS seasonal, "
+        f"CASE WHEN {ok} THEN {resid} END AS resid FROM ({j}) _j"
+    )
+
+
+@register("decompose_additive", _decomp_sql(S.P2, 24, "additive"), ["value", "trend", "seasonal", "resid"])
+def q_decompose_additive(spark, d):
+    """DEC-01: additive classical decomposition of each hourly series (period 24)."""
+    return decompose.decompose(p2(spark, d), 24, "additive")
+
+
+@register(
+    "decompose_multiplicative", _decomp_sql(S.P2, 24, "multiplicative"), ["value", "trend", "seasonal", "resid"]
+)
+def q_decompose_multiplicative(spark, d):
+    """DEC-02: multiplicative classical decomposition (period 24)."""
+    return decompose.decompose(p2(spark, d), 24, "multiplicative")
+
+
+@register("decompose_users", _decomp_sql(S.P1M, 7, "additive"), ["value", "trend", "seasonal", "resid"])
+def q_decompose_users(spark, d):
+    """DEC-01 per user with period 7 (short series get NULL components)."""
+    return decompose.decompose(p1m(spark, d), 7, "additive")
+
+
+# ---------------------------------------------------------------- scalar functions
+_SCALAR_SQL = """
+SELECT event_id, abs(value - 10.0) AS f_abs, sqrt(abs(value)) AS f_sqrt, sin(value) AS f_sin, power(value, 2) AS f_pow,
+  CAST(floor(value) AS BIGINT) AS f_floor, event_id % 7 AS f_mod, lower(event_type) AS f_lower, upper(event_type) AS f_upper,
+  concat_ws('_', event_type, CAST(user_id AS VARCHAR)) AS f_id, printf('%.3f', value) AS f_fmt,
+  strftime(ts, '%Y%m%d_%H%M%S') AS f_stamp, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS f_iso,
+  CAST(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS f_parsed,
+  coalesce(CASE WHEN event_id % 7 <> 0 THEN value END, -1.0) AS f_coalesce,
+  CAST(json_extract(props, '$.k') AS BIGINT) AS f_json_k
+FROM events"""
+
+
+@register("scalar_functions", _SCALAR_SQL, ["f_abs", "f_sqrt", "f_sin", "f_pow", "f_coalesce"])
+def q_scalar_functions(spark, d):
+    """Scalar functions used across the library: math, string, date, json, null handling."""
+    ev = panels.table(spark, d, "events")
+    v = F.col("value")
+    return ev.select(
+        "event_id",
+        F.abs(v - 10.0).alias("f_abs"),
+        F.sqrt(F.abs(v)).alias("f_sqrt"),
+        F.sin(v).alias("f_sin"),
+        F.pow(v, 2).alias("f_pow"),
+        F.floor(v).cast("long").alias("f_floor"),
+        (F.col("event_id") % 7).alias("f_mod"),
+        F.lower("event_type").alias("f_lower"),
+        F.upper("event_type").alias("f_upper"),
+        F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("f_id"),
+        F.format_string("%.3f", v).alias("f_fmt"),
+        F.date_format("ts", "yyyyMMdd_HHmmss").alias("f_stamp"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("f_iso"),
+        F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit("yyyy-MM-dd HH:mm:ss")).alias("f_parsed"),
+        F.coalesce(F.when(F.col("event_id") % 7 != 0, v), F.lit(-1.0)).alias("f_coalesce"),
+        F.get_json_object("props", "$.k").cast("long").alias("f_json_k"),
+    )
