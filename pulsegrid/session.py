@@ -32,6 +32,7 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -59,3 +60,43 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (only used by tests that inspect files)."""
     return path[5:] if path.startswith("file:") else os.fspath(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pulsegrid`` importable in Python workers (pandas functions pickle
+    references to its modules). Zips the package once per process and adds it
+    with ``addPyFile``, the same mechanism as ``spark-submit --py-files``; Spark
+    copies it to every executor. Idempotent per SparkContext."""
+    import hashlib
+    import tempfile
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _shipped:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    digest = hashlib.sha1()
+    files = []
+    for dirpath, _, names in os.walk(pkg):
+        for nm in sorted(names):
+            if nm.endswith(".py"):
+                full = os.path.join(dirpath, nm)
+                files.append(full)
+                with open(full, "rb") as fh:
+                    digest.update(fh.read())
+    out_dir = os.path.join(tempfile.gettempdir(), "pulsegrid-pyfiles")
+    os.makedirs(out_dir, exist_ok=True)
+    target = os.path.join(out_dir, f"pulsegrid-{digest.hexdigest()[:12]}.zip")
+    if not os.path.exists(target):
+        tmp = f"{target}.{uuid.uuid4().hex}"
+        with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+            for full in files:
+                zf.write(full, os.path.relpath(full, root))
+        os.replace(tmp, target)
+    sc.addPyFile(target)
+    _shipped.add(key)

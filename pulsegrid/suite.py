@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pulsegrid import sqlparts as S
 from pulsegrid.operators import clean, columns, decompose, rolling, setops, stats
 from pulsegrid.sources import panels
-from pulsegrid.sources.spine import time_spine
+from pulsegrid.session import ensure_checkpoint_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,8 @@ def finish(df: DataFrame, bits: int = 20) -> DataFrame:
 def register(name: str, sql: str | None = None, doubles: list[str] | None = None, bits: int = 20):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return finish(fn(spark, sf_dir), bits)
 
         run.__name__ = name
@@ -686,16 +688,19 @@ def q_ensemble_median(spark, d):
 
 @register(
     "overlay_forecast",
-    f"""SELECT series_id, ts, value, 'train' AS role, CAST(NULL AS INTEGER) AS step FROM ({_SPLIT}) _a WHERE split = 'train'
+    f"""SELECT series_id, ts, value, 'train' AS role, CAST(ord - n_train + 1 AS INTEGER) AS step FROM ({_SPLIT}) _a WHERE split = 'train'
     UNION ALL SELECT series_id, ts, actual, 'test', step FROM ({_TEST}) _b
     UNION ALL SELECT f.series_id, t.ts, f.forecast, 'forecast:' || f.model, f.step FROM ({_BASE_FC}) f
       JOIN ({_TEST}) t ON f.series_id = t.series_id AND f.step = t.step""",
     ["value"],
 )
 def q_overlay_forecast(spark, d):
-    """SET-02: train, test and forecasts stacked with a role tag (forecast ts from the test rows)."""
-    train, test, _, fc = _baseline(spark, d)
-    tr = train.select("series_id", "ts", "value", F.lit(None).cast("int").alias("step"))
+    """SET-02: train, test and forecasts stacked with a role tag. Forecast rows take
+    their ts from the test rows; history rows carry step <= 0 (position before the origin)."""
+    train, test, sizes, fc = _baseline(spark, d)
+    tr = stats.attach(train, sizes.select("series_id", "n_train")).select(
+        "series_id", "ts", "value", (F.col("ord") - F.col("n_train") + 1).cast("int").alias("step")
+    )
     te = test.select("series_id", "ts", F.col("actual").alias("value"), "step")
     fts = fc.join(test.select("series_id", "step", "ts"), ["series_id", "step"]).select(
         "series_id", "ts", F.col("forecast").alias("value"), "step", F.concat(F.lit("forecast:"), "model").alias("_role")
@@ -796,3 +801,132 @@ def q_scalar_functions(spark, d):
         F.coalesce(F.when(F.col("event_id") % 7 != 0, v), F.lit(-1.0)).alias("f_coalesce"),
         F.get_json_object("props", "$.k").cast("long").alias("f_json_k"),
     )
+
+
+# ---------------------------------------------------------------- models (rows-only: no SQL oracle)
+from pulsegrid.operators import anomaly, forecast  # noqa: E402
+
+
+def _hourly_clean(spark, d):
+    return clean.interpolate(p2(spark, d), "linear").filter(F.col("value").isNotNull())
+
+
+@register("adf_test")
+def q_adf_test(spark, d):
+    """STA-01: ADF t-statistic, AIC lag choice and 5 % decision per user series."""
+    return forecast.adf_test(p1(spark, d))
+
+
+@register("auto_difference")
+def q_auto_difference(spark, d):
+    """STA-02: differencing order 0..2 per series chosen in one job."""
+    return forecast.auto_difference(p1(spark, d))
+
+
+def _arima(spark, d):
+    return forecast.arima_fit(_hourly_clean(spark, d), (1, 1, 1))
+
+
+@register("arima_fit")
+def q_arima_fit(spark, d):
+    """FC-01: ARIMA(1,1,1) after auto differencing, every hourly series in one job."""
+    return _arima(spark, d).drop("state")
+
+
+@register("sarima_fit")
+def q_sarima_fit(spark, d):
+    """FC-02: seasonal ARIMA(1,0,1)(1,1,0,24)."""
+    return forecast.arima_fit(_hourly_clean(spark, d), (1, 0, 1), (1, 1, 0, 24), auto_stationary=False).drop("state")
+
+
+@register("arima_forecast")
+def q_arima_forecast(spark, d):
+    """FC-03: 48-step forecasts with intervals, on both scales."""
+    return forecast.arima_forecast(_arima(spark, d), 48)
+
+
+@register("arima_info")
+def q_arima_info(spark, d):
+    """FC-04: order, seasonal order, AIC, BIC, status per series."""
+    return _arima(spark, d).select("series_id", "model", "order", "seasonal_order", "aic", "bic", "n", "status")
+
+
+@register("arima_users")
+def q_arima_users(spark, d):
+    """FC-01 on the 150+ irregular per-user series (panel scale-out)."""
+    return forecast.arima_fit(p1(spark, d), (1, 0, 1)).drop("state")
+
+
+@register("trend_season_fit")
+def q_trend_season_fit(spark, d):
+    """FC-05/07: trend + yearly/weekly/daily Fourier regression per series."""
+    return forecast.trend_season_fit(_hourly_clean(spark, d)).drop("state")
+
+
+@register("trend_season_forecast")
+def q_trend_season_forecast(spark, d):
+    """FC-06: future rows only, step = modal gap of each series."""
+    h = _hourly_clean(spark, d)
+    return forecast.trend_season_forecast(forecast.trend_season_fit(h), 48, history=h)
+
+
+@register("ensemble_fit")
+def q_ensemble_fit(spark, d):
+    """ENS-01: both members fitted on every series; failures kept as status rows."""
+    return forecast.ensemble_fit(_hourly_clean(spark, d)).drop("state")
+
+
+@register("ensemble_models")
+def q_ensemble_models(spark, d):
+    """ENS-02 over model forecasts: mean of ARIMA and trend-season forecasts per step."""
+    h = _hourly_clean(spark, d)
+    fa = forecast.arima_forecast(forecast.arima_fit(h), 24)
+    ft = forecast.trend_season_forecast(forecast.trend_season_fit(h), 24, history=h)
+    return baselines.ensemble(fa.unionByName(ft), "average")
+
+
+def _iforest(spark, d, contamination=0.1):
+    feats = rolling.anomaly_features(p1(spark, d))
+    scaler = clean.fit_scaler(feats, _FEAT_COLS)
+    scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS)
+    nodes = anomaly.iforest_fit(scaled, _FEAT_COLS, 100, 256, 42)
+    scores = anomaly.iforest_score(scaled, nodes, _FEAT_COLS)
+    return nodes, scores
+
+
+@register("iforest_fit")
+def q_iforest_fit(spark, d):
+    """ANO-02: node table of 100 isolation trees per user series."""
+    feats = rolling.anomaly_features(p1(spark, d))
+    scaled = clean.apply_scaler(feats, clean.fit_scaler(feats, _FEAT_COLS), _FEAT_COLS)
+    return anomaly.iforest_fit(scaled, _FEAT_COLS)
+
+
+@register("iforest_detect")
+def q_iforest_detect(spark, d):
+    """ANO-03: scores and flags at contamination 0.1."""
+    _, scores = _iforest(spark, d)
+    return anomaly.flag(scores, anomaly.threshold(scores, 0.1))
+
+
+@register("iforest_threshold")
+def q_iforest_threshold(spark, d):
+    """ANO-04: flags re-derived from stored scores at contamination 0.05 (no refit)."""
+    _, scores = _iforest(spark, d)
+    return anomaly.flag(scores, anomaly.threshold(scores, 0.05))
+
+
+@register("iforest_info")
+def q_iforest_info(spark, d):
+    """ANO-05: model row per series."""
+    nodes, scores = _iforest(spark, d)
+    return anomaly.model_info(nodes, anomaly.threshold(scores, 0.1), 0.1)
+
+
+@register("iforest_anomaly_rate")
+def q_iforest_anomaly_rate(spark, d):
+    """AGG-06 on detector flags: unscored warm-up rows count as not anomalous (SEM-12/14)."""
+    _, scores = _iforest(spark, d)
+    flags = anomaly.flag(scores, anomaly.threshold(scores, 0.1)).select("series_id", "ts", "seq", "anomaly")
+    base = p1(spark, d).join(flags, ["series_id", "ts", "seq"], "left")
+    return stats.anomaly_rate(base, "anomaly")
