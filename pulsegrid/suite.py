@@ -930,3 +930,175 @@ def q_iforest_anomaly_rate(spark, d):
     flags = anomaly.flag(scores, anomaly.threshold(scores, 0.1)).select("series_id", "ts", "seq", "anomaly")
     base = p1(spark, d).join(flags, ["series_id", "ts", "seq"], "left")
     return stats.anomaly_rate(base, "anomaly")
+
+
+# ---------------------------------------------------------------- streaming (rows-only; stream = batch is a test)
+from pulsegrid import streaming  # noqa: E402
+from pulsegrid.streaming import rolling_state  # noqa: E402
+from pulsegrid.tables import experiments, registry  # noqa: E402
+
+
+def _replay(spark, d, frame: DataFrame, tag: str, chunks: int = 4, **kw) -> DataFrame:
+    """Stage ``frame`` as ``chunks`` time-ordered files, replay them as micro-batches
+    through the stateful operator, return the sink table."""
+    root = shared_dir(spark, "streams", tag, unique=True)
+    staged = frame if "is_reset" in frame.columns else frame.withColumn("is_reset", F.lit(False))
+    rolling_state.stage_for_replay(staged, f"{root}/in", chunks)
+    src = streaming.replay_source(spark, f"{root}/in", 1)
+    out = rolling_state.stream_rolling(src, **kw)
+    streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_rolling_stats")
+def q_stream_rolling_stats(spark, d):
+    """STR-01/05: per-arrival trailing-30 stats over 4 replayed micro-batches (equals WIN-01)."""
+    return _replay(spark, d, p1m(spark, d), "rolling", window=30).select(
+        "series_id", "ts", "seq", "mean", "std", "min", "max", "median", "current", "window_size", "late"
+    )
+
+
+@register("stream_replay")
+def q_stream_replay(spark, d):
+    """SRC-05: chunked replay of the stored events as micro-batches (one file per trigger)."""
+    return _replay(spark, d, p4(spark, d), "replay", chunks=8, window=50).select("series_id", "ts", "seq", "mean", "current", "window_size")
+
+
+@register("stream_band")
+def q_stream_band(spark, d):
+    """STR-04: zero-padded mean (N=30) and trailing mean + padded band (N=50) live."""
+    return _replay(spark, d, p1(spark, d), "band", window=30, band_window=50).select(
+        "series_id", "ts", "seq", "current", "mean_zero_pad", "band_mean", "band_lo", "band_hi"
+    )
+
+
+def _with_daily_resets(frame: DataFrame) -> DataFrame:
+    """Control rows derived from the data: one reset at the start of every day a series is active (after its first)."""
+    days = frame.select("series_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ts")).distinct()
+    first = frame.groupBy("series_id").agg(F.min(F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("_d0"))
+    resets = days.join(first, "series_id").filter(F.col("ts") > F.col("_d0")).select(
+        "series_id", "ts", F.lit(-1).cast("long").alias("seq"), F.lit(None).cast("double").alias("value"), F.lit(True).alias("is_reset")
+    )
+    return frame.withColumn("is_reset", F.lit(False)).unionByName(resets)
+
+
+@register("stream_reset")
+def q_stream_reset(spark, d):
+    """STR-03: buffers cleared by control rows (daily resets derived from the data)."""
+    return _replay(spark, d, _with_daily_resets(p1(spark, d)), "reset", window=30).select(
+        "series_id", "ts", "seq", "mean", "std", "current", "window_size", "late"
+    )
+
+
+@register("stream_current_stats")
+def q_stream_current_stats(spark, d):
+    """STR-02: foreachBatch keeps an append-only snapshot; the view is the newest row per series."""
+    root = shared_dir(spark, "streams", "current", unique=True)
+    rolling_state.stage_for_replay(p1(spark, d).withColumn("is_reset", F.lit(False)), f"{root}/in", 4)
+    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in", 1), window=30)
+    streaming.run_to_table(out, None, f"{root}/chk", foreach=rolling_state.snapshot_writer(f"{root}/snap"))
+    return streaming.current_stats_view(spark, f"{root}/snap").select(
+        "series_id", "ts", "seq", "mean", "std", "min", "max", "median", "current", "window_size"
+    )
+
+
+# ---------------------------------------------------------------- registry, experiments, manifests (rows-only)
+def _models(spark, d):
+    return forecast.trend_season_fit(_hourly_clean(spark, d), yearly=False)
+
+
+@register("registry_save")
+def q_registry_save(spark, d):
+    """REG-01: save per-series models under a name and version; returns the stored rows."""
+    root = shared_dir(spark, "registry", unique=True)
+    name, version = registry.save_model(_models(spark, d), root, "trend_season", "v1", {"panel": "hourly"})
+    return registry.load_model(spark, root, name, version).drop("state")
+
+
+@register("registry_load")
+def q_registry_load(spark, d):
+    """REG-02: latest version of a model (partition-pruned read)."""
+    root = shared_dir(spark, "registry", unique=True)
+    m = _models(spark, d).cache()
+    registry.save_model(m, root, "trend_season", "v1")
+    registry.save_model(m, root, "trend_season", "v2")
+    out = registry.load_model(spark, root, "trend_season").drop("state")
+    return out
+
+
+@register("registry_list")
+def q_registry_list(spark, d):
+    """REG-03 + AGG-07: two models listed newest first with fitted counts; name filter."""
+    root = shared_dir(spark, "registry", unique=True)
+    registry.save_model(_models(spark, d), root, "trend_season", "v1")
+    feats = rolling.anomaly_features(p1(spark, d))
+    registry.save_model(clean.fit_scaler(feats, _FEAT_COLS).withColumn("status", F.lit("ok")), root, "scaler", "v1")
+    return registry.list_checkpoints(spark, root)
+
+
+@register("registry_delete")
+def q_registry_delete(spark, d):
+    """REG-04: delete one version (tombstone); listing no longer shows it."""
+    root = shared_dir(spark, "registry", unique=True)
+    m = _models(spark, d).cache()
+    registry.save_model(m, root, "trend_season", "v1")
+    registry.save_model(m, root, "trend_season", "v2")
+    registry.delete_checkpoint(spark, root, "trend_season", "v1")
+    return registry.list_checkpoints(spark, root, "trend_season")
+
+
+def _experiment(spark, d, finish: bool = True):
+    root = shared_dir(spark, "experiments", unique=True)
+    exp_id = experiments.start_experiment(spark, root, "baselines", "baseline forecasts on the hourly panel", {"train_fraction": 0.8, "season": 24})
+    _, test, _, fc = _baseline(spark, d)
+    met = stats.forecast_metrics(test.select("series_id", "step", "actual"), fc)
+    long = met.select(F.explode(F.array(*[F.struct(F.concat_ws(".", "series_id", "model", F.lit(m)).alias("name"), F.col(m).alias("value")) for m in ("mae", "rmse")])).alias("m")).select("m.*")
+    experiments.log_metrics(long.withColumn("step", F.lit(1)), root, exp_id)
+    experiments.save_result(spark, root, exp_id, "metrics", met, "json")
+    if finish:
+        experiments.finish_experiment(spark, root, exp_id, {"models": 3})
+    return root, exp_id
+
+
+@register("experiment_start")
+def q_experiment_start(spark, d):
+    """EXP-01: start event with parameters."""
+    root, exp_id = _experiment(spark, d, finish=False)
+    ev = spark.read.schema(experiments.EVENTS).parquet(f"{root}/events")
+    return ev.filter(F.col("kind") == "start")
+
+
+@register("experiment_metrics")
+def q_experiment_metrics(spark, d):
+    """EXP-02: metric rows appended by the executors."""
+    root, exp_id = _experiment(spark, d)
+    return experiments.metrics_of(spark, root, exp_id)
+
+
+@register("experiment_result")
+def q_experiment_result(spark, d):
+    """EXP-03: result table written under the experiment and read back."""
+    root, exp_id = _experiment(spark, d)
+    return spark.read.json(f"{root}/results/{exp_id}/metrics")
+
+
+@register("experiment_finish")
+def q_experiment_finish(spark, d):
+    """EXP-04: finish event."""
+    root, _ = _experiment(spark, d)
+    ev = spark.read.schema(experiments.EVENTS).parquet(f"{root}/events")
+    return ev.filter(F.col("kind") == "finish")
+
+
+@register("experiment_list")
+def q_experiment_list(spark, d):
+    """EXP-05: latest state of all experiments, newest first."""
+    root, _ = _experiment(spark, d)
+    return experiments.list_experiments(spark, root)
+
+
+@register("dataset_manifest")
+def q_dataset_manifest(spark, d):
+    """SNK-03: manifest row (name, time, format, rows, schema) written with the data."""
+    path = shared_dir(spark, "datasets", "manifest", unique=True)
+    return files.save_dataset(p2(spark, d), path, "hourly_by_type", {"source": "events"}, "parquet")
