@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import hash_uniform
 from pulsegrid.operators.stats import attach
+from pulsegrid.plans.lineage import materialize
 
 NODE_SCHEMA = T.StructType(
     [
@@ -124,7 +125,8 @@ def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, ma
             }
         )
 
-    return sampled.groupBy(KEY).applyInPandas(build_all, NODE_SCHEMA)
+    # the node table is the model: written once to the shared checkpoint folder
+    return materialize(sampled.groupBy(KEY).applyInPandas(build_all, NODE_SCHEMA), "iforest_nodes")
 
 
 SCORE_SCHEMA = T.StructType(

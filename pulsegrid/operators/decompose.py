@@ -17,7 +17,7 @@ from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import safe_div
 from pulsegrid.operators.rolling import centered_ma
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import with_ordinal
+from pulsegrid.plans.blocked import choose_plan, with_ordinal
 
 FREQ_PERIOD = {"hour": 24, "day": 7, "month": 12}
 
@@ -26,6 +26,7 @@ def decompose(df: DataFrame, period: int = 24, model: str = "additive", col: str
     if model not in ("additive", "multiplicative"):
         raise ValueError(f"unknown model: {model}")
     clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
+    plan = choose_plan(df, plan)
     t = centered_ma(clean, period, plan=plan)
     t = with_ordinal(t, "ord", plan)
     n = clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))

@@ -26,6 +26,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,8 @@ from pyspark.sql import types as T
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.operators.gram import gram, ols, unpack
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import apply_windows, epoch_micros, with_ordinal
+from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros, with_ordinal
+from pulsegrid.plans.lineage import materialize
 
 # MacKinnon (2010) response surface, constant only, 5 % level (fixed values)
 ADF_5PCT = (-2.8621, -2.738, -8.36)
@@ -138,18 +140,29 @@ def adf_test(df: DataFrame, max_lag_cap: int = 12, col: str = "value", by_extra:
     return g.mapInPandas(solve, schema)
 
 
-def auto_difference(df: DataFrame, max_d: int = 2, col: str = "value", plan: str = "auto") -> DataFrame:
-    """STA-02: smallest d in 0..max_d whose ADF says stationary, else max_d; all
-    orders are tested in one job (a union tagged by d), no driver loop."""
-    base = _clean(df, col)
-    variants = [base.withColumn("d", F.lit(0))]
-    cur = base
+def diff_variants(base: DataFrame, max_d: int = 2, plan: str = "plain") -> DataFrame:
+    """The series differenced 0..max_d times, stacked and tagged by ``d``."""
+    variants = [base.select(KEY, *ORDER, "value").withColumn("d", F.lit(0))]
+    cur = base.select(KEY, *ORDER, "value")
     for d in range(1, max_d + 1):
         cur = diff_once(cur, 1, plan)
         variants.append(cur.select(KEY, *ORDER, "value").withColumn("d", F.lit(d)))
     u = variants[0]
     for v in variants[1:]:
         u = u.unionByName(v)
+    return u
+
+
+def auto_difference(
+    df: DataFrame, max_d: int = 2, col: str = "value", plan: str = "auto", variants: DataFrame | None = None
+) -> DataFrame:
+    """STA-02: smallest d in 0..max_d whose ADF says stationary, else max_d; all
+    orders are tested in one job (a union tagged by d), no driver loop."""
+    if variants is None:
+        base = _clean(df, col)
+        plan = choose_plan(base, plan)
+        variants = diff_variants(base, max_d, plan)
+    u = variants
     t = adf_test(u, by_extra=["d"], plan=plan)
     pick = F.min(F.when(F.col("stationary"), F.col("d")))
     return t.groupBy(KEY).agg(
@@ -158,16 +171,11 @@ def auto_difference(df: DataFrame, max_d: int = 2, col: str = "value", plan: str
     )
 
 
-def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int, plan: str) -> DataFrame:
+def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int, plan: str, variants: DataFrame | None = None) -> DataFrame:
     """Apply the per-series auto order d0 (0..2) then the model's own d and D."""
     if d0 is not None:
-        variants = [base.withColumn("_d0", F.lit(0))]
-        cur = base
-        for k in (1, 2):
-            cur = diff_once(cur, 1, plan)
-            variants.append(cur.withColumn("_d0", F.lit(k)))
-        u = variants[0].unionByName(variants[1]).unionByName(variants[2])
-        x = u.join(d0.select(KEY, F.col("d").alias("_d0")), [KEY, "_d0"])
+        u = variants if variants is not None else diff_variants(base, 2, plan)
+        x = u.join(F.broadcast(d0.select(KEY, "d")), [KEY, "d"]).withColumnRenamed("d", "_d0")
     else:
         x = base.withColumn("_d0", F.lit(0))
     for _ in range(d):
@@ -219,9 +227,18 @@ def arima_fit(
     P, D, Q, s = seasonal_order
     if s <= 1:
         P, D, Q, s = 0, 0, 0, max(s, 1)
-    base = _clean(df, col)
-    d0 = auto_difference(base, 2, plan=plan) if auto_stationary else None
-    w = _differenced(base, d0, d, D, s, plan)
+    base = _clean(df, col).persist(StorageLevel.MEMORY_AND_DISK)
+    plan = choose_plan(base, plan)
+    persisted = [base]
+    if auto_stationary:
+        variants = diff_variants(base, 2, plan).persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(variants)
+        # one row per series: written once, read back (tiny; broadcast below)
+        d0 = materialize(auto_difference(base, 2, plan=plan, variants=variants), "arima_d0")
+    else:
+        variants, d0 = None, None
+    w = _differenced(base, d0, d, D, s, plan, variants).persist(StorageLevel.MEMORY_AND_DISK)
+    persisted.append(w)
     has_const = (d + D) == 0
     ar_lags = list(range(1, p + 1)) + [s * i for i in range(1, P + 1)]
     ma_lags = list(range(1, q + 1)) + [s * i for i in range(1, Q + 1)]
@@ -249,11 +266,13 @@ def arima_fit(
                     out.append({KEY: r.series_id, "_a": None if res is None else [float(b) for b in res[0]]})
                 yield pd.DataFrame(out, columns=[KEY, "_a"])
 
-        a = g1.mapInPandas(solve1, coef_schema)
+        a = materialize(g1.mapInPandas(solve1, coef_schema), "arima_long_ar")
         e_expr = F.col("value") - F.col("_a")[0]
         for i in range(1, m + 1):
             e_expr = e_expr - F.col("_a")[i] * F.col(f"_w{i}")
         s1 = attach(s1, a).withColumn("_e", e_expr).select(KEY, *ORDER, "value", "_e")
+        s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
+        persisted.append(s1)
     else:
         s1 = w.select(KEY, *ORDER, "value").withColumn("_e", F.lit(None).cast("double"))
 
@@ -337,7 +356,10 @@ def arima_fit(
                 )
             yield pd.DataFrame(out, columns=MODEL_SCHEMA.fieldNames())
 
-    return info.mapInPandas(solve2, MODEL_SCHEMA)
+    models = materialize(info.mapInPandas(solve2, MODEL_SCHEMA), "arima")
+    for x in persisted:
+        x.unpersist()
+    return models
 
 
 def _arr(x) -> list:
@@ -554,7 +576,7 @@ def trend_season_fit(
                 out.append({KEY: r[KEY], "model": "trend_season", "version": None, "params": params, "order": None, "seasonal_order": None, "aic": aic, "bic": bic, "n": n, "status": status, "created": created, "state": state})
             yield pd.DataFrame(out, columns=MODEL_SCHEMA.fieldNames())
 
-    return info.mapInPandas(solve, MODEL_SCHEMA)
+    return materialize(info.mapInPandas(solve, MODEL_SCHEMA), "trend_season")
 
 
 def trend_season_forecast(models: DataFrame, steps: int, every_us: int | None = None, history: DataFrame | None = None) -> DataFrame:

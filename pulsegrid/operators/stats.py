@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.functions.numeric import adjusted_kurtosis, adjusted_skewness, safe_div
-from pulsegrid.plans.blocked import apply_windows
+from pulsegrid.plans.blocked import apply_windows, choose_plan
 
 
 def attach(df: DataFrame, scalars: DataFrame, on: Sequence[str] = (KEY,)) -> DataFrame:
@@ -96,6 +96,7 @@ def acf(df: DataFrame, nlags: int = 50, col: str = "value", plan: str = "auto")
     to long form. Rows only for lags below the series length.
     """
     v = F.col(col)
+    plan = choose_plan(df, plan)
     clean = df.select(KEY, *ORDER, v.alias("_v")).filter(F.col("_v").isNotNull())
     mean = clean.groupBy(KEY).agg(F.avg("_v").alias("_mu"), F.count(F.lit(1)).alias("_n"))
     d = attach(clean, mean).withColumn("_d", F.col("_v") - F.col("_mu"))

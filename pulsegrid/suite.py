@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pulsegrid import sqlparts as S
 from pulsegrid.operators import clean, columns, decompose, rolling, setops, stats
 from pulsegrid.sources import panels
+from pulsegrid.plans.blocked import choose_plan
 from pulsegrid.session import ensure_checkpoint_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,11 +79,16 @@ def p4(spark, d):
 
 # ---------------------------------------------------------------- flagship
 def flagship(spark: SparkSession, sf_dir: str, window: int = 10) -> DataFrame:
-    """P2 -> IQR outliers masked -> linear interpolation -> z-score -> rolling stats."""
-    x = clean.remove_outliers(p2(spark, sf_dir), "iqr")
-    x = clean.interpolate(x, "linear")
+    """P2 -> IQR outliers masked -> linear interpolation -> z-score -> rolling stats.
+
+    The plain/blocked decision is taken once on the input panel (series lengths
+    do not change along the chain) and passed to every window operator."""
+    src = p2(spark, sf_dir)
+    plan = choose_plan(src)
+    x = clean.remove_outliers(src, "iqr")
+    x = clean.interpolate(x, "linear", plan=plan)
     x = clean.normalize(x, "zscore")
-    return rolling.rolling_stats(x, window)
+    return rolling.rolling_stats(x, window, plan=plan)
 
 
 _FLAG_SQL = S.rolling_stats(S.normalize(S.interpolate(S.remove_outliers(S.P2, "iqr"), "linear"), "zscore"), 10)
@@ -804,6 +810,8 @@ def q_scalar_functions(spark, d):
 
 
 # ---------------------------------------------------------------- models (rows-only: no SQL oracle)
+from pyspark import StorageLevel  # noqa: E402
+
 from pulsegrid.operators import anomaly, forecast  # noqa: E402
 
 
@@ -888,9 +896,11 @@ def q_ensemble_models(spark, d):
 def _iforest(spark, d, contamination=0.1):
     feats = rolling.anomaly_features(p1(spark, d))
     scaler = clean.fit_scaler(feats, _FEAT_COLS)
-    scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS)
+    # features feed the fit and the scoring: computed once
+    scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS).persist(StorageLevel.MEMORY_AND_DISK)
     nodes = anomaly.iforest_fit(scaled, _FEAT_COLS, 100, 256, 42)
-    scores = anomaly.iforest_score(scaled, nodes, _FEAT_COLS)
+    # scores feed both the per-series cut and the flags
+    scores = anomaly.iforest_score(scaled, nodes, _FEAT_COLS).persist(StorageLevel.MEMORY_AND_DISK)
     return nodes, scores
 
 
