@@ -42,8 +42,9 @@ def epoch_micros(name: str = "ts") -> Column:
     return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
 
 
-def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int = HOT_ROWS) -> str:
+def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None) -> str:
     """'plain' | 'blocked'; 'auto' checks the row count of the largest series."""
+    hot_rows = hot_rows or HOT_ROWS
     if plan in ("plain", "blocked"):
         return plan
     if plan != "auto":
@@ -62,31 +63,32 @@ def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int = HOT_ROWS) ->
 
 
 def _bucketed(df: DataFrame, block_rows: int) -> DataFrame:
-    """Adds ``_tb``: time bucket inside the series, about ``block_rows`` rows each."""
+    """Adds ``__tb``: time bucket inside the series, about ``block_rows`` rows each."""
     stats = df.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(epoch_micros("ts")).alias("_t0"),
-        F.max(epoch_micros("ts")).alias("_t1"),
+        F.count(F.lit(1)).alias("__bn"),
+        F.min(epoch_micros("ts")).alias("__t0"),
+        F.max(epoch_micros("ts")).alias("__t1"),
     )
-    stats = stats.withColumn("_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(block_rows))))
+    stats = stats.withColumn("__nb", F.greatest(F.lit(1), F.ceil(F.col("__bn") / F.lit(block_rows))))
     # one row per series; Spark broadcasts it when small and AQE splits the hot key otherwise
     x = df.join(stats, KEY)
-    span = (F.col("_t1") - F.col("_t0") + 1).cast("double")
-    tb = F.floor((epoch_micros("ts") - F.col("_t0")).cast("double") / span * F.col("_nb"))
-    return x.withColumn("_tb", F.least(F.col("_nb") - 1, tb).cast("long")).drop("_n", "_t0", "_t1", "_nb")
+    span = (F.col("__t1") - F.col("__t0") + 1).cast("double")
+    tb = F.floor((epoch_micros("ts") - F.col("__t0")).cast("double") / span * F.col("__nb"))
+    return x.withColumn("__tb", F.least(F.col("__nb") - 1, tb).cast("long")).drop("__bn", "__t0", "__t1", "__nb")
 
 
-def blocked_ordinal(df: DataFrame, block_rows: int = BLOCK_ROWS, name: str = "_ord") -> DataFrame:
+def blocked_ordinal(df: DataFrame, block_rows: int | None = None, name: str = "_ord") -> DataFrame:
+    block_rows = block_rows or BLOCK_ROWS
     x = _bucketed(df, block_rows)
-    counts = x.groupBy(KEY, "_tb").agg(F.count(F.lit(1)).alias("_c"))
-    wb = Window.partitionBy(KEY).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(KEY, "_tb", F.coalesce(F.sum("_c").over(wb), F.lit(0)).alias("_off"))
-    x = x.join(offsets, [KEY, "_tb"])
-    rn = F.row_number().over(Window.partitionBy(KEY, "_tb").orderBy(*ORDER))
-    return x.withColumn(name, (rn - 1 + F.col("_off")).cast("long")).drop("_tb", "_off")
+    counts = x.groupBy(KEY, "__tb").agg(F.count(F.lit(1)).alias("__bc"))
+    wb = Window.partitionBy(KEY).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(KEY, "__tb", F.coalesce(F.sum("__bc").over(wb), F.lit(0)).alias("__off"))
+    x = x.join(offsets, [KEY, "__tb"])
+    rn = F.row_number().over(Window.partitionBy(KEY, "__tb").orderBy(*ORDER))
+    return x.withColumn(name, (rn - 1 + F.col("__off")).cast("long")).drop("__tb", "__off")
 
 
-def with_ordinal(df: DataFrame, name: str = "ord", plan: str = "auto", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def with_ordinal(df: DataFrame, name: str = "ord", plan: str = "auto", block_rows: int | None = None) -> DataFrame:
     """PRJ-04: 0-based position of each row inside its series in ``(ts, seq)`` order."""
     if choose_plan(df, plan) == "blocked":
         return blocked_ordinal(df, block_rows, name)
@@ -99,7 +101,7 @@ def apply_windows(
     lookback: int,
     lookahead: int = 0,
     plan: str = "auto",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Run ``build(df, extra_partition_cols)`` under the chosen plan.
 
@@ -108,6 +110,7 @@ def apply_windows(
     """
     if choose_plan(df, plan) == "plain":
         return build(df, [])
+    block_rows = block_rows or BLOCK_ROWS
     halo = max(lookback, lookahead)
     if block_rows < halo:
         raise ValueError("block_rows must be at least the frame reach")
@@ -128,7 +131,7 @@ def apply_windows(
     return out.filter(F.col("_home")).drop("_blk", "_home", "_ord")
 
 
-def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows: int | None = None) -> DataFrame:
     """Adds ``_prev_v/_prev_o/_prev_t`` and ``_next_v/_next_o/_next_t``: the nearest
     non-null value, its ordinal and its epoch microseconds, before-or-at and
     at-or-after each row; also ``ord``.
@@ -141,6 +144,7 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
     if chosen == "plain":
         x = with_ordinal(df, "ord", "plain")
         return _fill_cols(x, series_window(), v)
+    block_rows = block_rows or BLOCK_ROWS
     x = blocked_ordinal(df, block_rows, "ord")
     x = x.withColumn("_blk", F.floor(F.col("ord") / block_rows).cast("long"))
     x = _fill_cols(x, series_window("_blk"), v)

@@ -134,8 +134,20 @@ def replay_source(spark: SparkSession, path: str, files_per_trigger: int = 1, sc
 
 
 def stage_for_replay(df: DataFrame, path: str, chunks: int = 4) -> None:
-    """Write a frame as ``chunks`` files in time order, so a replay sees them in order."""
-    df.repartitionByRange(chunks, "ts", "seq").sortWithinPartitions("ts", "seq").write.mode("errorifexists").parquet(path)
+    """Write a frame as ``chunks`` consecutive time ranges, one append per range,
+    so the file source (which orders new files by modification time) replays
+    them in time order. Range cuts are quantiles of ``ts`` from one small
+    aggregate; every row lands in exactly one range."""
+    us = epoch_micros("ts")
+    cuts = df.agg(F.percentile_approx(us, [i / chunks for i in range(1, chunks)], 10000).alias("q")).first()["q"] if chunks > 1 else []
+    bounds = [None, *sorted(set(cuts or [])), None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (us > F.lit(lo))
+        if hi is not None:
+            cond = cond & (us <= F.lit(hi))
+        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
 
 
 def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None) -> None:
