@@ -6,7 +6,8 @@
   without replacement). A longer series deals a hash-thresholded candidate set
   across the trees (disjoint samples), each tree keeping its ``psi`` smallest.
 * Building: ``groupBy(series_id).applyInPandas`` over the sample of the series,
-  which is bounded by ``trees * 256`` rows whatever the series length.
+  which is bounded by ``trees * 256`` rows whatever the series length; all trees
+  grow together level by level with array operations (``grow_forest``).
 * Scoring: rows are cut into hash chunks of <= ``chunk_rows``; the node table of
   the series is joined to each chunk and ``cogroup(...).applyInPandas`` walks all
   trees vectorised. No group ever holds a whole long series.
@@ -31,6 +32,20 @@ from pulsegrid.functions.numeric import hash_uniform
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.lineage import materialize
 
+FOREST_SCHEMA = T.StructType(
+    [
+        T.StructField(KEY, T.StringType()),
+        T.StructField("n_trees", T.IntegerType()),
+        T.StructField("psi", T.IntegerType()),
+        T.StructField("tree", T.ArrayType(T.IntegerType())),
+        T.StructField("feature", T.ArrayType(T.IntegerType())),
+        T.StructField("split", T.ArrayType(T.DoubleType())),
+        T.StructField("left", T.ArrayType(T.IntegerType())),
+        T.StructField("right", T.ArrayType(T.IntegerType())),
+        T.StructField("size", T.ArrayType(T.IntegerType())),
+    ]
+)
+
 NODE_SCHEMA = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
@@ -57,21 +72,99 @@ def _c(n):
 
 
 def sample_rows(features: DataFrame, n_trees: int = 100, max_samples: int = 256, seed: int = 42, replicate_limit: int = 3_000_000) -> DataFrame:
-    """(series_id, tree, ts, seq, features...) rows of every tree's sample."""
+    """(series_id, tree, ts, seq, features...) rows of every tree's sample.
+
+    ``tree = -1`` marks a series short enough (n <= max_samples) that every tree
+    uses all of its rows: those rows are sent once, not once per tree.
+    """
     n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     x = attach(features, n)
-    small = x.filter(F.col("_n") * n_trees <= replicate_limit)
+    whole = x.filter(F.col("_n") <= max_samples).withColumn("tree", F.lit(-1)).drop("_n")
+    small = x.filter((F.col("_n") > max_samples) & (F.col("_n") * n_trees <= replicate_limit))
     big = x.filter(F.col("_n") * n_trees > replicate_limit)
     rep = small.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
     rep = rep.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", "tree", salt="iforest-sample"))
-    psi = F.least(F.lit(max_samples), F.col("_n"))
     # margin makes a short tree practically impossible; a short tree is still valid (its own size)
     rate = F.least(F.lit(1.0), F.lit(n_trees * max_samples * 1.2) / F.col("_n") + 10.0 / F.sqrt(F.col("_n")))
     deal = big.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", salt="iforest-deal")).filter(F.col("_u") < rate)
     deal = deal.withColumn("tree", (F.abs(F.xxhash64(F.lit(seed), KEY, "ts", "seq")) % n_trees).cast("int"))
     both = rep.unionByName(deal)
     w = Window.partitionBy(KEY, "tree").orderBy("_u", *ORDER)
-    return both.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= psi).drop("_rk", "_u", "_n")
+    picked = both.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_samples).drop("_rk", "_u", "_n")
+    return whole.unionByName(picked)
+
+
+def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int, rng: np.random.Generator):
+    """All trees of one forest grown level by level with array operations.
+
+    Each node picks a feature uniformly among the features that are not constant
+    in the node and a split uniformly between their min and max; growth stops at
+    depth ``limit``, at one row, or when every feature is constant. Node ids are
+    global and dense; node ``t`` is the root of tree ``t``.
+    Returns (tree, feature, split, left, right, size) arrays.
+    """
+    node_of = tree_of_row.astype(np.int64).copy()
+    tree = list(range(n_trees))
+    feature = [-1] * n_trees
+    split = [np.nan] * n_trees
+    left = [-1] * n_trees
+    right = [-1] * n_trees
+    size = list(np.bincount(node_of, minlength=n_trees))
+    tree, feature, split, left, right, size = (np.asarray(v) for v in (tree, feature, split, left, right, size))
+    split = split.astype(float)
+    frontier = np.arange(n_trees)
+    n_nodes = n_trees
+    for _ in range(limit):
+        cand = frontier[size[frontier] > 1]
+        if cand.size == 0:
+            break
+        is_cand = np.zeros(n_nodes, dtype=bool)
+        is_cand[cand] = True
+        rows = np.flatnonzero(is_cand[node_of])
+        order = rows[np.argsort(node_of[rows], kind="stable")]
+        nodes_sorted = node_of[order]
+        uniq, starts = np.unique(nodes_sorted, return_index=True)
+        Xs = X[order]
+        mins = np.minimum.reduceat(Xs, starts, axis=0)
+        maxs = np.maximum.reduceat(Xs, starts, axis=0)
+        usable = maxs > mins
+        n_use = usable.sum(axis=1)
+        can = n_use > 0
+        u1 = rng.random(len(uniq))
+        u2 = rng.random(len(uniq))
+        k = np.minimum((u1 * n_use).astype(np.int64), np.maximum(n_use - 1, 0))
+        cum = np.cumsum(usable, axis=1)
+        f_choice = np.argmax((cum == (k + 1)[:, None]) & usable, axis=1)
+        ar = np.arange(len(uniq))
+        lo, hi = mins[ar, f_choice], maxs[ar, f_choice]
+        sp = lo + u2 * (hi - lo)
+        split_nodes = uniq[can]
+        m = len(split_nodes)
+        if m == 0:
+            break
+        new_left = n_nodes + 2 * np.arange(m)
+        left_u = np.full(len(uniq), -1, dtype=np.int64)
+        left_u[can] = new_left
+        feature[split_nodes] = f_choice[can]
+        split[split_nodes] = sp[can]
+        left[split_nodes] = new_left
+        right[split_nodes] = new_left + 1
+        pos = np.searchsorted(uniq, nodes_sorted)
+        sel = can[pos]
+        p = pos[sel]
+        go_left = Xs[sel, f_choice[p]] < sp[p]
+        node_of[order[sel]] = np.where(go_left, left_u[p], left_u[p] + 1)
+        child_tree = np.repeat(tree[split_nodes], 2)
+        tree = np.concatenate([tree, child_tree])
+        feature = np.concatenate([feature, np.full(2 * m, -1)])
+        split = np.concatenate([split, np.full(2 * m, np.nan)])
+        left = np.concatenate([left, np.full(2 * m, -1)])
+        right = np.concatenate([right, np.full(2 * m, -1)])
+        n_nodes += 2 * m
+        size = np.bincount(node_of, minlength=n_nodes)
+        frontier = np.arange(n_nodes - 2 * m, n_nodes)
+    # sizes of internal nodes are not used by scoring; keep the final row counts at leaves
+    return tree, feature, split, left, right, size
 
 
 def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
@@ -80,53 +173,53 @@ def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, ma
     sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed)
 
     def build_all(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [build(g) for _, g in pdf.groupby("tree", sort=True)]
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=NODE_SCHEMA.fieldNames())
-
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        sid, tree = pdf[KEY].iloc[0], int(pdf["tree"].iloc[0])
+        sid = pdf[KEY].iloc[0]
         X = pdf[cols].to_numpy(dtype=float)
-        psi = len(X)
+        t = pdf["tree"].to_numpy()
+        if (t < 0).all():
+            psi = len(X)
+            Xa = np.tile(X, (n_trees, 1))
+            ta = np.repeat(np.arange(n_trees), len(X))
+        else:
+            psi = int(np.bincount(t, minlength=n_trees).max())
+            Xa, ta = X, t
         limit = max(1, int(math.ceil(math.log2(max(psi, 2)))))
-        rng = np.random.default_rng([seed, zlib.crc32(str(sid).encode()), tree])
-        nodes = []  # (feature, split, left, right, size)
-        stack = [(np.arange(psi), 0, 0)]
-        nodes.append(None)
-        while stack:
-            idx, depth, me = stack.pop()
-            sub = X[idx]
-            if depth >= limit or len(idx) <= 1:
-                nodes[me] = (-1, float("nan"), -1, -1, len(idx))
-                continue
-            lo, hi = sub.min(axis=0), sub.max(axis=0)
-            usable = np.flatnonzero(hi > lo)
-            if usable.size == 0:
-                nodes[me] = (-1, float("nan"), -1, -1, len(idx))
-                continue
-            f = int(rng.choice(usable))
-            sp = float(rng.uniform(lo[f], hi[f]))
-            go_left = sub[:, f] < sp
-            li, ri = len(nodes), len(nodes) + 1
-            nodes += [None, None]
-            nodes[me] = (f, sp, li, ri, len(idx))
-            stack.append((idx[go_left], depth + 1, li))
-            stack.append((idx[~go_left], depth + 1, ri))
+        rng = np.random.default_rng([seed, zlib.crc32(str(sid).encode())])
+        tree, feature, split, left, right, size = grow_forest(Xa, ta, n_trees, limit, rng)
         return pd.DataFrame(
             {
-                KEY: sid,
-                "tree": tree,
-                "node": np.arange(len(nodes), dtype=np.int32),
-                "feature": [n[0] for n in nodes],
-                "split": [n[1] for n in nodes],
-                "left": [n[2] for n in nodes],
-                "right": [n[3] for n in nodes],
-                "size": [n[4] for n in nodes],
-                "psi": psi,
+                KEY: [sid],
+                "n_trees": [n_trees],
+                "psi": [psi],
+                "tree": [tree.astype(np.int32)],
+                "feature": [feature.astype(np.int32)],
+                "split": [split.astype(float)],
+                "left": [left.astype(np.int32)],
+                "right": [right.astype(np.int32)],
+                "size": [size.astype(np.int32)],
             }
         )
 
-    # the node table is the model: written once to the shared checkpoint folder
-    return materialize(sampled.groupBy(KEY).applyInPandas(build_all, NODE_SCHEMA), "iforest_nodes")
+    # the forest is the model (one row of node arrays per series, bounded by
+    # trees * (2 * 256 - 1) nodes): written once to the shared checkpoint folder
+    return materialize(sampled.groupBy(KEY).applyInPandas(build_all, FOREST_SCHEMA), "iforest_forest")
+
+
+def forest_nodes(forest: DataFrame) -> DataFrame:
+    """The forest as a long node table ``(series_id, tree, node, feature, split, left, right, size)``."""
+    z = F.arrays_zip("tree", "feature", "split", "left", "right", "size")
+    x = forest.select(KEY, "psi", F.posexplode(z).alias("node", "n"))
+    return x.select(
+        KEY,
+        F.col("n.tree").alias("tree"),
+        F.col("node").cast("int").alias("node"),
+        F.col("n.feature").alias("feature"),
+        F.col("n.split").alias("split"),
+        F.col("n.left").alias("left"),
+        F.col("n.right").alias("right"),
+        F.col("n.size").alias("size"),
+        "psi",
+    )
 
 
 SCORE_SCHEMA = T.StructType(
@@ -134,7 +227,7 @@ SCORE_SCHEMA = T.StructType(
 )
 
 
-def iforest_score(features: DataFrame, nodes: DataFrame, cols: Sequence[str], chunk_rows: int = 200_000, seed: int = 42) -> DataFrame:
+def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], chunk_rows: int = 200_000, seed: int = 42) -> DataFrame:
     """ANO-03 scoring: ``2 ** (-E[h(x)] / c(psi))`` over all trees of the series."""
     cols = list(cols)
     n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
@@ -142,7 +235,7 @@ def iforest_score(features: DataFrame, nodes: DataFrame, cols: Sequence[str], ch
     x = attach(features.select(KEY, *ORDER, *cols), n.select(KEY, nchunks.alias("_k")))
     x = x.withColumn("_chunk", F.pmod(F.xxhash64(F.lit(seed), "ts", "seq"), F.col("_k")).cast("int")).drop("_k")
     chunks = x.select(F.col(KEY).alias("_sid"), (F.col("_chunk") + 0).alias("_c2")).distinct()
-    nodes_c = nodes.join(chunks, nodes[KEY] == chunks["_sid"]).drop("_sid").withColumnRenamed("_c2", "_chunk")
+    nodes_c = forest.join(chunks, forest[KEY] == chunks["_sid"]).drop("_sid").withColumnRenamed("_c2", "_chunk")
 
     def score(rows: pd.DataFrame, tree_nodes: pd.DataFrame) -> pd.DataFrame:
         if rows.empty:
@@ -151,18 +244,16 @@ def iforest_score(features: DataFrame, nodes: DataFrame, cols: Sequence[str], ch
         if tree_nodes.empty:
             s = np.full(len(X), np.nan)
         else:
-            # all trees flattened into global node arrays; every (row, tree) pair walks at once
-            t = tree_nodes.sort_values(["tree", "node"])
-            tree_ids = t["tree"].to_numpy()
-            starts = np.flatnonzero(np.r_[True, tree_ids[1:] != tree_ids[:-1]])
-            offset = np.repeat(starts, np.diff(np.r_[starts, len(t)]))
-            feat = t["feature"].to_numpy()
-            split = t["split"].to_numpy()
-            left = t["left"].to_numpy() + offset
-            right = t["right"].to_numpy() + offset
-            size = t["size"].to_numpy()
-            psi = int(t["psi"].max())
-            n_trees = len(starts)
+            # global, dense node ids per series; node t is the root of tree t
+            f0 = tree_nodes.iloc[0]
+            feat = np.asarray(f0["feature"])
+            split = np.asarray(f0["split"], dtype=float)
+            left = np.asarray(f0["left"])
+            right = np.asarray(f0["right"])
+            size = np.asarray(f0["size"])
+            psi = int(f0["psi"])
+            n_trees = int(f0["n_trees"])
+            starts = np.arange(n_trees)
             s = np.empty(len(X))
             for lo in range(0, len(X), 4096):
                 xb = X[lo : lo + 4096]
@@ -197,9 +288,9 @@ def flag(scores: DataFrame, cut: DataFrame) -> DataFrame:
     return attach(scores, cut.select(KEY, "threshold")).withColumn("anomaly", F.col("score") > F.col("threshold")).drop("threshold")
 
 
-def model_info(nodes: DataFrame, cut: DataFrame, contamination: float) -> DataFrame:
+def model_info(forest: DataFrame, cut: DataFrame, contamination: float) -> DataFrame:
     """ANO-05: one model row per series."""
-    trees = nodes.groupBy(KEY).agg(F.countDistinct("tree").alias("n_trees"), F.max("psi").alias("psi"))
+    trees = forest.select(KEY, "n_trees", "psi")
     return trees.join(cut, KEY).select(
         KEY,
         F.lit("isolation_forest").alias("model"),

@@ -909,7 +909,7 @@ def q_iforest_fit(spark, d):
     """ANO-02: node table of 100 isolation trees per user series."""
     feats = rolling.anomaly_features(p1(spark, d))
     scaled = clean.apply_scaler(feats, clean.fit_scaler(feats, _FEAT_COLS), _FEAT_COLS)
-    return anomaly.iforest_fit(scaled, _FEAT_COLS)
+    return anomaly.forest_nodes(anomaly.iforest_fit(scaled, _FEAT_COLS))
 
 
 @register("iforest_detect")
