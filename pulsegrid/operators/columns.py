@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.functions.numeric import hash_normal, hash_uniform
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import apply_windows, with_ordinal
+from pulsegrid.plans.blocked import apply_windows, rank_within, with_ordinal
 
 BASE = [KEY, *ORDER]
 
@@ -42,33 +42,22 @@ def add_noise(df: DataFrame, level: float = 0.1, seed: int = 42) -> DataFrame:
     return df.select(*BASE, "value", (F.lit(level) * z).alias("noise"))
 
 
-def inject_spikes(df: DataFrame, probability: float = 0.05, level: float = 0.1, seed: int = 42) -> DataFrame:
+def inject_spikes(
+    df: DataFrame, probability: float = 0.05, level: float = 0.1, seed: int = 42, plan: str = "auto"
+) -> DataFrame:
     """GEN-04: exactly ``floor(p * n)`` distinct rows per series get +/-3*level.
 
-    Rows are ranked by a key hash. Only rows whose hash is below a per-series
-    cut (a high-probability upper bound of the k-th smallest hash) are ranked;
-    a series where the cut yields fewer than k candidates is ranked in full,
-    so the result is always exact.
+    Rows are ranked by a key hash inside the series (``rank_within``: a plain
+    window, or hash-range blocks for a very long series) and the first
+    ``floor(p * n)`` ranks are picked; the sign comes from a second hash.
     """
-    u = hash_uniform(seed, KEY, "ts", "seq", salt="spike-pick")
-    x = df.withColumn("_u", u)
-    n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-    n = n.withColumn("_k", F.floor(F.col("_n") * F.lit(probability)).cast("long"))
-    sd = F.sqrt(F.lit(probability * (1 - probability)) / F.col("_n"))
-    n = n.withColumn("_cut", F.least(F.lit(1.0), F.lit(probability) + 8 * sd + 8.0 / F.col("_n")))
+    x = df.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", salt="spike-pick"))
+    n = x.groupBy(KEY).agg(F.floor(F.count(F.lit(1)) * F.lit(probability)).cast("long").alias("_k"))
+    x = rank_within(x, "_rk", [F.col("_u"), *[F.col(c) for c in ORDER]], F.col("_u"), plan)
     x = attach(x, n)
-    cand = x.filter(F.col("_u") < F.col("_cut"))
-    got = cand.groupBy(KEY).agg(F.count(F.lit(1)).alias("_c"))
-    short = got.join(n, KEY).filter(F.col("_c") < F.col("_k")).select(KEY, F.lit(True).alias("_full"))
-    x = attach(x, short)
-    cand = x.filter((F.col("_u") < F.col("_cut")) | F.coalesce(F.col("_full"), F.lit(False)))
-    rn = F.row_number().over(Window.partitionBy(KEY).orderBy("_u", *ORDER))
-    picked = cand.withColumn("_rn", rn).filter(F.col("_rn") <= F.col("_k")).select(
-        *BASE, F.lit(True).alias("is_spike")
-    )
+    hit = F.col("_rk") < F.col("_k")
     sign = F.when(hash_uniform(seed, KEY, "ts", "seq", salt="spike-sign") < 0.5, -3.0).otherwise(3.0)
-    out = df.join(picked, BASE, "left").withColumn("is_spike", F.coalesce(F.col("is_spike"), F.lit(False)))
-    return out.select(*BASE, "value", "is_spike", F.when(F.col("is_spike"), sign * level).otherwise(0.0).alias("spike"))
+    return x.select(*BASE, "value", hit.alias("is_spike"), F.when(hit, sign * level).otherwise(0.0).alias("spike"))
 
 
 def compose_components(

@@ -72,35 +72,47 @@ def adf_test(df: DataFrame, max_lag_cap: int = 12, col: str = "value", by_extra:
     """STA-01 per series (and per ``by_extra`` group, e.g. differencing order)."""
     part = [*by_extra]
     x = df.select(KEY, *part, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
+    if part:
+        # one window key per (series, variant): the variants go through the same
+        # (plain or blocked) window machinery as a series of their own
+        x = x.withColumn("_sid", F.col(KEY)).withColumn(
+            KEY, F.concat_ws("\u0001", F.col(KEY), *[F.col(c).cast("string") for c in part])
+        )
+    carry = (["_sid"] if part else []) + part
     L = max_lag_cap
-    grp = [KEY, *part]
-    n = x.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
+    n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     pm = F.least(
         F.lit(L),
         F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)).cast("int"),
         F.greatest(F.lit(0), (F.floor(F.col("_n") / 2) - 2).cast("int")),
     )
-    x = attach(x, n.withColumn("_pmax", pm), grp)
-    w = Window.partitionBy(*grp).orderBy(*ORDER)
-    v = F.col("value")
-    lagv = [F.lag(v, i).over(w) for i in range(0, L + 2)]
-    lagv[0] = v
-    cols = [
-        (lagv[0] - lagv[1]).alias("_dy"),
-        lagv[1].alias("_ylag"),
-        (F.row_number().over(w) - 1).alias("_ord"),
-    ]
-    for i in range(1, L + 1):
-        cols.append((lagv[i] - lagv[i + 1]).alias(f"_dl{i}"))
-    y = x.select(*grp, "_n", "_pmax", *cols)
-    y = y.filter(F.col("_ord") >= F.col("_pmax") + 1)
+    x = attach(x, n.withColumn("_pmax", pm))
+
+    def build(d, p):
+        w = series_window(*p)
+        v = F.col("value")
+        lagv = [v] + [F.lag(v, i).over(w) for i in range(1, L + 2)]
+        cols = [
+            (lagv[0] - lagv[1]).alias("_dy"),
+            lagv[1].alias("_ylag"),
+            F.count(F.lit(1)).over(w.rowsBetween(-(L + 1), -1)).alias("_hist"),
+        ]
+        cols += [(lagv[i] - lagv[i + 1]).alias(f"_dl{i}") for i in range(1, L + 1)]
+        keep = [c for c in d.columns if c in ("_blk", "_home", "_ord")]
+        return d.select(KEY, *ORDER, *keep, *carry, "_n", "_pmax", *cols)
+
+    y = apply_windows(x, build, lookback=L + 1, plan=plan)
+    y = y.filter(F.col("_hist") >= F.col("_pmax") + 1)
     xcols = ["_one", "_ylag"] + [f"_dl{i}" for i in range(1, L + 1)]
     y = y.withColumn("_one", F.lit(1.0))
     for i in range(1, L + 1):
         y = y.withColumn(f"_dl{i}", F.when(F.lit(i) <= F.col("_pmax"), F.col(f"_dl{i}")).otherwise(0.0))
-    g = gram(y, xcols, "_dy", by=grp, extra=[F.first("_pmax").alias("pmax"), F.first("_n").alias("n_obs")])
+    extra = [F.first("_pmax").alias("pmax"), F.first("_n").alias("n_obs")] + [F.first(c).alias(c) for c in carry]
+    g = gram(y, xcols, "_dy", by=[KEY], extra=extra)
+    if part:
+        g = g.withColumn(KEY, F.col("_sid")).drop("_sid")
     k = len(xcols)
-    fields = [T.StructField(KEY, T.StringType())] + [T.StructField(c, x.schema[c].dataType) for c in part] + ADF_SCHEMA.fields[1:]
+    fields = [T.StructField(KEY, T.StringType())] + [T.StructField(c, df.schema[c].dataType) for c in part] + ADF_SCHEMA.fields[1:]
     schema = T.StructType(fields)
 
     def solve(it):
@@ -297,7 +309,7 @@ def arima_fit(
     ords = [("r", 1)] * d + [("s", s)] * D
     tail_y_len = 2 + d + D * s + 2
     tails = _tail(base, tail_y_len + 2, "value", "tail_y")
-    gap = _modal_gap(base)
+    gap = _modal_gap(base, plan)
     if d0 is not None:
         dsel = d0.select(KEY, F.col("d").alias("d0"))
     else:
@@ -370,10 +382,14 @@ def _arr(x) -> list:
     return list(x)
 
 
-def _modal_gap(base: DataFrame) -> DataFrame:
+def _modal_gap(base: DataFrame, plan: str = "auto") -> DataFrame:
     """Per series: last ts and the most frequent gap between consecutive rows (SEM-10)."""
-    w = series_window()
-    g = base.select(KEY, (epoch_micros("ts") - F.lag(epoch_micros("ts")).over(w)).alias("_g"), "ts")
+    def build(x, part):
+        w = series_window(*part)
+        keep = [c for c in x.columns if c.startswith("_")]
+        return x.select(KEY, "ts", *keep, (epoch_micros("ts") - F.lag(epoch_micros("ts")).over(w)).alias("_g"))
+
+    g = apply_windows(base.select(KEY, *ORDER), build, lookback=1, plan=plan)
     last = g.groupBy(KEY).agg(F.max("ts").alias("last_ts"))
     counts = g.filter(F.col("_g").isNotNull() & (F.col("_g") > 0)).groupBy(KEY, "_g").agg(F.count(F.lit(1)).alias("_c"))
     mode = counts.groupBy(KEY).agg(F.max_by("_g", F.struct("_c", F.negative("_g"))).alias("gap_us"))

@@ -62,32 +62,55 @@ def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None)
     return decided
 
 
-def _bucketed(df: DataFrame, block_rows: int) -> DataFrame:
-    """Adds ``__tb``: time bucket inside the series, about ``block_rows`` rows each."""
-    stats = df.groupBy(KEY).agg(
+def _bucketed(df: DataFrame, block_rows: int, bucket_key: Column | None = None) -> DataFrame:
+    """Adds ``__tb``: an equal-width bucket of ``bucket_key`` (default: the time)
+    inside the series, sized for about ``block_rows`` rows each. The key must be
+    monotone in the row order."""
+    key = (bucket_key if bucket_key is not None else epoch_micros("ts")).cast("double")
+    x0 = df.withColumn("__bk", key)
+    stats = x0.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("__bn"),
-        F.min(epoch_micros("ts")).alias("__t0"),
-        F.max(epoch_micros("ts")).alias("__t1"),
+        F.min("__bk").alias("__t0"),
+        F.max("__bk").alias("__t1"),
     )
     stats = stats.withColumn("__nb", F.greatest(F.lit(1), F.ceil(F.col("__bn") / F.lit(block_rows))))
     # one row per series; Spark broadcasts it when small and AQE splits the hot key otherwise
-    x = df.join(stats, KEY)
-    span = (F.col("__t1") - F.col("__t0") + 1).cast("double")
-    tb = F.floor((epoch_micros("ts") - F.col("__t0")).cast("double") / span * F.col("__nb"))
-    return x.withColumn("__tb", F.least(F.col("__nb") - 1, tb).cast("long")).drop("__bn", "__t0", "__t1", "__nb")
+    x = x0.join(stats, KEY)
+    span = F.col("__t1") - F.col("__t0")
+    tb = F.when(span > 0, F.floor((F.col("__bk") - F.col("__t0")) / span * F.col("__nb"))).otherwise(F.lit(0))
+    return x.withColumn("__tb", F.least(F.col("__nb") - 1, tb).cast("long")).drop("__bn", "__t0", "__t1", "__nb", "__bk")
 
 
-def blocked_ordinal(df: DataFrame, block_rows: int | None = None, name: str = "_ord") -> DataFrame:
+def blocked_ordinal(
+    df: DataFrame,
+    block_rows: int | None = None,
+    name: str = "_ord",
+    order: Sequence[Column | str] = ORDER,
+    bucket_key: Column | None = None,
+) -> DataFrame:
+    """Exact 0-based rank inside the series by ``order`` without a per-series
+    sort in one task: bucket counts are prefix-summed over the small bucket table
+    and added to the rank inside each bucket."""
     block_rows = block_rows or BLOCK_ROWS
-    x = _bucketed(df, block_rows)
+    x = _bucketed(df, block_rows, bucket_key)
     counts = x.groupBy(KEY, "__tb").agg(F.count(F.lit(1)).alias("__bc"))
     wb = Window.partitionBy(KEY).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(KEY, "__tb", F.coalesce(F.sum("__bc").over(wb), F.lit(0)).alias("__off"))
     x = x.join(offsets, [KEY, "__tb"])
-    rn = F.row_number().over(Window.partitionBy(KEY, "__tb").orderBy(*ORDER))
+    rn = F.row_number().over(Window.partitionBy(KEY, "__tb").orderBy(*order))
     return x.withColumn(name, (rn - 1 + F.col("__off")).cast("long")).drop("__tb", "__off")
 
 
+def rank_within(
+    df: DataFrame, name: str, order: Sequence[Column | str], bucket_key: Column, plan: str = "auto", block_rows: int | None = None
+) -> DataFrame:
+    """0-based rank inside each series by ``order`` (``bucket_key`` is a numeric
+    column monotone in that order, used to cut a long series into blocks)."""
+    if choose_plan(df, plan) == "blocked":
+        return blocked_ordinal(df, block_rows, name, order, bucket_key)
+    return df.withColumn(name, (F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) - 1).cast("long"))
+
+
 def with_ordinal(df: DataFrame, name: str = "ord", plan: str = "auto", block_rows: int | None = None) -> DataFrame:
     """PRJ-04: 0-based position of each row inside its series in ``(ts, seq)`` order."""
     if choose_plan(df, plan) == "blocked":

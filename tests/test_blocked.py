@@ -75,3 +75,22 @@ def test_partition_invariance(spark, partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert got == rows(rolling.rolling_stats(_masked(spark), 30, plan="plain"))
+
+
+def test_blocked_spike_rank_equals_plain(spark, small_blocks):
+    df = _masked(spark)
+    a = columns.inject_spikes(df, 0.05, 0.1, 42, plan="blocked")
+    b = columns.inject_spikes(df, 0.05, 0.1, 42, plan="plain")
+    assert rows(a) == rows(b)
+
+
+def test_blocked_adf_equals_plain(spark, small_blocks):
+    from pulsegrid.operators import forecast
+
+    df = panels.user_series(spark, SF_SMALL)
+    a = forecast.auto_difference(df, plan="blocked").select("series_id", "d")
+    b = forecast.auto_difference(df, plan="plain").select("series_id", "d")
+    assert rows(a) == rows(b)
+    ta = forecast.adf_test(_long(spark), plan="blocked")
+    tb = forecast.adf_test(_long(spark), plan="plain")
+    assert rows(ta, digits=6) == rows(tb, digits=6)
