@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import hash_uniform
+from pulsegrid.operators.quantiles import quantiles
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.lineage import materialize
 
@@ -274,13 +275,18 @@ def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], c
     return x.groupBy(KEY, "_chunk").cogroup(nodes_c.groupBy(KEY, "_chunk")).applyInPandas(score, SCORE_SCHEMA)
 
 
-def threshold(scores: DataFrame, contamination: float = 0.1, approx: bool = False) -> DataFrame:
-    """ANO-04: per-series cut = the ``1 - contamination`` quantile of the scores."""
+def threshold(scores: DataFrame, contamination: float = 0.1, approx: bool = False, plan: str = "auto") -> DataFrame:
+    """ANO-04: per-series cut = the ``1 - contamination`` quantile of the scores
+    (exact and distributed by default, see ``quantiles``)."""
     if not 0 < contamination < 0.5:
         raise ValueError("contamination must be in (0, 0.5)")
     q = 1.0 - contamination
-    agg = F.percentile_approx("score", q, 10000) if approx else F.percentile("score", q)
-    return scores.groupBy(KEY).agg(agg.alias("threshold"), F.count("score").alias("n_scored"))
+    n = scores.groupBy(KEY).agg(F.count("score").alias("n_scored"))
+    if approx:
+        cut = scores.groupBy(KEY).agg(F.percentile_approx("score", q, 10000).alias("threshold"))
+    else:
+        cut = quantiles(scores, [q], "score", plan).select(KEY, F.col("q")[0].alias("threshold"))
+    return n.join(cut, KEY, "left")
 
 
 def flag(scores: DataFrame, cut: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.functions.numeric import adjusted_kurtosis, adjusted_skewness, safe_div
+from pulsegrid.operators.quantiles import quantiles
 from pulsegrid.plans.blocked import apply_windows, choose_plan
 
 
@@ -38,14 +39,16 @@ def summary_stats(df: DataFrame, col: str = "value", by: Sequence[str] = (KEY,))
     )
 
 
-def iqr_bounds(df: DataFrame, factor: float = 1.5, col: str = "value", approx: bool = False) -> DataFrame:
-    """AGG-02: quartiles (linear interpolation), IQR and the outlier fences."""
+def iqr_bounds(df: DataFrame, factor: float = 1.5, col: str = "value", approx: bool = False, plan: str = "auto") -> DataFrame:
+    """AGG-02: quartiles (linear interpolation), IQR and the outlier fences.
+
+    Exact by default (``quantiles``: one map-merging aggregate, or level-wise
+    refinement for a very long series); ``approx=True`` uses ``percentile_approx``."""
     v = F.col(col)
     if approx:
-        q = F.percentile_approx(v, [0.25, 0.75], 10000)
+        b = df.groupBy(KEY).agg(F.percentile_approx(v, [0.25, 0.75], 10000).alias("_q"))
     else:
-        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75)))
-    b = df.groupBy(KEY).agg(q.alias("_q"))
+        b = quantiles(df, [0.25, 0.75], col, plan).withColumnRenamed("q", "_q")
     q1, q3 = F.col("_q")[0], F.col("_q")[1]
     return b.select(
         KEY,
@@ -57,12 +60,14 @@ def iqr_bounds(df: DataFrame, factor: float = 1.5, col: str = "value", approx: b
     )
 
 
-def median_mad(df: DataFrame, col: str = "value") -> DataFrame:
+def median_mad(df: DataFrame, col: str = "value", plan: str = "auto") -> DataFrame:
     """AGG-03: median and unscaled median absolute deviation (two passes; NULLs skipped)."""
     v = F.col(col)
-    med = df.groupBy(KEY).agg(F.percentile(v, 0.5).alias("median"))
-    dev = attach(df.select(KEY, v.alias("_v")), med).select(KEY, "median", F.abs(F.col("_v") - F.col("median")).alias("_d"))
-    return dev.groupBy(KEY).agg(F.first("median").alias("median"), F.percentile("_d", 0.5).alias("mad"))
+    plan = choose_plan(df, plan)
+    med = quantiles(df, [0.5], col, plan).select(KEY, F.col("q")[0].alias("median"))
+    dev = attach(df.select(KEY, v.alias("_v")), med).select(KEY, F.abs(F.col("_v") - F.col("median")).alias("_d"))
+    mad = quantiles(dev, [0.5], "_d", plan).select(KEY, F.col("q")[0].alias("mad"))
+    return med.join(mad, KEY, "left")
 
 
 def histogram(df: DataFrame, bins: int = 50, col: str = "value") -> DataFrame:

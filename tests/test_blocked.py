@@ -94,3 +94,20 @@ def test_blocked_adf_equals_plain(spark, small_blocks):
     ta = forecast.adf_test(_long(spark), plan="blocked")
     tb = forecast.adf_test(_long(spark), plan="plain")
     assert rows(ta, digits=6) == rows(tb, digits=6)
+
+
+@pytest.mark.parametrize("src", ["long", "panel"])
+def test_blocked_exact_quantiles_equal_percentile(spark, src):
+    from pulsegrid.operators import quantiles
+
+    df = panels.masked(_long(spark)) if src == "long" else _masked(spark)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    a = quantiles.quantiles(df, probs, plan="blocked", max_sort_rows=40, fanout=8)
+    b = quantiles.quantiles(df, probs, plan="plain")
+    assert rows(a) == rows(b)
+
+
+def test_blocked_median_mad_and_iqr(spark, small_blocks):
+    df = panels.masked(_long(spark))
+    assert rows(stats.median_mad(df, plan="blocked")) == rows(stats.median_mad(df, plan="plain"))
+    assert rows(stats.iqr_bounds(df, plan="blocked")) == rows(stats.iqr_bounds(df, plan="plain"))
