@@ -20,8 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import warnings
+
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,56 +65,100 @@ STATE_SCHEMA = T.StructType(
 )
 
 
+def _window_stats(vals: np.ndarray, n_new: int, window: int, void_nulls: bool = True):
+    """Statistics of the trailing ``window`` values ending at each of the last
+    ``n_new`` positions of ``vals`` (NaN = NULL value), vectorised. With
+    ``void_nulls`` a NULL in the window voids mean/std/min/max/median (WIN-01);
+    without, NULLs are skipped (WIN-05 band)."""
+    pad = np.full(window - 1, np.nan)
+    real = np.concatenate([np.zeros(window - 1, bool), np.ones(len(vals), bool)])
+    v = np.concatenate([pad, vals])
+    wv = sliding_window_view(v, window)[-n_new:]
+    wm = sliding_window_view(real, window)[-n_new:]
+    rows = wm.sum(axis=1)
+    has_null = (wm & np.isnan(wv)).any(axis=1)
+    x = np.where(wm, wv, np.nan)
+    with np.errstate(all="ignore"), warnings.catch_warnings():
+        warnings.simplefilter("ignore", RuntimeWarning)
+        mean = np.nanmean(x, axis=1)
+        std = np.nanstd(x, axis=1)
+        mn = np.nanmin(x, axis=1)
+        mx = np.nanmax(x, axis=1)
+        med = np.nanmedian(x, axis=1)
+        zero = np.nansum(x, axis=1) / window
+    if void_nulls:
+        for arr in (mean, std, mn, mx, med):
+            arr[has_null] = np.nan
+    return rows, mean, std, mn, mx, med, zero
+
+
 def _processor(window: int, band_window: int, margin: float):
     keep = max(window, band_window)
+    cols = OUT_SCHEMA.fieldNames()
 
     def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         sid = key[0]
-        pdf = pd.concat(list(frames), ignore_index=True)
-        pdf = pdf.sort_values(["ts_us", "seq"], kind="mergesort")
+        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts_us", "seq"], kind="mergesort")
         if state.exists:
             vals, means, last_ts, last_seq = state.get
-            vals = [np.nan if v is None else v for v in (vals or [])]
-            means = [np.nan if v is None else v for v in (means or [])]
+            vals = np.asarray([np.nan if v is None else v for v in (vals or [])], float)
+            means = np.asarray([np.nan if v is None else v for v in (means or [])], float)
         else:
-            vals, means, last_ts, last_seq = [], [], None, None
-        out = []
-        for ts_us, seq, v, reset in zip(pdf["ts_us"], pdf["seq"], pdf["value"], pdf["is_reset"]):
-            if reset is True or (isinstance(reset, (bool, np.bool_)) and bool(reset)):
-                vals, means, last_ts, last_seq = [], [], None, None
-                continue
-            v = np.nan if v is None or pd.isna(v) else float(v)
-            if last_ts is not None and (ts_us, seq) <= (last_ts, last_seq):
-                out.append((sid, ts_us, seq, None, None, None, None, None, None if np.isnan(v) else v, len(vals[-window:]), None, None, None, None, True))
+            vals, means, last_ts, last_seq = np.empty(0), np.empty(0), None, None
+        ts = pdf["ts_us"].to_numpy(np.int64)
+        seq = pdf["seq"].to_numpy(np.int64)
+        value = pdf["value"].to_numpy(float, na_value=np.nan)
+        reset = pdf["is_reset"].fillna(False).to_numpy(bool)
+        outs = []
+        # segments between reset rows; a reset clears the buffers and the lateness mark
+        cuts = np.flatnonzero(reset)
+        bounds = [-1, *cuts.tolist(), len(pdf)]
+        for si in range(len(bounds) - 1):
+            if si > 0:
+                vals, means, last_ts, last_seq = np.empty(0), np.empty(0), None, None
+            lo, hi = bounds[si] + 1, bounds[si + 1]
+            if hi <= lo:
                 continue
-            vals.append(v)
-            vals = vals[-keep:]
-            last_ts, last_seq = int(ts_us), int(seq)
-            buf = np.asarray(vals[-window:])
-            clean = not np.isnan(buf).any()
-            mean = float(buf.mean()) if clean else None
-            std = float(buf.std()) if clean else None
-            mn = float(buf.min()) if clean else None
-            mx = float(buf.max()) if clean else None
-            med = float(np.median(buf)) if clean else None
-            zero = float(np.nansum(buf) / window) if not np.isnan(buf).all() else 0.0
-            band_mean = band_lo = band_hi = None
-            if band_window > 0:
-                bb = np.asarray(vals[-band_window:])
-                band_mean = float(bb.mean())
-                means.append(band_mean)
-                means = means[-band_window:]
-                mm = np.asarray(means)
-                lo = min(float(bb.min()), float(mm.min()))
-                hi = max(float(bb.max()), float(mm.max()))
-                pad = (hi - lo) * margin
-                band_lo, band_hi = lo - pad, hi + pad
-                if np.isnan(band_mean):
-                    band_mean = band_lo = band_hi = None
-            out.append((sid, int(ts_us), int(seq), mean, std, mn, mx, med, None if np.isnan(v) else v, len(buf), zero, band_mean, band_lo, band_hi, False))
+            t, q, v = ts[lo:hi], seq[lo:hi], value[lo:hi]
+            late = np.zeros(len(t), bool)
+            if last_ts is not None:
+                late |= (t < last_ts) | ((t == last_ts) & (q <= last_seq))
+            dup = np.zeros(len(t), bool)
+            dup[1:] = (t[1:] == t[:-1]) & (q[1:] == q[:-1])
+            late |= dup
+            ok = ~late
+            if late.any():
+                n_buf = min(len(vals), window)
+                outs.append(pd.DataFrame({KEY: sid, "ts_us": t[late], "seq": q[late], "mean": np.nan, "std": np.nan, "min": np.nan, "max": np.nan, "median": np.nan, "current": v[late], "window_size": n_buf, "mean_zero_pad": np.nan, "band_mean": np.nan, "band_lo": np.nan, "band_hi": np.nan, "late": True}))
+            if ok.any():
+                tn, qn, vn = t[ok], q[ok], v[ok]
+                allv = np.concatenate([vals, vn])
+                rows, mean, std, mn, mx, med, zero = _window_stats(allv, len(vn), window)
+                out = {KEY: sid, "ts_us": tn, "seq": qn, "mean": mean, "std": std, "min": mn, "max": mx, "median": med, "current": vn, "window_size": rows, "mean_zero_pad": zero}
+                if band_window > 0:
+                    _, bmean, _, bmin, bmax, _, _ = _window_stats(allv, len(vn), band_window, void_nulls=False)
+                    allm = np.concatenate([means, bmean])
+                    mpad = np.concatenate([np.full(band_window - 1, np.nan), allm])
+                    mw = sliding_window_view(mpad, band_window)[-len(vn):]
+                    with warnings.catch_warnings():
+                        warnings.simplefilter("ignore", RuntimeWarning)
+                        lo_b = np.fmin(bmin, np.nanmin(mw, axis=1))
+                        hi_b = np.fmax(bmax, np.nanmax(mw, axis=1))
+                    padw = (hi_b - lo_b) * margin
+                    bad = np.isnan(bmean)
+                    out.update(band_mean=bmean, band_lo=np.where(bad, np.nan, lo_b - padw), band_hi=np.where(bad, np.nan, hi_b + padw))
+                    means = allm[-band_window:]
+                else:
+                    out.update(band_mean=np.nan, band_lo=np.nan, band_hi=np.nan)
+                out["late"] = False
+                outs.append(pd.DataFrame(out))
+                vals = allv[-keep:]
+                last_ts, last_seq = int(tn[-1]), int(qn[-1])
         state.update(([None if np.isnan(x) else float(x) for x in vals], [None if np.isnan(x) else float(x) for x in means], last_ts, last_seq))
-        if out:
-            yield pd.DataFrame(out, columns=OUT_SCHEMA.fieldNames())
+        if outs:
+            res = pd.concat(outs, ignore_index=True)[cols]
+            res["current"] = res["current"].astype(float)
+            yield res
 
     return fn
 
