@@ -4,8 +4,11 @@ trend = centred moving average (WIN-06); seasonal = mean of the detrended values
 per phase ``ord % period`` normalised over the phases (mean 0, or mean 1 for the
 multiplicative model); resid = what is left. NULLs are dropped first and
 positions are counted on the remaining rows. A series with fewer than two full
-periods gets NULL components and ``status = 'too_short'`` instead of failing
-the whole job.
+periods gets NULL components instead of failing the whole job.
+
+``period=None`` implies the period from the sampling frequency (hourly 24, daily
+7, monthly 12): the most common gap between consecutive rows over all series is
+one small aggregate; the window length must be known when the plan is built.
 """
 
 from __future__ import annotations
@@ -19,12 +22,38 @@ from pulsegrid.operators.rolling import centered_ma
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.blocked import choose_plan, with_ordinal
 
+# fixed values: implied seasonal period per sampling frequency
 FREQ_PERIOD = {"hour": 24, "day": 7, "month": 12}
 
+_HOUR_US = 3_600_000_000
+_DAY_US = 24 * _HOUR_US
+
+
+def infer_period(df: DataFrame) -> int:
+    """Seasonal period implied by the most common gap between consecutive rows."""
+    from pulsegrid.operators.forecast import _clean, _modal_gap
+
+    gaps = _modal_gap(_clean(df)).filter(F.col("gap_us").isNotNull())
+    top = gaps.groupBy("gap_us").agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("c").desc(), "gap_us").first()
+    if top is None:
+        raise ValueError("cannot infer a period: no series has two rows")
+    gap = int(top["gap_us"])
+    if gap == _HOUR_US:
+        return FREQ_PERIOD["hour"]
+    if gap == _DAY_US:
+        return FREQ_PERIOD["day"]
+    if 28 * _DAY_US <= gap <= 31 * _DAY_US:
+        return FREQ_PERIOD["month"]
+    raise ValueError(f"cannot infer a period from a sampling gap of {gap} us; pass period=")
+
 
-def decompose(df: DataFrame, period: int = 24, model: str = "additive", col: str = "value", plan: str = "auto") -> DataFrame:
+def decompose(
+    df: DataFrame, period: int | None = 24, model: str = "additive", col: str = "value", plan: str = "auto"
+) -> DataFrame:
     if model not in ("additive", "multiplicative"):
         raise ValueError(f"unknown model: {model}")
+    if period is None:
+        period = infer_period(df.select(KEY, *ORDER, F.col(col).alias("value")))
     clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
     plan = choose_plan(df, plan)
     t = centered_ma(clean, period, plan=plan)

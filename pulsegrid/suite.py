@@ -766,6 +766,12 @@ def q_decompose_multiplicative(spark, d):
     return decompose.decompose(p2(spark, d), 24, "multiplicative")
 
 
+@register("decompose_daily", _decomp_sql(S.P3, 7, "additive"), ["value", "trend", "seasonal", "resid"], bits=4)
+def q_decompose_daily(spark, d):
+    """DEC-01 on daily order revenue with the period implied by the daily frequency (7)."""
+    return decompose.decompose(p3(spark, d), None, "additive")
+
+
 @register("decompose_users", _decomp_sql(S.P1M, 7, "additive"), ["value", "trend", "seasonal", "resid"])
 def q_decompose_users(spark, d):
     """DEC-01 per user with period 7 (short series get NULL components)."""
