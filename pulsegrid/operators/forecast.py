@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.operators.gram import gram, ols, unpack
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros, with_ordinal
+from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
 
 # MacKinnon (2010) response surface, constant only, 5 % level (fixed values)

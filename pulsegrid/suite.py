@@ -288,10 +288,6 @@ from pulsegrid.session import shared_dir  # noqa: E402
 from pulsegrid.sources import files  # noqa: E402
 
 
-def _p1_order(src: str) -> str:
-    return src
-
-
 @register("src_parquet", S.P1, ["value"])
 def q_src_parquet(spark, d):
     """SRC-02: canonical frame written once to the shared folder and read back with its schema."""
