@@ -187,7 +187,9 @@ def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int,
     """Apply the per-series auto order d0 (0..2) then the model's own d and D."""
     if d0 is not None:
         u = variants if variants is not None else diff_variants(base, 2, plan)
-        x = u.join(F.broadcast(d0.select(KEY, "d")), [KEY, "d"]).withColumnRenamed("d", "_d0")
+        # d0 is materialised: Spark knows its size and broadcasts it only under
+        # spark.sql.autoBroadcastJoinThreshold (it grows with the number of series)
+        x = u.join(d0.select(KEY, "d"), [KEY, "d"]).withColumnRenamed("d", "_d0")
     else:
         x = base.withColumn("_d0", F.lit(0))
     for _ in range(d):

@@ -20,7 +20,10 @@ from pulsegrid.plans.blocked import apply_windows, choose_plan
 
 
 def attach(df: DataFrame, scalars: DataFrame, on: Sequence[str] = (KEY,)) -> DataFrame:
-    """JOI-04: broadcast per-series scalars back to the rows."""
+    """JOI-04: per-series scalars joined back to the rows. No broadcast hint: the
+    scalar table grows with the number of series, so Spark broadcasts it only when
+    its measured size is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise a
+    sort-merge join, whose hot-key partitions AQE splits (left side of a left join)."""
     return df.join(scalars, list(on), "left")
 
 
