@@ -23,16 +23,20 @@ from pulsegrid.plans.blocked import choose_plan
 from pulsegrid.plans.lineage import materialize
 
 
+MAX_SORT_ROWS = 2_000_000
+
+
 def quantiles(
     df: DataFrame,
     probs: Sequence[float],
     col: str = "value",
     plan: str = "auto",
-    max_sort_rows: int = 2_000_000,
+    max_sort_rows: int | None = None,
     fanout: int = 64,
-    max_levels: int = 12,
+    max_levels: int = 40,
 ) -> DataFrame:
     """``(series_id, q ARRAY<DOUBLE>)``: exact quantiles (linear interpolation), NULLs skipped."""
+    max_sort_rows = max_sort_rows or MAX_SORT_ROWS
     x = df.select(KEY, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if choose_plan(df, plan) == "plain":
         return x.groupBy(KEY).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
@@ -49,6 +53,7 @@ def quantiles(
     state = ranks.select(KEY, "k", F.lit(None).cast("double").alias("a"), F.lit(None).cast("double").alias("b"), F.lit(0).cast("long").alias("below"))
     solved = []
     probs_cuts = [j / fanout for j in range(1, fanout)]
+    finished = False
     for _ in range(max_levels):
         cond = (F.col("a").isNull() | (F.col("_v") > F.col("a"))) & (F.col("b").isNull() | (F.col("_v") <= F.col("b")))
         cand = x.join(state, KEY).filter(cond).select(KEY, "k", "a", "b", "below", "_v")
@@ -73,6 +78,7 @@ def quantiles(
         solved += [done_equal, picked]
         big = summary.filter((F.col("mn") != F.col("mx")) & (F.col("c") > max_sort_rows)).select(KEY, "k", "a", "b", "below")
         if big.limit(1).count() == 0:
+            finished = True
             break
         # refine the large ones: approximate cuts, bucket counts, locate the rank's bucket
         cb = cand.join(big.select(KEY, "k"), [KEY, "k"])
@@ -93,6 +99,8 @@ def quantiles(
             loc.select(KEY, "k", new_a.alias("a"), new_b.alias("b"), (F.col("below") + F.col("_before")).alias("below")),
             "quantile_state",
         )
+    if not finished:
+        raise RuntimeError("quantile refinement did not converge; raise max_levels or max_sort_rows")
     vals = solved[0]
     for s in solved[1:]:
         vals = vals.unionByName(s)

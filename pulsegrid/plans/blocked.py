@@ -22,7 +22,8 @@ cached per logical plan) and takes the blocked plan above ``hot_rows``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -216,3 +217,23 @@ def _fill_cols(x: DataFrame, w: Window, v: Column) -> DataFrame:
         F.first(o, ignorenulls=True).over(fwd).alias("_next_o"),
         F.first(t, ignorenulls=True).over(fwd).alias("_next_t"),
     )
+
+
+@contextmanager
+def forced_blocks(block_rows: int, sort_rows: int | None = None) -> Iterator[None]:
+    """Build plans with a given block size (and exact-quantile sort limit).
+
+    Sizes are read when an operator builds its plan, so wrapping the construction
+    is enough. Used to run the blocked plan on small inputs (tests, checks).
+    """
+    global BLOCK_ROWS
+    from pulsegrid.operators import quantiles as q
+
+    old_b, old_s = BLOCK_ROWS, q.MAX_SORT_ROWS
+    BLOCK_ROWS = block_rows
+    if sort_rows is not None:
+        q.MAX_SORT_ROWS = sort_rows
+    try:
+        yield
+    finally:
+        BLOCK_ROWS, q.MAX_SORT_ROWS = old_b, old_s

@@ -1114,3 +1114,63 @@ def q_dataset_manifest(spark, d):
     """SNK-03: manifest row (name, time, format, rows, schema) written with the data."""
     path = shared_dir(spark, "datasets", "manifest", unique=True)
     return files.save_dataset(p2(spark, d), path, "hourly_by_type", {"source": "events"}, "parquet")
+
+
+# ---------------------------------------------------------------- the blocked (hot-series) plan under the oracle
+# Same operators and oracles as above, with the plan forced to 'blocked' and small
+# blocks so that every series spans many blocks: the long-series path is checked
+# against SQL at the check scale, not only in tests.
+from pulsegrid.plans.blocked import forced_blocks  # noqa: E402
+
+
+@register("rolling_stats_blocked", S.rolling_stats(S.P4, 30), S.ROLLING_DOUBLES)
+def q_rolling_stats_blocked(spark, d):
+    """WIN-01 on the single long series through halo blocks of 1,024 rows."""
+    with forced_blocks(1024):
+        return rolling.rolling_stats(p4(spark, d), 30, plan="blocked")
+
+
+@register("anomaly_features_blocked", S.features(S.P4), S.FEATURES)
+def q_anomaly_features_blocked(spark, d):
+    """ANO-01 on the single long series through halo blocks."""
+    with forced_blocks(1024):
+        return rolling.anomaly_features(p4(spark, d), plan="blocked")
+
+
+@register("row_ordinal_blocked", S.with_ord(S.P4), ["value"])
+def q_row_ordinal_blocked(spark, d):
+    """PRJ-04 exact global positions from time buckets and prefix offsets."""
+    with forced_blocks(1024):
+        return columns.row_ordinal(p4(spark, d), plan="blocked")
+
+
+@register("interp_linear_blocked", S.interpolate(S.P1M, "linear"), ["value"])
+def q_interp_linear_blocked(spark, d):
+    """IMP-01 with block summaries as carry-in (blocks of 16 rows per user series)."""
+    with forced_blocks(16):
+        return clean.interpolate(p1m(spark, d), "linear", plan="blocked")
+
+
+@register("median_mad_blocked", S.median_mad(S.P1M), ["median", "mad"])
+def q_median_mad_blocked(spark, d):
+    """AGG-03 through level-wise exact quantile refinement (sort limit 8 rows)."""
+    with forced_blocks(16, sort_rows=8):
+        return stats.median_mad(p1m(spark, d), plan="blocked")
+
+
+@register(
+    "iqr_bounds_blocked",
+    f"SELECT series_id, q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM (SELECT series_id, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM ({S.P4}) _a GROUP BY 1) _b",
+    ["q1", "q3", "iqr", "lower", "upper"],
+)
+def q_iqr_bounds_blocked(spark, d):
+    """AGG-02 on the single long series through exact quantile refinement."""
+    with forced_blocks(1024, sort_rows=256):
+        return stats.iqr_bounds(p4(spark, d), plan="blocked")
+
+
+@register("decompose_blocked", _decomp_sql(S.P4, 24, "additive"), ["value", "trend", "seasonal", "resid"])
+def q_decompose_blocked(spark, d):
+    """DEC-01 of the single long series (period 24) with blocked windows and ordinals."""
+    with forced_blocks(1024):
+        return decompose.decompose(p4(spark, d), 24, "additive", plan="blocked")
