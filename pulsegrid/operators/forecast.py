@@ -318,7 +318,16 @@ def arima_fit(
         dsel = base.select(KEY).distinct().withColumn("d0", F.lit(0))
     tails_w = _tail(s1, max(reach, 1), "value", "tail_w")
     tails_e = _tail(s1, max(reach, 1), "_e", "tail_e")
-    info = g2.join(tails, KEY, "left").join(tails_w, KEY, "left").join(tails_e, KEY, "left").join(gap, KEY, "left").join(dsel, KEY, "left")
+    # every input series keeps a row: one without usable rows gets status 'failed' (SEM-15)
+    every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
+    info = (
+        every.join(g2, KEY, "left")
+        .join(tails, KEY, "left")
+        .join(tails_w, KEY, "left")
+        .join(tails_e, KEY, "left")
+        .join(gap, KEY, "left")
+        .join(dsel, KEY, "left")
+    )
     k2 = len(xcols)
     created = datetime.now(timezone.utc).replace(tzinfo=None)
     names = xcols
@@ -327,7 +336,7 @@ def arima_fit(
         for pdf in it:
             out = []
             for r in pdf.to_dict("records"):
-                n = int(r["n"])
+                n = 0 if r["n"] is None or pd.isna(r["n"]) else int(r["n"])
                 res = ols(unpack(r["xtx_u"], k2), np.asarray(r["xty"], float), r["yty"]) if n > k2 else None
                 params, status, aic, bic = {}, "failed", None, None
                 state = None
@@ -560,7 +569,8 @@ def trend_season_fit(
 
     cells = x.mapInPandas(partial, cell).groupBy(KEY, "i").agg(F.sum("v").alias("v"))
     packed = cells.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("cells"))
-    info = packed.join(span, KEY)
+    every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
+    info = every.join(packed, KEY, "left").join(span, KEY, "left")
     created = datetime.now(timezone.utc).replace(tzinfo=None)
     nu = k * (k + 1) // 2
 
@@ -568,7 +578,11 @@ def trend_season_fit(
         for pdf in it:
             out = []
             for r in pdf.to_dict("records"):
-                vals = np.asarray([c["v"] for c in r["cells"]], float)
+                cells_r = r["cells"]
+                if cells_r is None or (isinstance(cells_r, float) and math.isnan(cells_r)) or len(cells_r) == 0:
+                    out.append({KEY: r[KEY], "model": "trend_season", "version": None, "params": {}, "order": None, "seasonal_order": None, "aic": None, "bic": None, "n": 0, "status": "failed", "created": created, "state": None})
+                    continue
+                vals = np.asarray([c["v"] for c in cells_r], float)
                 xtx = unpack(vals[:nu], k)
                 xty, yty, n = vals[nu : nu + k], vals[nu + k], int(vals[nu + k + 1])
                 # no penalty on intercept and slope

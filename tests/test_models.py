@@ -111,3 +111,16 @@ def test_scaler_zero_std_becomes_one(spark):
     df = frame(spark, [("s", T0 + timedelta(hours=i), i, 1.0) for i in range(3)]).withColumn("f", F.lit(2.0))
     sc = clean.fit_scaler(df, ["f"]).first()
     assert sc["scale"] == 1.0 and sc["mean"] == 2.0
+
+
+def test_every_series_keeps_a_model_row(spark):
+    ok = _series(spark, _arma(300, 0.5, 0.0, 2), "ok")
+    short = _series(spark, [1.0, 2.0], "short")
+    empty = frame(spark, [("empty", T0, 0, None), ("empty", T0 + timedelta(hours=1), 1, None)])
+    df = ok.unionByName(short).unionByName(empty)
+    a = {r["series_id"]: r["status"] for r in forecast.arima_fit(df, (1, 0, 0)).collect()}
+    assert a == {"ok": "ok", "short": "failed", "empty": "failed"}
+    t = {r["series_id"]: r["status"] for r in forecast.trend_season_fit(df, yearly=False).collect()}
+    assert t["ok"] == "ok" and t["empty"] == "failed"
+    f = forecast.arima_forecast(forecast.arima_fit(df, (1, 0, 0)), 3)
+    assert {r["status"] for r in f.filter(F.col("series_id") != "ok").collect()} == {"failed"}
