@@ -124,3 +124,16 @@ def test_every_series_keeps_a_model_row(spark):
     assert t["ok"] == "ok" and t["empty"] == "failed"
     f = forecast.arima_forecast(forecast.arima_fit(df, (1, 0, 0)), 3)
     assert {r["status"] for r in f.filter(F.col("series_id") != "ok").collect()} == {"failed"}
+
+
+def test_sarima_recovers_seasonal_ar(spark):
+    rng = np.random.default_rng(21)
+    n, s = 3000, 24
+    e = rng.standard_normal(n + 200)
+    x = np.zeros(n + 200)
+    for t in range(s, n + 200):
+        x[t] = 0.6 * x[t - s] + e[t]
+    m = forecast.arima_fit(_series(spark, x[200:], "s"), (0, 0, 0), (1, 0, 0, s), auto_stationary=False).first()
+    assert m["status"] == "ok"
+    assert m["params"]["ar.L24"] == pytest.approx(0.6, abs=0.06)
+    assert m["seasonal_order"] == [1, 0, 0, s]
