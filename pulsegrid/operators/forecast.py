@@ -6,7 +6,7 @@ numbers are not expected to equal theirs; correctness is parameter recovery):
 
 * ADF with constant: OLS of dy_t on [1, y_{t-1}, dy_{t-1..p}] from one Gram per
   series; p chosen by AIC on the common sample up to
-  ``min(cap, ceil(12 (n/100)^0.25), n//2 - 2)``; t-statistic against the
+  ``min(cap = 30, ceil(12 (n/100)^0.25), n//2 - 2)``; t-statistic against the
   MacKinnon 5 % response surface ``-2.8621 - 2.738/n - 8.36/n^2``.
 * ARIMA(p,d,q)(P,D,Q,s) by Hannan-Rissanen: long AR by OLS, its residuals as
   regressors, then OLS of w_t on lags of w and of the residuals (seasonal lags in
@@ -68,7 +68,7 @@ def diff_once(df: DataFrame, k: int = 1, plan: str = "auto") -> DataFrame:
     return apply_windows(df, build, lookback=k, plan=plan).filter(F.col("value").isNotNull())
 
 
-def adf_test(df: DataFrame, max_lag_cap: int = 12, col: str = "value", by_extra: Sequence[str] = (), plan: str = "auto") -> DataFrame:
+def adf_test(df: DataFrame, max_lag_cap: int = 30, col: str = "value", by_extra: Sequence[str] = (), plan: str = "auto") -> DataFrame:
     """STA-01 per series (and per ``by_extra`` group, e.g. differencing order)."""
     part = [*by_extra]
     x = df.select(KEY, *part, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())

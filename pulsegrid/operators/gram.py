@@ -16,13 +16,23 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY
 
 
+WIDE = 12
+
+
 def gram(df: DataFrame, xcols: Sequence[str], ycol: str, by: Sequence[str] = (KEY,), extra: Sequence[Column] = ()) -> DataFrame:
-    """Per-group ``n, yty, xty[k], xtx_u[k(k+1)/2]`` over rows where all inputs are non-null."""
+    """Per-group ``n, yty, xty[k], xtx_u[k(k+1)/2]`` over rows where all inputs are non-null.
+
+    Up to ``WIDE`` columns: one aggregate of sum-product expressions. Wider: partial
+    Grams per Arrow batch and group in ``mapInPandas``, summed per cell by Spark
+    (hundreds of sum expressions would dominate planning and code generation).
+    """
     k = len(xcols)
     ok = F.col(ycol).isNotNull()
     for c in xcols:
         ok = ok & F.col(c).isNotNull()
     x = df.filter(ok)
+    if k > WIDE:
+        return _gram_partial(x, list(xcols), ycol, list(by), list(extra))
     y = F.col(ycol)
     upper = [F.sum(F.col(xcols[i]) * F.col(xcols[j])) for i in range(k) for j in range(i, k)]
     return x.groupBy(*by).agg(
@@ -34,6 +44,47 @@ def gram(df: DataFrame, xcols: Sequence[str], ycol: str, by: Sequence[str] = (KE
     )
 
 
+def _gram_partial(x: DataFrame, xcols: list[str], ycol: str, by: list[str], extra: list[Column]) -> DataFrame:
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    k = len(xcols)
+    nu = k * (k + 1) // 2
+    iu = np.triu_indices(k)
+    by_fields = [x.schema[c] for c in by]
+    cell = T.StructType([*[T.StructField(f.name, f.dataType) for f in by_fields], T.StructField("_i", T.IntegerType()), T.StructField("_v", T.DoubleType())])
+
+    def partial(it):
+        for pdf in it:
+            if pdf.empty:
+                continue
+            parts = []
+            for key, g in pdf.groupby(by, sort=False):
+                key = key if isinstance(key, tuple) else (key,)
+                X = g[xcols].to_numpy(dtype=float)
+                y = g[ycol].to_numpy(dtype=float)
+                vals = np.concatenate([(X.T @ X)[iu], X.T @ y, [y @ y, float(len(y))]])
+                d = {c: [v] * len(vals) for c, v in zip(by, key)}
+                d["_i"] = np.arange(len(vals), dtype=np.int32)
+                d["_v"] = vals
+                parts.append(pd.DataFrame(d))
+            yield pd.concat(parts, ignore_index=True)
+
+    cells = x.select(*by, *xcols, ycol).mapInPandas(partial, cell).groupBy(*by, "_i").agg(F.sum("_v").alias("_v"))
+    packed = cells.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_c"))
+    vals = F.transform("_c", lambda e: e["_v"])
+    out = packed.select(
+        *by,
+        vals[nu + k + 1].cast("long").alias("n"),
+        vals[nu + k].alias("yty"),
+        F.slice(vals, nu + 1, k).alias("xty"),
+        F.slice(vals, 1, nu).alias("xtx_u"),
+    )
+    if extra:
+        out = out.join(x.groupBy(*by).agg(*extra), by, "left")
+    return out
+
+
 def unpack(xtx_u, k: int) -> np.ndarray:
     m = np.zeros((k, k))
     idx = 0

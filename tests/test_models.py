@@ -137,3 +137,20 @@ def test_sarima_recovers_seasonal_ar(spark):
     assert m["status"] == "ok"
     assert m["params"]["ar.L24"] == pytest.approx(0.6, abs=0.06)
     assert m["seasonal_order"] == [1, 0, 0, s]
+
+
+def test_partial_gram_equals_expression_gram(spark, monkeypatch):
+    from pulsegrid.operators import gram as G
+
+    rng = np.random.default_rng(4)
+    rows_ = [(f"s{i % 3}", *map(float, rng.standard_normal(4))) for i in range(300)]
+    df = spark.createDataFrame(rows_, "series_id string, a double, b double, c double, y double")
+    monkeypatch.setattr(G, "WIDE", 100)
+    narrow = {r["series_id"]: r for r in G.gram(df, ["a", "b", "c"], "y", extra=[F.count("a").alias("m")]).collect()}
+    monkeypatch.setattr(G, "WIDE", 1)
+    wide = {r["series_id"]: r for r in G.gram(df, ["a", "b", "c"], "y", extra=[F.count("a").alias("m")]).collect()}
+    assert set(narrow) == set(wide)
+    for k in narrow:
+        assert narrow[k]["n"] == wide[k]["n"] and narrow[k]["m"] == wide[k]["m"]
+        assert np.allclose(narrow[k]["xtx_u"], wide[k]["xtx_u"]) and np.allclose(narrow[k]["xty"], wide[k]["xty"])
+        assert narrow[k]["yty"] == pytest.approx(wide[k]["yty"])
