@@ -12,9 +12,10 @@ numbers are not expected to equal theirs; correctness is parameter recovery):
   regressors, then OLS of w_t on lags of w and of the residuals (seasonal lags in
   additive form). No constant when d + D > 0 (after the auto differencing, as the
   reference fits on the already differenced series).
-* Trend + seasonality regression: intercept, slope, hinge changepoints and
-  Fourier pairs (yearly 10, weekly 3, daily 4), ridge-regularised; Gaussian
-  instead of Laplace priors.
+* Trend + seasonality regression: intercept, slope, 25 hinge changepoints evenly
+  spaced in time over the first 80 % of the history, and Fourier pairs (yearly
+  10, weekly 3, daily 4), ridge-regularised; Gaussian instead of Laplace priors
+  and time-spaced instead of row-quantile changepoints.
 """
 
 from __future__ import annotations
@@ -538,7 +539,7 @@ def trend_season_fit(
     yearly: bool = True,
     weekly: bool = True,
     daily: bool = True,
-    changepoints: int = 5,
+    changepoints: int = 25,
     ridge: float = 1.0,
     col: str = "value",
 ) -> DataFrame:
