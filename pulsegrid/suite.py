@@ -962,7 +962,24 @@ def _replay(spark, d, frame: DataFrame, tag: str, chunks: int = 4, **kw) -> Data
     return spark.read.parquet(f"{root}/out")
 
 
-@register("stream_rolling_stats")
+# Stream = batch: the streamed statistics equal the batch windows, so the batch SQL is their oracle.
+_STREAM_ROLL_SQL = f"SELECT *, false AS late FROM ({S.rolling_stats(S.P1M, 30)}) _s"
+_STREAM_REPLAY_SQL = f"SELECT series_id, ts, seq, mean, current, window_size FROM ({S.rolling_stats(S.P4, 50)}) _s"
+_STREAM_BAND_SQL = f"""
+SELECT b.series_id, b.ts, b.seq, b.value AS current, z.mean_zero_pad, b.mean AS band_mean, b.band_lo, b.band_hi
+FROM ({_band_sql(S.P1)}) b JOIN (
+  SELECT series_id, ts, seq, coalesce(sum(value) OVER ({S.W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 0.0) / 30.0 AS mean_zero_pad
+  FROM ({S.P1}) _p) z ON b.series_id = z.series_id AND b.ts = z.ts AND b.seq = z.seq"""
+_WD = "PARTITION BY series_id, date_trunc('day', ts) ORDER BY ts, seq ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
+_STREAM_RESET_SQL = f"""
+SELECT series_id, ts, seq,
+  CASE WHEN count(value) OVER ({_WD}) = count(*) OVER ({_WD}) THEN avg(value) OVER ({_WD}) END AS mean,
+  CASE WHEN count(value) OVER ({_WD}) = count(*) OVER ({_WD}) THEN stddev_pop(value) OVER ({_WD}) END AS std,
+  value AS current, count(*) OVER ({_WD}) AS window_size, false AS late
+FROM ({S.P1}) _r"""
+
+
+@register("stream_rolling_stats", _STREAM_ROLL_SQL, S.ROLLING_DOUBLES)
 def q_stream_rolling_stats(spark, d):
     """STR-01/05: per-arrival trailing-30 stats over 4 replayed micro-batches (equals WIN-01)."""
     return _replay(spark, d, p1m(spark, d), "rolling", window=30).select(
@@ -970,13 +987,13 @@ def q_stream_rolling_stats(spark, d):
     )
 
 
-@register("stream_replay")
+@register("stream_replay", _STREAM_REPLAY_SQL, ["mean", "current"])
 def q_stream_replay(spark, d):
     """SRC-05: chunked replay of the stored events as micro-batches (one file per trigger)."""
     return _replay(spark, d, p4(spark, d), "replay", chunks=8, window=50).select("series_id", "ts", "seq", "mean", "current", "window_size")
 
 
-@register("stream_band")
+@register("stream_band", _STREAM_BAND_SQL, ["current", "mean_zero_pad", "band_mean", "band_lo", "band_hi"])
 def q_stream_band(spark, d):
     """STR-04: zero-padded mean (N=30) and trailing mean + padded band (N=50) live."""
     return _replay(spark, d, p1(spark, d), "band", window=30, band_window=50).select(
@@ -994,7 +1011,7 @@ def _with_daily_resets(frame: DataFrame) -> DataFrame:
     return frame.withColumn("is_reset", F.lit(False)).unionByName(resets)
 
 
-@register("stream_reset")
+@register("stream_reset", _STREAM_RESET_SQL, ["mean", "std", "current"])
 def q_stream_reset(spark, d):
     """STR-03: buffers cleared by control rows (daily resets derived from the data)."""
     return _replay(spark, d, _with_daily_resets(p1(spark, d)), "reset", window=30).select(
@@ -1002,7 +1019,11 @@ def q_stream_reset(spark, d):
     )
 
 
-@register("stream_current_stats")
+@register(
+    "stream_current_stats",
+    f"SELECT series_id, arg_max(ts, (ts, seq)) AS ts, arg_max(seq, (ts, seq)) AS seq, arg_max(mean, (ts, seq)) AS mean, arg_max(std, (ts, seq)) AS std, arg_max(min, (ts, seq)) AS min, arg_max(max, (ts, seq)) AS max, arg_max(median, (ts, seq)) AS median, arg_max(current, (ts, seq)) AS current, arg_max(window_size, (ts, seq)) AS window_size FROM ({S.rolling_stats(S.P1, 30)}) _s GROUP BY series_id",
+    S.ROLLING_DOUBLES,
+)
 def q_stream_current_stats(spark, d):
     """STR-02: foreachBatch keeps an append-only snapshot; the view is the newest row per series."""
     root = shared_dir(spark, "streams", "current", unique=True)
