@@ -168,10 +168,12 @@ def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int
     return tree, feature, split, left, right, size
 
 
-def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """ANO-02: node table of every tree of every series."""
+def iforest_fit(
+    features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42, replicate_limit: int = 3_000_000
+) -> DataFrame:
+    """ANO-02: the forest of every series (one row of node arrays per series)."""
     cols = list(cols)
-    sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed)
+    sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed, replicate_limit)
 
     def build_all(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = pdf[KEY].iloc[0]

@@ -154,3 +154,21 @@ def test_partial_gram_equals_expression_gram(spark, monkeypatch):
         assert narrow[k]["n"] == wide[k]["n"] and narrow[k]["m"] == wide[k]["m"]
         assert np.allclose(narrow[k]["xtx_u"], wide[k]["xtx_u"]) and np.allclose(narrow[k]["xty"], wide[k]["xty"])
         assert narrow[k]["yty"] == pytest.approx(wide[k]["yty"])
+
+
+@pytest.mark.parametrize("limit", [3_000_000, 1_000])
+def test_iforest_long_series_sampling_paths(spark, limit):
+    """Medium path (replicate + rank per tree) and long path (hash deal) on one long series."""
+    feats = rolling.anomaly_features(panels.single_series(spark, SF_SMALL))
+    n = feats.count()
+    s = anomaly.sample_rows(feats.select("series_id", "ts", "seq", *FEATURES), 20, 32, 42, limit)
+    per_tree = {r["tree"]: r["c"] for r in s.groupBy("tree").agg(F.count("*").alias("c")).collect()}
+    assert len(per_tree) == 20 and max(per_tree.values()) == 32 and min(per_tree.values()) >= 16
+    if limit < n * 20:
+        # dealt samples are disjoint across trees
+        assert s.select("ts", "seq").distinct().count() == s.count()
+    forest = anomaly.iforest_fit(feats, FEATURES, 20, 32, 42, limit)
+    f = forest.first()
+    assert f["n_trees"] == 20 and f["psi"] == 32
+    scores = anomaly.iforest_score(feats, forest, FEATURES)
+    assert scores.count() == n and scores.filter(F.col("score").isNull()).count() == 0
