@@ -172,3 +172,12 @@ def test_iforest_long_series_sampling_paths(spark, limit):
     assert f["n_trees"] == 20 and f["psi"] == 32
     scores = anomaly.iforest_score(feats, forest, FEATURES)
     assert scores.count() == n and scores.filter(F.col("score").isNull()).count() == 0
+
+
+def test_iforest_scores_do_not_depend_on_chunking(spark):
+    feats = rolling.anomaly_features(panels.single_series(spark, SF_SMALL))
+    forest = anomaly.iforest_fit(feats, FEATURES, 20, 64, 42)
+    one = {(r["ts"], r["seq"]): r["score"] for r in anomaly.iforest_score(feats, forest, FEATURES, chunk_rows=1_000_000).collect()}
+    many = {(r["ts"], r["seq"]): r["score"] for r in anomaly.iforest_score(feats, forest, FEATURES, chunk_rows=100).collect()}
+    assert one.keys() == many.keys()
+    assert all(one[k] == pytest.approx(many[k]) for k in one)
