@@ -1195,3 +1195,52 @@ def q_decompose_blocked(spark, d):
     """DEC-01 of the single long series (period 24) with blocked windows and ordinals."""
     with forced_blocks(1024):
         return decompose.decompose(p4(spark, d), 24, "additive", plan="blocked")
+
+
+# ---------------------------------------------------------------- end-to-end jobs
+@register("forecast_job")
+def q_forecast_job(spark, d):
+    """3.1: 80/20 split -> ARIMA(1,1,1) after auto differencing and trend-season fits on
+    train -> forecasts over each test horizon -> one CSV folder per model -> MAE/MSE/RMSE
+    against the held-out rows (read back from the sink)."""
+    h = _hourly_clean(spark, d)
+    train, test, sizes = baselines.split_parts(h, 0.8)
+    steps = int(sizes.agg(F.max("n_test")).first()[0] or 0)  # one scalar: the longest horizon
+    tr = train.select("series_id", "ts", "seq", "value")
+    fa = forecast.arima_forecast(forecast.arima_fit(tr, (1, 1, 1)), steps)
+    ft = forecast.trend_season_forecast(forecast.trend_season_fit(tr), steps, history=tr)
+    fc = fa.unionByName(ft).select("series_id", "model", "step", "ts", "forecast")
+    path = shared_dir(spark, "jobs", "forecast", unique=True)
+    files.write_frame(fc, path, "csv", partition_by=["model"])
+    schema = T.StructType(
+        [
+            T.StructField("series_id", T.StringType()),
+            T.StructField("step", T.IntegerType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("forecast", T.DoubleType()),
+            T.StructField("model", T.StringType()),
+        ]
+    )
+    back = files.read_frame(spark, path, "csv", schema)
+    return stats.forecast_metrics(test.select("series_id", "step", "actual"), back)
+
+
+@register("anomaly_job")
+def q_anomaly_job(spark, d):
+    """3.2: features once -> scaler -> forest fit -> score -> flags to CSV -> anomaly
+    count and rate per series from the sink (unscored warm-up rows count as normal)."""
+    _, scores = _iforest(spark, d)
+    flags = anomaly.flag(scores, anomaly.threshold(scores, 0.1)).select("series_id", "ts", "seq", "anomaly")
+    path = shared_dir(spark, "jobs", "anomaly", unique=True)
+    files.write_frame(flags, path, "csv")
+    schema = T.StructType(
+        [
+            T.StructField("series_id", T.StringType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("seq", T.LongType()),
+            T.StructField("anomaly", T.BooleanType()),
+        ]
+    )
+    back = files.read_frame(spark, path, "csv", schema)
+    rows_ = p1(spark, d).join(back, ["series_id", "ts", "seq"], "left")
+    return stats.anomaly_rate(rows_, "anomaly")
