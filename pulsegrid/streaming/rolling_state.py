@@ -180,11 +180,14 @@ def replay_source(spark: SparkSession, path: str, files_per_trigger: int = 1, sc
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def stage_for_replay(df: DataFrame, path: str, chunks: int = 4) -> None:
+def stage_for_replay(df: DataFrame, path: str, chunks: int = 4, files_per_chunk: int = 1) -> None:
     """Write a frame as ``chunks`` consecutive time ranges, one append per range,
     so the file source (which orders new files by modification time) replays
     them in time order. Range cuts are quantiles of ``ts`` from one small
-    aggregate; every row lands in exactly one range."""
+    aggregate; every row lands in exactly one range. Each range is written by
+    ``files_per_chunk`` tasks; replay it with ``maxFilesPerTrigger`` equal to that
+    number (all files of a range are older than those of the next range; a range
+    needs at least ``files_per_chunk`` rows so that it yields that many files)."""
     us = epoch_micros("ts")
     cuts = df.agg(F.percentile_approx(us, [i / chunks for i in range(1, chunks)], 10000).alias("q")).first()["q"] if chunks > 1 else []
     bounds = [None, *sorted(set(cuts or [])), None]
@@ -194,7 +197,9 @@ def stage_for_replay(df: DataFrame, path: str, chunks: int = 4) -> None:
             cond = cond & (us > F.lit(lo))
         if hi is not None:
             cond = cond & (us <= F.lit(hi))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+        part = df.filter(cond)
+        part = part.coalesce(1) if files_per_chunk == 1 else part.repartition(files_per_chunk)
+        part.write.mode("append").parquet(path)
 
 
 def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None) -> None:

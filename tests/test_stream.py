@@ -78,3 +78,14 @@ def test_late_rows_flagged_and_reset_clears(spark):
     assert 100 not in got
     assert got[101]["window_size"] == 1 and got[101]["mean"] == 7.0
     assert got[5]["mean"] == 4.0
+
+
+def test_parallel_staging_keeps_time_order(spark):
+    df = panels.user_series(spark, SF_SMALL)
+    root = shared_dir(spark, "test-streams", uuid.uuid4().hex)
+    rolling_state.stage_for_replay(df.withColumn("is_reset", F.lit(False)), f"{root}/in", 3, files_per_chunk=4)
+    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in", 4), window=30)
+    streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
+    got = spark.read.parquet(f"{root}/out")
+    assert got.filter("late").count() == 0
+    assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
