@@ -1244,3 +1244,43 @@ def q_anomaly_job(spark, d):
     back = files.read_frame(spark, path, "csv", schema)
     rows_ = p1(spark, d).join(back, ["series_id", "ts", "seq"], "left")
     return stats.anomaly_rate(rows_, "anomaly")
+
+
+_COLLECTIONS_SQL = """
+SELECT CAST(user_id AS VARCHAR) AS series_id,
+  list_slice(list_sort(list(value)), 1, 3)[1] AS low1,
+  list_slice(list_sort(list(value)), 1, 3)[3] AS low3,
+  list_sort(list(value))[-1] AS top,
+  CAST(len(list_distinct(list(event_type))) AS BIGINT) AS n_types,
+  map_from_entries([{'k': 'min', 'v': min(value)}, {'k': 'max', 'v': max(value)}])['max'] AS map_max,
+  array_to_string(list_sort(list_distinct(list(event_type))), ',') AS types
+FROM events GROUP BY 1"""
+
+
+@register("scalar_collections", _COLLECTIONS_SQL, ["low1", "low3", "top", "map_max"])
+def q_scalar_collections(spark, d):
+    """Array/map functions used across the library: collect_list, array_sort, slice,
+    element_at, collect_set, map_from_entries, concat_ws over arrays."""
+    ev = panels.table(spark, d, "events").select("user_id", "event_type", "value")
+    g = ev.groupBy(F.col("user_id").cast("string").alias("series_id")).agg(
+        F.array_sort(F.collect_list("value")).alias("vs"),
+        F.collect_set("event_type").alias("types_"),
+        F.min("value").alias("mn"),
+        F.max("value").alias("mx"),
+    )
+    low = F.slice("vs", 1, 3)
+    m = F.map_from_entries(
+        F.array(
+            F.struct(F.lit("min").alias("k"), F.col("mn").alias("v")),
+            F.struct(F.lit("max").alias("k"), F.col("mx").alias("v")),
+        )
+    )
+    return g.select(
+        "series_id",
+        F.element_at(low, 1).alias("low1"),
+        F.element_at(low, 3).alias("low3"),
+        F.element_at("vs", -1).alias("top"),
+        F.size("types_").cast("long").alias("n_types"),
+        F.element_at(m, F.lit("max")).alias("map_max"),
+        F.concat_ws(",", F.array_sort("types_")).alias("types"),
+    )
