@@ -38,7 +38,7 @@ from pulsegrid.operators.stats import attach
 from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
 
-# MacKinnon (2010) response surface, constant only, 5 % level (fixed values)
+# MacKinnon (1991) response surface, constant only, 5 % level (fixed values)
 ADF_5PCT = (-2.8621, -2.738, -8.36)
 
 ADF_SCHEMA = T.StructType(
