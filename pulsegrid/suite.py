@@ -815,6 +815,7 @@ def q_scalar_functions(spark, d):
 from pyspark import StorageLevel  # noqa: E402
 
 from pulsegrid.operators import anomaly, forecast  # noqa: E402
+from pulsegrid.plans.lineage import materialize  # noqa: E402
 
 
 def _hourly_clean(spark, d):
@@ -901,8 +902,9 @@ def _iforest(spark, d, contamination=0.1):
     # features feed the fit and the scoring: computed once
     scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS).persist(StorageLevel.MEMORY_AND_DISK)
     nodes = anomaly.iforest_fit(scaled, _FEAT_COLS, 100, 256, 42)
-    # scores feed both the per-series cut and the flags
-    scores = anomaly.iforest_score(scaled, nodes, _FEAT_COLS).persist(StorageLevel.MEMORY_AND_DISK)
+    # scores feed both the per-series cut and the flags: written once, read twice
+    scores = materialize(anomaly.iforest_score(scaled, nodes, _FEAT_COLS), "iforest_scores")
+    scaled.unpersist()
     return nodes, scores
 
 
@@ -1052,7 +1054,7 @@ def q_registry_save(spark, d):
 def q_registry_load(spark, d):
     """REG-02: latest version of a model (partition-pruned read)."""
     root = shared_dir(spark, "registry", unique=True)
-    m = _models(spark, d).cache()
+    m = _models(spark, d)
     registry.save_model(m, root, "trend_season", "v1")
     registry.save_model(m, root, "trend_season", "v2")
     out = registry.load_model(spark, root, "trend_season").drop("state")
@@ -1073,7 +1075,7 @@ def q_registry_list(spark, d):
 def q_registry_delete(spark, d):
     """REG-04: delete one version (tombstone); listing no longer shows it."""
     root = shared_dir(spark, "registry", unique=True)
-    m = _models(spark, d).cache()
+    m = _models(spark, d)
     registry.save_model(m, root, "trend_season", "v1")
     registry.save_model(m, root, "trend_season", "v2")
     registry.delete_checkpoint(spark, root, "trend_season", "v1")
