@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY
-from pulsegrid.plans.blocked import choose_plan
+from pulsegrid.plans.blocked import choose_plan, default_sort_rows
 from pulsegrid.plans.lineage import materialize
 
 
@@ -36,7 +36,7 @@ def quantiles(
     max_levels: int = 40,
 ) -> DataFrame:
     """``(series_id, q ARRAY<DOUBLE>)``: exact quantiles (linear interpolation), NULLs skipped."""
-    max_sort_rows = max_sort_rows or MAX_SORT_ROWS
+    max_sort_rows = max_sort_rows or default_sort_rows(MAX_SORT_ROWS)
     x = df.select(KEY, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if choose_plan(df, plan) == "plain":
         return x.groupBy(KEY).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))

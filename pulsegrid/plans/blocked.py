@@ -22,6 +22,7 @@ cached per logical plan) and takes the blocked plan above ``hot_rows``.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -33,6 +34,13 @@ from pulsegrid.frame import KEY, ORDER, series_window
 HOT_ROWS = 5_000_000
 BLOCK_ROWS = 1_000_000
 
+_local = threading.local()
+
+
+def default_block_rows() -> int:
+    """Block size for plans built now: a per-thread override (``forced_blocks``) or ``BLOCK_ROWS``."""
+    return getattr(_local, "block_rows", None) or BLOCK_ROWS
+
 _plan_cache: dict[tuple[int, int], str] = {}
 
 Builder = Callable[[DataFrame, Sequence[str]], DataFrame]
@@ -92,7 +100,7 @@ def blocked_ordinal(
     """Exact 0-based rank inside the series by ``order`` without a per-series
     sort in one task: bucket counts are prefix-summed over the small bucket table
     and added to the rank inside each bucket."""
-    block_rows = block_rows or BLOCK_ROWS
+    block_rows = block_rows or default_block_rows()
     x = _bucketed(df, block_rows, bucket_key)
     counts = x.groupBy(KEY, "__tb").agg(F.count(F.lit(1)).alias("__bc"))
     wb = Window.partitionBy(KEY).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,7 +142,7 @@ def apply_windows(
     """
     if choose_plan(df, plan) == "plain":
         return build(df, [])
-    block_rows = block_rows or BLOCK_ROWS
+    block_rows = block_rows or default_block_rows()
     halo = max(lookback, lookahead)
     if block_rows < halo:
         raise ValueError("block_rows must be at least the frame reach")
@@ -168,7 +176,7 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
     if chosen == "plain":
         x = with_ordinal(df, "ord", "plain")
         return _fill_cols(x, series_window(), v)
-    block_rows = block_rows or BLOCK_ROWS
+    block_rows = block_rows or default_block_rows()
     x = blocked_ordinal(df, block_rows, "ord")
     x = x.withColumn("_blk", F.floor(F.col("ord") / block_rows).cast("long"))
     x = _fill_cols(x, series_window("_blk"), v)
@@ -224,16 +232,18 @@ def forced_blocks(block_rows: int, sort_rows: int | None = None) -> Iterator[Non
     """Build plans with a given block size (and exact-quantile sort limit).
 
     Sizes are read when an operator builds its plan, so wrapping the construction
-    is enough. Used to run the blocked plan on small inputs (tests, checks).
+    is enough. The override is per thread, so concurrent queries are unaffected.
+    Used to run the blocked plan on small inputs (tests, checks).
     """
-    global BLOCK_ROWS
-    from pulsegrid.operators import quantiles as q
-
-    old_b, old_s = BLOCK_ROWS, q.MAX_SORT_ROWS
-    BLOCK_ROWS = block_rows
+    old_b, old_s = getattr(_local, "block_rows", None), getattr(_local, "sort_rows", None)
+    _local.block_rows = block_rows
     if sort_rows is not None:
-        q.MAX_SORT_ROWS = sort_rows
+        _local.sort_rows = sort_rows
     try:
         yield
     finally:
-        BLOCK_ROWS, q.MAX_SORT_ROWS = old_b, old_s
+        _local.block_rows, _local.sort_rows = old_b, old_s
+
+
+def default_sort_rows(fallback: int) -> int:
+    return getattr(_local, "sort_rows", None) or fallback
