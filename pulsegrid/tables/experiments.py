@@ -82,13 +82,13 @@ def finish_experiment(spark: SparkSession, root: str, exp_id: str, final_results
 
 
 def metrics_of(spark: SparkSession, root: str, exp_id: str) -> DataFrame:
-    ev = spark.read.schema(EVENTS).parquet(f"{root}/events")
+    ev = spark.read.schema(EVENTS).option("ignoreCorruptFiles", "true").parquet(f"{root}/events")
     return ev.filter((F.col("experiment_id") == exp_id) & (F.col("kind") == "metric")).select("name", "value", "step", "event_time")
 
 
 def list_experiments(spark: SparkSession, root: str) -> DataFrame:
     """EXP-05: latest state of every experiment, newest first."""
-    ev = spark.read.schema(EVENTS).parquet(f"{root}/events")
+    ev = spark.read.schema(EVENTS).option("ignoreCorruptFiles", "true").parquet(f"{root}/events")
     return (
         ev.groupBy("experiment_id")
         .agg(

@@ -44,7 +44,8 @@ def save_model(models: DataFrame, root: str, name: str, version: str | None = No
 
 
 def _live(spark: SparkSession, root: str) -> DataFrame:
-    models = spark.read.parquet(f"{root}/models")
+    # unreadable entries are skipped, as in the listing it replaces
+    models = spark.read.option("ignoreCorruptFiles", "true").parquet(f"{root}/models")
     try:
         tomb = spark.read.schema(TOMB).parquet(f"{root}/_tombstones")
         return models.join(tomb.select("model_name", "version"), ["model_name", "version"], "left_anti")

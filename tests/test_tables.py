@@ -56,3 +56,17 @@ def test_experiment_log(spark):
     assert lst[a]["status"] == "completed" and lst[a]["n_metrics"] == 2 and lst[a]["n_results"] == 1
     assert lst[b]["status"] == "running"
     assert {r["name"] for r in experiments.metrics_of(spark, root, a).collect()} == {"accuracy", "loss"}
+
+
+def test_registry_skips_unreadable_files(spark):
+    import os
+
+    from pulsegrid.session import local_path
+
+    root = shared_dir(spark, "test-reg", uuid.uuid4().hex)
+    m = spark.createDataFrame([("a", "ok", 1.0)], "series_id string, status string, w double")
+    registry.save_model(m, root, "demo", "v1")
+    bad = os.path.join(local_path(root), "models", "model_name=demo", "version=v1", "part-corrupt.parquet")
+    with open(bad, "wb") as fh:
+        fh.write(b"not a parquet file")
+    assert registry.load_model(spark, root, "demo").count() == 1
