@@ -28,6 +28,11 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # keyed streaming state off-heap and incremental checkpoints (one buffer per series)
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
