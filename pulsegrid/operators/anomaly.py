@@ -33,16 +33,17 @@ from pulsegrid.operators.quantiles import quantiles
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.lineage import materialize
 
+# One row per series. Children are created in pairs, so a node's right child is
+# always ``left + 1`` and is not stored; feature (-1 at leaves) and tree are small ints.
 FOREST_SCHEMA = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
         T.StructField("n_trees", T.IntegerType()),
         T.StructField("psi", T.IntegerType()),
-        T.StructField("tree", T.ArrayType(T.IntegerType())),
-        T.StructField("feature", T.ArrayType(T.IntegerType())),
+        T.StructField("tree", T.ArrayType(T.ShortType())),
+        T.StructField("feature", T.ArrayType(T.ByteType())),
         T.StructField("split", T.ArrayType(T.DoubleType())),
         T.StructField("left", T.ArrayType(T.IntegerType())),
-        T.StructField("right", T.ArrayType(T.IntegerType())),
         T.StructField("size", T.ArrayType(T.IntegerType())),
     ]
 )
@@ -173,6 +174,8 @@ def iforest_fit(
 ) -> DataFrame:
     """ANO-02: the forest of every series (one row of node arrays per series)."""
     cols = list(cols)
+    if len(cols) > 127 or n_trees > 32767:
+        raise ValueError("at most 127 feature columns and 32767 trees")
     sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed, replicate_limit)
 
     def build_all(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -194,11 +197,10 @@ def iforest_fit(
                 KEY: [sid],
                 "n_trees": [n_trees],
                 "psi": [psi],
-                "tree": [tree.astype(np.int32)],
-                "feature": [feature.astype(np.int32)],
+                "tree": [tree.astype(np.int16)],
+                "feature": [feature.astype(np.int8)],
                 "split": [split.astype(float)],
                 "left": [left.astype(np.int32)],
-                "right": [right.astype(np.int32)],
                 "size": [size.astype(np.int32)],
             }
         )
@@ -210,16 +212,16 @@ def iforest_fit(
 
 def forest_nodes(forest: DataFrame) -> DataFrame:
     """The forest as a long node table ``(series_id, tree, node, feature, split, left, right, size)``."""
-    z = F.arrays_zip("tree", "feature", "split", "left", "right", "size")
+    z = F.arrays_zip("tree", "feature", "split", "left", "size")
     x = forest.select(KEY, "psi", F.posexplode(z).alias("node", "n"))
     return x.select(
         KEY,
-        F.col("n.tree").alias("tree"),
+        F.col("n.tree").cast("int").alias("tree"),
         F.col("node").cast("int").alias("node"),
-        F.col("n.feature").alias("feature"),
+        F.col("n.feature").cast("int").alias("feature"),
         F.col("n.split").alias("split"),
         F.col("n.left").alias("left"),
-        F.col("n.right").alias("right"),
+        F.when(F.col("n.left") >= 0, F.col("n.left") + 1).otherwise(F.lit(-1)).alias("right"),
         F.col("n.size").alias("size"),
         "psi",
     )
@@ -249,10 +251,10 @@ def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], c
         else:
             # global, dense node ids per series; node t is the root of tree t
             f0 = tree_nodes.iloc[0]
-            feat = np.asarray(f0["feature"])
+            feat = np.asarray(f0["feature"], dtype=np.int64)
             split = np.asarray(f0["split"], dtype=float)
-            left = np.asarray(f0["left"])
-            right = np.asarray(f0["right"])
+            left = np.asarray(f0["left"], dtype=np.int64)
+            right = left + 1
             size = np.asarray(f0["size"])
             psi = int(f0["psi"])
             n_trees = int(f0["n_trees"])
