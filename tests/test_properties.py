@@ -168,3 +168,11 @@ def test_decomposition_recovers_season(spark):
     d = rows(__import__("pulsegrid.operators.decompose", fromlist=["x"]).decompose(series(spark, vals), m), ["ts", "seasonal", "trend"])
     seas = [s for _, s, _ in d]
     assert max(seas) == pytest.approx(2, abs=0.05)
+
+
+def test_period_longer_than_half_the_series_gives_null_components(spark):
+    from pulsegrid.operators import decompose as dec
+
+    got = dec.decompose(series(spark, list(np.sin(np.arange(30)))), 24).collect()
+    assert len(got) == 30
+    assert all(r["trend"] is None and r["seasonal"] is None and r["resid"] is None for r in got)

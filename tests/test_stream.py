@@ -89,3 +89,15 @@ def test_parallel_staging_keeps_time_order(spark):
     got = spark.read.parquet(f"{root}/out")
     assert got.filter("late").count() == 0
     assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
+
+
+def test_reordered_rows_inside_a_micro_batch(spark):
+    df = panels.masked(panels.user_series(spark, SF_SMALL))
+    root = shared_dir(spark, "test-streams", uuid.uuid4().hex)
+    shuffled = df.withColumn("is_reset", F.lit(False)).orderBy(F.xxhash64("seq"))
+    shuffled.coalesce(1).write.parquet(f"{root}/in")
+    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in", 1), window=30)
+    streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
+    got = spark.read.parquet(f"{root}/out")
+    assert got.filter("late").count() == 0
+    assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
