@@ -39,7 +39,9 @@ def quantiles(
     max_sort_rows = max_sort_rows or default_sort_rows(MAX_SORT_ROWS)
     x = df.select(KEY, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     if choose_plan(df, plan) == "plain":
-        return x.groupBy(KEY).agg(F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+        # grouped over all rows: a series with only NULLs keeps a row with NULL quantiles
+        v = F.col(col).cast("double")
+        return df.groupBy(KEY).agg(F.percentile(v, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
 
     n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     ents = []
@@ -112,4 +114,6 @@ def quantiles(
         (F.col("hi") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.col("lo")) * F.col("v_hi")
     )
     arr = F.array_sort(F.collect_list(F.struct("qi", interp.alias("v"))))
-    return t.groupBy(KEY).agg(F.transform(arr, lambda e: e.v).alias("q"))
+    found = t.groupBy(KEY).agg(F.transform(arr, lambda e: e.v).alias("q"))
+    # series without any non-NULL value keep a row with NULL quantiles, as in the plain plan
+    return df.select(KEY).distinct().join(found, KEY, "left")

@@ -129,3 +129,16 @@ def test_blocked_arima_equals_plain(spark, monkeypatch):
     fb = forecast.arima_forecast(mb, 5).orderBy("step").collect()
     assert [r["ts"] for r in fa] == [r["ts"] for r in fb]
     assert [r["forecast"] for r in fa] == pytest.approx([r["forecast"] for r in fb])
+
+
+def test_blocked_quantiles_keep_all_null_series(spark):
+    from datetime import datetime
+
+    from conftest import frame
+    from pulsegrid.operators import quantiles
+
+    t0 = datetime(2024, 1, 1)
+    df = frame(spark, [("a", t0, i, float(i)) for i in range(10)] + [("b", t0, i, None) for i in range(3)])
+    a = quantiles.quantiles(df, [0.5], plan="blocked", max_sort_rows=4, fanout=4)
+    b = quantiles.quantiles(df, [0.5], plan="plain")
+    assert rows(a) == rows(b)
