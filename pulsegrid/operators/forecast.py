@@ -200,12 +200,18 @@ def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int,
     return x
 
 
-def _tail(df: DataFrame, k: int, col: str, name: str) -> DataFrame:
-    """Last ``k`` values of ``col`` per series as an array in time order (bounded)."""
+def _tail(df: DataFrame, k: int, col: str | dict[str, str], name: str | None = None) -> DataFrame:
+    """Last ``k`` values per series as arrays in time order (bounded; the row_number
+    filter with a literal k becomes a partial WindowGroupLimit before the shuffle).
+    ``col`` may map several source columns to output names, collected in one pass."""
+    cols = {col: name} if isinstance(col, str) else dict(col)
     w = Window.partitionBy(KEY).orderBy(*[F.col(c).desc() for c in ORDER])
     t = df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= k)
-    arr = F.array_sort(F.collect_list(F.struct(F.col("_rk").alias("r"), F.col(col).alias("v"))), lambda a, b: F.when(a.r > b.r, -1).when(a.r < b.r, 1).otherwise(0))
-    return t.groupBy(KEY).agg(F.transform(arr, lambda e: e.v).alias(name))
+    fields = [F.col("_rk").alias("r")] + [F.col(c).alias(f"v{i}") for i, c in enumerate(cols)]
+    arr = F.array_sort(F.collect_list(F.struct(*fields)), lambda a, b: F.when(a.r > b.r, -1).when(a.r < b.r, 1).otherwise(0))
+    t = t.groupBy(KEY).agg(arr.alias("_arr"))
+    # a field of an array of structs is the array of that field
+    return t.select(KEY, *[F.col("_arr").getField(f"v{i}").alias(out) for i, out in enumerate(cols.values())])
 
 
 MODEL_SCHEMA = T.StructType(
@@ -317,15 +323,13 @@ def arima_fit(
         dsel = d0.select(KEY, F.col("d").alias("d0"))
     else:
         dsel = base.select(KEY).distinct().withColumn("d0", F.lit(0))
-    tails_w = _tail(s1, max(reach, 1), "value", "tail_w")
-    tails_e = _tail(s1, max(reach, 1), "_e", "tail_e")
+    tails_we = _tail(s1, max(reach, 1), {"value": "tail_w", "_e": "tail_e"})
     # every input series keeps a row: one without usable rows gets status 'failed' (SEM-15)
     every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
     info = (
         every.join(g2, KEY, "left")
         .join(tails, KEY, "left")
-        .join(tails_w, KEY, "left")
-        .join(tails_e, KEY, "left")
+        .join(tails_we, KEY, "left")
         .join(gap, KEY, "left")
         .join(dsel, KEY, "left")
     )
