@@ -23,7 +23,10 @@ def time_spine(df: DataFrame, every: str = "1 hour", start=None, end=None) -> Da
 
 
 def fill_on_spine(df: DataFrame, every: str = "1 hour") -> DataFrame:
-    """Left join of the data onto its spine: missing grid points get NULL value, seq 0."""
+    """Left join of the data onto its spine: missing grid points get NULL value, seq 0.
+
+    Expects at most one row per (series, grid point), e.g. an aggregate per hour;
+    rows off the grid are dropped by the join."""
     spine = time_spine(df, every)
     data = df.select(KEY, "ts", "value")
     return spine.join(data, [KEY, "ts"], "left").select(
