@@ -1286,3 +1286,20 @@ def q_scalar_collections(spark, d):
         F.element_at(m, F.lit("max")).alias("map_max"),
         F.concat_ws(",", F.array_sort("types_")).alias("types"),
     )
+
+
+@register(
+    "summary_stats_daily",
+    f"SELECT series_id, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min, max(value) AS max, CASE WHEN count(value) >= 3 THEN skewness(value) END AS skew, CASE WHEN count(value) >= 4 THEN kurtosis(value) END AS kurtosis FROM ({S.P3}) _s GROUP BY series_id",
+    ["mean", "std", "min", "max", "skew", "kurtosis"],
+    bits=10,
+)
+def q_summary_stats_daily(spark, d):
+    """AGG-01 on the daily order-revenue series."""
+    return stats.summary_stats(p3(spark, d))
+
+
+@register("acf_daily", _acf_sql(S.P3, 50), ["acf"])
+def q_acf_daily(spark, d):
+    """AGG-05 of daily order revenue, lags 0..50."""
+    return stats.acf(p3(spark, d), 50)
