@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import language_id, quality_pu, quality_rules
+from pulsegrid.llm import language_id, mixing, quality_pu, quality_rules, simhash, warc
 from pulsegrid.llm.common import documents, held_out
 
 
@@ -29,5 +29,22 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op5_quality_rules)}
-ORACLES: dict[str, str] = {}
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to weights 1, 2, 3 over the sources, each document at most three times."""
+    return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
+    found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), width=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and merged into the capture index."""
+    index = warc.archive_and_index(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op5_quality_rules, op6_mixing, op8_simhash, op10_warc)}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE}
