@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import language_id, mixing, quality_pu, quality_rules, simhash, warc
+from pulsegrid.llm import language_id, mixing, packing, quality_pu, quality_rules, simhash, warc
 from pulsegrid.llm.common import documents, held_out
 
 
@@ -24,6 +24,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
+def op4_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in packed rows of 2,048, with segment ends, position resets and documents."""
+    return packing.packed(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base quality rules and zstandard compression bands of every document."""
     return quality_rules.rules(documents(spark, sf_dir))
@@ -46,5 +51,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op5_quality_rules, op6_mixing, op8_simhash, op10_warc)}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op10_warc)}
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE}
