@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import language_id, mixing, packing, quality_pu, quality_rules, simhash, warc
+from pulsegrid.llm import language_id, mixing, packing, quality_pu, quality_rules, simhash, substring_dedup, warc
 from pulsegrid.llm.common import documents, held_out
 
 
@@ -45,11 +45,17 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that also start earlier."""
+    found = substring_dedup.remove(documents(spark, sf_dir).select("doc_id", "text"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and merged into the capture index."""
     index = warc.archive_and_index(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op10_warc)}
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op10_warc": warc.ORACLE}
+QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op9_substring_dedup, op10_warc)}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "op10_warc": warc.ORACLE}
