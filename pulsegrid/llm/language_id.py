@@ -207,9 +207,12 @@ def fit(docs: DataFrame, lang: str = "lang", params: Params | None = None) -> Mo
     p = params or Params()
     known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col(lang).alias("lang"))
     top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(p.max_langs)
-    rank = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # hashes below a limit that leaves about twice the rows wanted, then the lowest of these
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    rank = W.partitionBy("lang").orderBy(place, "doc_id")
     ids = (
-        known.join(F.broadcast(top.select("lang")), "lang", "left_semi")
+        known.join(F.broadcast(top), "lang")
+        .where(place * F.col("n") <= F.lit((2 * p.per_lang + 50) * (1 << 30)))
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") <= p.per_lang)
         .select(F.col("doc_id").alias("id"), F.col("lang").alias("l"))

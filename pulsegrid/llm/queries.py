@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import language_id, mixing, packing, quality_pu, quality_rules, simhash, substring_dedup, warc
+from pulsegrid.llm import decontamination, language_id, mixing, packing, quality_pu, quality_rules, simhash, substring_dedup, warc
 from pulsegrid.llm.common import documents, held_out
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) with a passage within a fifth of the item's words in edit distance."""
+    return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by positive-unlabelled learning; folds by crc32 of the id."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -57,5 +62,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op9_substring_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op9_substring_dedup, op10_warc)}
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "op10_warc": warc.ORACLE}
