@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, language_id, mixing, packing, quality_pu, quality_rules, simhash, substring_dedup, warc
+from pulsegrid.llm import decontamination, language_id, mixing, packing, quality_pu, quality_rules, secret_scan, simhash, substring_dedup, warc
 from pulsegrid.llm.common import documents, held_out
 
 
@@ -44,6 +44,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base patterns, and random strings by Markov models trained on the corpus."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    spans = secret_scan.scan(docs, secret_scan.train(secret_scan.labelled(docs)))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = F.array_sort(F.concat("base", "added"))
+    return spans.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"), secret_scan.listed(joined).alias("spans"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document (3-word shingles, 2 bits)."""
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), width=3, radius=2)
@@ -62,5 +71,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op8_simhash, op9_substring_dedup, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op7_secret_scan, op8_simhash, op9_substring_dedup, op10_warc)}
 ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "op10_warc": warc.ORACLE}
