@@ -28,7 +28,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``edges(a, b)`` of long vertices -> (vertex, root): the least vertex reachable, for vertices with an edge.
+    """``edges(a, b)`` of long vertices -> (vertex, root): the least vertex reachable, for every vertex that is not itself the least.
 
     No edges: an empty table. Self-links and repeated links are ignored.
     """
