@@ -170,12 +170,12 @@ def mix(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), ma
 
 
 def mixed(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
-    """The mix itself: the rows of ``docs``, all columns unchanged, each as many times as the mix takes it."""
+    """The mix itself: the rows of ``docs``, all columns unchanged, each as many times as the mix takes it; texts without words are not in it."""
     sized = materialize(docs.select(F.array("source").alias("members"), size_of().alias("size"), order_of("doc_id", seed).alias("ord")), "mixing")
     patterns, _ = plan(sized, weights, max_repeats)
-    got = copies_of(patterns, docs, F.array(docs["source"]), order_of("doc_id", seed))
+    got = copies_of(patterns, docs.select(F.struct("*").alias("row")), F.array("row.source"), order_of("row.doc_id", seed))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_time")
-    return got.where("_copies > 0").select(*[docs[c] for c in docs.columns], times).drop("_time")
+    return got.where((F.col("_copies") > 0) & F.col("row.text").rlike(WORD_RE)).select("row", times).select("row.*")
 
 
 ORACLE = r"""

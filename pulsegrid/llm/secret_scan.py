@@ -4,7 +4,7 @@ Three base kinds are regular expressions (leftmost, without overlaps, failing ma
 method adds spans of kind ``random``: runs of at least ``MIN_RUN`` token characters whose
 character bigrams are likelier under a model of random strings than under one of ordinary
 identifiers by more than ``limit`` in all and ``rate`` a pair (natural logarithm). Both models are first-order
-chains over ``ALPHABET`` with add-``SMOOTH`` counts, trained from labelled samples.
+chains over ``ALPHABET``, trained from labelled samples; a pair's chance backs off to its second character's.
 
 Everything is DataFrame and SQL functions. Matches get their places from the lengths of what is
 between them (``split`` by the same pattern), summed in blocks, so a text with very many
@@ -31,13 +31,15 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_RUN = 20
 RUN = ("random", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % MIN_RUN, 0, MIN_RUN)
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{3,}+"
+#: Added to each character's count, and the weight of a character's own chance beside the counts of its pairs.
 SMOOTH = 0.5
+BACKOFF = 10.0
 #: Matches whose places are summed in one go.
 BLOCK = 256
 #: Odds of one in ten thousand before looking at the characters.
 LIMIT = math.log(10_000)
-#: Least ratio a character pair on average: runs of one character or rule lines are unseen in both models and lean to neither.
-RATE = 1.0
+#: Least ratio a character pair on average, so a long run of pairs that neither model knows does not add up.
+RATE = 1.5
 SPAN = "array<struct<start:int,place:int,stop:int,kind:string,value:string>>"
 
 
@@ -66,16 +68,26 @@ def pairs(samples: DataFrame) -> DataFrame:
 
 
 def train(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratios, random against ordinary, of each pair of ``ALPHABET``, row by row. The driver gets at most 2 x 67 x 67 counts."""
+    """Log-likelihood ratios, random against ordinary, of each pair of ``ALPHABET``, row by row. The driver gets at most 2 x 67 x 67 counts.
+
+    A doubled character never speaks for a random string: rule lines and runs of one character are unseen in either model.
+    """
     k = len(ALPHABET)
-    count = {s: [[SMOOTH] * k for _ in range(k)] for s in (True, False)}
+    count = {s: [[0] * k for _ in range(k)] for s in (True, False)}
     known = F.lit(ALPHABET)
     for r in pairs(samples).where(F.instr(known, F.col("a")) > 0).where(F.instr(known, F.col("b")) > 0).collect():
         count[r.secret][ALPHABET.index(r.a)][ALPHABET.index(r.b)] += r.n
+
+    def chances(rows: list[list[int]]) -> list[list[float]]:
+        single = [sum(row[j] for row in rows) + SMOOTH for j in range(k)]
+        total = sum(single)
+        return [[(row[j] + BACKOFF * single[j] / total) / (sum(row) + BACKOFF) for j in range(k)] for row in rows]
+
     ratio = []
-    for secret, plain in zip(count[True], count[False]):
-        s, p = sum(secret), sum(plain)
-        ratio += [round(math.log(x / s) - math.log(y / p), 4) for x, y in zip(secret, plain)]
+    for i, (secret, plain) in enumerate(zip(chances(count[True]), chances(count[False]))):
+        row = [round(math.log(x) - math.log(y), 4) for x, y in zip(secret, plain)]
+        row[i] = min(row[i], 0.0)
+        ratio += row
     return ratio
 
 
@@ -94,16 +106,20 @@ def log_ratio(token: Column, ratio: list[float]) -> Column:
 
 
 def labelled(docs: DataFrame, ordinary_rows: int = 2000) -> DataFrame:
-    """Samples (token, secret) from ``docs(doc_id, text)``: what the base patterns find in all rows are random
-    strings; identifiers outside of them, in about ``ordinary_rows`` rows with the lowest hashes, are ordinary."""
+    """Samples (token, secret) from ``docs(doc_id, text)``, of about ``ordinary_rows`` rows with the lowest hashes.
+
+    Random strings are what the base patterns find in all rows, and a digest in base64 for each sampled row (so that strings
+    of all characters are known however few secrets the rows hold). Identifiers outside of base matches are ordinary.
+    """
     values = [F.when(F.col("text").rlike(p), F.regexp_extract_all("text", F.lit(p), F.lit(g))) for _, p, g, _ in BASE]
     secret = docs.select(F.explode(F.concat(*[F.coalesce(v, F.array().cast("array<string>")) for v in values])).alias("token")).where(F.length("token") >= MIN_RUN)
     rows = max(docs.count(), 1)
     rest = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * F.lit(rows) <= F.lit(ordinary_rows * (1 << 30)))
+    digest = rest.select(F.rtrim(F.base64(F.unhex(F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256))), F.lit("=")).alias("token"))
     for _, p, _, _ in BASE:
         rest = rest.withColumn("text", F.regexp_replace("text", p, " "))
     plain = rest.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("token"))
-    return secret.select("token", F.lit(True).alias("secret")).unionByName(plain.select("token", F.lit(False).alias("secret")))
+    return secret.unionByName(digest).select("token", F.lit(True).alias("secret")).unionByName(plain.select("token", F.lit(False).alias("secret")))
 
 
 def scan(docs: DataFrame, ratio: list[float], limit: float = LIMIT, rate: float = RATE) -> DataFrame:

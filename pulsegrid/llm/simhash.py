@@ -104,5 +104,5 @@ def keep_first(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """
     found = near_duplicates(docs, width, radius)
     firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.lit(1).alias("_one")).select(F.col("doc_id").alias("_first_id"), F.col("root").alias("_first_root"))
-    kept = docs.join(firsts, F.col("doc_id").eqNullSafe(F.col("_first_id")))
-    return kept.dropDuplicates(["_first_root"]).select(*[kept[c] for c in docs.columns])
+    kept = docs.select(F.struct("*").alias("row")).join(firsts, F.col("row.doc_id").eqNullSafe(F.col("_first_id")))
+    return kept.dropDuplicates(["_first_root"]).select("row.*")
