@@ -39,7 +39,7 @@ BLOCK = 256
 #: Odds of one in ten thousand before looking at the characters.
 LIMIT = math.log(10_000)
 #: Least ratio a character pair on average, so a long run of pairs that neither model knows does not add up.
-RATE = 1.5
+RATE = 1.0
 SPAN = "array<struct<start:int,place:int,stop:int,kind:string,value:string>>"
 
 
