@@ -5,9 +5,9 @@ Estimators (the reference's third-party optimisers are not available, so the
 numbers are not expected to equal theirs; correctness is parameter recovery):
 
 * ADF with constant: OLS of dy_t on [1, y_{t-1}, dy_{t-1..p}] from one Gram per
-  series; p chosen by AIC on the common sample up to
-  ``min(cap = 30, ceil(12 (n/100)^0.25), n//2 - 2)``; t-statistic against the
-  MacKinnon 5 % response surface ``-2.8621 - 2.738/n - 8.36/n^2``.
+  centred and scaled series; p chosen by AIC on the common sample up to
+  ``min(ceil(12 (n/100)^0.25), n//2 - 2)``, then refitted on the longest sample of p;
+  t-statistic against the MacKinnon 5 % response surface ``-2.8621 - 2.738/n - 8.36/n^2``.
 * ARIMA(p,d,q)(P,D,Q,s) by Hannan-Rissanen: long AR by OLS, its residuals as
   regressors, then OLS of w_t on lags of w and of the residuals (seasonal lags in
   additive form). No constant when d + D > 0 (after the auto differencing, as the
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER, series_window
-from pulsegrid.operators.gram import gram, ols, unpack
+from pulsegrid.operators.gram import add_packed, gram, ols, packed, unpack
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
@@ -69,8 +69,33 @@ def diff_once(df: DataFrame, k: int = 1, plan: str = "auto") -> DataFrame:
     return apply_windows(df, build, lookback=k, plan=plan).filter(F.col("value").isNotNull())
 
 
-def adf_test(df: DataFrame, max_lag_cap: int = 30, col: str = "value", by_extra: Sequence[str] = (), plan: str = "auto") -> DataFrame:
-    """STA-01 per series (and per ``by_extra`` group, e.g. differencing order)."""
+def standardised(base: DataFrame, by: Sequence[str] = (KEY,)) -> tuple[DataFrame, DataFrame]:
+    """(``base`` with ``value`` centred and scaled per group, the table of ``_mean`` and ``_std``).
+
+    Sums of squares and products of a series at a high level would cancel; on the centred
+    series they do not, and tests and coefficients can be carried back exactly. A
+    constant group keeps scale 1.
+    """
+    sd = F.stddev_pop("value")
+    scale = base.groupBy(*by).agg(F.avg("value").alias("_mean"), F.when(sd > 0, sd).otherwise(1.0).alias("_std"))
+    scale = materialize(scale, "scale")
+    x = base.join(scale, list(by))
+    return x.withColumn("value", (F.col("value") - F.col("_mean")) / F.col("_std")).drop("_mean", "_std"), scale
+
+
+def _adf_lags(n):
+    """Largest lag of the AIC search: ceil(12 (n / 100)^(1/4)), at most n / 2 - 2."""
+    return F.least(F.ceil(12.0 * F.pow(n / 100.0, 0.25)).cast("int"), F.greatest(F.lit(0), (F.floor(n / 2) - 2).cast("int")))
+
+
+def adf_test(df: DataFrame, col: str = "value", by_extra: Sequence[str] = (), plan: str = "auto", lags: int | None = None) -> DataFrame:
+    """STA-01 per series (and per ``by_extra`` group, e.g. differencing order).
+
+    The lag is chosen by AIC on the common sample, or fixed by ``lags``; the statistic comes
+    from a refit of that lag on its own longest sample. The largest lag follows the
+    length of each series, without a ceiling. A series whose regression is singular or
+    leaves no residual has NULL statistics.
+    """
     part = [*by_extra]
     x = df.select(KEY, *part, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
     if part:
@@ -80,14 +105,12 @@ def adf_test(df: DataFrame, max_lag_cap: int = 30, col: str = "value", by_extra:
             KEY, F.concat_ws("\u0001", F.col(KEY), *[F.col(c).cast("string") for c in part])
         )
     carry = (["_sid"] if part else []) + part
-    L = max_lag_cap
-    n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-    pm = F.least(
-        F.lit(L),
-        F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)).cast("int"),
-        F.greatest(F.lit(0), (F.floor(F.col("_n") / 2) - 2).cast("int")),
-    )
-    x = attach(x, n.withColumn("_pmax", pm))
+    sd = F.stddev_pop("value")
+    n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"), F.when(sd > 0, sd).otherwise(1.0).alias("_std"))
+    pm = _adf_lags(F.col("_n")) if lags is None else F.least(F.lit(lags), F.greatest(F.lit(0), (F.floor(F.col("_n") / 2) - 2).cast("int")))
+    n = materialize(n.withColumn("_pmax", pm), "adf")
+    L = int(n.agg(F.max("_pmax")).first()[0] or 0)  # one scalar: the widest regression
+    x = attach(x, n).withColumn("value", (F.col("value") - F.col("_mean")) / F.col("_std"))
 
     def build(d, p):
         w = series_window(*p)
@@ -100,55 +123,67 @@ def adf_test(df: DataFrame, max_lag_cap: int = 30, col: str = "value", by_extra:
         ]
         cols += [(lagv[i] - lagv[i + 1]).alias(f"_dl{i}") for i in range(1, L + 1)]
         keep = [c for c in d.columns if c in ("_blk", "_home", "_ord")]
-        return d.select(KEY, *ORDER, *keep, *carry, "_n", "_pmax", *cols)
+        return d.select(KEY, *ORDER, *keep, *carry, "value", "_n", "_pmax", *cols)
 
-    y = apply_windows(x, build, lookback=L + 1, plan=plan)
-    y = y.filter(F.col("_hist") >= F.col("_pmax") + 1)
+    y = apply_windows(x, build, lookback=L + 1, plan=plan).withColumn("_one", F.lit(1.0))
     xcols = ["_one", "_ylag"] + [f"_dl{i}" for i in range(1, L + 1)]
-    y = y.withColumn("_one", F.lit(1.0))
+    common = y.filter(F.col("_hist") >= F.col("_pmax") + 1)
     for i in range(1, L + 1):
-        y = y.withColumn(f"_dl{i}", F.when(F.lit(i) <= F.col("_pmax"), F.col(f"_dl{i}")).otherwise(0.0))
-    extra = [F.first("_pmax").alias("pmax"), F.first("_n").alias("n_obs")] + [F.first(c).alias(c) for c in carry]
-    g = gram(y, xcols, "_dy", by=[KEY], extra=extra)
+        common = common.withColumn(f"_dl{i}", F.when(F.lit(i) <= F.col("_pmax"), F.col(f"_dl{i}")).otherwise(0.0))
+    # the first pmax + 1 values: what the longer samples of smaller lags have more
+    early = F.when(F.col("_hist") < F.col("_pmax") + 1, F.struct("_hist", "value"))
+    rest = x.select(KEY, *carry, "_n", "_pmax").groupBy(KEY).agg(F.first("_pmax").alias("pmax"), F.first("_n").alias("n_obs"), *[F.first(c).alias(c) for c in carry])
+    heads = y.filter(F.col("_hist") < F.col("_pmax") + 1).groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(early)), lambda e: e["value"]).alias("head"))
+    g = rest.join(gram(common, xcols, "_dy", by=[KEY]), KEY, "left").join(heads, KEY, "left")
     if part:
         g = g.withColumn(KEY, F.col("_sid")).drop("_sid")
     k = len(xcols)
     fields = [T.StructField(KEY, T.StringType())] + [T.StructField(c, df.schema[c].dataType) for c in part] + ADF_SCHEMA.fields[1:]
     schema = T.StructType(fields)
 
+    def fit(xtx, xty, yty, ne):
+        if ne <= len(xty):
+            return None
+        res = ols(xtx, xty, yty)
+        return res if res is not None and res[1] > 1e-12 * yty else None
+
+    def refit(xtx, xty, yty, ne, p, pmax, head):
+        """Sums of lag p on its own sample: the common one and the rows before it."""
+        idx = list(range(p + 2))
+        v = np.asarray(head, dtype=float)
+        rows = [[1.0, v[t - 1], *(v[t - i] - v[t - i - 1] for i in range(1, p + 1))] for t in range(p + 1, pmax + 1)]
+        X, dy = np.array(rows).reshape(-1, p + 2), np.array([v[t] - v[t - 1] for t in range(p + 1, pmax + 1)])
+        return xtx[np.ix_(idx, idx)] + X.T @ X, xty[idx] + X.T @ dy, yty + dy @ dy, ne + len(dy)
+
     def solve(it):
         for pdf in it:
             rows = []
-            for r in pdf.itertuples(index=False):
-                rd = r._asdict()
-                xtx = unpack(rd["xtx_u"], k)
-                xty = np.asarray(rd["xty"], dtype=float)
-                ne = int(rd["n"])
-                best = None
-                for p in range(0, int(rd["pmax"]) + 1):
-                    idx = list(range(p + 2))
-                    if ne <= len(idx):
-                        break
-                    res = ols(xtx[np.ix_(idx, idx)], xty[idx], rd["yty"])
-                    if res is None:
-                        continue
-                    beta, sse, inv = res
-                    aic = ne * math.log(max(sse, 1e-300) / ne) + 2 * len(idx)
-                    if best is None or aic < best[0]:
-                        best = (aic, p, beta, sse, inv, len(idx))
+            for rd in pdf.to_dict("records"):
                 nobs = int(rd["n_obs"])
                 crit = ADF_5PCT[0] + ADF_5PCT[1] / nobs + ADF_5PCT[2] / nobs**2
-                out = {KEY: rd[KEY], **{c: rd[c] for c in part}, "n": nobs, "crit_5pct": crit}
+                out = {KEY: rd[KEY], **{c: rd[c] for c in part}, "n": nobs, "crit_5pct": crit, "lags": None, "t_stat": None, "stationary": None}
+                rows.append(out)
+                if rd["n"] is None or pd.isna(rd["n"]):
+                    continue
+                xtx, xty, yty, ne, pmax = unpack(rd["xtx_u"], k), np.asarray(rd["xty"], dtype=float), rd["yty"], int(rd["n"]), int(rd["pmax"])
+                best = None
+                for p in range(0 if lags is None else pmax, pmax + 1):
+                    idx = list(range(p + 2))
+                    res = fit(xtx[np.ix_(idx, idx)], xty[idx], yty, ne)
+                    if res is not None:
+                        aic = ne * math.log(res[1] / ne) + 2 * len(idx)
+                        if best is None or aic < best[0]:
+                            best = (aic, p)
                 if best is None:
-                    out.update(lags=None, t_stat=None, stationary=None)
-                else:
-                    _, p, beta, sse, inv, kk = best
-                    s2 = sse / max(ne - kk, 1)
-                    se = math.sqrt(max(s2 * inv[1, 1], 1e-300))
-                    t = float(beta[1] / se)
+                    continue
+                p = best[1]
+                own = refit(xtx, xty, yty, ne, p, pmax, _arr(rd["head"]))
+                res = fit(*own)
+                if res is not None:
+                    beta, sse, inv = res
+                    t = float(beta[1] / math.sqrt(sse / (own[3] - p - 2) * inv[1, 1]))
                     out.update(lags=p, t_stat=t, stationary=bool(t < crit))
-                rows.append(out)
-            yield pd.DataFrame(rows, columns=schema.fieldNames())
+            yield pd.DataFrame(rows, columns=schema.fieldNames()).astype({"lags": "Int32", "stationary": "boolean"})
 
     return g.mapInPandas(solve, schema)
 
@@ -237,20 +272,32 @@ def arima_fit(
     order: tuple[int, int, int] = (1, 1, 1),
     seasonal_order: tuple[int, int, int, int] = (0, 0, 0, 0),
     auto_stationary: bool = True,
-    long_ar: int = 10,
+    long_ar: int | None = None,
     col: str = "value",
     plan: str = "auto",
 ) -> DataFrame:
     """FC-01/02/04: one model row per series (``MODEL_SCHEMA``); ``state`` (JSON)
     holds what the forecast needs: coefficients, the tails of the series and of
-    the innovations, the differencing plan and the modal time step."""
+    the innovations, the differencing plan and the modal time step.
+
+    Estimation runs on the centred, scaled series and is carried back to its units. The
+    long autoregression has ``max(4, ceil(2 n^(1/3)))`` lags for n rows unless given."""
     p, d, q = order
     P, D, Q, s = seasonal_order
     if s <= 1:
         P, D, Q, s = 0, 0, 0, max(s, 1)
-    base = _clean(df, col).persist(StorageLevel.MEMORY_AND_DISK)
-    plan = choose_plan(base, plan)
-    persisted = [base]
+    raw = _clean(df, col).persist(StorageLevel.MEMORY_AND_DISK)
+    persisted = [raw]
+    try:
+        return _arima_fit(df, raw, persisted, (p, d, q), (P, D, Q, s), auto_stationary, long_ar, choose_plan(raw, plan))
+    finally:
+        for x in persisted:
+            x.unpersist()
+
+
+def _arima_fit(df, raw, persisted, order, seasonal_order, auto_stationary, long_ar, plan) -> DataFrame:
+    (p, d, q), (P, D, Q, s) = order, seasonal_order
+    base, scale = standardised(raw)
     if auto_stationary:
         variants = diff_variants(base, 2, plan).persist(StorageLevel.MEMORY_AND_DISK)
         persisted.append(variants)
@@ -263,10 +310,12 @@ def arima_fit(
     has_const = (d + D) == 0
     ar_lags = list(range(1, p + 1)) + [s * i for i in range(1, P + 1)]
     ma_lags = list(range(1, q + 1)) + [s * i for i in range(1, Q + 1)]
-    m = max(long_ar, max(ma_lags, default=0) + 1) if ma_lags else 0
 
     # stage 1: long AR by OLS, residuals e_t
     if ma_lags:
+        lags = F.greatest(F.lit(4), F.ceil(2.0 * F.cbrt(F.count(F.lit(1)).cast("double"))).cast("int")) if long_ar is None else F.lit(long_ar)
+        orders = materialize(w.groupBy(KEY).agg(F.greatest(lags, F.lit(max(ma_lags) + 1)).alias("_m")), "arima_lags")
+        m = int(orders.agg(F.max("_m")).first()[0] or 1)  # one scalar: the widest regression
         wl = [f"_w{i}" for i in range(1, m + 1)]
 
         def lag_build(x, part):
@@ -274,8 +323,10 @@ def arima_fit(
             keep = [c for c in x.columns if c.startswith("_")]
             return x.select(KEY, *ORDER, *keep, "value", *[F.lag("value", i).over(win).alias(f"_w{i}") for i in range(1, m + 1)])
 
-        s1 = apply_windows(w, lag_build, lookback=m, plan=plan).withColumn("_one", F.lit(1.0))
-        g1 = gram(s1, ["_one", *wl], "value")
+        s1 = apply_windows(attach(w, orders), lag_build, lookback=m, plan=plan).withColumn("_one", F.lit(1.0))
+        for i in range(1, m + 1):  # lags beyond a series' own order are not used
+            s1 = s1.withColumn(f"_w{i}", F.when(F.lit(i) <= F.col("_m"), F.col(f"_w{i}")).otherwise(0.0))
+        g1 = gram(s1, ["_one", *wl], "value").join(orders.withColumnRenamed("_m", "m_lags"), KEY)
         coef_schema = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("_a", T.ArrayType(T.DoubleType()))])
         k1 = m + 1
 
@@ -283,8 +334,9 @@ def arima_fit(
             for pdf in it:
                 out = []
                 for r in pdf.itertuples(index=False):
-                    res = ols(unpack(r.xtx_u, k1), np.asarray(r.xty, float), r.yty) if r.n > k1 else None
-                    out.append({KEY: r.series_id, "_a": None if res is None else [float(b) for b in res[0]]})
+                    k = r._asdict()["m_lags"] + 1
+                    res = ols(unpack(r.xtx_u, k1)[:k, :k], np.asarray(r.xty, float)[:k], r.yty) if r.n > k else None
+                    out.append({KEY: r.series_id, "_a": None if res is None else [float(b) for b in res[0]] + [0.0] * (k1 - k)})
                 yield pd.DataFrame(out, columns=[KEY, "_a"])
 
         # written once: otherwise both consumers of s1 below re-run the long-AR
@@ -319,8 +371,8 @@ def arima_fit(
     # state for forecasting: tails of y (original units), of w and of the final residuals
     ords = [("r", 1)] * d + [("s", s)] * D
     tail_y_len = 2 + d + D * s + 2
-    tails = _tail(base, tail_y_len + 2, "value", "tail_y")
-    gap = _modal_gap(base, plan)
+    tails = _tail(raw, tail_y_len + 2, "value", "tail_y")
+    gap = _modal_gap(raw, plan)
     if d0 is not None:
         dsel = d0.select(KEY, F.col("d").alias("d0"))
     else:
@@ -334,6 +386,7 @@ def arima_fit(
         .join(tails_we, KEY, "left")
         .join(gap, KEY, "left")
         .join(dsel, KEY, "left")
+        .join(scale.withColumnsRenamed({"_mean": "mean", "_std": "std"}), KEY, "left")
     )
     k2 = len(xcols)
     created = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -349,7 +402,13 @@ def arima_fit(
                 state = None
                 if res is not None:
                     beta, sse, _ = res
-                    sigma2 = sse / n
+                    level, std = float(r["mean"]), float(r["std"])
+                    d0_ = 0 if r["d0"] is None or pd.isna(r["d0"]) else int(r["d0"])
+                    # differencing takes the level out; back in the units of the series
+                    level = level if d0_ + d + D == 0 else 0.0
+                    sigma2 = std * std * sse / n
+                    memory = sum(b for nm, b in zip(names, beta) if nm.startswith("_ar"))
+                    beta = [std * b + level * (1 - memory) if nm == "_one" else b for nm, b in zip(names, beta)]
                     for nm, b in zip(names, beta):
                         key = "const" if nm == "_one" else ("ar.L" + nm[3:] if nm.startswith("_ar") else "ma.L" + nm[3:])
                         params[key] = float(b)
@@ -359,11 +418,11 @@ def arima_fit(
                     aic, bic, status = -2 * ll + 2 * kk, -2 * ll + math.log(n) * kk, "ok"
                     state = json.dumps(
                         {
-                            "d0": 0 if r["d0"] is None or pd.isna(r["d0"]) else int(r["d0"]),
+                            "d0": d0_,
                             "ops": ords,
                             "tail_y": [float(v) for v in _arr(r["tail_y"])],
-                            "tail_w": [None if v is None else float(v) for v in _arr(r["tail_w"])],
-                            "tail_e": [None if v is None else float(v) for v in _arr(r["tail_e"])],
+                            "tail_w": [None if v is None else float(v) * std + level for v in _arr(r["tail_w"])],
+                            "tail_e": [None if v is None else float(v) * std for v in _arr(r["tail_e"])],
                             "last_ts": r["last_ts"].isoformat() if r["last_ts"] is not None else None,
                             "gap_us": int(r["gap_us"]) if r["gap_us"] is not None else None,
                         }
@@ -386,10 +445,7 @@ def arima_fit(
                 )
             yield pd.DataFrame(out, columns=MODEL_SCHEMA.fieldNames())
 
-    models = materialize(info.mapInPandas(solve2, MODEL_SCHEMA), "arima")
-    for x in persisted:
-        x.unpersist()
-    return models
+    return materialize(info.mapInPandas(solve2, MODEL_SCHEMA), "arima")
 
 
 def _arr(x) -> list:
@@ -550,34 +606,29 @@ def trend_season_fit(
     col: str = "value",
 ) -> DataFrame:
     """FC-05/07: partial ``X'X, X'y`` per Arrow batch and series in ``mapInPandas``,
-    summed per (series, cell) by Spark, then a ridge solve per series."""
+    one packed array each, added per series, then a ridge solve on the centred, scaled
+    values per series, carried back to their units."""
     comps = [c for c, on in (("yearly", yearly), ("weekly", weekly), ("daily", daily)) if on]
     base = _clean(df, col)
+    sd = F.stddev_pop("value")
     span = base.groupBy(KEY).agg(
-        F.min(epoch_micros("ts")).cast("double").alias("_t0"), F.max(epoch_micros("ts")).cast("double").alias("_t1"), F.max("ts").alias("last_ts")
+        F.avg("value").alias("_mean"), F.when(sd > 0, sd).otherwise(1.0).alias("_std"), F.min(epoch_micros("ts")).cast("double").alias("_t0"), F.max(epoch_micros("ts")).cast("double").alias("_t1"), F.max("ts").alias("last_ts")
     )
-    x = attach(base.select(KEY, epoch_micros("ts").cast("double").alias("_t"), "value"), span.select(KEY, "_t0", "_t1"))
+    x = attach(base.select(KEY, epoch_micros("ts").cast("double").alias("_t"), "value"), span.select(KEY, "_t0", "_t1", "_mean", "_std"))
     k = 2 + changepoints + sum(2 * SEASONALITIES[c][1] for c in comps)
-    cell = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("i", T.IntegerType()), T.StructField("v", T.DoubleType())])
+    schema = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("v", T.ArrayType(T.DoubleType()))])
 
     def partial(it):
         for pdf in it:
             rows = []
             for sid, g in pdf.groupby(KEY, sort=False):
                 X = _design(g["_t"].to_numpy(), g["_t0"].iloc[0], g["_t1"].iloc[0] - g["_t0"].iloc[0], changepoints, comps)
-                y = g["value"].to_numpy()
-                xtx = X.T @ X
-                xty = X.T @ y
-                iu = np.triu_indices(k)
-                vals = np.concatenate([xtx[iu], xty, [y @ y, len(y)]])
-                rows.append(pd.DataFrame({KEY: sid, "i": np.arange(len(vals), dtype=np.int32), "v": vals}))
-            if rows:
-                yield pd.concat(rows, ignore_index=True)
-
-    cells = x.mapInPandas(partial, cell).groupBy(KEY, "i").agg(F.sum("v").alias("v"))
-    packed = cells.groupBy(KEY).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("cells"))
+                rows.append((sid, packed(X, (g["value"].to_numpy() - g["_mean"].iloc[0]) / g["_std"].iloc[0])))
+            yield pd.DataFrame(rows, columns=[KEY, "v"])
+
+    sums = add_packed(x.mapInPandas(partial, schema), [KEY])
     every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
-    info = every.join(packed, KEY, "left").join(span, KEY, "left")
+    info = every.join(sums, KEY, "left").join(span, KEY, "left")
     created = datetime.now(timezone.utc).replace(tzinfo=None)
     nu = k * (k + 1) // 2
 
@@ -585,11 +636,10 @@ def trend_season_fit(
         for pdf in it:
             out = []
             for r in pdf.to_dict("records"):
-                cells_r = r["cells"]
-                if cells_r is None or (isinstance(cells_r, float) and math.isnan(cells_r)) or len(cells_r) == 0:
+                vals = np.asarray(_arr(r["v"]), float)
+                if not len(vals):
                     out.append({KEY: r[KEY], "model": "trend_season", "version": None, "params": {}, "order": None, "seasonal_order": None, "aic": None, "bic": None, "n": 0, "status": "failed", "created": created, "state": None})
                     continue
-                vals = np.asarray([c["v"] for c in cells_r], float)
                 xtx = unpack(vals[:nu], k)
                 xty, yty, n = vals[nu : nu + k], vals[nu + k], int(vals[nu + k + 1])
                 # no penalty on intercept and slope
@@ -606,7 +656,10 @@ def trend_season_fit(
                 params, status, aic, bic, state = {}, "failed", None, None, None
                 if res is not None:
                     beta, sse = res
-                    sigma2 = sse / n
+                    std = float(r["_std"])
+                    beta = beta * std
+                    beta[0] += float(r["_mean"])
+                    sigma2 = std * std * sse / n
                     params = {f"b{i}": float(b) for i, b in enumerate(beta)}
                     params["sigma2"] = sigma2
                     ll = -0.5 * n * (math.log(2 * math.pi * max(sigma2, 1e-300)) + 1)

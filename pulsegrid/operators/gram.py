@@ -22,8 +22,8 @@ WIDE = 12
 def gram(df: DataFrame, xcols: Sequence[str], ycol: str, by: Sequence[str] = (KEY,), extra: Sequence[Column] = ()) -> DataFrame:
     """Per-group ``n, yty, xty[k], xtx_u[k(k+1)/2]`` over rows where all inputs are non-null.
 
-    Up to ``WIDE`` columns: one aggregate of sum-product expressions. Wider: partial
-    Grams per Arrow batch and group in ``mapInPandas``, summed per cell by Spark
+    Up to ``WIDE`` columns: one aggregate of sum-product expressions. Wider: one packed
+    array per Arrow batch and group in ``mapInPandas``, added per group as they stream by
     (hundreds of sum expressions would dominate planning and code generation).
     """
     k = len(xcols)
@@ -50,30 +50,17 @@ def _gram_partial(x: DataFrame, xcols: list[str], ycol: str, by: list[str], extr
 
     k = len(xcols)
     nu = k * (k + 1) // 2
-    iu = np.triu_indices(k)
-    by_fields = [x.schema[c] for c in by]
-    cell = T.StructType([*[T.StructField(f.name, f.dataType) for f in by_fields], T.StructField("_i", T.IntegerType()), T.StructField("_v", T.DoubleType())])
+    schema = T.StructType([*[x.schema[c] for c in by], T.StructField("v", T.ArrayType(T.DoubleType()))])
 
     def partial(it):
         for pdf in it:
-            if pdf.empty:
-                continue
-            parts = []
-            for key, g in pdf.groupby(by, sort=False):
-                key = key if isinstance(key, tuple) else (key,)
-                X = g[xcols].to_numpy(dtype=float)
-                y = g[ycol].to_numpy(dtype=float)
-                vals = np.concatenate([(X.T @ X)[iu], X.T @ y, [y @ y, float(len(y))]])
-                d = {c: [v] * len(vals) for c, v in zip(by, key)}
-                d["_i"] = np.arange(len(vals), dtype=np.int32)
-                d["_v"] = vals
-                parts.append(pd.DataFrame(d))
-            yield pd.concat(parts, ignore_index=True)
-
-    cells = x.select(*by, *xcols, ycol).mapInPandas(partial, cell).groupBy(*by, "_i").agg(F.sum("_v").alias("_v"))
-    packed = cells.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_c"))
-    vals = F.transform("_c", lambda e: e["_v"])
-    out = packed.select(
+            rows = []
+            for key, g in pdf.groupby(by, sort=False, dropna=False):
+                rows.append((*(key if isinstance(key, tuple) else (key,)), packed(g[xcols].to_numpy(dtype=float), g[ycol].to_numpy(dtype=float))))
+            yield pd.DataFrame(rows, columns=[*by, "v"])
+
+    vals = F.col("v")
+    out = add_packed(x.select(*by, *xcols, ycol).mapInPandas(partial, schema), by).select(
         *by,
         vals[nu + k + 1].cast("long").alias("n"),
         vals[nu + k].alias("yty"),
@@ -85,6 +72,45 @@ def _gram_partial(x: DataFrame, xcols: list[str], ycol: str, by: list[str], extr
     return out
 
 
+def packed(X: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper triangle of X'X, X'y, y'y and the row count in one array."""
+    return np.concatenate([(X.T @ X)[np.triu_indices(X.shape[1])], X.T @ y, [y @ y, float(len(y))]])
+
+
+SALTS = 32
+
+
+def add_packed(parts: DataFrame, by: list[str]) -> DataFrame:
+    """Sum of the arrays ``v`` per group. Rows are added one by one as they stream by in key
+    order, first per (group, salt), so a hot series is summed by many tasks, then per group."""
+    import pandas as pd
+
+    def adder(keys):
+        def run(it):
+            key, total, rows = None, None, []
+            for pdf in it:
+                for *mine, v in zip(*[pdf[c] for c in keys], pdf["v"]):
+                    if mine == key:
+                        total += np.asarray(v, dtype=float)
+                        continue
+                    if key is not None:
+                        rows.append((*key, total))
+                    key, total = mine, np.array(v, dtype=float)
+                    if len(rows) >= 1000:
+                        yield pd.DataFrame(rows, columns=[*keys, "v"])
+                        rows = []
+            if key is not None:
+                rows.append((*key, total))
+            yield pd.DataFrame(rows, columns=[*keys, "v"])
+
+        return run
+
+    salted = parts.withColumn("salt", F.spark_partition_id() % SALTS).select(*by, "salt", "v")
+    first = salted.repartition(*by, "salt").sortWithinPartitions(*by, "salt").mapInPandas(adder([*by, "salt"]), salted.schema)
+    once = first.drop("salt")
+    return once.repartition(*by).sortWithinPartitions(*by).mapInPandas(adder(list(by)), once.schema)
+
+
 def unpack(xtx_u, k: int) -> np.ndarray:
     m = np.zeros((k, k))
     idx = 0
@@ -95,16 +121,29 @@ def unpack(xtx_u, k: int) -> np.ndarray:
     return m
 
 
+#: Smallest eigenvalue of the scaled normal equations, against the largest, that counts as regular.
+REGULAR = 1e-12
+
+
 def ols(xtx: np.ndarray, xty: np.ndarray, yty: float, ridge: float = 0.0):
-    """Least squares from sums; returns (beta, sse, inverse) or None if singular."""
-    k = xtx.shape[0]
-    a = xtx + ridge * np.eye(k)
-    try:
-        inv = np.linalg.inv(a)
-    except np.linalg.LinAlgError:
+    """Least squares from sums by Cholesky on columns scaled to unit length.
+
+    Returns (beta, sse, inverse), or None if the system is singular or its residual sum is
+    negative beyond rounding. Callers pass sums of centred, scaled series, so nothing
+    cancels against a large level.
+    """
+    a = xtx + ridge * np.eye(xtx.shape[0])
+    d = np.sqrt(np.diag(a))
+    if not np.all(np.isfinite(a)) or not np.all(d > 0):
         return None
-    if not np.all(np.isfinite(inv)):
+    scaled = a / np.outer(d, d)
+    roots = np.linalg.eigvalsh(scaled)
+    if roots[0] <= REGULAR * roots[-1]:
         return None
+    low = np.linalg.solve(np.linalg.cholesky(scaled), np.eye(len(d)))
+    inv = (low.T @ low) / np.outer(d, d)
     beta = inv @ xty
     sse = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
+    if sse < -1e-8 * abs(yty):
+        return None
     return beta, max(sse, 0.0), inv

@@ -39,6 +39,53 @@ def test_adf_separates_random_walk_from_ar(spark):
     assert d == {"ar": 0, "walk": 1}
 
 
+def test_a_constant_level_changes_nothing(spark):
+    ar, walk = _arma(500, 0.5, 0.0, 21), np.cumsum(np.random.default_rng(22).standard_normal(500))
+    df = None
+    for level in (0.0, 1e5, 1e8, 1e9):
+        for name, x in (("ar", ar), ("walk", walk)):
+            part = _series(spark, x + level, f"{name}-{level:g}")
+            df = part if df is None else df.unionByName(part)
+    got = {r["series_id"]: r for r in forecast.adf_test(df).collect()}
+    d = {r["series_id"]: r["d"] for r in forecast.auto_difference(df).collect()}
+    fits = {r["series_id"]: r for r in forecast.arima_fit(df, (1, 0, 1), auto_stationary=False).collect()}
+    for name, want in (("ar", 0), ("walk", 1)):
+        zero = got[f"{name}-0"]
+        for level in (1e5, 1e8, 1e9):
+            k = f"{name}-{level:g}"
+            assert got[k]["lags"] == zero["lags"] and got[k]["stationary"] == zero["stationary"]
+            assert got[k]["t_stat"] == pytest.approx(zero["t_stat"], rel=1e-4)
+            assert d[k] == d[f"{name}-0"] == want
+            assert fits[k]["params"]["ar.L1"] == pytest.approx(fits[f"{name}-0"]["params"]["ar.L1"], abs=1e-4)
+            assert fits[k]["params"]["sigma2"] == pytest.approx(fits[f"{name}-0"]["params"]["sigma2"], rel=1e-3)
+
+
+def test_adf_equals_plain_least_squares(spark):
+    x = _arma(300, 0.7, 0.0, 23)
+    got = forecast.adf_test(_series(spark, x, "x")).first()
+    dy = np.diff(x)
+
+    def fit(p, start):
+        t = np.arange(start, len(x))
+        X = np.column_stack([np.ones(len(t)), x[t - 1], *[dy[t - 1 - i] for i in range(1, p + 1)]])
+        y = dy[t - 1]
+        b, *_ = np.linalg.lstsq(X, y, rcond=None)
+        sse = ((y - X @ b) ** 2).sum()
+        return len(t) * np.log(sse / len(t)) + 2 * (p + 2), b[1] / np.sqrt(sse / (len(t) - p - 2) * np.linalg.inv(X.T @ X)[1, 1])
+
+    most = int(np.ceil(12 * (len(x) / 100) ** 0.25))
+    best = min(range(most + 1), key=lambda p: fit(p, most + 1)[0])
+    assert got["lags"] == best and got["t_stat"] == pytest.approx(fit(best, best + 1)[1], rel=1e-6)
+
+
+def test_one_packed_row_a_series_and_batch(spark):
+    from pulsegrid.operators.gram import add_packed
+
+    parts = spark.createDataFrame([(f"s{i % 7}", [float(i), 1.0]) for i in range(700)], "series_id string, v array<double>").repartition(5)
+    got = {r.series_id: r.v for r in add_packed(parts, ["series_id"]).collect()}
+    assert got == {f"s{k}": [float(sum(i for i in range(700) if i % 7 == k)), 100.0] for k in range(7)}
+
+
 def test_arima_recovers_arma_coefficients(spark):
     df = _series(spark, _arma(3000, 0.6, 0.3, 11), "x")
     m = forecast.arima_fit(df, (1, 0, 1), auto_stationary=False).first()
