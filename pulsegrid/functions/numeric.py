@@ -39,9 +39,13 @@ def hash_uniform(seed: int, *parts: Column | str, salt: str = "") -> Column:
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(2**53))
 
 
-def hash_normal(seed: int, *parts: Column | str, salt: str = "") -> Column:
-    """Standard normal by Box-Muller on two hash uniforms."""
-    u1 = hash_uniform(seed, *parts, salt=salt + "#u1")
-    u2 = hash_uniform(seed, *parts, salt=salt + "#u2")
-    u1 = F.greatest(u1, F.lit(1e-300))
-    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
+def key_uniform(seed: int, salt: str) -> Column:
+    """Uniform in [0, 1) of a canonical row's key: 13 hexadecimal digits of an MD5, which any engine can repeat."""
+    key = F.concat_ws("|", F.lit(f"{seed}|{salt}"), F.col("series_id"), F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"), F.col("seq"))
+    return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def key_normal(seed: int, salt: str) -> Column:
+    """Standard normal by Box-Muller on two key uniforms."""
+    u1 = F.greatest(key_uniform(seed, salt + "#u1"), F.lit(1e-300))
+    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * key_uniform(seed, salt + "#u2"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY
 from pulsegrid.operators.columns import train_test_split
 from pulsegrid.operators.stats import attach
+from pulsegrid.sources.spine import count_out
 
 
 def split_parts(df: DataFrame, train_fraction: float = 0.8, plan: str = "auto") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -34,9 +35,7 @@ def baseline_forecasts(train: DataFrame, sizes: DataFrame, season: int = 24) ->
         F.max_by(F.col("value"), F.when(F.col("value").isNotNull(), F.col("ord"))).alias("last"),
         F.avg("value").alias("mean"),
     )
-    steps = sizes.filter(F.col("n_test") > 0).select(
-        KEY, "n_train", F.explode(F.sequence(F.lit(1), F.col("n_test").cast("int"))).alias("step")
-    )
+    steps = count_out(sizes.filter(F.col("n_test") > 0).select(KEY, "n_train", "n_test"), "n_test", "step").select(KEY, "n_train", F.col("step").cast("int").alias("step"))
     x = attach(steps, agg)
     seasonal_ord = F.col("n_train") - season + ((F.col("step") - 1) % season)
     season_vals = train.select(KEY, F.col("ord").alias("_so"), F.col("value").alias("snaive"))
@@ -53,9 +52,7 @@ def ensemble(forecasts: DataFrame, method: str = "average") -> DataFrame:
     """ENS-02/03: combine member forecasts per (series, step); failed members
     (NULL forecast or status <> 'ok') are skipped, NULL when none is left."""
     f = forecasts
-    if "status" in f.columns:
-        f = f.filter(F.col("status") == "ok")
-    v = F.col("forecast")
+    v = F.when(F.col("status") == "ok", F.col("forecast")) if "status" in f.columns else F.col("forecast")
     if method == "average":
         agg = F.avg(v)
     elif method == "median":

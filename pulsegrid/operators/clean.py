@@ -51,15 +51,16 @@ INTERP_METHODS = ("linear", "time", "index", "values", "pad", "ffill", "bfill",
 
 def interpolate(df: DataFrame, method: str = "linear", col: str = "value", plan: str = "auto") -> DataFrame:
     """IMP-01..05. Positional ``linear`` leaves leading gaps and carries the last
-    value into trailing gaps; ``time`` weighs by timestamp; ``ffill``/``bfill``
-    carry; ``nearest`` fills inner gaps only (tie -> earlier row)."""
+    value into trailing gaps; ``time``, ``index`` and ``values`` weigh by timestamp, the
+    index of a series; ``ffill``/``bfill`` carry; ``nearest`` takes the value nearest in
+    time and fills inner gaps only (tie -> earlier row)."""
     if method not in INTERP_METHODS:
         raise ValueError(f"Unknown interpolation method: {method}")
     x = carry_fill(df.select(*BASE, F.col(col).alias("value")), "value", plan=plan)
     v = F.col("value")
     pv, po, nv, no = (F.col(c) for c in ("_prev_v", "_prev_o", "_next_v", "_next_o"))
     if method in ("linear", "index", "values", "time"):
-        if method == "time":
+        if method != "linear":
             pos = epoch_micros("ts").cast("double")
             ppos, npos = F.col("_prev_t").cast("double"), F.col("_next_t").cast("double")
         else:
@@ -73,7 +74,8 @@ def interpolate(df: DataFrame, method: str = "linear", col: str = "value", plan:
     elif method in ("bfill", "backfill"):
         filled = F.coalesce(v, nv)
     else:  # nearest
-        near = F.when((F.col("ord") - po) <= (no - F.col("ord")), pv).otherwise(nv)
+        t = epoch_micros("ts")
+        near = F.when((t - F.col("_prev_t")) <= (F.col("_next_t") - t), pv).otherwise(nv)
         filled = F.when(v.isNotNull(), v).when(pv.isNotNull() & nv.isNotNull(), near)
     return x.select(*BASE, filled.alias(col))
 

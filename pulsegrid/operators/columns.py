@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY, ORDER, series_window
-from pulsegrid.functions.numeric import hash_normal, hash_uniform
+from pulsegrid.functions.numeric import key_normal, key_uniform
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.blocked import apply_windows, rank_within, with_ordinal
 
@@ -38,7 +38,7 @@ def gen_seasonality(df: DataFrame, strength: float = 0.5, period: int = 24, plan
 
 def add_noise(df: DataFrame, level: float = 0.1, seed: int = 42) -> DataFrame:
     """GEN-03: Gaussian noise of scale ``level`` from the row key (SEM-16)."""
-    z = hash_normal(seed, KEY, "ts", "seq", salt="noise")
+    z = key_normal(seed, "noise")
     return df.select(*BASE, "value", (F.lit(level) * z).alias("noise"))
 
 
@@ -51,12 +51,12 @@ def inject_spikes(
     window, or hash-range blocks for a very long series) and the first
     ``floor(p * n)`` ranks are picked; the sign comes from a second hash.
     """
-    x = df.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", salt="spike-pick"))
+    x = df.withColumn("_u", key_uniform(seed, "spike-pick"))
     n = x.groupBy(KEY).agg(F.floor(F.count(F.lit(1)) * F.lit(probability)).cast("long").alias("_k"))
     x = rank_within(x, "_rk", [F.col("_u"), *[F.col(c) for c in ORDER]], F.col("_u"), plan)
     x = attach(x, n)
     hit = F.col("_rk") < F.col("_k")
-    sign = F.when(hash_uniform(seed, KEY, "ts", "seq", salt="spike-sign") < 0.5, -3.0).otherwise(3.0)
+    sign = F.when(key_uniform(seed, "spike-sign") < 0.5, -3.0).otherwise(3.0)
     return x.select(*BASE, "value", hit.alias("is_spike"), F.when(hit, sign * level).otherwise(0.0).alias("spike"))
 
 
@@ -75,8 +75,8 @@ def compose_components(
     i = F.col("ord").cast("double")
     a = seasonality_strength
     season = a * F.sin(2 * math.pi * i / period) + 0.3 * a * F.sin(2 * math.pi * i / (7 * period))
-    noise = noise_level * hash_normal(seed, KEY, "ts", "seq", salt="noise")
-    sp = inject_spikes(df, anomaly_probability, noise_level, seed).select(*BASE, "is_spike", "spike")
+    noise = noise_level * key_normal(seed, "noise")
+    sp = inject_spikes(df, anomaly_probability, noise_level, seed, plan).select(*BASE, "is_spike", "spike")
     x = t.join(sp, BASE).select(*BASE, "trend", season.alias("seasonal"), noise.alias("noise"), "spike", "is_spike")
     return x.withColumn("value", F.col("trend") + F.col("seasonal") + F.col("noise") + F.col("spike"))
 

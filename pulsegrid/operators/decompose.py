@@ -2,7 +2,8 @@
 
 trend = centred moving average (WIN-06); seasonal = mean of the detrended values
 per phase ``ord % period`` normalised over the phases (mean 0, or mean 1 for the
-multiplicative model); resid = what is left. NULLs are dropped first and
+multiplicative model, which needs positive values: a series with others gets
+NULL components); resid = what is left. NULLs are dropped first and
 positions are counted on the remaining rows. A series with fewer than two full
 periods gets NULL components instead of failing the whole job.
 
@@ -58,7 +59,7 @@ def decompose(
     plan = choose_plan(df, plan)
     t = centered_ma(clean, period, plan=plan)
     t = with_ordinal(t, "ord", plan)
-    n = clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    n = clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"))
     t = attach(t, n)
     mult = model == "multiplicative"
     detr = safe_div(F.col("value"), F.col("trend")) if mult else F.col("value") - F.col("trend")
@@ -71,6 +72,7 @@ def decompose(
     x = t.join(phase, [KEY, "_phase"], "left")
     ok = F.col("_n") >= 2 * period
     if mult:
+        ok = ok & (F.col("_min") > 0)
         resid = safe_div(safe_div(F.col("value"), F.col("trend")), F.col("seasonal"))
     else:
         resid = F.col("value") - F.col("trend") - F.col("seasonal")

@@ -235,7 +235,7 @@ def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int,
     return x
 
 
-def _tail(df: DataFrame, k: int, col: str | dict[str, str], name: str | None = None) -> DataFrame:
+def tail_values(df: DataFrame, k: int, col: str | dict[str, str], name: str | None = None) -> DataFrame:
     """Last ``k`` values per series as arrays in time order (bounded; the row_number
     filter with a literal k becomes a partial WindowGroupLimit before the shuffle).
     ``col`` may map several source columns to output names, collected in one pass."""
@@ -371,13 +371,13 @@ def _arima_fit(df, raw, persisted, order, seasonal_order, auto_stationary, long_
     # state for forecasting: tails of y (original units), of w and of the final residuals
     ords = [("r", 1)] * d + [("s", s)] * D
     tail_y_len = 2 + d + D * s + 2
-    tails = _tail(raw, tail_y_len + 2, "value", "tail_y")
+    tails = tail_values(raw, tail_y_len + 2, "value", "tail_y")
     gap = _modal_gap(raw, plan)
     if d0 is not None:
         dsel = d0.select(KEY, F.col("d").alias("d0"))
     else:
         dsel = base.select(KEY).distinct().withColumn("d0", F.lit(0))
-    tails_we = _tail(s1, max(reach, 1), {"value": "tail_w", "_e": "tail_e"})
+    tails_we = tail_values(s1, max(reach, 1), {"value": "tail_w", "_e": "tail_e"})
     # every input series keeps a row: one without usable rows gets status 'failed' (SEM-15)
     every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
     info = (
@@ -702,20 +702,3 @@ def trend_season_forecast(models: DataFrame, steps: int, every_us: int | None =
             yield pd.DataFrame(out, columns=FORECAST_SCHEMA.fieldNames())
 
     return m.mapInPandas(run, FORECAST_SCHEMA)
-
-
-def ensemble_fit(df: DataFrame, members: Sequence[str] = ("arima", "trend_season"), **kw) -> DataFrame:
-    """ENS-01: fit every member on every series; a member that fails for a series
-    keeps a row with ``status`` (SEM-15). Returns the union of the model tables."""
-    tables = []
-    for name in members:
-        if name == "arima":
-            tables.append(arima_fit(df, **kw.get("arima", {})))
-        elif name == "trend_season":
-            tables.append(trend_season_fit(df, **kw.get("trend_season", {})))
-        else:
-            raise ValueError(f"unknown member: {name}")
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out

@@ -2,33 +2,66 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY
+from pulsegrid.plans.blocked import epoch_micros
+
+
+#: Grid points that one row may expand to at once.
+CHUNK = 10_000
+_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
+def step_micros(every: str) -> int:
+    """Length of a fixed step such as ``1 hour`` in microseconds."""
+    m = re.fullmatch(r"\s*(\d+)\s+([a-z]+?)s?\s*", every.lower())
+    if not m or m[2] not in _MICROS or int(m[1]) < 1:
+        raise ValueError(f"not a fixed step: {every!r}")
+    return int(m[1]) * _MICROS[m[2]]
+
+
+def count_out(df: DataFrame, n: str, name: str) -> DataFrame:
+    """Rows repeated with ``name`` = 1..n. First coarse chunks, then the numbers of each, so no row holds them all."""
+    chunks = df.where(F.col(n) > 0).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / CHUNK))))
+    first = F.col("_chunk") * CHUNK + 1
+    return chunks.withColumn(name, F.explode(F.sequence(first, F.least(first + CHUNK - 1, F.col(n).cast("long"))))).drop("_chunk")
+
+
+def _bounds(df: DataFrame, start, end) -> DataFrame:
+    bounds = df.groupBy(KEY).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
+    if start is not None:
+        bounds = bounds.withColumn("_lo", F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        bounds = bounds.withColumn("_hi", F.lit(end).cast("timestamp_ntz"))
+    return bounds
 
 
 def time_spine(df: DataFrame, every: str = "1 hour", start=None, end=None) -> DataFrame:
     """One row per grid point between each series' first and last ``ts``.
 
     ``start``/``end`` (timestamps) override the per-series bounds. The bounds are a
-    tiny per-series aggregate; the grid itself is generated on the executors with
-    ``sequence``/``explode`` and grows only with the span, not with the input rows.
+    tiny per-series aggregate; the grid itself is generated on the executors, in chunks,
+    and grows only with the span, not with the input rows. ``every`` is a fixed step.
     """
-    bounds = df.groupBy(KEY).agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi"))
-    lo = F.lit(start).cast("timestamp_ntz") if start is not None else F.col("_lo")
-    hi = F.lit(end).cast("timestamp_ntz") if end is not None else F.col("_hi")
-    step = F.expr(f"INTERVAL {every}")
-    return bounds.select(KEY, F.explode(F.sequence(lo, hi, step)).alias("ts"))
+    us = step_micros(every)
+    points = _bounds(df, start, end).withColumn("_n", F.floor((epoch_micros("_hi") - epoch_micros("_lo")) / us) + 1)
+    return count_out(points, "_n", "_k").select(KEY, F.expr(f"_lo + make_dt_interval(0, 0, 0, cast(cast((_k - 1) * {us} as decimal(24, 0)) / 1000000 as decimal(18, 6)))").alias("ts"))
 
 
 def fill_on_spine(df: DataFrame, every: str = "1 hour") -> DataFrame:
-    """Left join of the data onto its spine: missing grid points get NULL value, seq 0.
+    """Data on its spine: missing grid points get NULL value, seq 0.
 
-    Expects at most one row per (series, grid point), e.g. an aggregate per hour;
-    rows off the grid are dropped by the join."""
+    A row between two grid points counts for the earlier one; the values of a grid point
+    are averaged (NULLs left out), so no row is lost."""
+    us = step_micros(every)
     spine = time_spine(df, every)
-    data = df.select(KEY, "ts", "value")
+    data = df.select(KEY, "ts", "value").join(_bounds(df, None, None).select(KEY, epoch_micros("_lo").alias("_lo_us")), KEY).withColumn("_us", epoch_micros("ts"))
+    data = data.withColumn("ts", F.expr(f"ts - make_dt_interval(0, 0, 0, cast(cast(pmod(_us - _lo_us, {us}) as decimal(24, 0)) / 1000000 as decimal(18, 6)))"))
+    data = data.groupBy(KEY, "ts").agg(F.avg("value").alias("value"))
     return spine.join(data, [KEY, "ts"], "left").select(
         KEY, "ts", F.lit(0).cast("long").alias("seq"), "value"
     )

@@ -85,8 +85,8 @@ FROM ({with_ord(src)}) _f"""
 
 def interpolate(src: str, method: str = "linear") -> str:
     f = fill_cols(src)
-    if method in ("linear", "time"):
-        if method == "time":
+    if method in ("linear", "time", "index", "values"):
+        if method != "linear":
             pos, pp, np_ = "CAST(epoch_us(ts) AS DOUBLE)", "CAST(pt AS DOUBLE)", "CAST(nt AS DOUBLE)"
         else:
             pos, pp, np_ = "CAST(ord AS DOUBLE)", "CAST(po AS DOUBLE)", "CAST(no AS DOUBLE)"
@@ -102,7 +102,7 @@ def interpolate(src: str, method: str = "linear") -> str:
     else:
         e = (
             "CASE WHEN value IS NOT NULL THEN value WHEN pv IS NOT NULL AND nv IS NOT NULL THEN "
-            "CASE WHEN (ord - po) <= (no - ord) THEN pv ELSE nv END END"
+            "CASE WHEN (epoch_us(ts) - pt) <= (nt - epoch_us(ts)) THEN pv ELSE nv END END"
         )
     return f"SELECT series_id, ts, seq, {e} AS value FROM ({f}) _i"
 

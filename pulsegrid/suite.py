@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -250,7 +250,7 @@ def q_mask_outliers(spark, d):
     return clean.mask_flagged(f, "outlier")
 
 
-for _m in ("linear", "time", "ffill", "bfill", "nearest"):
+for _m in ("linear", "time", "index", "ffill", "bfill", "nearest"):
 
     def _mk(method):
         @register(f"interp_{method}", S.interpolate(S.P1M, method), ["value"])
@@ -398,13 +398,24 @@ def q_gen_sine(spark, d):
     return columns.gen_sine(p1(spark, d))
 
 
-@register("add_noise")
+def _u(salt: str) -> str:
+    """``key_uniform(42, salt)`` of a canonical row."""
+    return f"(('0x' || substr(md5('42|{salt}|' || series_id || '|' || epoch_us(ts) || '|' || seq), 1, 13))::BIGINT / 4503599627370496.0)"
+
+
+@register("add_noise", f"SELECT series_id, ts, seq, value, 0.1 * sqrt(-2.0 * ln(greatest({_u('noise#u1')}, 1e-300))) * cos(2.0 * pi() * {_u('noise#u2')}) AS noise FROM ({S.P2}) _n", ["value", "noise"])
 def q_add_noise(spark, d):
     """GEN-03: hash-seeded Gaussian noise column (partition-independent)."""
     return columns.add_noise(p2(spark, d), 0.1, 42)
 
 
-@register("inject_spikes")
+_SPIKE_SQL = f"""
+SELECT series_id, ts, seq, value, rk < k AS is_spike, CASE WHEN rk < k THEN CASE WHEN sg < 0.5 THEN -3.0 ELSE 3.0 END * 0.1 ELSE 0.0 END AS spike FROM (
+  SELECT *, row_number() OVER (PARTITION BY series_id ORDER BY u, ts, seq) - 1 AS rk, CAST(floor(count(*) OVER (PARTITION BY series_id) * 0.05) AS BIGINT) AS k
+  FROM (SELECT *, {_u('spike-pick')} AS u, {_u('spike-sign')} AS sg FROM ({S.P1}) _a) _b) _c"""
+
+
+@register("inject_spikes", _SPIKE_SQL, ["value", "spike"])
 def q_inject_spikes(spark, d):
     """GEN-04: exactly floor(p*n) spikes of +/-3*level per series."""
     return columns.inject_spikes(p1(spark, d), 0.05, 0.1, 42)
@@ -688,6 +699,36 @@ def q_ensemble_median(spark, d):
     return baselines.ensemble(_baseline(spark, d)[3], "median")
 
 
+@register(
+    "ensemble_failed",
+    f"SELECT series_id, step, avg(CASE WHEN step % 5 <> 0 AND NOT (model = 'naive' AND step % 3 = 0) THEN forecast END) AS forecast, "
+    f"count(CASE WHEN step % 5 <> 0 AND NOT (model = 'naive' AND step % 3 = 0) THEN forecast END) AS n_members FROM ({_BASE_FC}) _e GROUP BY 1, 2",
+    ["forecast"],
+)
+def q_ensemble_failed(spark, d):
+    """ENS-02 with failed members: steps that all members failed stay, as NULL."""
+    f = _baseline(spark, d)[3]
+    failed = (F.col("step") % 5 == 0) | ((F.col("model") == "naive") & (F.col("step") % 3 == 0))
+    return baselines.ensemble(f.withColumn("status", F.when(failed, "failed").otherwise("ok")), "average")
+
+
+_CUSTOM_SQL = f"""
+WITH s AS ({_SPLIT}), tr AS (SELECT * FROM s WHERE split = 'train'),
+a AS (SELECT series_id, arg_max(value, CASE WHEN value IS NOT NULL THEN ord END) AS last, avg(value) AS mean, any_value(n_train) AS n_train FROM tr GROUP BY 1),
+x AS (SELECT a.*, CAST(k AS INTEGER) AS step FROM a, unnest(generate_series(1, 30)) t(k)),
+f AS (SELECT x.series_id, step, unnest([last, mean, tr.value]) AS forecast FROM x LEFT JOIN tr ON tr.series_id = x.series_id AND tr.ord = x.n_train - 24 + ((step - 1) % 24))
+SELECT series_id, step, quantile_cont(forecast, 0.5) AS forecast, count(forecast) AS n_members FROM f GROUP BY 1, 2"""
+
+
+@register("ensemble_custom", _CUSTOM_SQL, ["forecast"])
+def q_ensemble_custom(spark, d):
+    """ENS-01/03 with members of the user's choice: median of last value, mean and seasonal value, 30 steps."""
+    from pulsegrid.operators import members
+
+    train = baselines.split_parts(p2(spark, d), 0.8)[0].select("series_id", "ts", "seq", "value")
+    return members.fit_members(train, [members.naive(), members.mean(), members.seasonal_naive(24)]).predict(30, "median")
+
+
 @register(
     "overlay_forecast",
     f"""SELECT series_id, ts, value, 'train' AS role, CAST(ord - n_train + 1 AS INTEGER) AS step FROM ({_SPLIT}) _a WHERE split = 'train'
@@ -741,7 +782,8 @@ def _decomp_sql(src, period, model):
     ph = f"SELECT series_id, ord % {period} AS ph, avg({det}) AS pa FROM ({t}) _t GROUP BY 1, 2"
     ph2 = f"SELECT series_id, ph, {seas} AS seasonal FROM (SELECT *, avg(pa) OVER (PARTITION BY series_id) AS pm FROM ({ph}) _p) _q"
     j = f"SELECT t.*, p.seasonal FROM ({t}) t LEFT JOIN ({ph2}) p ON t.series_id = p.series_id AND t.ord % {period} = p.ph"
-    ok = f"n >= {2 * period}"
+    ok = f"n >= {2 * period}" + (" AND vmin > 0" if model == "multiplicative" else "")
+    j = f"SELECT *, min(value) OVER (PARTITION BY series_id) AS vmin FROM ({j}) _v"
     return (
         f"SELECT series_id, ts, seq, value, CASE WHEN {ok} THEN trend END AS trend, CASE WHEN {ok} THEN seasonal END AS seasonal, "
         f"CASE WHEN {ok} THEN {resid} END AS resid FROM ({j}) _j"
@@ -762,6 +804,16 @@ def q_decompose_multiplicative(spark, d):
     return decompose.decompose(p2(spark, d), 24, "multiplicative")
 
 
+_SIGNED = f"SELECT series_id, ts, seq, CASE WHEN series_id < 'm' THEN value - 1000.0 ELSE value END AS value FROM ({S.P2}) _g"
+
+
+@register("decompose_signed", _decomp_sql(_SIGNED, 24, "multiplicative"), ["value", "trend", "seasonal", "resid"])
+def q_decompose_signed(spark, d):
+    """DEC-02 where some series are not positive: these get NULL components."""
+    x = p2(spark, d).withColumn("value", F.when(F.col("series_id") < "m", F.col("value") - 1000.0).otherwise(F.col("value")))
+    return decompose.decompose(x, 24, "multiplicative")
+
+
 @register("decompose_daily", _decomp_sql(S.P3, 7, "additive"), ["value", "trend", "seasonal", "resid"], bits=4)
 def q_decompose_daily(spark, d):
     """DEC-01 on daily order revenue with the period implied by the daily frequency (7)."""
@@ -822,6 +874,90 @@ def _hourly_clean(spark, d):
     return clean.interpolate(p2(spark, d), "linear").filter(F.col("value").isNotNull())
 
 
+_LAGGED = "SELECT *, lag(value, {k}) OVER (PARTITION BY series_id ORDER BY ts, seq) AS y1 FROM ({src}) _l"
+_ADF0 = f"""
+SELECT series_id, n, slope / sqrt((syy - slope * sxy) / (m - 2) / sxx) AS t_stat, -2.8621 - 2.738 / n - 8.36 / (n * n) AS crit_5pct FROM (
+  SELECT series_id, count(*) AS n, count(y1) AS m, regr_slope(value - y1, y1) AS slope, regr_sxx(value - y1, y1) AS sxx, regr_syy(value - y1, y1) AS syy, regr_sxy(value - y1, y1) AS sxy
+  FROM ({_LAGGED.format(k=1, src=S.P1)}) _a GROUP BY 1) _b"""
+
+
+@register("adf_lag0", _ADF0, ["t_stat", "crit_5pct"], bits=16)
+def q_adf_lag0(spark, d):
+    """STA-01 without lagged differences: the Dickey-Fuller regression of every user series."""
+    return forecast.adf_test(p1(spark, d), lags=0).select("series_id", "n", "t_stat", "crit_5pct")
+
+
+def _ar1_sql(src, k=1):
+    return f"""
+SELECT series_id, const, ar, sse / n AS sigma2, n, n * (ln(2 * pi() * sse / n) + 1) + 6 AS aic, n * (ln(2 * pi() * sse / n) + 1) + 3 * ln(n) AS bic, last FROM (
+  SELECT series_id, regr_intercept(value, y1) AS const, regr_slope(value, y1) AS ar, count(y1) AS n,
+    regr_syy(value, y1) - regr_slope(value, y1) * regr_sxy(value, y1) AS sse, arg_max(value, (ts, seq)) AS last
+  FROM ({_LAGGED.format(k=k, src=src)}) _a GROUP BY 1) _b"""
+
+
+def _ar_rows(models, lag=1):
+    p = F.col("params")
+    return models.select("series_id", p["const"].alias("const"), p[f"ar.L{lag}"].alias("ar"), p["sigma2"].alias("sigma2"), "n", "aic", "bic")
+
+
+_HOURLY = f"SELECT * FROM ({S.interpolate(S.P2, 'linear')}) _h WHERE value IS NOT NULL"
+
+
+@register("arima_100", f"SELECT * EXCLUDE (last) FROM ({_ar1_sql(S.P1)}) _x", ["const", "ar", "sigma2", "aic", "bic"], bits=12)
+def q_arima_100(spark, d):
+    """FC-01/04: AR(1) with constant of every user series: coefficients, variance, AIC and BIC."""
+    return _ar_rows(forecast.arima_fit(p1(spark, d), (1, 0, 0), auto_stationary=False))
+
+
+@register("sarima_100_24", f"SELECT * EXCLUDE (last) FROM ({_ar1_sql(_HOURLY, 24)}) _x", ["const", "ar", "sigma2", "aic", "bic"], bits=12)
+def q_sarima_100_24(spark, d):
+    """FC-02/04: seasonal autoregression of lag 24 of every hourly series."""
+    return _ar_rows(forecast.arima_fit(_hourly_clean(spark, d), (0, 0, 0), (1, 0, 0, 24), auto_stationary=False), 24)
+
+
+@register(
+    "arima_100_forecast",
+    f"""SELECT series_id, CAST(h AS INTEGER) AS step, const * (1 - power(ar, h)) / (1 - ar) + power(ar, h) * last AS forecast,
+        const * (1 - power(ar, h)) / (1 - ar) + power(ar, h) * last - 1.959963984540054 * sqrt(sigma2 * (1 - power(ar, 2 * h)) / (1 - ar * ar)) AS lo
+    FROM ({_ar1_sql(_HOURLY)}) _x, unnest(generate_series(1, 24)) t(h)""",
+    ["forecast", "lo"],
+    bits=12,
+)
+def q_arima_100_forecast(spark, d):
+    """FC-03: 24 steps of the AR(1) of every hourly series with the lower bound."""
+    m = forecast.arima_fit(_hourly_clean(spark, d), (1, 0, 0), auto_stationary=False)
+    return forecast.arima_forecast(m, 24).select("series_id", "step", "forecast", "lo")
+
+
+_LINE = f"""
+SELECT series_id, regr_intercept(value, x) AS b0, regr_slope(value, x) AS b1, count(*) AS n, max(ts) AS last_ts FROM (
+  SELECT *, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY series_id)) / nullif((max(epoch_us(ts)) OVER (PARTITION BY series_id) - min(epoch_us(ts)) OVER (PARTITION BY series_id))::DOUBLE, 0) AS x
+  FROM ({_HOURLY}) _a) _b GROUP BY 1"""
+
+
+def _line(spark, d):
+    return forecast.trend_season_fit(_hourly_clean(spark, d), yearly=False, weekly=False, daily=False, changepoints=0)
+
+
+@register("trend_line_fit", f"SELECT series_id, b0, b1, n, 'ok' AS status FROM ({_LINE}) _x", ["b0", "b1"], bits=12)
+def q_trend_line_fit(spark, d):
+    """FC-05/07: the trend alone (no seasonality, no changepoints) is a straight line."""
+    return _line(spark, d).select("series_id", F.col("params")["b0"].alias("b0"), F.col("params")["b1"].alias("b1"), "n", "status")
+
+
+@register(
+    "trend_line_forecast",
+    f"""SELECT series_id, CAST(h AS INTEGER) AS step, last_ts + h * INTERVAL 1 HOUR AS ts, b0 + b1 * (1 + h * 3600000000 / span) AS forecast
+    FROM (SELECT _x.*, (SELECT (max(epoch_us(ts)) - min(epoch_us(ts)))::DOUBLE FROM ({_HOURLY}) _y WHERE _y.series_id = _x.series_id) AS span FROM ({_LINE}) _x) _z,
+      unnest(generate_series(1, 12)) t(h)""",
+    ["forecast"],
+    bits=12,
+)
+def q_trend_line_forecast(spark, d):
+    """FC-06: 12 future rows of the straight line, one modal step apart."""
+    return forecast.trend_season_forecast(_line(spark, d), 12, history=_hourly_clean(spark, d)).select("series_id", "step", "ts", "forecast")
+
+
 @register("adf_test")
 def q_adf_test(spark, d):
     """STA-01: ADF t-statistic, AIC lag choice and 5 % decision per user series."""
@@ -881,19 +1017,26 @@ def q_trend_season_forecast(spark, d):
     return forecast.trend_season_forecast(forecast.trend_season_fit(h), 48, history=h)
 
 
-@register("ensemble_fit")
+def _members():
+    from pulsegrid.operators import members
+
+    return [members.arima(), members.trend_season()]
+
+
+@register("ensemble_fit", f"SELECT series_id, unnest(['arima', 'trend_season']) AS model, 'ok' AS status FROM (SELECT DISTINCT series_id FROM ({S.P2}) _e) _f")
 def q_ensemble_fit(spark, d):
-    """ENS-01: both members fitted on every series; failures kept as status rows."""
-    return forecast.ensemble_fit(_hourly_clean(spark, d)).drop("state")
+    """ENS-01: both members fitted on every series; failures would be kept as status rows."""
+    from pulsegrid.operators import members
+
+    return members.fit_members(_hourly_clean(spark, d), _members()).status()
 
 
 @register("ensemble_models")
 def q_ensemble_models(spark, d):
     """ENS-02 over model forecasts: mean of ARIMA and trend-season forecasts per step."""
-    h = _hourly_clean(spark, d)
-    fa = forecast.arima_forecast(forecast.arima_fit(h), 24)
-    ft = forecast.trend_season_forecast(forecast.trend_season_fit(h), 24, history=h)
-    return baselines.ensemble(fa.unionByName(ft), "average")
+    from pulsegrid.operators import members
+
+    return members.fit_members(_hourly_clean(spark, d), _members()).predict(24, "average")
 
 
 def _iforest(spark, d, contamination=0.1):
@@ -923,6 +1066,27 @@ def q_iforest_detect(spark, d):
     return anomaly.flag(scores, anomaly.threshold(scores, 0.1))
 
 
+_SCORED = f"SELECT p.series_id, count(*) AS n, count(f.series_id) AS n_scored FROM ({S.P1}) p LEFT JOIN ({S.features(S.P1)}) f ON p.series_id = f.series_id AND p.ts = f.ts AND p.seq = f.seq GROUP BY 1"
+
+
+@register("iforest_scored", f"SELECT *, n_scored > 0 AS modelled FROM ({_SCORED}) _x")
+def q_iforest_scored(spark, d):
+    """ANO-02/03: rows scored per series; warm-up rows are not, and every scored row lies in (0, 1)."""
+    nodes, scores = _iforest(spark, d)
+    base = p1(spark, d).join(scores.where("score > 0 and score < 1"), ["series_id", "ts", "seq"], "left")
+    seen = base.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.count("score").alias("n_scored"))
+    return seen.join(nodes.select("series_id", F.lit(True).alias("m")), "series_id", "left").select("series_id", "n", "n_scored", F.coalesce("m", F.lit(False)).alias("modelled"))
+
+
+@register("iforest_model", f"SELECT series_id, 'isolation_forest' AS model, n_scored AS n, 0.1 AS contamination, 100.0 AS n_trees, CAST(least(n_scored, 256) AS DOUBLE) AS max_samples, 'ok' AS status FROM ({_SCORED}) _x WHERE n_scored > 0", ["contamination", "n_trees", "max_samples"])
+def q_iforest_model(spark, d):
+    """ANO-04/05: the stable columns of the model rows."""
+    nodes, scores = _iforest(spark, d)
+    p = F.col("params")
+    info = anomaly.model_info(nodes, anomaly.threshold(scores, 0.1), 0.1)
+    return info.select("series_id", "model", "n", p["contamination"].alias("contamination"), p["n_trees"].alias("n_trees"), p["max_samples"].alias("max_samples"), "status")
+
+
 @register("iforest_threshold")
 def q_iforest_threshold(spark, d):
     """ANO-04: flags re-derived from stored scores at contamination 0.05 (no refit)."""
@@ -1042,101 +1206,141 @@ def _models(spark, d):
     return forecast.trend_season_fit(_hourly_clean(spark, d), yearly=False)
 
 
-@register("registry_save")
+_FITTED = f"SELECT series_id, count(*) AS n FROM ({S.P2}) _r GROUP BY 1"
+_LOADED = "SELECT series_id, 'trend_season' AS model, 'trend_season' AS model_name, '{v}' AS version, 'ok' AS status, n FROM (" + _FITTED + ") _l"
+
+
+@register("registry_save", _LOADED.format(v="001"))
 def q_registry_save(spark, d):
     """REG-01: save per-series models under a name and version; returns the stored rows."""
     root = shared_dir(spark, "registry", unique=True)
-    name, version = registry.save_model(_models(spark, d), root, "trend_season", "v1", {"panel": "hourly"})
-    return registry.load_model(spark, root, name, version).drop("state")
+    name, version = registry.save_model(_models(spark, d), root, "trend_season", "001", {"panel": "hourly"})
+    return registry.load_model(spark, root, name, version).select("series_id", "model", "model_name", "version", "status", "n")
 
 
-@register("registry_load")
+@register("registry_load", _LOADED.format(v="1"))
 def q_registry_load(spark, d):
-    """REG-02: latest version of a model (partition-pruned read)."""
+    """REG-02: latest version of a model, beside another model of another schema."""
     root = shared_dir(spark, "registry", unique=True)
     m = _models(spark, d)
-    registry.save_model(m, root, "trend_season", "v1")
-    registry.save_model(m, root, "trend_season", "v2")
-    out = registry.load_model(spark, root, "trend_season").drop("state")
-    return out
+    registry.save_model(m, root, "trend_season", "1.0")
+    registry.save_model(m, root, "trend_season", "1")
+    registry.save_model(m.select("series_id", F.lit(1).alias("scale")), root, "scaler", "1")
+    return registry.load_model(spark, root, "trend_season").select("series_id", "model", "model_name", "version", "status", "n")
+
+
+_PLACED = "SELECT model_name, version, rows, n_fitted, source, row_number() OVER (ORDER BY nth DESC) AS place FROM ({}) _p"
 
 
-@register("registry_list")
+def _placed(df):
+    stamp = F.row_number().over(Window.orderBy(F.desc("saved_at")))  # one row a save
+    return df.select("model_name", "version", "rows", "n_fitted", F.col("metadata")["source"].alias("source"), stamp.cast("long").alias("place"))
+
+
+@register(
+    "registry_list",
+    _PLACED.format(
+        f"SELECT 'trend_season' AS model_name, 'v1' AS version, count(*) AS rows, count(*) AS n_fitted, 'hourly' AS source, 1 AS nth FROM ({_FITTED}) _a "
+        f"UNION ALL SELECT 'scaler', 'v1', {len(_FEAT_COLS)} * count(DISTINCT series_id), {len(_FEAT_COLS)} * count(DISTINCT series_id), NULL, 2 FROM ({S.features(S.P1)}) _b"
+    ),
+)
 def q_registry_list(spark, d):
-    """REG-03 + AGG-07: two models listed newest first with fitted counts; name filter."""
+    """REG-03 + AGG-07: two models listed newest first with fitted counts."""
     root = shared_dir(spark, "registry", unique=True)
-    registry.save_model(_models(spark, d), root, "trend_season", "v1")
+    registry.save_model(_models(spark, d), root, "trend_season", "v1", {"source": "hourly"})
     feats = rolling.anomaly_features(p1(spark, d))
     registry.save_model(clean.fit_scaler(feats, _FEAT_COLS).withColumn("status", F.lit("ok")), root, "scaler", "v1")
-    return registry.list_checkpoints(spark, root)
+    return _placed(registry.list_checkpoints(spark, root))
 
 
-@register("registry_delete")
+@register(
+    "registry_delete",
+    _PLACED.format(
+        f"SELECT 'trend_season' AS model_name, 'v1' AS version, count(*) AS rows, count(*) AS n_fitted, 'again' AS source, 2 AS nth FROM ({_FITTED}) _a "
+        f"UNION ALL SELECT 'trend_season', 'v3', count(*), count(*), NULL, 1 FROM ({_FITTED}) _b"
+    ),
+)
 def q_registry_delete(spark, d):
-    """REG-04: delete one version (tombstone); listing no longer shows it."""
+    """REG-04: deleted versions are not listed; one of them is saved again and is."""
     root = shared_dir(spark, "registry", unique=True)
     m = _models(spark, d)
-    registry.save_model(m, root, "trend_season", "v1")
-    registry.save_model(m, root, "trend_season", "v2")
+    for v in ("v1", "v2", "v3"):
+        registry.save_model(m, root, "trend_season", v)
     registry.delete_checkpoint(spark, root, "trend_season", "v1")
-    return registry.list_checkpoints(spark, root, "trend_season")
+    registry.delete_checkpoint(spark, root, "trend_season", "v2")
+    registry.save_model(m, root, "trend_season", "v1", {"source": "again"})
+    return _placed(registry.list_checkpoints(spark, root, "trend_season"))
+
+
+_METRICS_SQL = f"""SELECT f.series_id, f.model, count(*) AS n_compared, avg(abs(f.forecast - t.actual)) AS mae,
+       avg((f.forecast - t.actual) * (f.forecast - t.actual)) AS mse,
+       sqrt(avg((f.forecast - t.actual) * (f.forecast - t.actual))) AS rmse
+    FROM ({_BASE_FC}) f JOIN ({_TEST}) t ON f.series_id = t.series_id AND f.step = t.step
+    WHERE t.actual IS NOT NULL AND f.forecast IS NOT NULL GROUP BY 1, 2"""
 
 
 def _experiment(spark, d, finish: bool = True):
     root = shared_dir(spark, "experiments", unique=True)
     exp_id = experiments.start_experiment(spark, root, "baselines", "baseline forecasts on the hourly panel", {"train_fraction": 0.8, "season": 24})
     _, test, _, fc = _baseline(spark, d)
-    met = stats.forecast_metrics(test.select("series_id", "step", "actual"), fc)
+    met = materialize(stats.forecast_metrics(test.select("series_id", "step", "actual"), fc), "experiment")
     long = met.select(F.explode(F.array(*[F.struct(F.concat_ws(".", "series_id", "model", F.lit(m)).alias("name"), F.col(m).alias("value")) for m in ("mae", "rmse")])).alias("m")).select("m.*")
     experiments.log_metrics(long.withColumn("step", F.lit(1)), root, exp_id)
     experiments.save_result(spark, root, exp_id, "metrics", met, "json")
     if finish:
         experiments.finish_experiment(spark, root, exp_id, {"models": 3})
-    return root, exp_id
+    return root, exp_id, met.schema
+
 
+_SETUP = "description string, parameters struct<train_fraction: double, season: bigint>"
 
-@register("experiment_start")
+
+@register("experiment_start", "SELECT 'start' AS kind, 'baselines' AS name, 'baseline forecasts on the hourly panel' AS description, 0.8::DOUBLE AS train_fraction, 24::BIGINT AS season, '{\"train_fraction\":0.8,\"season\":24}' AS parameters", ["train_fraction"])
 def q_experiment_start(spark, d):
-    """EXP-01: start event with parameters."""
-    root, exp_id = _experiment(spark, d, finish=False)
-    ev = spark.read.schema(experiments.EVENTS).parquet(f"{root}/events")
-    return ev.filter(F.col("kind") == "start")
+    """EXP-01: start event; its parameters from JSON and back to it."""
+    root, exp_id, _ = _experiment(spark, d, finish=False)
+    ev = spark.read.schema(experiments.EVENTS).parquet(f"{root}/events").filter((F.col("kind") == "start") & (F.col("experiment_id") == exp_id))
+    p = F.from_json("payload", _SETUP).alias("p")
+    return ev.select("kind", "name", p).select("kind", "name", "p.description", "p.parameters.train_fraction", "p.parameters.season", F.to_json("p.parameters").alias("parameters"))
 
 
-@register("experiment_metrics")
+@register("experiment_metrics", f"SELECT series_id || '.' || model || '.mae' AS name, mae AS value, 1 AS step FROM ({_METRICS_SQL}) _a UNION ALL SELECT series_id || '.' || model || '.rmse', rmse, 1 FROM ({_METRICS_SQL}) _b", ["value"])
 def q_experiment_metrics(spark, d):
     """EXP-02: metric rows appended by the executors."""
-    root, exp_id = _experiment(spark, d)
-    return experiments.metrics_of(spark, root, exp_id)
+    root, exp_id, _ = _experiment(spark, d)
+    return experiments.metrics_of(spark, root, exp_id).select("name", "value", "step")
 
 
-@register("experiment_result")
+@register("experiment_result", _METRICS_SQL, ["mae", "mse", "rmse"])
 def q_experiment_result(spark, d):
-    """EXP-03: result table written under the experiment and read back."""
-    root, exp_id = _experiment(spark, d)
-    return spark.read.json(f"{root}/results/{exp_id}/metrics")
+    """EXP-03: result table written under the experiment and read back with its schema."""
+    root, exp_id, schema = _experiment(spark, d)
+    return files.read_frame(spark, f"{root}/results/{exp_id}/metrics", "json", schema)
 
 
-@register("experiment_finish")
+@register("experiment_finish", "SELECT 'finish' AS kind, 3::BIGINT AS models")
 def q_experiment_finish(spark, d):
-    """EXP-04: finish event."""
-    root, _ = _experiment(spark, d)
+    """EXP-04: finish event with the final results."""
+    root, _, _ = _experiment(spark, d)
     ev = spark.read.schema(experiments.EVENTS).parquet(f"{root}/events")
-    return ev.filter(F.col("kind") == "finish")
+    return ev.filter(F.col("kind") == "finish").select("kind", F.from_json("payload", "models bigint")["models"].alias("models"))
 
 
-@register("experiment_list")
+@register("experiment_list", f"SELECT 'baselines' AS name, 'completed' AS status, 2 * count(*) AS n_metrics, 1::BIGINT AS n_results, true AS in_order, 3::BIGINT AS models FROM ({_METRICS_SQL}) _a")
 def q_experiment_list(spark, d):
-    """EXP-05: latest state of all experiments, newest first."""
-    root, _ = _experiment(spark, d)
-    return experiments.list_experiments(spark, root)
+    """EXP-05: latest state of all experiments."""
+    root, _, _ = _experiment(spark, d)
+    found = experiments.list_experiments(spark, root)
+    return found.select("name", "status", "n_metrics", "n_results", (F.col("started") <= F.col("updated")).alias("in_order"), F.from_json("final_results", "models bigint")["models"].alias("models"))
 
 
-@register("dataset_manifest")
+@register("dataset_manifest", f"SELECT 'hourly_by_type' AS name, 'parquet' AS format, count(*) AS rows, 'events' AS source, 'series_id,ts,seq,value' AS columns FROM ({S.P2}) _m")
 def q_dataset_manifest(spark, d):
     """SNK-03: manifest row (name, time, format, rows, schema) written with the data."""
     path = shared_dir(spark, "datasets", "manifest", unique=True)
-    return files.save_dataset(p2(spark, d), path, "hourly_by_type", {"source": "events"}, "parquet")
+    row = files.save_dataset(p2(spark, d), path, "hourly_by_type", {"source": "events"}, "parquet")
+    fields = F.from_json("schema_json", "fields array<struct<name: string>>")["fields"]["name"]
+    return row.select("name", "format", "rows", F.col("metadata")["source"].alias("source"), F.array_join(fields, ",").alias("columns"))
 
 
 # ---------------------------------------------------------------- the blocked (hot-series) plan under the oracle

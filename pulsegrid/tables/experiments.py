@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.sources.files import write_frame
+from pulsegrid.tables.listing import read_listing
 
 EVENTS = T.StructType(
     [
@@ -64,7 +65,7 @@ def log_metrics(metrics: DataFrame, root: str, exp_id: str) -> None:
         F.col("value").cast("double").alias("value"),
         step.alias("step"),
         F.lit(None).cast("string").alias("payload"),
-        F.current_timestamp().cast("timestamp_ntz").alias("event_time"),
+        F.lit(_now().isoformat(sep=" ")).cast("timestamp_ntz").alias("event_time"),  # UTC like all events, whatever the session's zone
     ).write.mode("append").parquet(f"{root}/events")
 
 
@@ -82,13 +83,13 @@ def finish_experiment(spark: SparkSession, root: str, exp_id: str, final_results
 
 
 def metrics_of(spark: SparkSession, root: str, exp_id: str) -> DataFrame:
-    ev = spark.read.schema(EVENTS).option("ignoreCorruptFiles", "true").parquet(f"{root}/events")
+    ev = spark.read.schema(EVENTS).parquet(f"{root}/events")
     return ev.filter((F.col("experiment_id") == exp_id) & (F.col("kind") == "metric")).select("name", "value", "step", "event_time")
 
 
 def list_experiments(spark: SparkSession, root: str) -> DataFrame:
     """EXP-05: latest state of every experiment, newest first."""
-    ev = spark.read.schema(EVENTS).option("ignoreCorruptFiles", "true").parquet(f"{root}/events")
+    ev = read_listing(spark, f"{root}/events", EVENTS)
     return (
         ev.groupBy("experiment_id")
         .agg(
