@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.functions.numeric import key_normal, key_uniform
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import apply_windows, rank_within, with_ordinal
+from pulsegrid.plans.blocked import apply_windows, choose_plan, rank_within, with_ordinal
 
 BASE = [KEY, *ORDER]
 
@@ -53,7 +53,7 @@ def inject_spikes(
     """
     x = df.withColumn("_u", key_uniform(seed, "spike-pick"))
     n = x.groupBy(KEY).agg(F.floor(F.count(F.lit(1)) * F.lit(probability)).cast("long").alias("_k"))
-    x = rank_within(x, "_rk", [F.col("_u"), *[F.col(c) for c in ORDER]], F.col("_u"), plan)
+    x = rank_within(x, "_rk", [F.col("_u"), *[F.col(c) for c in ORDER]], plan)
     x = attach(x, n)
     hit = F.col("_rk") < F.col("_k")
     sign = F.when(key_uniform(seed, "spike-sign") < 0.5, -3.0).otherwise(3.0)
@@ -98,6 +98,7 @@ def difference(df: DataFrame, order: int = 1, col: str = "value", plan: str = "a
     if order < 0:
         raise ValueError("order must be >= 0")
     x = df.select(*BASE, F.col(col).alias("value"))
+    plan = choose_plan(x, plan) if order else plan
     for _ in range(order):
 
         def build(d: DataFrame, part) -> DataFrame:

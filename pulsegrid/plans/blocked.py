@@ -5,10 +5,10 @@ one Sort shared by every window column of an operator. A series is one task.
 
 Blocked plan (for very long series; one series may hold a third of all rows):
 
-1. ordinal: per-series count and time span -> each series is cut into
-   ``ceil(n / block_rows)`` equal time buckets; bucket row counts (a small table)
-   are prefix-summed into offsets; ``row_number`` inside ``(series_id, bucket)``
-   plus the offset is the exact global position ``_ord``.
+1. ordinal: the rows are written once in sampled ranges of ``(series_id, ts, seq)``
+   with about half a block of rows each; range row counts (a small table) are
+   prefix-summed into offsets; ``row_number`` inside ``(series_id, range)`` plus the
+   offset is the exact global position ``_ord``.
 2. ``_blk = floor(_ord / B)``; rows in the last ``lookback`` positions of a block
    are copied into the next block, rows in the first ``lookahead`` positions into
    the previous one (halo). Windows run over ``(series_id, _blk)`` and only the
@@ -16,8 +16,9 @@ Blocked plan (for very long series; one series may hold a third of all rows):
    exact.
 3. Unbounded fills use block summaries instead of halos (``carry_fill``).
 
-``choose_plan('auto')`` looks at the largest series once (one small aggregate,
-cached per logical plan) and takes the blocked plan above ``hot_rows``.
+``choose_plan('auto')`` looks at the largest series once (one small aggregate, kept for
+the same plan over the same files) and takes the blocked plan above ``hot_rows``. Both
+plans give the same rows.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY, ORDER, series_window
+from pulsegrid.plans.lineage import materialize
 
 HOT_ROWS = 5_000_000
 BLOCK_ROWS = 1_000_000
@@ -41,7 +43,9 @@ def default_block_rows() -> int:
     """Block size for plans built now: a per-thread override (``forced_blocks``) or ``BLOCK_ROWS``."""
     return getattr(_local, "block_rows", None) or BLOCK_ROWS
 
-_plan_cache: dict[tuple[int, int], str] = {}
+#: Decisions of the last plans: the plan itself (equal hashes are checked), its files, the choice.
+_plan_cache: dict[tuple, tuple[DataFrame, str]] = {}
+PLANS_KEPT = 64
 
 Builder = Callable[[DataFrame, Sequence[str]], DataFrame]
 
@@ -58,36 +62,27 @@ def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None)
         return plan
     if plan != "auto":
         raise ValueError(f"unknown plan: {plan}")
-    try:
-        key = (df.semanticHash(), hot_rows)
-    except Exception:  # pragma: no cover - older pyspark
-        key = None
-    if key is not None and key in _plan_cache:
-        return _plan_cache[key]
+    key = (df.semanticHash(), hot_rows, tuple(sorted(df.inputFiles())))
+    known = _plan_cache.get(key)
+    if known is not None and known[0].sameSemantics(df):
+        return known[1]
     row = df.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
     decided = "blocked" if row is not None and (row["m"] or 0) > hot_rows else "plain"
-    if key is not None:
-        _plan_cache[key] = decided
+    _plan_cache[key] = (df, decided)
+    while len(_plan_cache) > PLANS_KEPT:
+        _plan_cache.pop(next(iter(_plan_cache)))
     return decided
 
 
-def _bucketed(df: DataFrame, block_rows: int, bucket_key: Column | None = None) -> DataFrame:
-    """Adds ``__tb``: an equal-width bucket of ``bucket_key`` (default: the time)
-    inside the series, sized for about ``block_rows`` rows each. The key must be
-    monotone in the row order."""
-    key = (bucket_key if bucket_key is not None else epoch_micros("ts")).cast("double")
-    x0 = df.withColumn("__bk", key)
-    stats = x0.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("__bn"),
-        F.min("__bk").alias("__t0"),
-        F.max("__bk").alias("__t1"),
-    )
-    stats = stats.withColumn("__nb", F.greatest(F.lit(1), F.ceil(F.col("__bn") / F.lit(block_rows))))
-    # one row per series; Spark broadcasts it when small and AQE splits the hot key otherwise
-    x = x0.join(stats, KEY)
-    span = F.col("__t1") - F.col("__t0")
-    tb = F.when(span > 0, F.floor((F.col("__bk") - F.col("__t0")) / span * F.col("__nb"))).otherwise(F.lit(0))
-    return x.withColumn("__tb", F.least(F.col("__nb") - 1, tb).cast("long")).drop("__bn", "__t0", "__t1", "__nb", "__bk")
+def _bucketed(df: DataFrame, block_rows: int, order: Sequence[Column | str]) -> DataFrame:
+    """Adds ``__tb``: ascending ranges of ``(series, *order)`` with about half of ``block_rows`` rows each.
+
+    The range boundaries are sampled from the rows themselves, so bursts and equal
+    timestamps are split too (only rows equal in the whole order stay together). The rows
+    are written once in their ranges: counts, ranks and later readers see the same ranges.
+    """
+    ranges = max(1, -(-2 * df.count() // block_rows))
+    return materialize(df.repartitionByRange(ranges, KEY, *order).withColumn("__tb", F.spark_partition_id().cast("long")), "blocks")
 
 
 def blocked_ordinal(
@@ -95,13 +90,12 @@ def blocked_ordinal(
     block_rows: int | None = None,
     name: str = "_ord",
     order: Sequence[Column | str] = ORDER,
-    bucket_key: Column | None = None,
 ) -> DataFrame:
     """Exact 0-based rank inside the series by ``order`` without a per-series
-    sort in one task: bucket counts are prefix-summed over the small bucket table
-    and added to the rank inside each bucket."""
+    sort in one task: range counts are prefix-summed over the small range table
+    and added to the rank inside each range."""
     block_rows = block_rows or default_block_rows()
-    x = _bucketed(df, block_rows, bucket_key)
+    x = _bucketed(df, block_rows, order)
     counts = x.groupBy(KEY, "__tb").agg(F.count(F.lit(1)).alias("__bc"))
     wb = Window.partitionBy(KEY).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(KEY, "__tb", F.coalesce(F.sum("__bc").over(wb), F.lit(0)).alias("__off"))
@@ -110,13 +104,10 @@ def blocked_ordinal(
     return x.withColumn(name, (rn - 1 + F.col("__off")).cast("long")).drop("__tb", "__off")
 
 
-def rank_within(
-    df: DataFrame, name: str, order: Sequence[Column | str], bucket_key: Column, plan: str = "auto", block_rows: int | None = None
-) -> DataFrame:
-    """0-based rank inside each series by ``order`` (``bucket_key`` is a numeric
-    column monotone in that order, used to cut a long series into blocks)."""
+def rank_within(df: DataFrame, name: str, order: Sequence[Column | str], plan: str = "auto", block_rows: int | None = None) -> DataFrame:
+    """0-based rank inside each series by ``order``."""
     if choose_plan(df, plan) == "blocked":
-        return blocked_ordinal(df, block_rows, name, order, bucket_key)
+        return blocked_ordinal(df, block_rows, name, order)
     return df.withColumn(name, (F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) - 1).cast("long"))
 
 
@@ -178,9 +169,11 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
         return _fill_cols(x, series_window(), v)
     block_rows = block_rows or default_block_rows()
     x = blocked_ordinal(df, block_rows, "ord")
-    x = x.withColumn("_blk", F.floor(F.col("ord") / block_rows).cast("long"))
+    # read by the summary, the block list and the fill: written once
+    x = materialize(x.withColumn("_blk", F.floor(F.col("ord") / block_rows).cast("long")), "blocks")
+    rows = x
     x = _fill_cols(x, series_window("_blk"), v)
-    nn = x.filter(v.isNotNull())
+    nn = rows.filter(v.isNotNull())
     summary = nn.groupBy(KEY, "_blk").agg(
         F.max_by(F.struct(v.alias("v"), F.col("ord").alias("o"), epoch_micros("ts").alias("t")), F.col("ord")).alias(
             "_last"
@@ -191,7 +184,7 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
     )
     wb = Window.partitionBy(KEY).orderBy("_blk")
     # every block without a non-null value still needs carries: take them from the block list
-    blocks = x.select(KEY, "_blk").distinct()
+    blocks = rows.select(KEY, "_blk").distinct()
     allb = blocks.join(summary, [KEY, "_blk"], "left")
     carry = allb.select(
         KEY,

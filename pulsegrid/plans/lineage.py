@@ -8,13 +8,27 @@ refitting.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.session import shared_dir
 
 
+_made: list[str] = []
+
+
 def materialize(df: DataFrame, tag: str = "tables") -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, "materialized", tag, unique=True)
     df.write.mode("errorifexists").parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the folders that ``materialize`` wrote in this process; for the end of a job, when
+    its results are stored elsewhere. Returns how many were deleted."""
+    n = 0
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n

@@ -1,13 +1,14 @@
 """Session helpers: a tuned local session for tests/bench, and the shared folder.
 
 On a cluster the session is built by ``spark-submit``; only ``shared_dir`` is used
-there. It reads ``spark.checkpoint.dir`` from the running session and only falls
-back to a folder of our own when the setting is absent (local tests).
+there. It reads ``spark.checkpoint.dir`` from the running session; a folder of our own
+is used only in local mode (tests), elsewhere a missing setting is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,11 +43,13 @@ def get_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set our own only when none is configured."""
+    """Return the cluster's checkpoint folder; set our own only in local mode when none is configured."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     target = conf or _FALLBACK_DIR
     spark.sparkContext.setCheckpointDir(target)
     return spark.sparkContext.getCheckpointDir() or target

@@ -142,3 +142,23 @@ def test_blocked_quantiles_keep_all_null_series(spark):
     a = quantiles.quantiles(df, [0.5], plan="blocked", max_sort_rows=4, fanout=4)
     b = quantiles.quantiles(df, [0.5], plan="plain")
     assert rows(a) == rows(b)
+
+
+def _bursty(spark, kind):
+    """20,000 rows: nine tenths in one minute of a year, or all at one time."""
+    from pyspark.sql import functions as F
+
+    ts = F.timestamp_seconds(F.lit(1_700_000_000) + (F.when(F.col("id") % 10 == 0, F.col("id") * 1500).otherwise(F.col("id") % 60) if kind == "burst" else F.lit(0)))
+    return spark.range(20_000).select(F.lit("a").alias("series_id"), ts.cast("timestamp_ntz").alias("ts"), F.col("id").alias("seq"), (F.col("id") % 97).cast("double").alias("value"))
+
+
+@pytest.mark.parametrize("kind", ["burst", "tied"])
+def test_bursts_and_ties_are_split(spark, kind):
+    from pulsegrid.plans.lineage import materialize
+
+    df = materialize(_bursty(spark, kind))
+    largest = blocked._bucketed(df, 1000, ["ts", "seq"]).groupBy("series_id", "__tb").count().agg({"count": "max"}).first()[0]
+    assert largest <= 2000
+    with blocked.forced_blocks(1000):
+        a = rolling.rolling_stats(df, 30, plan="blocked")
+    assert rows(a) == rows(rolling.rolling_stats(df, 30, plan="plain"))
