@@ -30,10 +30,20 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+#: Rows whose texts are Python objects at once.
+ROWS = 1000
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, max(b.num_rows, 1), ROWS):
+            yield b.slice(at, ROWS)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` over batches of at most ``ROWS`` rows, with the package shipped to the workers."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(lambda batches: fn(_cut(batches)), schema)
 
 
 def type_of(df: DataFrame, name: str) -> str:

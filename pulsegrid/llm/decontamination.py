@@ -41,7 +41,7 @@ TOKEN = re.compile(r"[^\W_]+")
 BLOCK = 2_000
 BITS = 2
 #: Words of documents compared at once.
-PIECE = 300_000
+PIECE = 100_000
 U = np.uint64
 
 

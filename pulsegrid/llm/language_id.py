@@ -31,7 +31,7 @@ from pulsegrid.llm.common import map_batches, type_of
 
 ORDERS = (1, 2, 3, 4)
 #: Code points handled at once; longer texts go through in pieces that overlap by an n-gram.
-PIECE = 1_000_000
+PIECE = 250_000
 UND = "und"
 
 

@@ -127,7 +127,7 @@ def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
 FIELDS = "row_id string, n_tokens int, ids binary, cu_seqlens array<int>, position_resets array<int>, doc_ids array<{}>, doc_starts array<int>"
 
 
-def packed(docs: DataFrame, capacity: int = 2048, group_tokens: int = 1_000_000, pad: int = 50_256, vocab: str = VOCAB) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = 2048, group_tokens: int = 500_000, pad: int = 50_256, vocab: str = VOCAB) -> DataFrame:
     """One row per packed line of ``capacity`` ids over ``docs(doc_id, text)``.
 
     ``cu_seqlens``: 0 and the end of each segment; ``position_resets``: where position ids start again at 0
