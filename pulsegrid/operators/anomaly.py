@@ -1,16 +1,17 @@
 """ANO-02..05: isolation forest per series (100 trees, <= 256 rows each).
 
-* Sampling (SEM-16 hashes, independent of partitioning): a series with
-  ``n * trees <= replicate_limit`` rows is replicated once per tree and each tree
-  keeps its ``psi = min(256, n)`` smallest per-tree hashes (exact sampling
-  without replacement). A longer series deals a hash-thresholded candidate set
-  across the trees (disjoint samples), each tree keeping its ``psi`` smallest.
+* Sampling (SEM-16 hashes, independent of partitioning), one scheme for every length: a
+  row's hash for a tree is compared with a limit that leaves each tree somewhat more than
+  ``psi = min(256, n)`` rows; a row is sent once, with the trees it passes, and each tree
+  keeps its ``psi`` smallest hashes (sampling without replacement).
 * Building: ``groupBy(series_id).applyInPandas`` over the sample of the series,
-  which is bounded by ``trees * 256`` rows whatever the series length; all trees
+  which is bounded by about ``trees * 350`` rows whatever the series length; all trees
   grow together level by level with array operations (``grow_forest``).
-* Scoring: rows are cut into hash chunks of <= ``chunk_rows``; the node table of
-  the series is joined to each chunk and ``cogroup(...).applyInPandas`` walks all
-  trees vectorised. No group ever holds a whole long series.
+* Scoring a stored forest: rows are cut into hash chunks of <= ``chunk_rows``; the node table
+  of the series is joined to each chunk and ``cogroup(...).applyInPandas`` walks it tree
+  by tree. No group ever holds a whole long series.
+* ``iforest_scores`` fits and scores in one go. A series of at most ``max_samples`` rows is its
+  own sample, so its forest is grown and walked inside one group and never stored.
 * Flag: score above the ``1 - contamination`` quantile of the training scores
   (the same rule as the reference's detector).
 """
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER
-from pulsegrid.functions.numeric import hash_uniform
 from pulsegrid.operators.quantiles import quantiles
 from pulsegrid.operators.stats import attach
 from pulsegrid.plans.lineage import materialize
@@ -63,6 +63,11 @@ NODE_SCHEMA = T.StructType(
 )
 
 
+SCORE_SCHEMA = T.StructType(
+    [T.StructField(KEY, T.StringType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType()), T.StructField("score", T.DoubleType())]
+)
+
+
 def _c(n):
     """Average path length of an unsuccessful BST search (vectorised)."""
     n = np.asarray(n, dtype=float)
@@ -73,27 +78,30 @@ def _c(n):
     return out
 
 
-def sample_rows(features: DataFrame, n_trees: int = 100, max_samples: int = 256, seed: int = 42, replicate_limit: int = 3_000_000) -> DataFrame:
-    """(series_id, tree, ts, seq, features...) rows of every tree's sample.
+def sample_rows(features: DataFrame, n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
+    """(series_id, ts, seq, features..., picks): each sampled row once, with the trees that may keep it and its hash for each.
 
-    ``tree = -1`` marks a series short enough (n <= max_samples) that every tree
-    uses all of its rows: those rows are sent once, not once per tree.
+    The limit is exceeded by a tree's ``psi`` smallest hashes with a chance below 1e-6 (expected
+    rows psi + 6 sqrt(psi)); such a tree would be a few rows short, which is still a valid sample.
     """
     n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
     x = attach(features, n)
-    whole = x.filter(F.col("_n") <= max_samples).withColumn("tree", F.lit(-1)).drop("_n")
-    small = x.filter((F.col("_n") > max_samples) & (F.col("_n") * n_trees <= replicate_limit))
-    big = x.filter(F.col("_n") * n_trees > replicate_limit)
-    rep = small.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    rep = rep.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", "tree", salt="iforest-sample"))
-    # margin makes a short tree practically impossible; a short tree is still valid (its own size)
-    rate = F.least(F.lit(1.0), F.lit(n_trees * max_samples * 1.2) / F.col("_n") + 10.0 / F.sqrt(F.col("_n")))
-    deal = big.withColumn("_u", hash_uniform(seed, KEY, "ts", "seq", salt="iforest-deal")).filter(F.col("_u") < rate)
-    deal = deal.withColumn("tree", (F.abs(F.xxhash64(F.lit(seed), KEY, "ts", "seq")) % n_trees).cast("int"))
-    both = rep.unionByName(deal)
-    w = Window.partitionBy(KEY, "tree").orderBy("_u", *ORDER)
-    picked = both.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= max_samples).drop("_rk", "_u", "_n")
-    return whole.unionByName(picked)
+    limit = F.least(F.lit(1.0), F.lit(max_samples + 6.0 * math.sqrt(max_samples)) / F.col("_n"))
+    row = F.xxhash64(F.lit(int(seed)), F.lit("iforest-sample"), KEY, "ts", "seq")
+    draws = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(t.alias("tree"), (F.shiftrightunsigned(F.xxhash64(row, t), 11).cast("double") / F.lit(float(2**53))).alias("u")))
+    return x.withColumn("picks", F.filter(draws, lambda d: d["u"] < limit)).filter(F.size("picks") > 0).drop("_n")
+
+
+def _samples(pdf: pd.DataFrame, n_trees: int, max_samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, tree) of every tree's sample: its ``max_samples`` smallest hashes."""
+    row = np.repeat(np.arange(len(pdf)), [len(p) for p in pdf["picks"]])
+    tree = np.fromiter((d["tree"] for p in pdf["picks"] for d in p), np.int64, len(row))
+    u = np.fromiter((d["u"] for p in pdf["picks"] for d in p), float, len(row))
+    order = np.lexsort((u, tree))
+    tree, row = tree[order], row[order]
+    place = np.arange(len(tree)) - np.searchsorted(tree, tree, side="left")
+    keep = place < max_samples
+    return row[keep], tree[keep]
 
 
 def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int, rng: np.random.Generator):
@@ -111,7 +119,7 @@ def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int
     split = [np.nan] * n_trees
     left = [-1] * n_trees
     right = [-1] * n_trees
-    size = list(np.bincount(node_of, minlength=n_trees))
+    size = list(np.bincount(node_of, minlength=n_trees))  # rows of a node when it was made
     tree, feature, split, left, right, size = (np.asarray(v) for v in (tree, feature, split, left, right, size))
     split = split.astype(float)
     frontier = np.arange(n_trees)
@@ -163,35 +171,36 @@ def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int
         left = np.concatenate([left, np.full(2 * m, -1)])
         right = np.concatenate([right, np.full(2 * m, -1)])
         n_nodes += 2 * m
-        size = np.bincount(node_of, minlength=n_nodes)
+        size = np.concatenate([size, np.bincount(node_of, minlength=n_nodes)[n_nodes - 2 * m :]])
         frontier = np.arange(n_nodes - 2 * m, n_nodes)
-    # sizes of internal nodes are not used by scoring; keep the final row counts at leaves
     return tree, feature, split, left, right, size
 
 
-def iforest_fit(
-    features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42, replicate_limit: int = 3_000_000
-) -> DataFrame:
-    """ANO-02: the forest of every series (one row of node arrays per series)."""
-    cols = list(cols)
+def _depth_limit(psi: int) -> int:
+    return max(1, int(math.ceil(math.log2(max(psi, 2)))))
+
+
+def _rng(seed: int, sid) -> np.random.Generator:
+    return np.random.default_rng([seed, zlib.crc32(str(sid).encode())])
+
+
+def _check(cols: list[str], n_trees: int) -> None:
     if len(cols) > 127 or n_trees > 32767:
         raise ValueError("at most 127 feature columns and 32767 trees")
-    sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed, replicate_limit)
+
+
+def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
+    """ANO-02: the forest of every series (one row of node arrays per series)."""
+    cols = list(cols)
+    _check(cols, n_trees)
+    sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed)
 
     def build_all(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = pdf[KEY].iloc[0]
         X = pdf[cols].to_numpy(dtype=float)
-        t = pdf["tree"].to_numpy()
-        if (t < 0).all():
-            psi = len(X)
-            Xa = np.tile(X, (n_trees, 1))
-            ta = np.repeat(np.arange(n_trees), len(X))
-        else:
-            psi = int(np.bincount(t, minlength=n_trees).max())
-            Xa, ta = X, t
-        limit = max(1, int(math.ceil(math.log2(max(psi, 2)))))
-        rng = np.random.default_rng([seed, zlib.crc32(str(sid).encode())])
-        tree, feature, split, left, right, size = grow_forest(Xa, ta, n_trees, limit, rng)
+        row, t = _samples(pdf, n_trees, max_samples)
+        psi = int(np.bincount(t, minlength=n_trees).max())
+        tree, feature, split, left, right, size = grow_forest(X[row], t, n_trees, _depth_limit(psi), _rng(seed, sid))
         return pd.DataFrame(
             {
                 KEY: [sid],
@@ -210,6 +219,49 @@ def iforest_fit(
     return materialize(sampled.groupBy(KEY).applyInPandas(build_all, FOREST_SCHEMA), "iforest_forest")
 
 
+#: Pairs of rows and trees that are walked at once.
+PAIRS = 1 << 15
+
+
+def walk(X: np.ndarray, feature, split, left, size, n_trees: int, psi: int) -> np.ndarray:
+    """Scores ``2 ** (-E[h(x)] / c(psi))``: all rows through some trees at a time, one for many rows (node t is the root of tree t)."""
+    total = np.zeros(len(X))
+    length = _c(size)
+    some = max(1, PAIRS // max(len(X), 1))
+    for first in range(0, n_trees, some):
+        trees = np.arange(first, min(first + some, n_trees))
+        at, row = np.repeat(trees, len(X)), np.tile(np.arange(len(X)), len(trees))
+        depth = np.zeros(len(at))
+        inside = np.flatnonzero(feature[at] >= 0)
+        while len(inside):
+            p = at[inside]
+            at[inside] = left[p] + ~(X[row[inside], feature[p]] < split[p])
+            depth[inside] += 1
+            inside = inside[feature[at[inside]] >= 0]
+        total += (depth + length[at]).reshape(len(trees), len(X)).sum(axis=0)
+    return np.power(2.0, -(total / n_trees) / max(_c([psi])[0], 1e-12))
+
+
+def iforest_scores(features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
+    """ANO-02/03 in one go: the scores of every row under its series' forest, which equal those of
+    ``iforest_score`` with ``iforest_fit``. Forests of long series only are stored on the way."""
+    cols = list(cols)
+    _check(cols, n_trees)
+    n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    x = attach(features.select(KEY, *ORDER, *cols), n)
+    long = x.filter(F.col("_n") > max_samples).drop("_n")
+
+    def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(ORDER), kind="stable")
+        X = pdf[cols].to_numpy(dtype=float)
+        psi = len(X)
+        tree, feature, split, left, _, size = grow_forest(np.tile(X, (n_trees, 1)), np.repeat(np.arange(n_trees), psi), n_trees, _depth_limit(psi), _rng(seed, pdf[KEY].iloc[0]))
+        return pdf[[KEY, *ORDER]].assign(score=walk(X, feature, split, left, size, n_trees, psi))
+
+    short = x.filter(F.col("_n") <= max_samples).drop("_n").groupBy(KEY).applyInPandas(fit_and_score, SCORE_SCHEMA)
+    return short.unionByName(iforest_score(long, iforest_fit(long, cols, n_trees, max_samples, seed), cols, seed=seed))
+
+
 def forest_nodes(forest: DataFrame) -> DataFrame:
     """The forest as a long node table ``(series_id, tree, node, feature, split, left, right, size)``."""
     z = F.arrays_zip("tree", "feature", "split", "left", "size")
@@ -227,11 +279,6 @@ def forest_nodes(forest: DataFrame) -> DataFrame:
     )
 
 
-SCORE_SCHEMA = T.StructType(
-    [T.StructField(KEY, T.StringType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("seq", T.LongType()), T.StructField("score", T.DoubleType())]
-)
-
-
 def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], chunk_rows: int = 200_000, seed: int = 42) -> DataFrame:
     """ANO-03 scoring: ``2 ** (-E[h(x)] / c(psi))`` over all trees of the series."""
     cols = list(cols)
@@ -249,31 +296,9 @@ def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], c
         if tree_nodes.empty:
             s = np.full(len(X), np.nan)
         else:
-            # global, dense node ids per series; node t is the root of tree t
             f0 = tree_nodes.iloc[0]
-            feat = np.asarray(f0["feature"], dtype=np.int64)
-            split = np.asarray(f0["split"], dtype=float)
-            left = np.asarray(f0["left"], dtype=np.int64)
-            right = left + 1
-            size = np.asarray(f0["size"])
-            psi = int(f0["psi"])
-            n_trees = int(f0["n_trees"])
-            starts = np.arange(n_trees)
-            s = np.empty(len(X))
-            for lo in range(0, len(X), 4096):
-                xb = X[lo : lo + 4096]
-                pos = np.tile(starts, (len(xb), 1))
-                depth = np.zeros(pos.shape)
-                r_idx = np.repeat(np.arange(len(xb))[:, None], n_trees, axis=1)
-                active = feat[pos] >= 0
-                while active.any():
-                    p = pos[active]
-                    go = xb[r_idx[active], feat[p]] < split[p]
-                    pos[active] = np.where(go, left[p], right[p])
-                    depth[active] += 1
-                    active = feat[pos] >= 0
-                h = depth + _c(size[pos])
-                s[lo : lo + 4096] = np.power(2.0, -h.mean(axis=1) / max(_c([psi])[0], 1e-12))
+            arrays = (np.asarray(f0["feature"], dtype=np.int64), np.asarray(f0["split"], dtype=float), np.asarray(f0["left"], dtype=np.int64), np.asarray(f0["size"]))
+            s = walk(X, *arrays, int(f0["n_trees"]), int(f0["psi"]))
         return pd.DataFrame({KEY: rows[KEY].to_numpy(), "ts": rows["ts"].to_numpy(), "seq": rows["seq"].to_numpy(), "score": s})
 
     return x.groupBy(KEY, "_chunk").cogroup(nodes_c.groupBy(KEY, "_chunk")).applyInPandas(score, SCORE_SCHEMA)
@@ -298,17 +323,16 @@ def flag(scores: DataFrame, cut: DataFrame) -> DataFrame:
     return attach(scores, cut.select(KEY, "threshold")).withColumn("anomaly", F.col("score") > F.col("threshold")).drop("threshold")
 
 
-def model_info(forest: DataFrame, cut: DataFrame, contamination: float) -> DataFrame:
-    """ANO-05: one model row per series."""
-    trees = forest.select(KEY, "n_trees", "psi")
-    return trees.join(cut, KEY).select(
+def model_info(cut: DataFrame, contamination: float, n_trees: int = 100, max_samples: int = 256) -> DataFrame:
+    """ANO-05: one model row per series, from the cuts of its scores (``threshold``)."""
+    return cut.select(
         KEY,
         F.lit("isolation_forest").alias("model"),
         F.create_map(
             F.lit("contamination"), F.lit(float(contamination)),
             F.lit("threshold"), F.col("threshold"),
-            F.lit("n_trees"), F.col("n_trees").cast("double"),
-            F.lit("max_samples"), F.col("psi").cast("double"),
+            F.lit("n_trees"), F.lit(float(n_trees)),
+            F.lit("max_samples"), F.least(F.col("n_scored"), F.lit(max_samples)).cast("double"),
         ).alias("params"),
         F.col("n_scored").alias("n"),
         F.lit("ok").alias("status"),

@@ -18,9 +18,9 @@ Rules (ours, because a real stream can be out of order):
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import re
 import warnings
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -65,6 +65,10 @@ STATE_SCHEMA = T.StructType(
 )
 
 
+#: Rows of a series whose windows are laid out at once.
+SLICE = 20_000
+
+
 def _window_stats(vals: np.ndarray, n_new: int, window: int, void_nulls: bool = True):
     """Statistics of the trailing ``window`` values ending at each of the last
     ``n_new`` positions of ``vals`` (NaN = NULL value), vectorised. With
@@ -131,29 +135,32 @@ def _processor(window: int, band_window: int, margin: float):
                 n_buf = min(len(vals), window)
                 outs.append(pd.DataFrame({KEY: sid, "ts_us": t[late], "seq": q[late], "mean": np.nan, "std": np.nan, "min": np.nan, "max": np.nan, "median": np.nan, "current": v[late], "window_size": n_buf, "mean_zero_pad": np.nan, "band_mean": np.nan, "band_lo": np.nan, "band_hi": np.nan, "late": True}))
             if ok.any():
-                tn, qn, vn = t[ok], q[ok], v[ok]
-                allv = np.concatenate([vals, vn])
-                rows, mean, std, mn, mx, med, zero = _window_stats(allv, len(vn), window)
-                out = {KEY: sid, "ts_us": tn, "seq": qn, "mean": mean, "std": std, "min": mn, "max": mx, "median": med, "current": vn, "window_size": rows, "mean_zero_pad": zero}
-                if band_window > 0:
-                    _, bmean, _, bmin, bmax, _, _ = _window_stats(allv, len(vn), band_window, void_nulls=False)
-                    allm = np.concatenate([means, bmean])
-                    mpad = np.concatenate([np.full(band_window - 1, np.nan), allm])
-                    mw = sliding_window_view(mpad, band_window)[-len(vn):]
-                    with warnings.catch_warnings():
-                        warnings.simplefilter("ignore", RuntimeWarning)
-                        lo_b = np.fmin(bmin, np.nanmin(mw, axis=1))
-                        hi_b = np.fmax(bmax, np.nanmax(mw, axis=1))
-                    padw = (hi_b - lo_b) * margin
-                    bad = np.isnan(bmean)
-                    out.update(band_mean=bmean, band_lo=np.where(bad, np.nan, lo_b - padw), band_hi=np.where(bad, np.nan, hi_b + padw))
-                    means = allm[-band_window:]
-                else:
-                    out.update(band_mean=np.nan, band_lo=np.nan, band_hi=np.nan)
-                out["late"] = False
-                outs.append(pd.DataFrame(out))
-                vals = allv[-keep:]
-                last_ts, last_seq = int(tn[-1]), int(qn[-1])
+                t, q, v = t[ok], q[ok], v[ok]
+                # a long micro-batch goes through in slices: the window matrices stay small
+                for cut in range(0, len(t), SLICE):
+                    tn, qn, vn = t[cut : cut + SLICE], q[cut : cut + SLICE], v[cut : cut + SLICE]
+                    allv = np.concatenate([vals, vn])
+                    rows, mean, std, mn, mx, med, zero = _window_stats(allv, len(vn), window)
+                    out = {KEY: sid, "ts_us": tn, "seq": qn, "mean": mean, "std": std, "min": mn, "max": mx, "median": med, "current": vn, "window_size": rows, "mean_zero_pad": zero}
+                    if band_window > 0:
+                        _, bmean, _, bmin, bmax, _, _ = _window_stats(allv, len(vn), band_window, void_nulls=False)
+                        allm = np.concatenate([means, bmean])
+                        mpad = np.concatenate([np.full(band_window - 1, np.nan), allm])
+                        mw = sliding_window_view(mpad, band_window)[-len(vn):]
+                        with warnings.catch_warnings():
+                            warnings.simplefilter("ignore", RuntimeWarning)
+                            lo_b = np.fmin(bmin, np.nanmin(mw, axis=1))
+                            hi_b = np.fmax(bmax, np.nanmax(mw, axis=1))
+                        padw = (hi_b - lo_b) * margin
+                        bad = np.isnan(bmean)
+                        out.update(band_mean=bmean, band_lo=np.where(bad, np.nan, lo_b - padw), band_hi=np.where(bad, np.nan, hi_b + padw))
+                        means = allm[-band_window:]
+                    else:
+                        out.update(band_mean=np.nan, band_lo=np.nan, band_hi=np.nan)
+                    out["late"] = False
+                    outs.append(pd.DataFrame(out))
+                    vals = allv[-keep:]
+                    last_ts, last_seq = int(tn[-1]), int(qn[-1])
         state.update(([None if np.isnan(x) else float(x) for x in vals], [None if np.isnan(x) else float(x) for x in means], last_ts, last_seq))
         if outs:
             res = pd.concat(outs, ignore_index=True)[cols]
@@ -175,31 +182,32 @@ def stream_rolling(stream: DataFrame, window: int = 30, band_window: int = 0, ma
     return out.withColumn("ts", ts).drop("ts_us")
 
 
-def replay_source(spark: SparkSession, path: str, files_per_trigger: int = 1, schema: T.StructType = INPUT_SCHEMA) -> DataFrame:
-    """SRC-05 / STR-05: stored rows replayed as micro-batches (one or more files each)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def replay_source(spark: SparkSession, path: str, files_per_trigger: int = 4, schema: T.StructType = INPUT_SCHEMA) -> DataFrame:
+    """SRC-05 / STR-05: rows staged by ``stage_for_replay`` as micro-batches of some files each."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+
 
+def stage_for_replay(df: DataFrame, path: str, chunks: int = 4, files_per_chunk: int = 4) -> None:
+    """Write a frame once, as ``chunks`` consecutive time ranges of ``files_per_chunk`` files each.
 
-def stage_for_replay(df: DataFrame, path: str, chunks: int = 4, files_per_chunk: int = 1) -> None:
-    """Write a frame as ``chunks`` consecutive time ranges, one append per range,
-    so the file source (which orders new files by modification time) replays
-    them in time order. Range cuts are quantiles of ``ts`` from one small
-    aggregate; every row lands in exactly one range. Each range is written by
-    ``files_per_chunk`` tasks; replay it with ``maxFilesPerTrigger`` equal to that
-    number (all files of a range are older than those of the next range; a range
-    needs at least ``files_per_chunk`` rows so that it yields that many files)."""
+    Range cuts are quantiles of ``ts`` from one small aggregate; every row lands in exactly one range, and
+    a series in one file of each range. The file source takes files by modification time, so the files
+    of later ranges get later times: of any series the earlier range comes first, whatever the
+    number of files a trigger takes."""
+    spark = df.sparkSession
     us = epoch_micros("ts")
     cuts = df.agg(F.percentile_approx(us, [i / chunks for i in range(1, chunks)], 10000).alias("q")).first()["q"] if chunks > 1 else []
-    bounds = [None, *sorted(set(cuts or [])), None]
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (us > F.lit(lo))
-        if hi is not None:
-            cond = cond & (us <= F.lit(hi))
-        part = df.filter(cond)
-        part = part.coalesce(1) if files_per_chunk == 1 else part.repartition(files_per_chunk)
-        part.write.mode("append").parquet(path)
+    place = sum(((us > F.lit(c)).cast("int") for c in sorted(set(cuts or []))), F.lit(0))
+    x = df.withColumn("_range", place).withColumn("_file", F.pmod(F.xxhash64(KEY), F.lit(files_per_chunk)))
+    x.repartition(chunks * files_per_chunk, "_range", "_file").write.partitionBy("_range", "_file").parquet(path)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, stamp = fs.listFiles(root, True), 1_000_000_000_000
+    while found.hasNext():
+        f = found.next().getPath()
+        nth = re.search(r"/_range=(\d+)/", f.toString())
+        if nth:
+            fs.setTimes(f, stamp + 1000 * int(nth[1]), -1)
 
 
 def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None) -> None:

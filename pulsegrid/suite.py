@@ -864,7 +864,6 @@ def q_scalar_functions(spark, d):
 
 
 # ---------------------------------------------------------------- models (rows-only: no SQL oracle)
-from pyspark import StorageLevel  # noqa: E402
 
 from pulsegrid.operators import anomaly, forecast  # noqa: E402
 from pulsegrid.plans.lineage import materialize  # noqa: E402
@@ -1039,16 +1038,12 @@ def q_ensemble_models(spark, d):
     return members.fit_members(_hourly_clean(spark, d), _members()).predict(24, "average")
 
 
-def _iforest(spark, d, contamination=0.1):
+def _iforest(spark, d):
     feats = rolling.anomaly_features(p1(spark, d))
     scaler = clean.fit_scaler(feats, _FEAT_COLS)
-    # features feed the fit and the scoring: computed once
-    scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS).persist(StorageLevel.MEMORY_AND_DISK)
-    nodes = anomaly.iforest_fit(scaled, _FEAT_COLS, 100, 256, 42)
+    scaled = clean.apply_scaler(feats, scaler, _FEAT_COLS)
     # scores feed both the per-series cut and the flags: written once, read twice
-    scores = materialize(anomaly.iforest_score(scaled, nodes, _FEAT_COLS), "iforest_scores")
-    scaled.unpersist()
-    return nodes, scores
+    return materialize(anomaly.iforest_scores(scaled, _FEAT_COLS, 100, 256, 42), "iforest_scores")
 
 
 @register("iforest_fit")
@@ -1062,7 +1057,7 @@ def q_iforest_fit(spark, d):
 @register("iforest_detect")
 def q_iforest_detect(spark, d):
     """ANO-03: scores and flags at contamination 0.1."""
-    _, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     return anomaly.flag(scores, anomaly.threshold(scores, 0.1))
 
 
@@ -1072,39 +1067,39 @@ _SCORED = f"SELECT p.series_id, count(*) AS n, count(f.series_id) AS n_scored FR
 @register("iforest_scored", f"SELECT *, n_scored > 0 AS modelled FROM ({_SCORED}) _x")
 def q_iforest_scored(spark, d):
     """ANO-02/03: rows scored per series; warm-up rows are not, and every scored row lies in (0, 1)."""
-    nodes, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     base = p1(spark, d).join(scores.where("score > 0 and score < 1"), ["series_id", "ts", "seq"], "left")
     seen = base.groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.count("score").alias("n_scored"))
-    return seen.join(nodes.select("series_id", F.lit(True).alias("m")), "series_id", "left").select("series_id", "n", "n_scored", F.coalesce("m", F.lit(False)).alias("modelled"))
+    return seen.withColumn("modelled", F.col("n_scored") > 0)
 
 
 @register("iforest_model", f"SELECT series_id, 'isolation_forest' AS model, n_scored AS n, 0.1 AS contamination, 100.0 AS n_trees, CAST(least(n_scored, 256) AS DOUBLE) AS max_samples, 'ok' AS status FROM ({_SCORED}) _x WHERE n_scored > 0", ["contamination", "n_trees", "max_samples"])
 def q_iforest_model(spark, d):
     """ANO-04/05: the stable columns of the model rows."""
-    nodes, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     p = F.col("params")
-    info = anomaly.model_info(nodes, anomaly.threshold(scores, 0.1), 0.1)
+    info = anomaly.model_info(anomaly.threshold(scores, 0.1), 0.1)
     return info.select("series_id", "model", "n", p["contamination"].alias("contamination"), p["n_trees"].alias("n_trees"), p["max_samples"].alias("max_samples"), "status")
 
 
 @register("iforest_threshold")
 def q_iforest_threshold(spark, d):
     """ANO-04: flags re-derived from stored scores at contamination 0.05 (no refit)."""
-    _, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     return anomaly.flag(scores, anomaly.threshold(scores, 0.05))
 
 
 @register("iforest_info")
 def q_iforest_info(spark, d):
     """ANO-05: model row per series."""
-    nodes, scores = _iforest(spark, d)
-    return anomaly.model_info(nodes, anomaly.threshold(scores, 0.1), 0.1)
+    scores = _iforest(spark, d)
+    return anomaly.model_info(anomaly.threshold(scores, 0.1), 0.1)
 
 
 @register("iforest_anomaly_rate")
 def q_iforest_anomaly_rate(spark, d):
     """AGG-06 on detector flags: unscored warm-up rows count as not anomalous (SEM-12/14)."""
-    _, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     flags = anomaly.flag(scores, anomaly.threshold(scores, 0.1)).select("series_id", "ts", "seq", "anomaly")
     base = p1(spark, d).join(flags, ["series_id", "ts", "seq"], "left")
     return stats.anomaly_rate(base, "anomaly")
@@ -1117,12 +1112,12 @@ from pulsegrid.tables import experiments, registry  # noqa: E402
 
 
 def _replay(spark, d, frame: DataFrame, tag: str, chunks: int = 4, **kw) -> DataFrame:
-    """Stage ``frame`` as ``chunks`` time-ordered files, replay them as micro-batches
+    """Stage ``frame`` as ``chunks`` time ranges of several files, replay them as micro-batches
     through the stateful operator, return the sink table."""
     root = shared_dir(spark, "streams", tag, unique=True)
     staged = frame if "is_reset" in frame.columns else frame.withColumn("is_reset", F.lit(False))
     rolling_state.stage_for_replay(staged, f"{root}/in", chunks)
-    src = streaming.replay_source(spark, f"{root}/in", 1)
+    src = streaming.replay_source(spark, f"{root}/in")
     out = rolling_state.stream_rolling(src, **kw)
     streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
     return spark.read.parquet(f"{root}/out")
@@ -1130,7 +1125,7 @@ def _replay(spark, d, frame: DataFrame, tag: str, chunks: int = 4, **kw) -> Data
 
 # Stream = batch: the streamed statistics equal the batch windows, so the batch SQL is their oracle.
 _STREAM_ROLL_SQL = f"SELECT *, false AS late FROM ({S.rolling_stats(S.P1M, 30)}) _s"
-_STREAM_REPLAY_SQL = f"SELECT series_id, ts, seq, mean, current, window_size FROM ({S.rolling_stats(S.P4, 50)}) _s"
+_STREAM_REPLAY_SQL = f"SELECT series_id, ts, seq, mean, current, window_size FROM ({S.rolling_stats(S.P1, 50)}) _s"
 _STREAM_BAND_SQL = f"""
 SELECT b.series_id, b.ts, b.seq, b.value AS current, z.mean_zero_pad, b.mean AS band_mean, b.band_lo, b.band_hi
 FROM ({_band_sql(S.P1)}) b JOIN (
@@ -1155,8 +1150,8 @@ def q_stream_rolling_stats(spark, d):
 
 @register("stream_replay", _STREAM_REPLAY_SQL, ["mean", "current"])
 def q_stream_replay(spark, d):
-    """SRC-05: chunked replay of the stored events as micro-batches (one file per trigger)."""
-    return _replay(spark, d, p4(spark, d), "replay", chunks=8, window=50).select("series_id", "ts", "seq", "mean", "current", "window_size")
+    """SRC-05: chunked replay of the stored panel as micro-batches (a few files a trigger)."""
+    return _replay(spark, d, p1(spark, d), "replay", chunks=8, window=50).select("series_id", "ts", "seq", "mean", "current", "window_size")
 
 
 @register("stream_band", _STREAM_BAND_SQL, ["current", "mean_zero_pad", "band_mean", "band_lo", "band_hi"])
@@ -1194,7 +1189,7 @@ def q_stream_current_stats(spark, d):
     """STR-02: foreachBatch keeps an append-only snapshot; the view is the newest row per series."""
     root = shared_dir(spark, "streams", "current", unique=True)
     rolling_state.stage_for_replay(p1(spark, d).withColumn("is_reset", F.lit(False)), f"{root}/in", 4)
-    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in", 1), window=30)
+    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in"), window=30)
     streaming.run_to_table(out, None, f"{root}/chk", foreach=rolling_state.snapshot_writer(f"{root}/snap"))
     return streaming.current_stats_view(spark, f"{root}/snap").select(
         "series_id", "ts", "seq", "mean", "std", "min", "max", "median", "current", "window_size"
@@ -1435,7 +1430,7 @@ def q_forecast_job(spark, d):
 def q_anomaly_job(spark, d):
     """3.2: features once -> scaler -> forest fit -> score -> flags to CSV -> anomaly
     count and rate per series from the sink (unscored warm-up rows count as normal)."""
-    _, scores = _iforest(spark, d)
+    scores = _iforest(spark, d)
     flags = anomaly.flag(scores, anomaly.threshold(scores, 0.1)).select("series_id", "ts", "seq", "anomaly")
     path = shared_dir(spark, "jobs", "anomaly", unique=True)
     files.write_frame(flags, path, "csv")

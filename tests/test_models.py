@@ -203,24 +203,42 @@ def test_partial_gram_equals_expression_gram(spark, monkeypatch):
         assert narrow[k]["yty"] == pytest.approx(wide[k]["yty"])
 
 
-@pytest.mark.parametrize("limit", [3_000_000, 1_000])
-def test_iforest_long_series_sampling_paths(spark, limit):
-    """Medium path (replicate + rank per tree) and long path (hash deal) on one long series."""
+def test_iforest_samples_of_a_long_series(spark):
+    """Every tree keeps its smallest hashes; rows travel once, with the trees they pass."""
     feats = rolling.anomaly_features(panels.single_series(spark, SF_SMALL))
     n = feats.count()
-    s = anomaly.sample_rows(feats.select("series_id", "ts", "seq", *FEATURES), 20, 32, 42, limit)
-    per_tree = {r["tree"]: r["c"] for r in s.groupBy("tree").agg(F.count("*").alias("c")).collect()}
-    assert len(per_tree) == 20 and max(per_tree.values()) == 32 and min(per_tree.values()) >= 16
-    if limit < n * 20:
-        # dealt samples are disjoint across trees
-        assert s.select("ts", "seq").distinct().count() == s.count()
-    forest = anomaly.iforest_fit(feats, FEATURES, 20, 32, 42, limit)
+    s = anomaly.sample_rows(feats.select("series_id", "ts", "seq", *FEATURES), 20, 32, 42)
+    assert s.count() == s.select("ts", "seq").distinct().count() < n
+    row, tree = anomaly._samples(s.toPandas(), 20, 32)
+    assert (np.bincount(tree, minlength=20) == 32).all()
+    assert all(len(set(row[tree == t])) == 32 for t in range(20))
+    forest = anomaly.iforest_fit(feats, FEATURES, 20, 32, 42)
     f = forest.first()
     assert f["n_trees"] == 20 and f["psi"] == 32
     scores = anomaly.iforest_score(feats, forest, FEATURES)
     assert scores.count() == n and scores.filter(F.col("score").isNull()).count() == 0
 
 
+def test_node_sizes_add_up(spark):
+    feats = rolling.anomaly_features(panels.user_series(spark, SF_SMALL))
+    nodes = anomaly.forest_nodes(anomaly.iforest_fit(feats, FEATURES, 5, 32, 42)).collect()
+    size = {(r["series_id"], r["node"]): r["size"] for r in nodes}
+    for r in nodes:
+        if r["left"] >= 0:
+            k = r["series_id"]
+            assert r["size"] == size[(k, r["left"])] + size[(k, r["right"])] > 0
+        if r["node"] == r["tree"]:
+            assert r["size"] == r["psi"]
+
+
+def test_fit_and_score_in_one_go_equals_two_steps(spark):
+    short = rolling.anomaly_features(panels.user_series(spark, SF_SMALL))
+    feats = short.unionByName(rolling.anomaly_features(panels.single_series(spark, SF_SMALL)))
+    one = {(r["series_id"], r["ts"], r["seq"]): r["score"] for r in anomaly.iforest_scores(feats, FEATURES, 20, 256, 42).collect()}
+    two = {(r["series_id"], r["ts"], r["seq"]): r["score"] for r in anomaly.iforest_score(feats, anomaly.iforest_fit(feats, FEATURES, 20, 256, 42), FEATURES).collect()}
+    assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k]) for k in one)
+
+
 def test_iforest_scores_do_not_depend_on_chunking(spark):
     feats = rolling.anomaly_features(panels.single_series(spark, SF_SMALL))
     forest = anomaly.iforest_fit(feats, FEATURES, 20, 64, 42)

@@ -91,6 +91,22 @@ def test_parallel_staging_keeps_time_order(spark):
     assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
 
 
+def test_slices_of_a_long_micro_batch(spark, monkeypatch):
+    import glob
+
+    from pulsegrid.session import local_path
+
+    monkeypatch.setattr(rolling_state, "SLICE", 7)
+    df = panels.masked(panels.user_series(spark, SF_SMALL))
+    root = shared_dir(spark, "test-streams", uuid.uuid4().hex)
+    rolling_state.stage_for_replay(df.withColumn("is_reset", F.lit(False)), f"{root}/in", 2)
+    assert all(len(glob.glob(f"{f}/*/part-*")) >= 4 for f in glob.glob(f"{local_path(root)}/in/_range=*"))
+    out = rolling_state.stream_rolling(streaming.replay_source(spark, f"{root}/in"), window=30)
+    streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
+    got = spark.read.parquet(f"{root}/out")
+    assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
+
+
 def test_reordered_rows_inside_a_micro_batch(spark):
     df = panels.masked(panels.user_series(spark, SF_SMALL))
     root = shared_dir(spark, "test-streams", uuid.uuid4().hex)
