@@ -4,7 +4,6 @@ import corpus_pipeline as pipeline
 from llm_fixtures import SF_MID, SF_SMALL, docs_of, sf_of  # noqa: F401
 from pyspark.sql import functions as F
 from test_decontamination import distance
-from test_packing import rebuilt
 from test_simhash import brute_components, brute_print
 
 from pulsegrid.llm import decontamination, mixing, packing
