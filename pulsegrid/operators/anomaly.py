@@ -247,8 +247,10 @@ def iforest_scores(features: DataFrame, cols: Sequence[str], n_trees: int = 100,
     ``iforest_score`` with ``iforest_fit``. Forests of long series only are stored on the way."""
     cols = list(cols)
     _check(cols, n_trees)
+    # read by the counts, the short and the long series: written once
+    features = materialize(features.select(KEY, *ORDER, *cols), "iforest_features")
     n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
-    x = attach(features.select(KEY, *ORDER, *cols), n)
+    x = attach(features, n)
     long = x.filter(F.col("_n") > max_samples).drop("_n")
 
     def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -259,6 +261,8 @@ def iforest_scores(features: DataFrame, cols: Sequence[str], n_trees: int = 100,
         return pdf[[KEY, *ORDER]].assign(score=walk(X, feature, split, left, size, n_trees, psi))
 
     short = x.filter(F.col("_n") <= max_samples).drop("_n").groupBy(KEY).applyInPandas(fit_and_score, SCORE_SCHEMA)
+    if long.isEmpty():
+        return short
     return short.unionByName(iforest_score(long, iforest_fit(long, cols, n_trees, max_samples, seed), cols, seed=seed))
 
 
