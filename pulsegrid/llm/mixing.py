@@ -14,7 +14,8 @@ seeded order, so applying the mix to a table is one broadcast of that bounded pl
 
 Defined results: null texts and texts without words have size 0 and nothing is taken; a null source
 is a source of its own, last in order; rows that share a doc_id share their place in
-the seeded order and are taken or left together; an empty table gives an empty mix.
+the seeded order and are taken or left together; an empty table gives an empty mix. Rows with
+a null id are one document to ``mix``, as in its SQL; to ``mixed`` each text of them is its own.
 """
 
 from __future__ import annotations
@@ -36,9 +37,10 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def order_of(doc_id: str, seed: int) -> Column:
-    """The seeded order of a document: hexadecimal text."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+def order_of(doc_id: str, seed: int, text: str | None = None) -> Column:
+    """The seeded order of a document: hexadecimal text. With ``text``, null ids are ordered by a hash of it."""
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text), F.lit("")))) if text else F.lit("")
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), unnamed)))
 
 
 def water_fill(sizes: list[int], weights: list[int], max_repeats: int) -> list[float]:
@@ -171,9 +173,9 @@ def mix(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), ma
 
 def mixed(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """The mix itself: the rows of ``docs``, all columns unchanged, each as many times as the mix takes it; texts without words are not in it."""
-    sized = materialize(docs.select(F.array("source").alias("members"), size_of().alias("size"), order_of("doc_id", seed).alias("ord")), "mixing")
+    sized = materialize(docs.select(F.array("source").alias("members"), size_of().alias("size"), order_of("doc_id", seed, "text").alias("ord")), "mixing")
     patterns, _ = plan(sized, weights, max_repeats)
-    got = copies_of(patterns, docs.select(F.struct("*").alias("row")), F.array("row.source"), order_of("row.doc_id", seed))
+    got = copies_of(patterns, docs.select(F.struct("*").alias("row")), F.array("row.source"), order_of("row.doc_id", seed, "row.text"))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_time")
     return got.where((F.col("_copies") > 0) & F.col("row.text").rlike(WORD_RE)).select("row", times).select("row.*")
 

@@ -13,7 +13,8 @@ the least of them keep every component; an odd radius verifies every pair of the
 
 Defined results: null, empty and word-less texts have fingerprint zero, which links like any
 other; texts of fewer words than a shingle hash their whole word sequence. Repeated
-rows get equal results. A component of null ids only has a null component_id.
+rows get equal results. A component of null ids only has a null component_id. Where ids are
+null or shared by several texts, the first row of a component is told by a hash of the whole row.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from pulsegrid.llm.common import map_batches, materialize, type_of
 from pulsegrid.llm.components import components
@@ -55,14 +57,15 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > n).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp) of every whole text."""
+def fingerprints(docs: DataFrame, width: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) of every whole text, and the long columns ``carry``."""
 
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([fingerprint(t, width) for t in b.column("text").to_pylist()], pa.int64())], names=["doc_id", "fp"])
+            prints = pa.array([fingerprint(t, width) for t in b.column("text").to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), prints, *map(b.column, carry)], names=["doc_id", "fp", *carry])
 
-    return map_batches(docs.select("doc_id", "text"), run, f"doc_id {type_of(docs, 'doc_id')}, fp long")
+    return map_batches(docs.select("doc_id", "text", *carry), run, ", ".join([f"doc_id {type_of(docs, 'doc_id')}", "fp long", *(f"{c} long" for c in carry)]))
 
 
 def masks(bits: int) -> list[int]:
@@ -85,24 +88,43 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.distinct().where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fp, root, component_id): component_id is the smallest doc_id reachable, root the component's least fingerprint."""
-    prints = materialize(fingerprints(docs, width), "simhash")
+def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, root, component_id, *carry): component_id is the smallest doc_id reachable, root the component's least fingerprint."""
+    prints = materialize(fingerprints(docs, width, carry), "simhash")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     reached = components(links(classes.select("fp"), radius))
     rooted = classes.join(reached, F.col("fp") == F.col("vertex"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id")).withColumnRenamed("root", "at")
     member = rooted.join(least, F.col("root") == F.col("at")).select(F.col("fp").alias("print"), "root", "component_id")
-    return prints.join(member, F.col("fp") == F.col("print")).select("doc_id", "fp", "root", "component_id")
+    return prints.join(member, F.col("fp") == F.col("print")).select("doc_id", "fp", "root", "component_id", *carry)
+
+
+#: Two hashes of a whole row.
+TAGS = ("_tag", "_tag2")
+
+
+def tags(docs: DataFrame) -> list[Column]:
+    """``TAGS`` of the rows of ``docs``: equal for equal rows, and 128 bits tell different ones apart."""
+    parts = []
+    for f in docs.schema.fields:
+        c = F.col(f"`{f.name}`")
+        # hashes pass over nulls and know no maps
+        parts += [c.isNull(), F.to_json(c) if isinstance(f.dataType, (ArrayType, MapType, StructType)) else c]
+    return [F.xxhash64(F.lit(i), *parts).alias(t) for i, t in enumerate(TAGS)]
 
 
 def keep_first(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, that come first in their component: one document of each.
 
-    Of repeated rows with the smallest id of a component one (any, they share the id) stays.
+    First is the smallest id, null last, and of rows with that id the one with the least hash of the whole row.
+    Of equal rows one stays.
     """
-    found = near_duplicates(docs, width, radius)
-    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id").agg(F.lit(1).alias("_one")).select(F.col("doc_id").alias("_first_id"), F.col("root").alias("_first_root"))
-    kept = docs.select(F.struct("*").alias("row")).join(firsts, F.col("row.doc_id").eqNullSafe(F.col("_first_id")))
+    found = near_duplicates(docs.select("doc_id", "text", *tags(docs)), width, radius, TAGS)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *TAGS)
+    firsts = found.groupBy("root").agg(F.min(place).alias("_first")).select("_first", F.col("root").alias("_first_root"))
+    mine = F.col("row.doc_id").eqNullSafe(F.col("_first.doc_id"))
+    for t in TAGS:
+        mine = mine & (F.col(t) == F.col(f"_first.{t}"))
+    kept = docs.select(F.struct("*").alias("row"), *tags(docs)).join(firsts, mine)
     return kept.dropDuplicates(["_first_root"]).select("row.*")

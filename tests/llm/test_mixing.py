@@ -92,6 +92,14 @@ def test_edge_rows(spark, docs_of):
     assert count == {d: n * (2 if d == 4 else 1) for (d, _), n in want.items() if n}
 
 
+def test_null_ids_are_mixed_one_by_one(docs_of):
+    texts = {s: [f"{s}{k} b c d" for k in range(50)] for s in "abc"}
+    docs = docs_of([(None, t, "en", s) for s, mine in texts.items() for t in mine])
+    words = {r.source: 4 * r["count"] for r in mixing.mixed(docs).groupBy("source").count().collect()}
+    # 600 words to weights 1, 2, 3, to half a document
+    assert all(abs(words[s] - w) <= 2 for s, w in {"a": 100, "b": 200, "c": 300}.items()), words
+
+
 def test_overlapping_sources(spark):
     rows = [(["a"], 10), (["a", "b"], 20), (["b"], 5)]
     sized = spark.createDataFrame([(m, s // 5, f"{k:x}{i:03x}") for k, (m, s) in enumerate(rows) for i in range(5)], "members array<string>, size long, ord string")

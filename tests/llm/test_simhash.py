@@ -73,6 +73,20 @@ def test_repeated_rows_and_null_ids(docs_of):
     assert simhash.keep_first(docs.where("false")).count() == 0
 
 
+def test_first_rows_with_null_and_shared_ids(docs_of):
+    texts = [f"t{k} u{k} v{k} w{k} x{k}" for k in range(12)]
+    # every text is a component: of null ids only, of one id shared by all of them, or of both
+    rows = [(None, t) for t in texts for _ in range(3)] + [(7, t) for t in texts[6:]] + [(7, "one more text of it")] * 2 + [(8, texts[11]), (4, texts[10])]
+    kept = sorted((r.doc_id or 0, r.text) for r in simhash.keep_first(docs_of(rows)).collect())
+    assert kept == sorted([(0, t) for t in texts[:6]] + [(7, t) for t in texts[6:10]] + [(4, texts[10]), (7, texts[11]), (7, "one more text of it")])
+
+
+def test_first_row_does_not_depend_on_the_order(docs_of):
+    rows = [(None, "a b c d", "en", s) for s in "pqrst"] + [(None, "A b c D", None, "p"), (2, "k l m", None, "x"), (2, "k l m", "x", None)]
+    got = {tuple(sorted(map(str, simhash.keep_first(docs_of(x).withColumn("m", F.create_map(F.lit("k"), "source"))).drop("m").collect()))) for x in (rows, rows[::-1])}
+    assert len(got) == 1 and len(next(iter(got))) == 2
+
+
 def test_one_row_stays_of_repeats_of_the_first(docs_of):
     assert simhash.keep_first(docs_of([(1, "p q r s")] * 4)).count() == 1
 
