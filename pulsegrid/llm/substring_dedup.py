@@ -22,19 +22,22 @@ removed.
 5. The marks of a document come together and the words they cover are taken out.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose none.
-Rows that share a doc_id are one document to the order (the same start is not earlier), so exact
-repeats of a row keep what the row keeps. Null ids come last in the order.
+Exact repeats of a row (doc_id and text) are one document to the order (the same start is not
+earlier), so they keep what the row keeps. Rows that share a doc_id but not the text are
+documents of their own, ordered by a hash of the text. Null ids come last in the order.
 """
 
 from __future__ import annotations
 
 import zlib
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import map_batches, materialize, words_of
@@ -50,6 +53,27 @@ PREFIXES = (6, 12)
 GROUP = 20_000
 #: Null ids come last.
 LAST = (1 << 63) - 1
+#: A document in its order: the id, and the hash of the text (128 bits) where several texts may share the id, else 0.
+KEY = ("doc", "high", "low")
+KEY_TYPES = ", ".join(f"{k} long" for k in KEY)
+
+
+def same(a: str, b: str) -> Column:
+    """Whether the keys in the structs ``a`` and ``b`` (or the columns themselves, for "") are equal."""
+    at = lambda x, k: F.col(f"{x}.{k}" if x else k)
+    return reduce(and_, (at(a, k) == at(b, k) for k in KEY))
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, *KEY, text) of ``docs(doc_id, text)``."""
+    hashes = [F.xxhash64(F.lit(i), "text") for i in range(2)]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("doc", F.coalesce("doc_id", F.lit(LAST)))
+    ends = [f(h).alias(f"{n}{i}") for i, h in enumerate(hashes) for n, f in (("least", F.min), ("most", F.max))]
+    several = rows.where(F.col("doc") < LAST).groupBy("doc").agg(*ends).where("least0 < most0 or least1 < most1")
+    several = materialize(several.select(F.col("doc").alias("shared")), "substrings")
+    own = F.col("shared").isNotNull() | (F.col("doc") == LAST)
+    told = [F.when(own, h).otherwise(F.lit(0)).cast("long").alias(k) for k, h in zip(KEY[1:], hashes)]
+    return rows.join(several, F.col("doc") == F.col("shared"), "left").select("doc_id", "doc", *told, "text")
 
 
 def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,13 +112,13 @@ def spans_of(words: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
 
 
 def occurrences(docs: DataFrame, window: int) -> DataFrame:
-    """(anchor, context, doc, at): at = 64 * first window + number of further windows."""
+    """(anchor, context, *KEY, at): at = 64 * first window + number of further windows."""
 
     def run(batches):
         digest = xxhash.xxh3_64_intdigest
         for b in batches:
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for doc, text in zip(b.column("doc").to_pylist(), b.column("text")):
+            out: list[list[np.ndarray]] = [[] for _ in range(3 + len(KEY))]
+            for *key, text in zip(*(b.column(k).to_pylist() for k in KEY), b.column("text")):
                 words = words_of(text.as_py())
                 anchor, first, last = anchors(words, window)
                 if not len(anchor):
@@ -103,40 +127,41 @@ def occurrences(docs: DataFrame, window: int) -> DataFrame:
                 spans = zip(start[first].tolist(), end[last + window - 1].tolist())
                 out[0].append(anchor)
                 out[1].append(np.fromiter((digest(joined[a:z]) for a, z in spans), np.uint64, len(first)).view(np.int64))
-                out[2].append(np.full(len(first), doc, np.int64))
-                out[3].append(first * 64 + (last - first))
+                for store, value in zip(out[2:], key):
+                    store.append(np.full(len(first), value, np.int64))
+                out[-1].append(first * 64 + (last - first))
             arrays = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out]
-            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "doc", "at"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", *KEY, "at"])
 
-    return map_batches(docs, run, "anchor long, context long, doc long, at long")
+    return map_batches(docs.select(*KEY, "text"), run, f"anchor long, context long, {KEY_TYPES}, at long")
 
 
 def suffixes(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """``wanted(d, ats)``: the windows of those occurrences as suffixes with the hashes of their prefixes."""
+    """``wanted(d, ats)``, d a key: the windows of those occurrences as suffixes with the hashes of their prefixes."""
 
     def run(batches):
         for b in batches:
             rows: list[tuple] = []
-            for doc, text, ats in zip(b.column("doc").to_pylist(), b.column("text"), b.column("ats").to_pylist()):
+            for *key, text, ats in zip(*(b.column(k).to_pylist() for k in KEY), b.column("text"), b.column("ats").to_pylist()):
                 words = words_of(text.as_py())
                 for at in sorted(set(ats)):
                     for p in range(at // 64, at // 64 + at % 64 + 1):
                         if p + window > len(words):
                             continue
                         mine = words[p : p + window]
-                        rows.append((b" ".join(mine), doc, p, *(xxhash.xxh3_64_intdigest(b" ".join(mine[:k])) - (1 << 63) for k in PREFIXES)))
+                        rows.append((b" ".join(mine), *key, p, *(xxhash.xxh3_64_intdigest(b" ".join(mine[:k])) - (1 << 63) for k in PREFIXES)))
                 if len(rows) > 20_000:
                     yield batch(rows)
                     rows = []
             yield batch(rows)
 
     def batch(rows):
-        names = ["suffix", "doc", "start", *(f"p{i}" for i in range(len(PREFIXES)))]
-        kinds = [pa.binary(), *[pa.int64()] * (2 + len(PREFIXES))]
+        names = ["suffix", *KEY, "start", *(f"p{i}" for i in range(len(PREFIXES)))]
+        kinds = [pa.binary(), *[pa.int64()] * (1 + len(KEY) + len(PREFIXES))]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
-    joined = docs.join(wanted, F.col("doc") == F.col("d")).select("doc", "text", "ats")
-    return map_batches(joined, run, "suffix binary, doc long, start long, " + ", ".join(f"p{i} long" for i in range(len(PREFIXES))))
+    joined = docs.join(wanted, same("", "d")).select(*KEY, "text", "ats")
+    return map_batches(joined, run, f"suffix binary, {KEY_TYPES}, start long, " + ", ".join(f"p{i} long" for i in range(len(PREFIXES))))
 
 
 def partition(found: DataFrame, group: int) -> DataFrame:
@@ -155,8 +180,8 @@ def partition(found: DataFrame, group: int) -> DataFrame:
     last = len(PREFIXES)
     equal = materialize(rows.where(F.col("level") == last).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > group).select(F.col("key").alias("big"), F.ceil(F.col("n") / group).alias("parts")), "suffixes")
     rows = rows.join(equal, F.col("key") == F.col("big"), "left").withColumn("salted", F.col("big").isNotNull() & (F.col("level") == last))
-    rows = rows.withColumn("salt", F.when(F.col("salted"), F.pmod(F.xxhash64("doc", "start"), F.col("parts"))).otherwise(F.col("salt")))
-    return rows.select("suffix", "doc", "start", "salted", F.pmod(F.xxhash64("level", "key", "salt"), F.lit(buckets)).alias("bucket"))
+    rows = rows.withColumn("salt", F.when(F.col("salted"), F.pmod(F.xxhash64(*KEY, "start"), F.col("parts"))).otherwise(F.col("salt")))
+    return rows.select("suffix", *KEY, "start", "salted", F.pmod(F.xxhash64("level", "key", "salt"), F.lit(buckets)).alias("bucket"))
 
 
 def deep_nodes(sorted_suffixes: list[list[bytes]], depth: int) -> list[tuple[int, int, int]]:
@@ -184,52 +209,53 @@ def deep_nodes(sorted_suffixes: list[list[bytes]], depth: int) -> list[tuple[int
 
 
 def subtrees(dealt: DataFrame, window: int) -> DataFrame:
-    """(doc, start, state, suffix): state 1 marks a window that starts earlier too, state 2 is the earliest of a salted part."""
+    """(*KEY, start, state, suffix): state 1 marks a window that starts earlier too, state 2 is the earliest of a salted part."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["suffix", "doc", "start"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values(["suffix", *KEY, "start"], kind="stable").reset_index(drop=True)
         state = np.zeros(len(pdf), np.int32)
         cut = [bytes(s).split(b" ") for s in pdf["suffix"]]
-        place = list(zip(pdf["doc"], pdf["start"]))
+        place = list(zip(*(pdf[k] for k in KEY), pdf["start"]))
         for _, a, z in deep_nodes(cut, window):
             for i in range(a + 1, z + 1):  # below a deep node in order of place, so the first is the earliest
                 if place[i] != place[a]:
                     state[i] = 1
         state[(state == 0) & pdf["salted"].to_numpy()] = 2
-        out = pdf.loc[state > 0, ["doc", "start"]].assign(state=state[state > 0], suffix=pdf["suffix"])
+        out = pdf.loc[state > 0, [*KEY, "start"]].assign(state=state[state > 0], suffix=pdf["suffix"])
         out.loc[out["state"] == 1, "suffix"] = None
         return out
 
     ship_package(dealt.sparkSession)
-    return dealt.groupBy("bucket").applyInPandas(run, "doc long, start long, state int, suffix binary")
+    return dealt.groupBy("bucket").applyInPandas(run, f"{KEY_TYPES}, start long, state int, suffix binary")
 
 
 def marks(docs: DataFrame, window: int = 20, group: int = GROUP) -> DataFrame:
-    """(doc, first, last): windows, as ranges of starts, whose word sequence also starts earlier. ``docs(doc, text)``."""
+    """(*KEY, first, last): windows, as ranges of starts, whose word sequence also starts earlier. ``docs(*KEY, text)``."""
     if not GRAM <= window <= 64:
         raise ValueError(f"window must be {GRAM} to 64 words")
     found = occurrences(docs, window)
     again = materialize(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select(F.col("anchor").alias("a")), "substrings")
     found = materialize(found.join(again, F.col("anchor") == F.col("a"), "left_semi"), "substrings")
-    firsts = materialize(found.groupBy("anchor", "context").agg(F.min(F.struct("doc", "at")).alias("first")).select(F.col("anchor").alias("a"), F.col("context").alias("c"), "first"), "substrings")
-    later = found.join(firsts, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c"))).where((F.col("doc") != F.col("first.doc")) | (F.col("at") != F.col("first.at")))
-    ranges = later.select("doc", F.floor(F.col("at") / 64).alias("first"), (F.floor(F.col("at") / 64) + F.col("at") % 64).alias("last"))
+    firsts = materialize(found.groupBy("anchor", "context").agg(F.min(F.struct(*KEY, "at")).alias("first")).select(F.col("anchor").alias("a"), F.col("context").alias("c"), "first"), "substrings")
+    later = found.join(firsts, (F.col("anchor") == F.col("a")) & (F.col("context") == F.col("c"))).where(~same("", "first") | (F.col("at") != F.col("first.at")))
+    ranges = later.select(*KEY, F.floor(F.col("at") / 64).alias("first"), (F.floor(F.col("at") / 64) + F.col("at") % 64).alias("last"))
     several = materialize(firsts.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select(F.col("a").alias("b")), "substrings")
-    wanted = firsts.join(several, F.col("a") == F.col("b"), "left_semi").groupBy(F.col("first.doc").alias("d")).agg(F.collect_list("first.at").alias("ats"))
+    wanted = firsts.join(several, F.col("a") == F.col("b"), "left_semi").groupBy(F.struct(*(f"first.{k}" for k in KEY)).alias("d")).agg(F.collect_list("first.at").alias("ats"))
     tails = materialize(suffixes(docs, wanted, window), "substrings")
     judged = materialize(subtrees(partition(tails, group), window), "substrings")
     # the earliest of salted parts: one row for each part and suffix
-    open_ = judged.where("state = 2").select("suffix", "doc", "start")
-    best = open_.groupBy("suffix").agg(F.min(F.struct("doc", "start")).alias("first")).select(F.col("suffix").alias("s"), "first")
-    beaten = open_.join(best, F.col("suffix") == F.col("s")).where((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start"))).select("doc", "start")
-    single = judged.where("state = 1").select("doc", "start").unionByName(beaten)
-    return ranges.unionByName(single.select("doc", F.col("start").alias("first"), F.col("start").alias("last")))
+    open_ = judged.where("state = 2").select("suffix", *KEY, "start")
+    best = open_.groupBy("suffix").agg(F.min(F.struct(*KEY, "start")).alias("first")).select(F.col("suffix").alias("s"), "first")
+    beaten = open_.join(best, F.col("suffix") == F.col("s")).where(~same("", "first") | (F.col("start") != F.col("first.start"))).select(*KEY, "start")
+    single = judged.where("state = 1").select(*KEY, "start").unionByName(beaten)
+    return ranges.unionByName(single.select(*KEY, F.col("start").alias("first"), F.col("start").alias("last")))
 
 
 def remove(docs: DataFrame, window: int = 20, group: int = GROUP) -> DataFrame:
     """``docs(doc_id, text)`` -> (doc_id, n_words, n_removed, kept): kept words joined by one space."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "text")
-    of = marks(keyed, window, group).groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("ranges")).withColumnRenamed("doc", "d")
+    rows = keyed(docs)
+    # a set: repeats of a row have the same ranges
+    of = marks(rows, window, group).groupBy(F.struct(*KEY).alias("d")).agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
     def run(batches):
         for b in batches:
@@ -246,10 +272,10 @@ def remove(docs: DataFrame, window: int = 20, group: int = GROUP) -> DataFrame:
                 gone.append(int(cover.sum()))
                 kept.append(b" ".join([w for w, c in zip(words, cover.tolist()) if not c] if gone[-1] else words))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([None if d == LAST else d for d in b.column("doc").to_pylist()], pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"]
+                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], names=["doc_id", "n_words", "n_removed", "kept"]
             )
 
-    joined = keyed.join(of, F.col("doc") == F.col("d"), "left").select("doc", "text", "ranges")
+    joined = rows.join(of, same("", "d"), "left").select("doc_id", "text", "ranges")
     return map_batches(joined, run, "doc_id long, n_words long, n_removed long, kept binary")
 
 

@@ -68,6 +68,21 @@ def test_repeated_rows_and_null_ids(docs_of):
     assert sub.remove(docs_of([])).count() == 0
 
 
+def test_null_and_shared_ids_with_different_texts(docs_of):
+    part = lambda name, k=30: " ".join(f"{name}{i}" for i in range(k))
+    # of rows that share an id only the rows with a passage of document 1 lose it
+    rows = [(1, part("one"))] + [(d, t) for d in (5, None) for t in (part("one") + " " + part(f"a{d}"), part(f"b{d}", 60), part(f"c{d}", 60)) for _ in range(2)]
+    for group in (3, 10_000):
+        got = sorted((r.doc_id or 0, bytes(r.kept).decode(), r.n_removed) for r in sub.remove(docs_of(rows), 20, group).collect())
+        want = [(1, part("one"), 0)] + [(d or 0, t, n) for d in (5, None) for t, n in ((part(f"a{d}"), 30), (part(f"b{d}", 60), 0), (part(f"c{d}", 60), 0)) for _ in range(2)]
+        assert got == sorted(want), group
+    # a passage of two texts of one id stays in one of them, whatever surrounds it
+    for d in (5, None):
+        rows = [(d, part("x") + " " + part("p", 25) + " " + part("y")), (d, part("u") + " " + part("p", 25) + " " + part("v")), (d, part("p", 25))]
+        got = [sorted((r.n_words, r.n_removed, bytes(r.kept)) for r in sub.remove(docs_of(x)).collect()) for x in (rows, rows[::-1])]
+        assert got[0] == got[1] and sorted(n for _, n, _ in got[0]) == [0, 25, 25]
+
+
 def test_long_text_in_blocks(monkeypatch):
     words = [w.encode() for w in ("a b c d e f g h i j k l m n o p q r s t u v " * 400).split()]
     whole = sub.anchors(words, 20)
