@@ -5,8 +5,10 @@ words lie in repeated 8-word windows. The method then compresses the whole text
 fixed chunk of it with zstandard; the ratio (raw bytes / compressed bytes) must lie
 inside a band that depends on the length: above it the text repeats itself, below it is
 incompressible. Short texts are not compressed: a ratio of a few hundred bytes says
-little. A text is kept if its own ratio is in its band and at most ``max_bad_share`` of
-its full chunks are outside the chunk band.
+little. The rest after the last full chunk is judged by the band for its length; a rest too
+short for a band by the last ``chunk`` bytes of the text. A text is kept if its own ratio is in
+its band and at most ``max_bad_share`` of its bytes lie in chunks (the rest is one) outside
+their band. A text shorter than a chunk is one rest: its own ratio judges it.
 
 The bands are fixed parameters, equal at every input size; the operator is one pass of
 independent rows without a shuffle. Null and empty texts: zero words, base_failed. Long
@@ -49,11 +51,18 @@ def band_of(size: int, bands: Bands) -> tuple[float, float] | None:
 def judge(data: bytes, packer: zstandard.ZstdCompressor, bands: Bands) -> tuple[float, float, int, int, bool]:
     """(whole ratio, largest chunk ratio, chunks, chunks outside their band, inside the bands)."""
     whole = ratio(data, packer)
-    parts = [ratio(data[i : i + bands.chunk], packer) for i in range(0, len(data) - bands.chunk + 1, bands.chunk)]
-    bad = sum(not bands.chunk_low <= x <= bands.chunk_high for x in parts)
     band = band_of(len(data), bands)
     inside = band is None or band[0] <= whole <= band[1]
-    return whole, max(parts, default=0.0), len(parts), bad, inside and bad <= bands.max_bad_share * len(parts)
+    full = len(data) - len(data) % bands.chunk
+    if not full:
+        return whole, 0.0, 0, 0, inside
+    chunk_band = bands.chunk_low, bands.chunk_high
+    parts = [(bands.chunk, ratio(data[i : i + bands.chunk], packer), chunk_band) for i in range(0, full, bands.chunk)]
+    if rest := len(data) - full:
+        own = band_of(rest, bands)
+        parts.append((rest, ratio(data[full:] if own else data[-bands.chunk :], packer), own or chunk_band))
+    bad = [size for size, x, (low, high) in parts if not low <= x <= high]
+    return whole, max(x for _, x, _ in parts), len(parts), len(bad), inside and sum(bad) <= bands.max_bad_share * len(data)
 
 
 SCHEMA = (

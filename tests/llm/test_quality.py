@@ -63,6 +63,23 @@ def test_bands(docs_of):
     assert got[1] and not got[4]
 
 
+def test_the_rest_of_a_text_is_judged():
+    rng = np.random.default_rng(3)
+    plain = " ".join("".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(3000)).encode()
+    spam = " ".join(f"buy {i}" for i in range(1, 600)).encode()
+    bands = quality_rules.Bands()
+    packer = zstandard.ZstdCompressor(level=bands.level)
+    for size in (3000, 3900, 4095):
+        whole, top, parts, bad, kept = quality_rules.judge(plain[:4096] + (spam * 2)[:size], packer, bands)
+        assert 1.3 <= whole <= 5 and (parts, bad, kept) == (2, 1, False) and top > 4, size
+        assert quality_rules.judge(plain[: 4096 + size], packer, bands)[2:] == (2, 0, True)
+    # by bytes: a bad rest of less than a quarter stays, and one too short for a band is judged by the text's last chunk
+    assert quality_rules.judge(plain[: 4 * 4096] + spam[:3900], packer, bands)[2:] == (5, 1, True)
+    loop = b"again and again " * 256
+    assert quality_rules.judge(plain[:4096] * 4 + loop + loop[:200], packer, bands)[2:4] == (6, 2)
+    assert quality_rules.judge(plain[:4000], packer, bands)[1:] == (0.0, 0, 0, True)
+
+
 def test_clean_documents_are_kept(spark):
     got = quality_rules.rules(spark.read.parquet(f"{SF_MID}/documents.parquet"))
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet").where("quality = 1").select(F.col("doc_id").alias("id"))
