@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import decontamination, language_id, mixing, packing, quality_pu, quality_rules, secret_scan, simhash, substring_dedup, warc
+from pulsegrid.llm import decontamination, hard_negatives, language_id, minhash, mixing, packing, quality_pu, quality_rules, secret_scan, simhash, substring_dedup, vector_codes, warc
 from pulsegrid.llm.common import documents, held_out
 
 
@@ -71,5 +71,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op7_secret_scan, op8_simhash, op9_substring_dedup, op10_warc)}
-ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "op10_warc": warc.ORACLE}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and its five positives, 30 to 90 percent as near as the positive."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MinHash fingerprints of every document and of its text edited with the next one, and their likeness."""
+    return minhash.with_edits(documents(spark, sf_dir))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product-quantisation codes of all vectors: 16 parts, 64 entries, 2 rounds."""
+    coded, books = vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding"))
+    found = vector_codes.with_label_error(coded)
+    digest = F.lit(books.digest() if books else None).cast("string")
+    return found.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality_classifier, op3_language_id, op4_token_packing, op5_quality_rules, op6_mixing, op7_secret_scan, op8_simhash, op9_substring_dedup, op10_warc, op11_hard_negatives, op12_minhash, op13_vector_codes)}
+ORACLES: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op9_substring_dedup": substring_dedup.ORACLE, "op10_warc": warc.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE, "op13_vector_codes": vector_codes.ORACLE}
