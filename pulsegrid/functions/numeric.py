@@ -27,6 +27,21 @@ def adjusted_kurtosis(c: Column, n: Column) -> Column:
     return F.when(n >= 4, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6))
 
 
+# Abramowitz and Stegun 26.2.17, error below 7.5e-8
+CDF = (0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
+CDF_STEP = 0.2316419
+
+
+def normal_cdf(x: Column) -> Column:
+    """Standard normal distribution function (polynomial approximation, error below 7.5e-8)."""
+    k = 1.0 / (1.0 + CDF_STEP * F.abs(x))
+    poly = F.lit(0.0)
+    for c in reversed(CDF):
+        poly = (poly + c) * k
+    upper = F.exp(-x * x / 2.0) / math.sqrt(2.0 * math.pi) * poly
+    return F.when(x >= 0, 1.0 - upper).otherwise(upper)
+
+
 def hash_uniform(seed: int, *parts: Column | str, salt: str = "") -> Column:
     """Counter-based uniform in [0, 1) from xxhash64 (SEM-16).
 

@@ -32,9 +32,9 @@ _DAY_US = 24 * _HOUR_US
 
 def infer_period(df: DataFrame) -> int:
     """Seasonal period implied by the most common gap between consecutive rows."""
-    from pulsegrid.operators.forecast import _clean, _modal_gap
+    from pulsegrid.operators.forecast import _clean, time_steps
 
-    gaps = _modal_gap(_clean(df)).filter(F.col("gap_us").isNotNull())
+    gaps = time_steps(_clean(df)).filter(F.col("gap_us").isNotNull())
     top = gaps.groupBy("gap_us").agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("c").desc(), "gap_us").first()
     if top is None:
         raise ValueError("cannot infer a period: no series has two rows")

@@ -4,12 +4,9 @@ series of a panel in one Spark job.
 Estimators (the reference's third-party optimisers are not available, so the
 numbers are not expected to equal theirs; correctness is parameter recovery):
 
-* ADF with constant: OLS of dy_t on [1, y_{t-1}, dy_{t-1..p}] from one Gram per
-  centred and scaled series; p chosen by AIC on the common sample up to
-  ``min(ceil(12 (n/100)^0.25), n//2 - 2)``, then refitted on the longest sample of p;
-  t-statistic against the MacKinnon 5 % response surface ``-2.8621 - 2.738/n - 8.36/n^2``.
-* ARIMA(p,d,q)(P,D,Q,s) by Hannan-Rissanen: long AR by OLS, its residuals as
-  regressors, then OLS of w_t on lags of w and of the residuals (seasonal lags in
+* ADF with constant: ``unit_root``.
+* ARIMA(p,d,q)(P,D,Q,s) by Hannan-Rissanen: long AR by Levinson-Durbin on lag products, its
+  residuals as regressors, then OLS of w_t on lags of w and of the residuals (seasonal lags in
   additive form). No constant when d + D > 0 (after the auto differencing, as the
   reference fits on the already differenced series).
 * Trend + seasonality regression: intercept, slope, 25 hinge changepoints evenly
@@ -33,25 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER, series_window
-from pulsegrid.operators.gram import add_packed, gram, ols, packed, unpack
+from pulsegrid.operators.gram import add_packed, ols, packed, unpack
+from pulsegrid.operators.runs import lag_products, placed, series_scale, stream, summed
 from pulsegrid.operators.stats import attach
+from pulsegrid.operators.unit_root import adf_test, auto_difference, stored_differences  # noqa: F401  (part of this module's interface)
 from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
 
-# MacKinnon (1991) response surface, constant only, 5 % level (fixed values)
-ADF_5PCT = (-2.8621, -2.738, -8.36)
-
-ADF_SCHEMA = T.StructType(
-    [
-        T.StructField(KEY, T.StringType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("lags", T.IntegerType()),
-        T.StructField("t_stat", T.DoubleType()),
-        T.StructField("crit_5pct", T.DoubleType()),
-        T.StructField("stationary", T.BooleanType()),
-    ]
-)
-
 
 def _clean(df: DataFrame, col: str = "value") -> DataFrame:
     return df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
@@ -69,172 +54,6 @@ def diff_once(df: DataFrame, k: int = 1, plan: str = "auto") -> DataFrame:
     return apply_windows(df, build, lookback=k, plan=plan).filter(F.col("value").isNotNull())
 
 
-def standardised(base: DataFrame, by: Sequence[str] = (KEY,)) -> tuple[DataFrame, DataFrame]:
-    """(``base`` with ``value`` centred and scaled per group, the table of ``_mean`` and ``_std``).
-
-    Sums of squares and products of a series at a high level would cancel; on the centred
-    series they do not, and tests and coefficients can be carried back exactly. A
-    constant group keeps scale 1.
-    """
-    sd = F.stddev_pop("value")
-    scale = base.groupBy(*by).agg(F.avg("value").alias("_mean"), F.when(sd > 0, sd).otherwise(1.0).alias("_std"))
-    scale = materialize(scale, "scale")
-    x = base.join(scale, list(by))
-    return x.withColumn("value", (F.col("value") - F.col("_mean")) / F.col("_std")).drop("_mean", "_std"), scale
-
-
-def _adf_lags(n):
-    """Largest lag of the AIC search: ceil(12 (n / 100)^(1/4)), at most n / 2 - 2."""
-    return F.least(F.ceil(12.0 * F.pow(n / 100.0, 0.25)).cast("int"), F.greatest(F.lit(0), (F.floor(n / 2) - 2).cast("int")))
-
-
-def adf_test(df: DataFrame, col: str = "value", by_extra: Sequence[str] = (), plan: str = "auto", lags: int | None = None) -> DataFrame:
-    """STA-01 per series (and per ``by_extra`` group, e.g. differencing order).
-
-    The lag is chosen by AIC on the common sample, or fixed by ``lags``; the statistic comes
-    from a refit of that lag on its own longest sample. The largest lag follows the
-    length of each series, without a ceiling. A series whose regression is singular or
-    leaves no residual has NULL statistics.
-    """
-    part = [*by_extra]
-    x = df.select(KEY, *part, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
-    if part:
-        # one window key per (series, variant): the variants go through the same
-        # (plain or blocked) window machinery as a series of their own
-        x = x.withColumn("_sid", F.col(KEY)).withColumn(
-            KEY, F.concat_ws("\u0001", F.col(KEY), *[F.col(c).cast("string") for c in part])
-        )
-    carry = (["_sid"] if part else []) + part
-    sd = F.stddev_pop("value")
-    n = x.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.avg("value").alias("_mean"), F.when(sd > 0, sd).otherwise(1.0).alias("_std"))
-    pm = _adf_lags(F.col("_n")) if lags is None else F.least(F.lit(lags), F.greatest(F.lit(0), (F.floor(F.col("_n") / 2) - 2).cast("int")))
-    n = materialize(n.withColumn("_pmax", pm), "adf")
-    L = int(n.agg(F.max("_pmax")).first()[0] or 0)  # one scalar: the widest regression
-    x = attach(x, n).withColumn("value", (F.col("value") - F.col("_mean")) / F.col("_std"))
-
-    def build(d, p):
-        w = series_window(*p)
-        v = F.col("value")
-        lagv = [v] + [F.lag(v, i).over(w) for i in range(1, L + 2)]
-        cols = [
-            (lagv[0] - lagv[1]).alias("_dy"),
-            lagv[1].alias("_ylag"),
-            F.count(F.lit(1)).over(w.rowsBetween(-(L + 1), -1)).alias("_hist"),
-        ]
-        cols += [(lagv[i] - lagv[i + 1]).alias(f"_dl{i}") for i in range(1, L + 1)]
-        keep = [c for c in d.columns if c in ("_blk", "_home", "_ord")]
-        return d.select(KEY, *ORDER, *keep, *carry, "value", "_n", "_pmax", *cols)
-
-    y = apply_windows(x, build, lookback=L + 1, plan=plan).withColumn("_one", F.lit(1.0))
-    xcols = ["_one", "_ylag"] + [f"_dl{i}" for i in range(1, L + 1)]
-    common = y.filter(F.col("_hist") >= F.col("_pmax") + 1)
-    for i in range(1, L + 1):
-        common = common.withColumn(f"_dl{i}", F.when(F.lit(i) <= F.col("_pmax"), F.col(f"_dl{i}")).otherwise(0.0))
-    # the first pmax + 1 values: what the longer samples of smaller lags have more
-    early = F.when(F.col("_hist") < F.col("_pmax") + 1, F.struct("_hist", "value"))
-    rest = x.select(KEY, *carry, "_n", "_pmax").groupBy(KEY).agg(F.first("_pmax").alias("pmax"), F.first("_n").alias("n_obs"), *[F.first(c).alias(c) for c in carry])
-    heads = y.filter(F.col("_hist") < F.col("_pmax") + 1).groupBy(KEY).agg(F.transform(F.array_sort(F.collect_list(early)), lambda e: e["value"]).alias("head"))
-    g = rest.join(gram(common, xcols, "_dy", by=[KEY]), KEY, "left").join(heads, KEY, "left")
-    if part:
-        g = g.withColumn(KEY, F.col("_sid")).drop("_sid")
-    k = len(xcols)
-    fields = [T.StructField(KEY, T.StringType())] + [T.StructField(c, df.schema[c].dataType) for c in part] + ADF_SCHEMA.fields[1:]
-    schema = T.StructType(fields)
-
-    def fit(xtx, xty, yty, ne):
-        if ne <= len(xty):
-            return None
-        res = ols(xtx, xty, yty)
-        return res if res is not None and res[1] > 1e-12 * yty else None
-
-    def refit(xtx, xty, yty, ne, p, pmax, head):
-        """Sums of lag p on its own sample: the common one and the rows before it."""
-        idx = list(range(p + 2))
-        v = np.asarray(head, dtype=float)
-        rows = [[1.0, v[t - 1], *(v[t - i] - v[t - i - 1] for i in range(1, p + 1))] for t in range(p + 1, pmax + 1)]
-        X, dy = np.array(rows).reshape(-1, p + 2), np.array([v[t] - v[t - 1] for t in range(p + 1, pmax + 1)])
-        return xtx[np.ix_(idx, idx)] + X.T @ X, xty[idx] + X.T @ dy, yty + dy @ dy, ne + len(dy)
-
-    def solve(it):
-        for pdf in it:
-            rows = []
-            for rd in pdf.to_dict("records"):
-                nobs = int(rd["n_obs"])
-                crit = ADF_5PCT[0] + ADF_5PCT[1] / nobs + ADF_5PCT[2] / nobs**2
-                out = {KEY: rd[KEY], **{c: rd[c] for c in part}, "n": nobs, "crit_5pct": crit, "lags": None, "t_stat": None, "stationary": None}
-                rows.append(out)
-                if rd["n"] is None or pd.isna(rd["n"]):
-                    continue
-                xtx, xty, yty, ne, pmax = unpack(rd["xtx_u"], k), np.asarray(rd["xty"], dtype=float), rd["yty"], int(rd["n"]), int(rd["pmax"])
-                best = None
-                for p in range(0 if lags is None else pmax, pmax + 1):
-                    idx = list(range(p + 2))
-                    res = fit(xtx[np.ix_(idx, idx)], xty[idx], yty, ne)
-                    if res is not None:
-                        aic = ne * math.log(res[1] / ne) + 2 * len(idx)
-                        if best is None or aic < best[0]:
-                            best = (aic, p)
-                if best is None:
-                    continue
-                p = best[1]
-                own = refit(xtx, xty, yty, ne, p, pmax, _arr(rd["head"]))
-                res = fit(*own)
-                if res is not None:
-                    beta, sse, inv = res
-                    t = float(beta[1] / math.sqrt(sse / (own[3] - p - 2) * inv[1, 1]))
-                    out.update(lags=p, t_stat=t, stationary=bool(t < crit))
-            yield pd.DataFrame(rows, columns=schema.fieldNames()).astype({"lags": "Int32", "stationary": "boolean"})
-
-    return g.mapInPandas(solve, schema)
-
-
-def diff_variants(base: DataFrame, max_d: int = 2, plan: str = "plain") -> DataFrame:
-    """The series differenced 0..max_d times, stacked and tagged by ``d``."""
-    variants = [base.select(KEY, *ORDER, "value").withColumn("d", F.lit(0))]
-    cur = base.select(KEY, *ORDER, "value")
-    for d in range(1, max_d + 1):
-        cur = diff_once(cur, 1, plan)
-        variants.append(cur.select(KEY, *ORDER, "value").withColumn("d", F.lit(d)))
-    u = variants[0]
-    for v in variants[1:]:
-        u = u.unionByName(v)
-    return u
-
-
-def auto_difference(
-    df: DataFrame, max_d: int = 2, col: str = "value", plan: str = "auto", variants: DataFrame | None = None
-) -> DataFrame:
-    """STA-02: smallest d in 0..max_d whose ADF says stationary, else max_d; all
-    orders are tested in one job (a union tagged by d), no driver loop."""
-    if variants is None:
-        base = _clean(df, col)
-        plan = choose_plan(base, plan)
-        variants = diff_variants(base, max_d, plan)
-    u = variants
-    t = adf_test(u, by_extra=["d"], plan=plan)
-    pick = F.min(F.when(F.col("stationary"), F.col("d")))
-    return t.groupBy(KEY).agg(
-        F.coalesce(pick, F.lit(max_d)).cast("int").alias("d"),
-        F.map_from_entries(F.collect_list(F.struct(F.col("d").cast("string"), "t_stat"))).alias("t_stats"),
-    )
-
-
-def _differenced(base: DataFrame, d0: DataFrame | None, d: int, D: int, s: int, plan: str, variants: DataFrame | None = None) -> DataFrame:
-    """Apply the per-series auto order d0 (0..2) then the model's own d and D."""
-    if d0 is not None:
-        u = variants if variants is not None else diff_variants(base, 2, plan)
-        # d0 is materialised: Spark knows its size and broadcasts it only under
-        # spark.sql.autoBroadcastJoinThreshold (it grows with the number of series)
-        x = u.join(d0.select(KEY, "d"), [KEY, "d"]).withColumnRenamed("d", "_d0")
-    else:
-        x = base.withColumn("_d0", F.lit(0))
-    for _ in range(d):
-        x = diff_once(x, 1, plan)
-    for _ in range(D):
-        x = diff_once(x, s, plan)
-    return x
-
-
 def tail_values(df: DataFrame, k: int, col: str | dict[str, str], name: str | None = None) -> DataFrame:
     """Last ``k`` values per series as arrays in time order (bounded; the row_number
     filter with a literal k becomes a partial WindowGroupLimit before the shuffle).
@@ -282,170 +101,191 @@ def arima_fit(
 
     Estimation runs on the centred, scaled series and is carried back to its units. The
     long autoregression has ``max(4, ceil(2 n^(1/3)))`` lags for n rows unless given."""
-    p, d, q = order
-    P, D, Q, s = seasonal_order
-    if s <= 1:
-        P, D, Q, s = 0, 0, 0, max(s, 1)
     raw = _clean(df, col).persist(StorageLevel.MEMORY_AND_DISK)
-    persisted = [raw]
     try:
-        return _arima_fit(df, raw, persisted, (p, d, q), (P, D, Q, s), auto_stationary, long_ar, choose_plan(raw, plan))
+        return _arima_fit(df, raw, order, _seasonal(seasonal_order), auto_stationary, long_ar, choose_plan(raw, plan))
     finally:
-        for x in persisted:
-            x.unpersist()
+        raw.unpersist()
+
+
+def _seasonal(seasonal_order: tuple[int, int, int, int]) -> tuple[int, int, int, int]:
+    P, D, Q, s = seasonal_order
+    return (P, D, Q, s) if s > 1 else (0, 0, 0, 1)
 
 
-def _arima_fit(df, raw, persisted, order, seasonal_order, auto_stationary, long_ar, plan) -> DataFrame:
-    (p, d, q), (P, D, Q, s) = order, seasonal_order
-    base, scale = standardised(raw)
+def _differenced(v: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
+    v = np.diff(v, d)
+    for _ in range(D):
+        v = v[s:] - v[:-s] if len(v) > s else v[:0]
+    return v
+
+
+def long_order(n: int, least: int, given: int | None = None) -> int:
+    """Lags of the long autoregression of a series of ``n`` values; 0 if it is too short for them."""
+    m = max(max(4, math.ceil(2.0 * round(n ** (1 / 3), 9))) if given is None else given, least)
+    return m if n > 2 * m + 1 else 0
+
+
+def levinson(gamma: np.ndarray) -> tuple[np.ndarray, float]:
+    """Levinson-Durbin recursion: autocovariances 0..m -> (coefficients 1..m, innovation variance)."""
+    phi, var = np.zeros(len(gamma) - 1), float(gamma[0])
+    for k in range(len(phi)):
+        if var <= 1e-14 * gamma[0] or gamma[0] <= 0:
+            break
+        r = (gamma[k + 1] - phi[:k] @ gamma[k:0:-1]) / var
+        phi[:k] = phi[:k] - r * phi[:k][::-1]
+        phi[k] = r
+        var *= 1 - r * r
+    return phi, var
+
+
+def autocovariances(sums: np.ndarray, n: int, m: int) -> tuple[np.ndarray, float]:
+    """(autocovariances 0..m, mean) from lag products, the sum and the first and last m values.
+
+    Products of the centred series are the products less the mean times the sums without the values at either end."""
+    C, total, head, tail = sums[: m + 1], sums[m + 1], sums[m + 2 : 2 * m + 2], sums[2 * m + 2 :]
+    mean = total / n
+    late = total - np.concatenate(([0.0], np.cumsum(head)))
+    early = total - np.concatenate(([0.0], np.cumsum(tail[::-1])))
+    return (C - mean * (late + early) + (n - np.arange(m + 1)) * mean**2) / n, mean
+
+
+def _autoregressions(raw: DataFrame, known: DataFrame, d: int, D: int, s: int, least: int, given: int | None, plan: str) -> DataFrame:
+    """(series_id, mean, coefficients, variance) of the long Yule-Walker autoregression of the differenced, scaled series.
+
+    ``known``: ``series_scale`` and the order ``d0`` each series is differenced by first."""
+    reach = F.col("d0") + (d + D * s + 1) + (F.greatest(F.lit(4), F.ceil(2.0 * F.cbrt(F.col("_n").cast("double"))).cast("int"), F.lit(least)) if given is None else F.lit(max(given, least)))
+    heads = known.select(KEY, "_n", reach.alias("_reach"), F.array(F.col("_n").cast("double"), "_mean", "_std", F.col("d0").cast("double")).alias("_head"))
+
+    def sums(head, first, before, x):
+        d0 = int(head[3])
+        w = _differenced((x - head[1]) / head[2], d0 + d, D, s)
+        lost = d0 + d + D * s
+        n, own = int(head[0]) - lost, max(first + before - lost, 0)
+        m = long_order(n, least, given)
+        mine = w[max(0, own - first) :]
+        shape = [float(n), float(m)] if first + before == 0 else [0.0, 0.0]
+        return np.concatenate([shape, lag_products(w, max(0, own - first), m), [mine.sum()], placed(w, first, own, 0, m), placed(w, first, own, n - m, m)])
+
+    def solve(batches):
+        for pdf in batches:
+            rows = []
+            for key, v in zip(pdf[KEY], pdf["v"]):
+                n, m = int(v[0]), int(v[1])
+                if m:
+                    gamma, mean = autocovariances(np.asarray(v[2:]), n, m)
+                    phi, var = levinson(gamma)
+                    rows.append((key, n, mean, phi, var))
+                else:
+                    rows.append((key, n, None, None, None))
+            yield pd.DataFrame(rows, columns=[KEY, "n", "w_mean", "phi", "variance"])
+
+    return summed(stream(raw, heads, plan), sums, plan).mapInPandas(solve, f"{KEY} string, n long, w_mean double, phi array<double>, variance double")
+
+
+def long_ar(df: DataFrame, order: int, col: str = "value", plan: str = "auto") -> DataFrame:
+    """Yule-Walker autoregression of a fixed order: (series_id, n, phi, sigma2); NULL for a series too short for it."""
+    raw = _clean(df, col)
+    scale = materialize(series_scale(raw), "scale")
+    found = _autoregressions(raw, scale.withColumn("d0", F.lit(0)), 0, 0, 1, order, order, choose_plan(raw, plan))
+    return found.join(scale.select(KEY, "_std"), KEY).select(KEY, "n", "phi", (F.col("variance") * F.col("_std") * F.col("_std")).alias("sigma2"))
+
+
+def _arima_fit(df, raw, order, seasonal, auto_stationary, given, plan) -> DataFrame:
+    (p, d, q), (P, D, Q, s) = order, seasonal
+    scale = series_scale(raw)
     if auto_stationary:
-        variants = diff_variants(base, 2, plan).persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(variants)
-        # one row per series: written once, read back (tiny; broadcast below)
-        d0 = materialize(auto_difference(base, 2, plan=plan, variants=variants), "arima_d0")
+        known = scale.join(stored_differences(raw, 2, plan).withColumnRenamed("d", "d0"), KEY)
     else:
-        variants, d0 = None, None
-    w = _differenced(base, d0, d, D, s, plan, variants).persist(StorageLevel.MEMORY_AND_DISK)
-    persisted.append(w)
-    has_const = (d + D) == 0
+        known = scale.withColumn("d0", F.lit(0))
+    known = materialize(known, "arima_scale")
     ar_lags = list(range(1, p + 1)) + [s * i for i in range(1, P + 1)]
     ma_lags = list(range(1, q + 1)) + [s * i for i in range(1, Q + 1)]
-
-    # stage 1: long AR by OLS, residuals e_t
+    has_const = (d + D) == 0 or not (ar_lags or ma_lags)
+    far, far_ma, lost = max([*ar_lags, *ma_lags, 1]), max([*ma_lags, 0]), d + D * s
+    numbers = [F.col("_n").cast("double"), "_mean", "_std", F.col("d0").cast("double")]
     if ma_lags:
-        lags = F.greatest(F.lit(4), F.ceil(2.0 * F.cbrt(F.count(F.lit(1)).cast("double"))).cast("int")) if long_ar is None else F.lit(long_ar)
-        orders = materialize(w.groupBy(KEY).agg(F.greatest(lags, F.lit(max(ma_lags) + 1)).alias("_m")), "arima_lags")
-        m = int(orders.agg(F.max("_m")).first()[0] or 1)  # one scalar: the widest regression
-        wl = [f"_w{i}" for i in range(1, m + 1)]
-
-        def lag_build(x, part):
-            win = series_window(*part)
-            keep = [c for c in x.columns if c.startswith("_")]
-            return x.select(KEY, *ORDER, *keep, "value", *[F.lag("value", i).over(win).alias(f"_w{i}") for i in range(1, m + 1)])
-
-        s1 = apply_windows(attach(w, orders), lag_build, lookback=m, plan=plan).withColumn("_one", F.lit(1.0))
-        for i in range(1, m + 1):  # lags beyond a series' own order are not used
-            s1 = s1.withColumn(f"_w{i}", F.when(F.lit(i) <= F.col("_m"), F.col(f"_w{i}")).otherwise(0.0))
-        g1 = gram(s1, ["_one", *wl], "value").join(orders.withColumnRenamed("_m", "m_lags"), KEY)
-        coef_schema = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("_a", T.ArrayType(T.DoubleType()))])
-        k1 = m + 1
-
-        def solve1(it):
-            for pdf in it:
-                out = []
-                for r in pdf.itertuples(index=False):
-                    k = r._asdict()["m_lags"] + 1
-                    res = ols(unpack(r.xtx_u, k1)[:k, :k], np.asarray(r.xty, float)[:k], r.yty) if r.n > k else None
-                    out.append({KEY: r.series_id, "_a": None if res is None else [float(b) for b in res[0]] + [0.0] * (k1 - k)})
-                yield pd.DataFrame(out, columns=[KEY, "_a"])
-
-        # written once: otherwise both consumers of s1 below re-run the long-AR
-        # solve before the persisted frame exists (measured 1.7x slower)
-        a = materialize(g1.mapInPandas(solve1, coef_schema), "arima_long_ar")
-        e_expr = F.col("value") - F.col("_a")[0]
-        for i in range(1, m + 1):
-            e_expr = e_expr - F.col("_a")[i] * F.col(f"_w{i}")
-        s1 = attach(s1, a).withColumn("_e", e_expr).select(KEY, *ORDER, "value", "_e")
-        s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(s1)
-    else:
-        s1 = w.select(KEY, *ORDER, "value").withColumn("_e", F.lit(None).cast("double"))
-
-    # stage 2: regression on lags of w and of e
-    reach = max([*ar_lags, *ma_lags, 0])
-
-    def reg_build(x, part):
-        win = series_window(*part)
-        keep = [c for c in x.columns if c.startswith("_") and c not in ("_e",)]
-        cols = [F.lag("value", i).over(win).alias(f"_ar{i}") for i in ar_lags]
-        cols += [F.lag("_e", i).over(win).alias(f"_ma{i}") for i in ma_lags]
-        return x.select(KEY, *ORDER, *keep, "value", "_e", *cols)
-
-    s2 = apply_windows(s1, reg_build, lookback=max(reach, 1), plan=plan).withColumn("_one", F.lit(1.0))
-    xcols = (["_one"] if has_const else []) + [f"_ar{i}" for i in ar_lags] + [f"_ma{i}" for i in ma_lags]
-    if not xcols:
-        xcols = ["_one"]
-        has_const = True
-    g2 = gram(s2, xcols, "value")
-
-    # state for forecasting: tails of y (original units), of w and of the final residuals
-    ords = [("r", 1)] * d + [("s", s)] * D
-    tail_y_len = 2 + d + D * s + 2
-    tails = tail_values(raw, tail_y_len + 2, "value", "tail_y")
-    gap = _modal_gap(raw, plan)
-    if d0 is not None:
-        dsel = d0.select(KEY, F.col("d").alias("d0"))
+        # innovations come from a long autoregression; every series brings its own lags
+        ar = materialize(_autoregressions(raw, known, d, D, s, far_ma + 1, given, plan).select(KEY, "w_mean", "phi"), "arima_long_ar")
+        known = known.join(ar, KEY)
+        head = F.concat(F.array(*numbers, F.coalesce("w_mean", F.lit(0.0))), F.coalesce("phi", F.array().cast("array<double>")))
+        longest = F.coalesce(F.size("phi"), F.lit(0))
     else:
-        dsel = base.select(KEY).distinct().withColumn("d0", F.lit(0))
-    tails_we = tail_values(s1, max(reach, 1), {"value": "tail_w", "_e": "tail_e"})
+        head, longest = F.array(*numbers), F.lit(0)
+    kept = lost + 6  # last values of the series that a forecast is integrated from
+    reach = F.col("d0") + longest + (lost + far + kept + 1)
+    heads = known.select(KEY, "_n", reach.cast("int").alias("_reach"), head.alias("_head"))
+    k = int(has_const) + len(ar_lags) + len(ma_lags)
+    size = k * (k + 1) // 2 + k + 2
+
+    def sums(head, first, before, x):
+        n, mean, std, d0 = int(head[0]), head[1], head[2], int(head[3])
+        own, phi = first + before, head[5:]
+        out = np.zeros(4 + size + kept + 2 * far)
+        if own == 0:
+            out[:4] = head[:4]
+        w = _differenced((x - mean) / std, d0 + d, D, s)
+        if ma_lags and not len(phi):
+            w = w[:0]  # too short for innovations
+        behind = d0 + lost  # the place of w[0] is first + behind
+        e = np.full(len(w), np.nan)
+        if ma_lags and len(w) > len(phi):
+            e[len(phi) :] = np.convolve(w - head[4], np.concatenate(([1.0], -phi)), "valid")
+        start = max([*ar_lags, far_ma + len(phi) if ma_lags else 0, own - first - behind, 0])
+        rows = np.arange(start, len(w))
+        if len(rows):
+            X = np.column_stack([*([np.ones(len(rows))] if has_const else []), *(w[rows - i] for i in ar_lags), *(e[rows - i] for i in ma_lags)])
+            out[4 : 4 + size] = packed(X, w[rows])
+        if first + len(x) == n:  # the end of the series is here, with all the rows before it that are asked for
+            at = 4 + size
+            for values, length in ((x, kept), (w, far), (e, far)):
+                tail = np.nan_to_num(values[-length:])
+                out[at + length - len(tail) : at + length] = tail
+                at += length
+        return out
+
+    found = summed(stream(raw, heads, plan), sums, plan)
+    names = (["const"] if has_const else []) + [f"ar.L{i}" for i in ar_lags] + [f"ma.L{i}" for i in ma_lags]
     # every input series keeps a row: one without usable rows gets status 'failed' (SEM-15)
     every = df.select(F.col(KEY).cast("string").alias(KEY)).distinct()
-    info = (
-        every.join(g2, KEY, "left")
-        .join(tails, KEY, "left")
-        .join(tails_we, KEY, "left")
-        .join(gap, KEY, "left")
-        .join(dsel, KEY, "left")
-        .join(scale.withColumnsRenamed({"_mean": "mean", "_std": "std"}), KEY, "left")
-    )
-    k2 = len(xcols)
+    info = every.join(found, KEY, "left").join(time_steps(raw, plan), KEY, "left")
     created = datetime.now(timezone.utc).replace(tzinfo=None)
-    names = xcols
-
-    def solve2(it):
-        for pdf in it:
-            out = []
-            for r in pdf.to_dict("records"):
-                n = 0 if r["n"] is None or pd.isna(r["n"]) else int(r["n"])
-                res = ols(unpack(r["xtx_u"], k2), np.asarray(r["xty"], float), r["yty"]) if n > k2 else None
-                params, status, aic, bic = {}, "failed", None, None
-                state = None
-                if res is not None:
-                    beta, sse, _ = res
-                    level, std = float(r["mean"]), float(r["std"])
-                    d0_ = 0 if r["d0"] is None or pd.isna(r["d0"]) else int(r["d0"])
-                    # differencing takes the level out; back in the units of the series
-                    level = level if d0_ + d + D == 0 else 0.0
-                    sigma2 = std * std * sse / n
-                    memory = sum(b for nm, b in zip(names, beta) if nm.startswith("_ar"))
-                    beta = [std * b + level * (1 - memory) if nm == "_one" else b for nm, b in zip(names, beta)]
-                    for nm, b in zip(names, beta):
-                        key = "const" if nm == "_one" else ("ar.L" + nm[3:] if nm.startswith("_ar") else "ma.L" + nm[3:])
-                        params[key] = float(b)
-                    params["sigma2"] = float(sigma2)
-                    ll = -0.5 * n * (math.log(2 * math.pi * max(sigma2, 1e-300)) + 1)
-                    kk = k2 + 1
-                    aic, bic, status = -2 * ll + 2 * kk, -2 * ll + math.log(n) * kk, "ok"
-                    state = json.dumps(
-                        {
-                            "d0": d0_,
-                            "ops": ords,
-                            "tail_y": [float(v) for v in _arr(r["tail_y"])],
-                            "tail_w": [None if v is None else float(v) * std + level for v in _arr(r["tail_w"])],
-                            "tail_e": [None if v is None else float(v) * std for v in _arr(r["tail_e"])],
-                            "last_ts": r["last_ts"].isoformat() if r["last_ts"] is not None else None,
-                            "gap_us": int(r["gap_us"]) if r["gap_us"] is not None else None,
-                        }
-                    )
-                out.append(
-                    {
-                        KEY: r[KEY],
-                        "model": "arima",
-                        "version": None,
-                        "params": params,
-                        "order": [p, d, q],
-                        "seasonal_order": [P, D, Q, s if (P or D or Q) else 0],
-                        "aic": aic,
-                        "bic": bic,
-                        "n": n,
-                        "status": status,
-                        "created": created,
-                        "state": state,
-                    }
-                )
-            yield pd.DataFrame(out, columns=MODEL_SCHEMA.fieldNames())
 
-    return materialize(info.mapInPandas(solve2, MODEL_SCHEMA), "arima")
+    def model(r) -> dict:
+        v = np.asarray(_arr(r["v"]), float)
+        row = {KEY: r[KEY], "model": "arima", "version": None, "params": {}, "order": [p, d, q], "seasonal_order": [P, D, Q, s if (P or D or Q) else 0], "aic": None, "bic": None, "n": 0, "status": "failed", "created": created, "state": None}
+        if not len(v):
+            return row
+        total, level, std, d0 = int(v[0]), v[1], v[2], int(v[3])
+        g, tails = v[4 : 4 + size], v[4 + size :]
+        n = row["n"] = int(g[-1])
+        fit = ols(unpack(g, k), g[k * (k + 1) // 2 : -2], g[-2]) if n > k else None
+        if fit is None:
+            return row
+        beta, sse, _ = fit
+        # differencing takes the level out; back in the units of the series
+        level = level if d0 + d + D == 0 else 0.0
+        sigma2 = std * std * sse / n
+        memory = sum(b for name, b in zip(names, beta) if name.startswith("ar"))
+        params = {name: float(std * b + level * (1 - memory) if name == "const" else b) for name, b in zip(names, beta)}
+        ll = -0.5 * n * (math.log(2 * math.pi * max(sigma2, 1e-300)) + 1)
+        w = min(far, total - d0 - lost)
+        state = {
+            "d0": d0,
+            "ops": [("r", 1)] * d + [("s", s)] * D,
+            "tail_y": tails[kept - min(kept, total) : kept].tolist(),
+            "tail_w": (tails[kept + far - w : kept + far] * std + level).tolist(),
+            "tail_e": (tails[kept + 2 * far - w :] * std).tolist() if ma_lags else [],
+            "last_ts": r["last_ts"].isoformat() if r["last_ts"] is not None else None,
+            "gap_us": None if pd.isna(r["gap_us"]) else int(r["gap_us"]),
+        }
+        return row | {"params": params | {"sigma2": float(sigma2)}, "aic": -2 * ll + 2 * (k + 1), "bic": -2 * ll + math.log(n) * (k + 1), "status": "ok", "state": json.dumps(state)}
+
+    def solve(batches):
+        for pdf in batches:
+            yield pd.DataFrame([model(r) for r in pdf.to_dict("records")], columns=MODEL_SCHEMA.fieldNames())
+
+    return materialize(info.mapInPandas(solve, MODEL_SCHEMA), "arima")
 
 
 def _arr(x) -> list:
@@ -456,7 +296,7 @@ def _arr(x) -> list:
     return list(x)
 
 
-def _modal_gap(base: DataFrame, plan: str = "auto") -> DataFrame:
+def time_steps(base: DataFrame, plan: str = "auto") -> DataFrame:
     """Per series: last ts and the most frequent gap between consecutive rows (SEM-10)."""
     def build(x, part):
         w = series_window(*part)
@@ -676,7 +516,7 @@ def trend_season_forecast(models: DataFrame, steps: int, every_us: int | None =
     ``every_us`` is given. ``history`` (the fitted frame) supplies the modal gap."""
     m = models
     if history is not None and every_us is None:
-        m = m.join(_modal_gap(_clean(history)).select(KEY, "gap_us"), KEY, "left")
+        m = m.join(time_steps(_clean(history)).select(KEY, "gap_us"), KEY, "left")
     else:
         m = m.withColumn("gap_us", F.lit(every_us).cast("long"))
 

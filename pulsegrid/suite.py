@@ -1505,3 +1505,6 @@ def q_summary_stats_daily(spark, d):
 def q_acf_daily(spark, d):
     """AGG-05 of daily order revenue, lags 0..50."""
     return stats.acf(p3(spark, d), 50)
+
+
+from pulsegrid import suite_models  # noqa: E402, F401  (registers its queries)
