@@ -33,7 +33,7 @@ from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.operators.gram import add_packed, ols, packed, unpack
 from pulsegrid.operators.runs import lag_products, placed, series_scale, stream, summed
 from pulsegrid.operators.stats import attach
-from pulsegrid.operators.unit_root import adf_test, auto_difference, stored_differences  # noqa: F401  (part of this module's interface)
+from pulsegrid.operators.unit_root import adf_test, auto_difference  # noqa: F401  (part of this module's interface)
 from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
 
@@ -193,12 +193,12 @@ def long_ar(df: DataFrame, order: int, col: str = "value", plan: str = "auto") -
 
 def _arima_fit(df, raw, order, seasonal, auto_stationary, given, plan) -> DataFrame:
     (p, d, q), (P, D, Q, s) = order, seasonal
-    scale = series_scale(raw)
+    known = materialize(series_scale(raw), "arima_scale")
     if auto_stationary:
-        known = scale.join(stored_differences(raw, 2, plan).withColumnRenamed("d", "d0"), KEY)
+        d0 = auto_difference(raw, 2, plan=plan, scale=known).select(KEY, F.col("d").alias("d0"))
+        known = materialize(known.join(d0, KEY), "arima_scale")
     else:
-        known = scale.withColumn("d0", F.lit(0))
-    known = materialize(known, "arima_scale")
+        known = known.withColumn("d0", F.lit(0))
     ar_lags = list(range(1, p + 1)) + [s * i for i in range(1, P + 1)]
     ma_lags = list(range(1, q + 1)) + [s * i for i in range(1, Q + 1)]
     has_const = (d + D) == 0 or not (ar_lags or ma_lags)

@@ -58,7 +58,9 @@ def stream(clean: DataFrame, heads: DataFrame, plan: str, block_rows: int | None
     led = first.select(KEY, "_blk", *[F.lit(None).cast(t).alias(c) for c, t in types.items()], begin.alias("_ord"), F.lit(None).cast("double").alias("value"), "_head")
     every = rows.unionByName(led).withColumn("_row", F.col("_head").isNull())
     sort = [KEY, "_blk", "_row", *ORDER]
-    return every.repartition(KEY, "_blk").sortWithinPartitions(*sort).select(KEY, "_ord", "value", "_head")
+    # a run costs far more than its bytes, so small partitions are not merged
+    tasks = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return every.repartition(tasks, KEY, "_blk").sortWithinPartitions(*sort).select(KEY, "_ord", "value", "_head")
 
 
 def each_run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, int, int, np.ndarray]]:

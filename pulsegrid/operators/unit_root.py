@@ -20,7 +20,6 @@ from pulsegrid.functions.numeric import normal_cdf
 from pulsegrid.operators.gram import REGULAR, ols
 from pulsegrid.operators.runs import lag_products, placed, series_scale, stream, summed
 from pulsegrid.plans.blocked import choose_plan
-from pulsegrid.plans.lineage import materialize
 
 # MacKinnon (1991) response surface, constant only, 5 % level
 ADF_5PCT = (-2.8621, -2.738, -8.36)
@@ -138,9 +137,9 @@ def dickey_fuller(sums: np.ndarray, n: int, lags: int | None) -> tuple[int, floa
 TESTED = f"{KEY} string, tests array<struct<d int, n long, lags int, t_stat double>>"
 
 
-def _tests(clean: DataFrame, max_d: int, lags: int | None, plan: str) -> DataFrame:
-    """(series_id, tests): the test of the series differenced 0..max_d times."""
-    scale = series_scale(clean)
+def _tests(clean: DataFrame, max_d: int, lags: int | None, plan: str, scale: DataFrame | None = None) -> DataFrame:
+    """(series_id, tests): the test of the series differenced 0..max_d times. ``scale``: its ``series_scale``, if known."""
+    scale = series_scale(clean) if scale is None else scale
     reach = F.ceil(12.0 * F.pow(F.col("_n") / 100.0, 0.25)).cast("int") if lags is None else F.lit(lags)
     heads = scale.select(KEY, "_n", (reach + max_d + 2).alias("_reach"), F.array(F.col("_n").cast("double"), "_mean", "_std", "_first", "_last").alias("_head"))
 
@@ -189,18 +188,13 @@ def adf_test(df: DataFrame, col: str = "value", plan: str = "auto", lags: int |
     return t.select(KEY, "n", "lags", "t_stat", crit.alias("crit_5pct"), p_value(F.col("t_stat")).alias("p_value")).withColumn("stationary", F.col("p_value") < 0.05)
 
 
-def auto_difference(df: DataFrame, max_d: int = 2, col: str = "value", plan: str = "auto", lags: int | None = None) -> DataFrame:
+def auto_difference(df: DataFrame, max_d: int = 2, col: str = "value", plan: str = "auto", lags: int | None = None, scale: DataFrame | None = None) -> DataFrame:
     """STA-02: smallest d in 0..max_d whose test says stationary, else max_d: (series_id, d, t_stats).
 
     All orders are tested on one pass over the rows."""
     clean = _clean(df, col)
-    t = _tests(clean, max_d, lags, choose_plan(clean, plan))
+    t = _tests(clean, max_d, lags, choose_plan(clean, plan), scale)
     good = F.filter("tests", lambda x: F.coalesce(p_value(x["t_stat"]) < 0.05, F.lit(False)))
     pick = F.when(F.size(good) > 0, F.element_at(good, 1)["d"]).otherwise(max_d)
     stats = F.map_from_entries(F.transform("tests", lambda x: F.struct(x["d"].cast("string"), x["t_stat"])))
     return t.select(KEY, pick.cast("int").alias("d"), stats.alias("t_stats"))
-
-
-def stored_differences(df: DataFrame, max_d: int, plan: str) -> DataFrame:
-    """(series_id, d), written once."""
-    return materialize(auto_difference(df, max_d, plan=plan).select(KEY, "d"), "differences")

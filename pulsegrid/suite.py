@@ -1507,4 +1507,4 @@ def q_acf_daily(spark, d):
     return stats.acf(p3(spark, d), 50)
 
 
-from pulsegrid import suite_models  # noqa: E402, F401  (registers its queries)
+from pulsegrid import suite_models, suite_streams  # noqa: E402, F401  (they register their queries)

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pulsegrid import sqlparts as S
 from pulsegrid.functions.numeric import CDF, CDF_STEP
-from pulsegrid.operators import forecast, unit_root
-from pulsegrid.suite import _ADF0, _HOURLY, _LAGGED, _hourly_clean, p1, register
+from pulsegrid.operators import clean, forecast, rolling, shared_forest, unit_root
+from pulsegrid.plans.lineage import materialize
+from pulsegrid.suite import _ADF0, _FEAT_COLS, _HOURLY, _LAGGED, _SCORED, _hourly_clean, p1, register
 
 # ---------------------------------------------------------------- autoregressions from lag products
 _R = f"""
@@ -99,3 +100,38 @@ def q_auto_difference_walks(spark, d):
 
     total = F.sum(F.col("value") - 0.5).over(series_window().rowsBetween(Window.unboundedPreceding, 0))
     return _order_rows(forecast.auto_difference(_hourly_clean(spark, d).withColumn("value", total), lags=1))
+
+
+# ---------------------------------------------------------------- one detector over all series
+def _shared(spark, d):
+    """(scaled features of all user series, the forest fitted to all of them)"""
+    feats = rolling.anomaly_features(p1(spark, d))
+    scaled = materialize(clean.apply_scaler(feats, clean.fit_scaler(feats, _FEAT_COLS), _FEAT_COLS), "shared_features")
+    return scaled, shared_forest.fit(scaled, _FEAT_COLS)
+
+
+@register("iforest_shared")
+def q_iforest_shared(spark, d):
+    """ANO-02/03: one forest over all user series, broadcast; scores and flags at contamination 0.1."""
+    feats, forest = _shared(spark, d)
+    scores = materialize(shared_forest.score(feats, forest).select("series_id", "ts", "seq", "score"), "shared_scores")
+    return shared_forest.flag(scores, shared_forest.threshold(scores, 0.1))
+
+
+_SHARED_SQL = f"""
+SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(n_scored) AS BIGINT) AS n_scored, CAST(100 AS INTEGER) AS n_trees, CAST(least(256, sum(n_scored)) AS INTEGER) AS psi,
+  CAST(sum(n_scored) - 1 - floor(0.9 * (sum(n_scored) - 1)) AS BIGINT) AS n_above FROM ({_SCORED}) _x"""
+
+
+@register("iforest_shared_info", _SHARED_SQL)
+def q_iforest_shared_info(spark, d):
+    """ANO-05 of the shared forest: rows, rows scored inside (0, 1), trees, sample size, rows at or above the cut's rank."""
+    feats, forest = _shared(spark, d)
+    scores = materialize(shared_forest.score(feats, forest).select("series_id", "ts", "seq", "score"), "shared_scores")
+    cut = shared_forest.threshold(scores, 0.1)
+    # equal scores at the cut share its rank: count ranks, not scores
+    base = p1(spark, d).join(scores.where("score > 0 and score < 1"), ["series_id", "ts", "seq"], "left")
+    seen = base.agg(F.count(F.lit(1)).alias("n"), F.count("score").alias("n_scored"), F.count_if(F.col("score") > cut).alias("above"), F.count_if(F.col("score") >= cut).alias("reach"))
+    rank = F.col("n_scored") - 1 - F.floor(0.9 * (F.col("n_scored") - 1))
+    held = F.when((F.col("above") <= rank) & (rank <= F.col("reach")), rank).cast("long")
+    return seen.withColumns({c: F.lit(v) for c, v in forest.select("n_trees", "psi").first().asDict().items()}).select("n", "n_scored", "n_trees", "psi", held.alias("n_above"))
