@@ -83,8 +83,11 @@ def stage_rows(df: DataFrame, path: str, file_rows: int = FILE_ROWS, plan: str =
     one = df.select(F.lit("all").alias(KEY), F.col(KEY).alias("_sid"), *[c for c in df.columns if c != KEY])
     placed = rank_within(one, "row_no", [*ORDER, "_sid"], plan).withColumn(KEY, F.col("_sid")).drop("_sid")
     n = placed.agg(F.max("row_no").alias("n")).first()["n"]
-    files = 1 if n is None else n // file_rows + 1
-    placed.withColumn("_file", F.floor(F.col("row_no") / file_rows)).repartition(min(files, 10_000), "_file").sortWithinPartitions("row_no").write.partitionBy("_file").parquet(f"{path}/rows")
+    if n is None:  # one file without rows keeps the columns
+        placed.coalesce(1).write.parquet(f"{path}/rows")
+    else:
+        filed = placed.withColumn("_file", F.floor(F.col("row_no") / file_rows))
+        filed.repartition(min(n // file_rows + 1, 10_000), "_file").sortWithinPartitions("row_no").write.partitionBy("_file").parquet(f"{path}/rows")
     staged = df.sparkSession.read.parquet(f"{path}/rows").groupBy(F.input_file_name().alias("path"))
     staged.agg(F.min("row_no").alias("first"), F.count(F.lit(1)).alias("rows")).write.parquet(f"{path}/index")
 

@@ -212,12 +212,19 @@ def stage_for_replay(df: DataFrame, path: str, chunks: int = 4, files_per_chunk:
 
 def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None) -> None:
     """Run the query to completion over what is available (``availableNow``) into
-    a parquet table (or a ``foreachBatch`` function), checkpointed for restart."""
+    a parquet table (or a ``foreachBatch`` function), checkpointed for restart. It runs no micro-batch
+    without rows: state with an expiry would ask for one after the other and the query would not end."""
     w = stream_out.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if foreach is not None:
-        q = w.foreachBatch(foreach).start()
-    else:
-        q = w.outputMode("append").format("parquet").option("path", out_path).start()
+    conf, name = stream_out.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")  # a query keeps the settings that it is started with
+    try:
+        if foreach is not None:
+            q = w.foreachBatch(foreach).start()
+        else:
+            q = w.outputMode("append").format("parquet").option("path", out_path).start()
+    finally:
+        conf.set(name, before)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
