@@ -32,7 +32,8 @@ _DAY_US = 24 * _HOUR_US
 
 def infer_period(df: DataFrame) -> int:
     """Seasonal period implied by the most common gap between consecutive rows."""
-    from pulsegrid.operators.forecast import _clean, time_steps
+    from pulsegrid.operators.forecast import _clean
+    from pulsegrid.sources.steps import time_steps
 
     gaps = time_steps(_clean(df)).filter(F.col("gap_us").isNotNull())
     top = gaps.groupBy("gap_us").agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("c").desc(), "gap_us").first()

@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER, series_window
-from pulsegrid.operators.gram import add_packed, ols, packed, unpack
+from pulsegrid.operators.gram import add_packed, ols, packed, rank, unpack
 from pulsegrid.operators.runs import lag_products, placed, series_scale, stream, summed
 from pulsegrid.operators.stats import attach
 from pulsegrid.operators.unit_root import adf_test, auto_difference  # noqa: F401  (part of this module's interface)
 from pulsegrid.plans.blocked import apply_windows, choose_plan, epoch_micros
 from pulsegrid.plans.lineage import materialize
+from pulsegrid.sources.steps import next_stamps, time_steps
 
 
 def _clean(df: DataFrame, col: str = "value") -> DataFrame:
@@ -277,7 +278,7 @@ def _arima_fit(df, raw, order, seasonal, auto_stationary, given, plan) -> DataFr
             "tail_w": (tails[kept + far - w : kept + far] * std + level).tolist(),
             "tail_e": (tails[kept + 2 * far - w :] * std).tolist() if ma_lags else [],
             "last_ts": r["last_ts"].isoformat() if r["last_ts"] is not None else None,
-            "gap_us": None if pd.isna(r["gap_us"]) else int(r["gap_us"]),
+            **_step(r),
         }
         return row | {"params": params | {"sigma2": float(sigma2)}, "aic": -2 * ll + 2 * (k + 1), "bic": -2 * ll + math.log(n) * (k + 1), "status": "ok", "state": json.dumps(state)}
 
@@ -288,6 +289,12 @@ def _arima_fit(df, raw, order, seasonal, auto_stationary, given, plan) -> DataFr
     return materialize(info.mapInPandas(solve, MODEL_SCHEMA), "arima")
 
 
+def _step(r: dict) -> dict:
+    """The step of a row of ``time_steps`` as plain values."""
+    number = lambda v: None if v is None or pd.isna(v) else int(v)
+    return {"gap_us": number(r["gap_us"]), "gap_months": number(r["gap_months"]), "month_end": bool(r["month_end"] is not None and not pd.isna(r["month_end"]) and r["month_end"])}
+
+
 def _arr(x) -> list:
     if x is None:
         return []
@@ -296,20 +303,6 @@ def _arr(x) -> list:
     return list(x)
 
 
-def time_steps(base: DataFrame, plan: str = "auto") -> DataFrame:
-    """Per series: last ts and the most frequent gap between consecutive rows (SEM-10)."""
-    def build(x, part):
-        w = series_window(*part)
-        keep = [c for c in x.columns if c.startswith("_")]
-        return x.select(KEY, "ts", *keep, (epoch_micros("ts") - F.lag(epoch_micros("ts")).over(w)).alias("_g"))
-
-    g = apply_windows(base.select(KEY, *ORDER), build, lookback=1, plan=plan)
-    last = g.groupBy(KEY).agg(F.max("ts").alias("last_ts"))
-    counts = g.filter(F.col("_g").isNotNull() & (F.col("_g") > 0)).groupBy(KEY, "_g").agg(F.count(F.lit(1)).alias("_c"))
-    mode = counts.groupBy(KEY).agg(F.max_by("_g", F.struct("_c", F.negative("_g"))).alias("gap_us"))
-    return last.join(mode, KEY, "left")
-
-
 FORECAST_SCHEMA = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
@@ -408,9 +401,9 @@ def arima_forecast(models: DataFrame, steps: int) -> DataFrame:
                 sig2 = prm.get("sigma2", 0.0)
                 var = sig2 * np.cumsum(psi**2)
                 last_ts = pd.Timestamp(st["last_ts"]) if st["last_ts"] else None
-                gap = st["gap_us"]
+                stamps = None if last_ts is None else next_stamps(last_ts, st["gap_us"], st.get("gap_months"), st.get("month_end", False), steps)
                 for h in range(steps):
-                    ts = None if last_ts is None or gap is None else last_ts + pd.Timedelta(microseconds=gap * (h + 1))
+                    ts = stamps and stamps[h]
                     half = 1.959963984540054 * math.sqrt(max(var[h], 0.0))
                     out.append({KEY: sid, "model": r["model"], "step": h + 1, "ts": ts, "forecast": float(cur[h]), "forecast_diff": float(fdiff[h]), "lo": float(cur[h] - half), "hi": float(cur[h] + half), "status": "ok"})
             yield pd.DataFrame(out, columns=FORECAST_SCHEMA.fieldNames())
@@ -485,17 +478,11 @@ def trend_season_fit(
                 # no penalty on intercept and slope
                 pen = np.full(k, ridge)
                 pen[:2] = 1e-9
-                res = None
-                if n >= 2:
-                    try:
-                        beta = np.linalg.solve(xtx + np.diag(pen), xty)
-                        sse = float(yty - 2 * beta @ xty + beta @ xtx @ beta)
-                        res = (beta, max(sse, 0.0))
-                    except np.linalg.LinAlgError:
-                        res = None
+                # no more rows than independent columns: nothing is left to estimate the noise from
+                res = ols(xtx + np.diag(pen), xty, yty) if n > rank(xtx) else None
                 params, status, aic, bic, state = {}, "failed", None, None, None
                 if res is not None:
-                    beta, sse = res
+                    beta, sse = res[0], max(res[1] - float(pen @ res[0] ** 2), 0.0)
                     std = float(r["_std"])
                     beta = beta * std
                     beta[0] += float(r["_mean"])
@@ -514,31 +501,30 @@ def trend_season_fit(
 def trend_season_forecast(models: DataFrame, steps: int, every_us: int | None = None, history: DataFrame | None = None) -> DataFrame:
     """FC-06: future rows only; the step is the series' modal gap (SEM-10) unless
     ``every_us`` is given. ``history`` (the fitted frame) supplies the modal gap."""
-    m = models
     if history is not None and every_us is None:
-        m = m.join(time_steps(_clean(history)).select(KEY, "gap_us"), KEY, "left")
+        m = models.join(time_steps(_clean(history)).drop("last_ts"), KEY, "left")
     else:
-        m = m.withColumn("gap_us", F.lit(every_us).cast("long"))
+        m = models.withColumns({"gap_us": F.lit(every_us).cast("long"), "gap_months": F.lit(None).cast("int"), "month_end": F.lit(False)})
 
     def run(it):
         for pdf in it:
             out = []
             for r in pdf.to_dict("records"):
-                if r["status"] != "ok" or r["gap_us"] is None or pd.isna(r["gap_us"]):
+                step = _step(r)
+                if r["status"] != "ok" or not (step["gap_us"] or step["gap_months"]):
                     for h in range(1, steps + 1):
                         out.append({KEY: r[KEY], "model": r["model"], "step": h, "ts": None, "forecast": None, "forecast_diff": None, "lo": None, "hi": None, "status": r["status"] if r["status"] != "ok" else "no_step"})
                     continue
                 st = json.loads(r["state"])
                 last = pd.Timestamp(st["last_ts"])
-                gap = int(r["gap_us"])
-                t_last = (last - pd.Timestamp("1970-01-01")) // pd.Timedelta(microseconds=1)
-                t = np.asarray([t_last + gap * h for h in range(1, steps + 1)], float)
+                stamps = next_stamps(last, **step, steps=steps)
+                t = np.asarray([(x - pd.Timestamp("1970-01-01")) // pd.Timedelta(microseconds=1) for x in stamps], float)
                 X = _design(t, st["t0"], st["span"], st["cps"], st["comps"])
                 beta = np.asarray([r["params"][f"b{i}"] for i in range(X.shape[1])])
                 f = X @ beta
                 half = 1.959963984540054 * math.sqrt(r["params"]["sigma2"])
                 for h in range(steps):
-                    out.append({KEY: r[KEY], "model": r["model"], "step": h + 1, "ts": last + pd.Timedelta(microseconds=gap * (h + 1)), "forecast": float(f[h]), "forecast_diff": float(f[h]), "lo": float(f[h] - half), "hi": float(f[h] + half), "status": "ok"})
+                    out.append({KEY: r[KEY], "model": r["model"], "step": h + 1, "ts": stamps[h], "forecast": float(f[h]), "forecast_diff": float(f[h]), "lo": float(f[h] - half), "hi": float(f[h] + half), "status": "ok"})
             yield pd.DataFrame(out, columns=FORECAST_SCHEMA.fieldNames())
 
     return m.mapInPandas(run, FORECAST_SCHEMA)

@@ -147,3 +147,13 @@ def ols(xtx: np.ndarray, xty: np.ndarray, yty: float, ridge: float = 0.0):
     if sse < -1e-8 * abs(yty):
         return None
     return beta, max(sse, 0.0), inv
+
+
+def rank(xtx: np.ndarray) -> int:
+    """Independent columns of the design behind ``xtx``."""
+    d = np.sqrt(np.diag(xtx))
+    used = d > 0
+    if not used.any():
+        return 0
+    roots = np.linalg.eigvalsh(xtx[np.ix_(used, used)] / np.outer(d[used], d[used]))
+    return int((roots > REGULAR * roots[-1]).sum())

@@ -2,26 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY
-from pulsegrid.plans.blocked import epoch_micros
+from pulsegrid.sources.steps import grid_index, grid_point, step_of
 
 
 #: Grid points that one row may expand to at once.
 CHUNK = 10_000
-_MICROS = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
-
-
-def step_micros(every: str) -> int:
-    """Length of a fixed step such as ``1 hour`` in microseconds."""
-    m = re.fullmatch(r"\s*(\d+)\s+([a-z]+?)s?\s*", every.lower())
-    if not m or m[2] not in _MICROS or int(m[1]) < 1:
-        raise ValueError(f"not a fixed step: {every!r}")
-    return int(m[1]) * _MICROS[m[2]]
 
 
 def count_out(df: DataFrame, n: str, name: str) -> DataFrame:
@@ -45,22 +34,25 @@ def time_spine(df: DataFrame, every: str = "1 hour", start=None, end=None) -> Da
 
     ``start``/``end`` (timestamps) override the per-series bounds. The bounds are a
     tiny per-series aggregate; the grid itself is generated on the executors, in chunks,
-    and grows only with the span, not with the input rows. ``every`` is a fixed step.
+    and grows only with the span, not with the input rows. ``every`` is a fixed or a calendar
+    step (``steps``).
     """
-    us = step_micros(every)
-    points = _bounds(df, start, end).withColumn("_n", F.floor((epoch_micros("_hi") - epoch_micros("_lo")) / us) + 1)
-    return count_out(points, "_n", "_k").select(KEY, F.expr(f"_lo + make_dt_interval(0, 0, 0, cast(cast((_k - 1) * {us} as decimal(24, 0)) / 1000000 as decimal(18, 6)))").alias("ts"))
+    step = step_of(every)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    inside = grid_point(lo, F.lit(0), step) <= hi
+    points = _bounds(df, start, end).withColumn("_n", F.when(inside, grid_index(lo, hi, step) + 1).otherwise(0))
+    return count_out(points, "_n", "_k").select(KEY, grid_point(lo, F.col("_k") - 1, step).alias("ts"))
 
 
 def fill_on_spine(df: DataFrame, every: str = "1 hour") -> DataFrame:
     """Data on its spine: missing grid points get NULL value, seq 0.
 
-    A row between two grid points counts for the earlier one; the values of a grid point
-    are averaged (NULLs left out), so no row is lost."""
-    us = step_micros(every)
+    A row between two grid points counts for the earlier one (before the first point: for the first); the
+    values of a grid point are averaged (NULLs left out), so no row is lost."""
+    step = step_of(every)
     spine = time_spine(df, every)
-    data = df.select(KEY, "ts", "value").join(_bounds(df, None, None).select(KEY, epoch_micros("_lo").alias("_lo_us")), KEY).withColumn("_us", epoch_micros("ts"))
-    data = data.withColumn("ts", F.expr(f"ts - make_dt_interval(0, 0, 0, cast(cast(pmod(_us - _lo_us, {us}) as decimal(24, 0)) / 1000000 as decimal(18, 6)))"))
+    data = df.select(KEY, "ts", "value").join(_bounds(df, None, None).select(KEY, "_lo"), KEY)
+    data = data.select(KEY, grid_point(F.col("_lo"), grid_index(F.col("_lo"), F.col("ts"), step), step).alias("ts"), "value")
     data = data.groupBy(KEY, "ts").agg(F.avg("value").alias("value"))
     return spine.join(data, [KEY, "ts"], "left").select(
         KEY, "ts", F.lit(0).cast("long").alias("seq"), "value"

@@ -8,7 +8,9 @@ from pulsegrid import sqlparts as S
 from pulsegrid.functions.numeric import CDF, CDF_STEP
 from pulsegrid.operators import clean, forecast, rolling, shared_forest, unit_root
 from pulsegrid.plans.lineage import materialize
-from pulsegrid.suite import _ADF0, _FEAT_COLS, _HOURLY, _LAGGED, _SCORED, _hourly_clean, p1, register
+from pulsegrid.sources.panels import table
+from pulsegrid.sources.spine import fill_on_spine
+from pulsegrid.suite import _ADF0, _FEAT_COLS, _HOURLY, _LAGGED, _SCORED, _ar1_sql, _hourly_clean, p1, p3, register
 
 # ---------------------------------------------------------------- autoregressions from lag products
 _R = f"""
@@ -135,3 +137,38 @@ def q_iforest_shared_info(spark, d):
     rank = F.col("n_scored") - 1 - F.floor(0.9 * (F.col("n_scored") - 1))
     held = F.when((F.col("above") <= rank) & (rank <= F.col("reach")), rank).cast("long")
     return seen.withColumns({c: F.lit(v) for c, v in forest.select("n_trees", "psi").first().asDict().items()}).select("n", "n_scored", "n_trees", "psi", held.alias("n_above"))
+
+
+# ---------------------------------------------------------------- calendar steps
+_MONTHLY = """
+SELECT g.series_id, g.ts, CAST(0 AS BIGINT) AS seq, avg(d.value) AS value FROM (
+  SELECT series_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 MONTH)) AS ts FROM ({src}) _a GROUP BY 1) g
+LEFT JOIN ({src}) d ON d.series_id = g.series_id AND d.ts >= g.ts AND d.ts < g.ts + INTERVAL 1 MONTH GROUP BY 1, 2"""
+_CUSTOMERS = "SELECT CAST(o_custkey AS VARCHAR) AS series_id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS ts, CAST(0 AS BIGINT) AS seq, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2"
+
+
+def _monthly(spark, d):
+    """Mean daily order revenue of every month, from the daily series."""
+    return materialize(fill_on_spine(p3(spark, d), "1 month"), "panel_monthly")
+
+
+@register("time_spine_monthly", _MONTHLY.format(src=_CUSTOMERS), ["value"], bits=8)
+def q_time_spine_monthly(spark, d):
+    """SRC-04 with a calendar step: monthly grid per customer with the month's order revenue."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    month = F.date_trunc("month", "o_orderdate").cast("timestamp_ntz")
+    revenue = o.groupBy(F.col("o_custkey").cast("string").alias("series_id"), month.alias("ts")).agg(F.sum("o_totalprice").alias("value"))
+    return fill_on_spine(revenue.withColumn("seq", F.lit(0).cast("long")), "1 month")
+
+
+@register(
+    "arima_monthly",
+    f"""SELECT series_id, CAST(h AS INTEGER) AS step, last_ts + to_months(CAST(h AS INTEGER)) AS ts, const * (1 - power(ar, h)) / (1 - ar) + power(ar, h) * last AS forecast
+    FROM ({_ar1_sql(_MONTHLY.format(src=S.P3))}) _x JOIN (SELECT series_id, max(ts) AS last_ts FROM ({_MONTHLY.format(src=S.P3)}) _m GROUP BY 1) USING (series_id), unnest(generate_series(1, 15)) t(h)""",
+    ["forecast"],
+    bits=4,
+)
+def q_arima_monthly(spark, d):
+    """FC-03 with a calendar step: 15 months of the AR(1) of monthly order revenue, on first days of months."""
+    m = forecast.arima_fit(_monthly(spark, d), (1, 0, 0), auto_stationary=False)
+    return forecast.arima_forecast(m, 15).select("series_id", "step", "ts", "forecast")
