@@ -15,11 +15,13 @@ random with a fixed seed. Every candidate is verified by its exact edit distance
 Before the walk, windows with too few words of the items' vocabulary are left out: a passage
 within the distance has at most that many other words, so nothing is lost.
 
-The benchmark is the stated query set: it is read in blocks of about ``BLOCK`` items, each sent
-to the workers, and all documents are scanned whole for each block. No shuffle.
+Items of fewer than ``WALKED`` words are too short for the walk and are matched word by word, without edits. Scripts
+written without blanks are cut into characters.
 
-Defined results: null and empty texts and texts without words match nothing; items of fewer than
-``min_words`` words are not searched (too short to tell a leak from chance); repeated items and repeated
+The benchmark is the stated query set: it is indexed in blocks of about ``BLOCK`` items; up to ``PASS`` blocks are sent
+to the workers together, and each document is walked once for all of them. No shuffle.
+
+Defined results: null and empty texts and texts without words match nothing; repeated items and repeated
 rows are each reported; null ids are carried. An empty benchmark finds nothing.
 """
 
@@ -37,8 +39,14 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import map_batches, type_of
 
-TOKEN = re.compile(r"[^\W_]+")
+#: Scripts without blanks between words: Thai to Lao, Myanmar, Khmer, kana, CJK ideographs.
+JOINED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003134f"
+TOKEN = re.compile(rf"[{JOINED}]|[^\W_{JOINED}]+")
 BLOCK = 2_000
+#: Blocks whose indexes are sent to the workers at once.
+PASS = 25
+#: Words an item needs to be searched by the walk.
+WALKED = 8
 BITS = 2
 #: Words of documents compared at once.
 PIECE = 100_000
@@ -64,6 +72,7 @@ class Index:
     edits: list[int] = field(default_factory=list)
     vocabulary: dict[str, int] = field(default_factory=dict)
     groups: list[Group] = field(default_factory=list)
+    short: dict[int, dict[tuple, list[int]]] = field(default_factory=dict)  # words of an item -> its words -> items
 
     @property
     def pad(self) -> int:
@@ -114,17 +123,20 @@ def _windows(items: list[np.ndarray], length: int, pad: int) -> tuple[np.ndarray
     return body.ravel(), np.arange(len(items)) * length
 
 
-def build(rows: list[tuple], max_edit: float, recall: float, min_words: int, seed: int) -> Index:
+def build(rows: list[tuple], max_edit: float, recall: float, seed: int) -> Index:
     """rows: (item id, text)."""
     index = Index()
     for name, text in rows:
         words = tokens(text)
-        if len(words) >= min_words:
+        if words:
             index.names.append(name)
             index.items.append(np.array([index.vocabulary.setdefault(w, len(index.vocabulary) + 1) for w in words], np.int64))
             index.edits.append(int(max_edit * len(words)))
+            if len(words) < WALKED:
+                same = index.short.setdefault(len(words), {})
+                same.setdefault(tuple(index.items[-1].tolist()), []).append(len(index.items) - 1)
     rng = np.random.default_rng(seed)
-    order = sorted(range(len(index.items)), key=lambda i: len(index.items[i]))
+    order = sorted((i for i, x in enumerate(index.items) if len(x) >= WALKED), key=lambda i: len(index.items[i]))
     while order:
         length = len(index.items[order[0]])
         mine = [i for i in order if len(index.items[i]) <= length * 1.25]
@@ -176,9 +188,9 @@ def _verify(index: Index, seq: np.ndarray, low: int, high: int, hits: np.ndarray
 
 def find(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, distance, end word) of every leak."""
-    if not index.groups:
+    if not index.items:
         return
-    gap = np.full(max(g.length for g in index.groups), index.pad, np.int64)
+    gap = np.full(max([g.length for g in index.groups] + list(index.short)), index.pad, np.int64)
     get = index.vocabulary.get
     held: list[np.ndarray] = []
     of: list[int] = []
@@ -200,6 +212,7 @@ def _find(held: list[np.ndarray], of: list[int], index: Index, gap: np.ndarray)
     seq = np.concatenate([x for h in held for x in (h, gap)])
     low = np.cumsum([0] + [len(h) + len(gap) for h in held[:-1]])
     high = low + [len(h) for h in held]
+    yield from _find_short(seq, low, of, index)
     for group in index.groups:
         n = group.length
         known = np.concatenate(([0], np.cumsum(group.any_word[seq], dtype=np.int32)))
@@ -235,55 +248,77 @@ def _find(held: list[np.ndarray], of: list[int], index: Index, gap: np.ndarray)
                     yield of[doc[a]], int(item[a]), *got
 
 
-def indexes(benchmark: DataFrame, max_edit: float, recall: float, min_words: int, seed: int) -> Iterator[Index]:
-    """An index for each block of ``benchmark(item_id, text)``."""
+def _find_short(seq: np.ndarray, low: np.ndarray, of: list[int], index: Index) -> Iterator[tuple[int, int, int, int]]:
+    """Exact matches of short items: the first of each item in each document."""
+    for n, same in index.short.items():
+        first = np.zeros(index.pad + 1, bool)
+        first[[words[0] for words in same]] = True
+        last = np.zeros(index.pad + 1, bool)
+        last[[words[-1] for words in same]] = True
+        seen = set()
+        for start in np.flatnonzero(first[seq[: len(seq) - n + 1]] & last[seq[n - 1 :]]).tolist():
+            for item in same.get(tuple(seq[start : start + n].tolist()), ()):
+                doc = int(np.searchsorted(low, start, "right")) - 1
+                if (doc, item) not in seen:
+                    seen.add((doc, item))
+                    yield of[doc], item, 0, start - int(low[doc]) + n
+
+
+def indexes(benchmark: DataFrame, max_edit: float, recall: float, seed: int) -> Iterator[list[Index]]:
+    """Indexes of the blocks of ``benchmark(item_id, text)``, ``PASS`` at a time."""
     rows = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
     blocks = -(-rows.count() // BLOCK)
+    held = []
     for k in range(blocks):
         # about BLOCK items reach the driver at a time
         mine = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        yield build(sorted(((r.item_id, r.text) for r in mine), key=lambda r: (r[0] is None, r[0] or 0, r[1])), max_edit, recall, min_words, seed)
+        held.append(build(sorted(((r.item_id, r.text) for r in mine), key=lambda r: (r[0] is None, r[0] or 0, r[1])), max_edit, recall, seed))
+        if len(held) == PASS or k == blocks - 1:
+            yield held
+            held = []
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, recall: float = 0.95, min_words: int = 8, seed: int = 5) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, recall: float = 0.95, seed: int = 5) -> DataFrame:
     """(doc_id, item_id, edit_distance, item_words, end_word): one row for each document and item that leaks into it."""
     texts = docs.select("doc_id", "text")
     schema = f"doc_id {type_of(docs, 'doc_id')}, item_id {type_of(benchmark, 'item_id')}, edit_distance int, item_words int, end_word int"
     out = docs.sparkSession.createDataFrame([], schema)
 
-    def over(index: Index):
+    def over(some: list[Index]):
         def run(batches):
             for b in batches:
-                rows = list(find(b.column("text").to_pylist(), index))
+                here = b.column("text").to_pylist()
+                rows = [(index, *r) for index in some for r in find(here, index)]
                 arrays = [
-                    b.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64())),
-                    pa.array([index.names[r[1]] for r in rows], kind),
-                    pa.array([r[2] for r in rows], pa.int32()),
-                    pa.array([len(index.items[r[1]]) for r in rows], pa.int32()),
-                    pa.array([r[3] for r in rows], pa.int32()),
+                    b.column("doc_id").take(pa.array([t for _, t, _, _, _ in rows], pa.int64())),
+                    pa.array([index.names[i] for index, _, i, _, _ in rows], kind),
+                    pa.array([d for _, _, _, d, _ in rows], pa.int32()),
+                    pa.array([len(index.items[i]) for index, _, i, _, _ in rows], pa.int32()),
+                    pa.array([end for _, _, _, _, end in rows], pa.int32()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "item_id", "edit_distance", "item_words", "end_word"])
 
         return run
 
     kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[type_of(benchmark, "item_id")]
-    for index in indexes(benchmark, max_edit, recall, min_words, seed):
-        out = out.unionByName(map_batches(texts, over(index), schema))
+    for some in indexes(benchmark, max_edit, recall, seed):
+        out = out.unionByName(map_batches(texts, over(some), schema))
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, recall: float = 0.95, min_words: int = 8, seed: int = 5) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, max_edit: float = 0.2, recall: float = 0.95, seed: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, into which no item leaks."""
 
-    def over(index: Index):
+    def over(some: list[Index]):
         def run(batches):
             for b in batches:
-                keep = np.ones(b.num_rows, bool)
-                keep[[r[0] for r in find(b.column("text").to_pylist(), index)]] = False
+                keep, here = np.ones(b.num_rows, bool), b.column("text").to_pylist()
+                for index in some:
+                    keep[[r[0] for r in find(here, index)]] = False
                 yield b.filter(pa.array(keep))
 
         return run
 
-    for index in indexes(benchmark, max_edit, recall, min_words, seed):
-        docs = map_batches(docs, over(index), docs.schema)
+    for some in indexes(benchmark, max_edit, recall, seed):
+        docs = map_batches(docs, over(some), docs.schema)
     return docs

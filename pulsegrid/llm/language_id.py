@@ -40,7 +40,6 @@ class Params:
     buckets: int = 1 << 15
     dim: int = 16
     per_lang: int = 300  # labelled documents a language: the bound of the sample
-    max_langs: int = 200  # most frequent label values that are learned
     epochs: int = 12
     batch: int = 32
     rate: float = 0.5
@@ -201,36 +200,32 @@ def rejection_limit(score: np.ndarray, right: np.ndarray, max_error: float) -> f
 def fit(docs: DataFrame, lang: str = "lang", params: Params | None = None) -> Model:
     """Learn from the labelled rows of ``docs(doc_id, text, <lang>)``.
 
-    At most ``per_lang`` rows of each of ``max_langs`` languages are read (the lowest hashes
-    of the id), so the driver gets a bounded sample of n-gram counts, never texts.
+    Every label is learned, from at most ``per_lang`` different rows (the lowest hashes of id and
+    text), so the driver gets ``per_lang`` times the labels rows of n-gram counts, never texts. Rows that repeat an id
+    and a text count once, null ids or not.
     """
     p = params or Params()
-    known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col(lang).alias("lang"))
-    top = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(p.max_langs)
+    tag = F.xxhash64("doc_id", "text")
+    known = docs.where(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).alias("_lang"), tag.alias("_tag"), "text")
+    sizes = known.groupBy("_lang").agg(F.approx_count_distinct("_tag").alias("_n")).withColumnRenamed("_lang", "_of")
     # hashes below a limit that leaves about twice the rows wanted, then the lowest of these
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    rank = W.partitionBy("lang").orderBy(place, "doc_id")
-    ids = (
-        known.join(F.broadcast(top), "lang")
-        .where(place * F.col("n") <= F.lit((2 * p.per_lang + 50) * (1 << 30)))
-        .withColumn("rank", F.row_number().over(rank))
-        .where(F.col("rank") <= p.per_lang)
-        .select(F.col("doc_id").alias("id"), F.col("lang").alias("l"))
-    )
-    # bounded by per_lang x max_langs rows
-    rows = docs.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col(lang) == F.col("l")), "left_semi").select("doc_id", "text", F.col(lang).alias("lang"))
+    place = F.pmod(F.col("_tag"), F.lit(1 << 30))
+    rank = W.partitionBy("_lang").orderBy(place, "_tag")
+    near = known.select("_lang", "_tag").join(sizes, F.col("_lang") == F.col("_of")).where(place * F.col("_n") <= F.lit((2 * p.per_lang + 50) * (1 << 30)))
+    picked = near.select("_lang", "_tag").distinct().withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= p.per_lang).select("_lang", "_tag")
+    rows = known.join(picked, ["_lang", "_tag"], "left_semi").groupBy("_lang", "_tag").agg(F.min("text").alias("text"))
     buckets = p.buckets
 
     def bags(batches):
         for b in batches:
             got = features(b.column("text").to_pylist(), buckets)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.string()), b.column("lang").cast(pa.string()), pa.array([x[0].astype(np.int32).tobytes() for x in got], pa.binary()), pa.array([x[1].astype(np.int32).tobytes() for x in got], pa.binary())],
-                names=["id", "lang", "idx", "n"],
+                [b.column("_tag"), b.column("_lang").cast(pa.string()), pa.array([x[0].astype(np.int32).tobytes() for x in got], pa.binary()), pa.array([x[1].astype(np.int32).tobytes() for x in got], pa.binary())],
+                names=["tag", "lang", "idx", "n"],
             )
 
-    got = map_batches(rows, bags, "id string, lang string, idx binary, n binary").collect()
-    got.sort(key=lambda r: (r.lang, r.id or "", bytes(r.idx), bytes(r.n)))
+    got = map_batches(rows, bags, "tag long, lang string, idx binary, n binary").collect()
+    got.sort(key=lambda r: (r.lang, r.tag, bytes(r.idx), bytes(r.n)))
     return train([(r.lang, np.frombuffer(r.idx, np.int32).astype(np.int64), np.frombuffer(r.n, np.int32)) for r in got], p)
 
 

@@ -208,23 +208,27 @@ def train(pos: tuple[np.ndarray, np.ndarray], unl: tuple[np.ndarray, np.ndarray]
 def fit(docs: DataFrame, positives: DataFrame, params: Params | None = None) -> Model:
     """``docs(doc_id, text)``: unlabelled texts; ``positives(doc_id)``: ids of trusted ones.
 
-    Reads at most ``n_pos`` + ``n_unl`` texts (the lowest hashes of the id); the driver gets their feature vectors only.
+    Reads at most ``n_pos`` + ``n_unl`` texts (the lowest hashes of the id, one text an id, no null ids); the driver gets
+    their feature vectors only.
     """
     p = params or Params()
-    order = F.xxhash64("doc_id")
+    docs = docs.select(F.col("doc_id").alias("_id"), "text")
+    order = F.xxhash64("_id")
 
     def lowest(ids: DataFrame, n: int, kind: int) -> DataFrame:
-        return ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(order, "doc_id").limit(n).select(F.col("doc_id").alias("id"), F.lit(kind).alias("kind"))
+        return ids.where(F.col("_id").isNotNull()).select("_id").distinct().orderBy(order, "_id").limit(n).withColumn("_kind", F.lit(kind))
 
-    # bounded by n_pos + n_unl rows
-    chosen = lowest(positives, p.n_pos, 1).unionByName(lowest(docs, p.n_unl, 0)).groupBy("id").agg(F.max("kind").alias("pos"), F.min("kind").alias("low"))
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "pos", "low")
+    # bounded by n_pos + n_unl ids; of texts that share an id the one with the least hash is read
+    chosen = lowest(positives.select(F.col("doc_id").alias("_id")), p.n_pos, 1).unionByName(lowest(docs, p.n_unl, 0))
+    chosen = chosen.groupBy("_id").agg(F.max("_kind").alias("_pos"), F.min("_kind").alias("_low"))
+    met = docs.join(F.broadcast(chosen), "_id").groupBy("_id", "_pos", "_low")
+    rows = met.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def run(batches):
         for b in batches:
             x, s = features(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.string()), b.column("pos"), b.column("low"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in s], pa.binary())], names=["id", "pos", "low", "x", "s"]
+                [b.column("_id").cast(pa.string()), b.column("_pos"), b.column("_low"), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in s], pa.binary())], names=["id", "pos", "low", "x", "s"]
             )
 
     got = sorted(map_batches(rows, run, "id string, pos int, low int, x binary, s binary").collect(), key=lambda r: (r.id, bytes(r.x)))

@@ -1,7 +1,7 @@
 """Secret scans: patterns, and character Markov models compared by log-likelihood ratio.
 
 Three base kinds are regular expressions (leftmost, without overlaps, failing matches dropped). The
-method adds spans of kind ``random``: runs of at least ``MIN_RUN`` token characters whose
+method adds spans of kind ``random``: runs of token characters, or what base spans leave of them, whose
 character bigrams are likelier under a model of random strings than under one of ordinary
 identifiers by more than ``limit`` in all and ``rate`` a pair (natural logarithm). Both models are first-order
 chains over ``ALPHABET``, trained from labelled samples; a pair's chance backs off to its second character's.
@@ -28,7 +28,10 @@ BASE = (
     ("hex", r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-MIN_RUN = 20
+#: The shortest run that reaches the limits below at the least rate; the limits decide on longer ones.
+MIN_RUN = 11
+#: Base values from this length on are examples of random strings; shorter ones are often words.
+LEARNED = 20
 RUN = ("random", r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % MIN_RUN, 0, MIN_RUN)
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{3,}+"
 #: Added to each character's count, and the weight of a character's own chance beside the counts of its pairs.
@@ -43,6 +46,14 @@ RATE = 1.0
 SPAN = "array<struct<start:int,place:int,stop:int,kind:string,value:string>>"
 
 
+#: What the base spans leave of each run, as spans of its kind.
+PIECES = """flatten(transform(runs, r -> aggregate(
+  concat(filter(base, b -> b.start < r.stop and r.start < b.stop), array(named_struct('start', r.stop, 'place', r.place, 'stop', r.stop, 'kind', r.kind, 'value', ''))),
+  named_struct('at', r.start, 'out', cast(array() as %s)),
+  (a, b) -> named_struct('at', greatest(a.at, b.stop), 'out', if(b.start > a.at, concat(a.out, array(named_struct('start', a.at, 'place', r.place, 'stop', b.start, 'kind', r.kind, 'value', substring(r.value, a.at - r.start + 1, b.start - a.at)))), a.out)),
+  a -> a.out)))""" % SPAN
+
+
 def _quoted(pattern: str) -> str:
     return "r'" + pattern.replace("'", "\\x27") + "'"
 
@@ -112,9 +123,9 @@ def labelled(docs: DataFrame, ordinary_rows: int = 2000) -> DataFrame:
     of all characters are known however few secrets the rows hold). Identifiers outside of base matches are ordinary.
     """
     values = [F.when(F.col("text").rlike(p), F.regexp_extract_all("text", F.lit(p), F.lit(g))) for _, p, g, _ in BASE]
-    secret = docs.select(F.explode(F.concat(*[F.coalesce(v, F.array().cast("array<string>")) for v in values])).alias("token")).where(F.length("token") >= MIN_RUN)
+    secret = docs.select(F.explode(F.concat(*[F.coalesce(v, F.array().cast("array<string>")) for v in values])).alias("token")).where(F.length("token") >= LEARNED)
     rows = max(docs.count(), 1)
-    rest = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) * F.lit(rows) <= F.lit(ordinary_rows * (1 << 30)))
+    rest = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) * F.lit(rows) <= F.lit(ordinary_rows * (1 << 30)))
     digest = rest.select(F.rtrim(F.base64(F.unhex(F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256))), F.lit("=")).alias("token"))
     for _, p, _, _ in BASE:
         rest = rest.withColumn("text", F.regexp_replace("text", p, " "))
@@ -126,8 +137,7 @@ def scan(docs: DataFrame, ratio: list[float], limit: float = LIMIT, rate: float
     """``docs(doc_id, text)`` -> (doc_id, base, added): arrays of spans (start, place, stop, kind, value), sorted."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     based = text.select("doc_id", F.array_sort(F.concat(*[found(*k, place=i) for i, k in enumerate(BASE)])).alias("base"), found(*RUN, place=len(BASE)).alias("runs"))
-    apart = F.expr("filter(runs, r -> not exists(base, b -> b.start < r.stop and r.start < b.stop))")
-    return based.select("doc_id", "base", apart.alias("runs")).select("doc_id", "base", F.filter("runs", lambda r: log_ratio(r["value"], ratio) > F.greatest(F.lit(limit), rate * (F.length(r["value"]) - 1))).alias("added"))
+    return based.select("doc_id", "base", F.expr(f"filter({PIECES}, p -> p.stop - p.start >= {MIN_RUN})").alias("runs")).select("doc_id", "base", F.filter("runs", lambda r: log_ratio(r["value"], ratio) > F.greatest(F.lit(limit), rate * (F.length(r["value"]) - 1))).alias("added"))
 
 
 def listed(spans: Column) -> Column:

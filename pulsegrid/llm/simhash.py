@@ -77,8 +77,8 @@ def masks(bits: int) -> list[int]:
 def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     """``prints(fp)``, distinct -> verified links (a, b), a < b, that connect all fingerprints within ``radius`` bits."""
     near = masks(-(-radius // 2))
-    # every row becomes many, so rows are spread before
-    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # every row becomes many, so rows are spread before; by another expression than they are grouped by, or Spark would leave it out
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     variants = spread.select("fp", F.explode(F.array(*map(F.lit, near))).alias("mask")).select(F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"), "fp")
     met = variants.groupBy("variant").agg(F.array_sort(F.collect_set("fp")).alias("fps")).where(F.size("fps") > 1)
     if radius % 2 == 0:

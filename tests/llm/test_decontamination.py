@@ -85,3 +85,24 @@ def test_blocks_cover_the_benchmark(spark, docs_of, monkeypatch):
     table = docs_of([(i, " ".join(d)) for i, d in enumerate(docs[:80])])
     hit = {r.doc_id for r in deco.leaks(table, bench).collect()}
     assert len(hit) >= 18 and {r.doc_id for r in deco.clean(table, bench).collect()} == set(range(80)) - hit
+
+
+def test_short_items_are_found_word_by_word(spark, docs_of):
+    bench = spark.createDataFrame([(1, "What is it?"), (2, "zeta"), (3, "一二三四五六"), (4, "what is it?"), (5, "six words and no more here")], "item_id long, text string")
+    docs = docs_of([(1, "So WHAT, is it what is it"), (2, "zetas and beta"), (3, "前一二三四五六後"), (4, "一二三 四五 六"), (5, "what is that, it is"), (6, "is it"), (7, "no zeta-functions " * 2), (8, "six words and no more"), (9, None)])
+    got = sorted((r.doc_id, r.item_id, r.edit_distance, r.end_word) for r in deco.leaks(docs, bench).collect())
+    assert got == [(1, 1, 0, 4), (1, 4, 0, 4), (3, 3, 0, 7), (4, 3, 0, 6), (7, 2, 0, 2)]
+    assert sorted(r.doc_id for r in deco.clean(docs, bench).collect()) == [2, 5, 6, 8, 9]
+
+
+def test_blocks_share_one_pass(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(deco, "BLOCK", 5)
+    items, docs = planted(random.Random(2))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    table = docs_of([(i, " ".join(d)) for i, d in enumerate(docs[:60])])
+    count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    one = deco.clean(table, bench)
+    assert count(one) == 1
+    monkeypatch.setattr(deco, "PASS", 3)
+    more = deco.clean(table, bench)
+    assert count(more) == 3 and sorted(map(str, more.collect())) == sorted(map(str, one.collect()))

@@ -51,3 +51,33 @@ def test_rejection_limit():
 
 def test_held_out_of_null(spark):
     assert spark.range(1).select(held_out(F.lit(None).cast("long")).alias("h")).first().h is False
+
+
+CLASHING = ("id", "l", "n", "rank", "tag", "_of", "pos", "low", "key", "idx")
+
+
+def clashing(df):
+    return df.withColumns({c: F.lit(1) for c in CLASHING})
+
+
+def test_columns_of_any_name(docs_of):
+    train = clashing(docs_of([(i, "the cat and the dog " * 3, "en") for i in range(30)] + [(100 + i, "der hund und die katze " * 3, "de") for i in range(30)]))
+    model = language_id.fit(train)
+    kept = language_id.accept(train, model)
+    assert kept.columns == train.columns and kept.count() == 60 and language_id.predict(train, model).count() == 60
+
+
+def test_every_label_is_learned(docs_of):
+    rows = [(10 * k + j, f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + k % 7)}o " * 12, f"l{k:03d}") for k in range(230) for j in range(2)]
+    assert len(language_id.fit(docs_of(rows), params=language_id.Params(epochs=1)).langs) == 230
+
+
+def test_the_sample_is_bounded_for_null_and_repeated_rows(docs_of, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda samples, p: seen.append(samples))
+    copies = [(None, "one text many times", "en")] * 500 + [(7, "another text of one id", "en")] * 500
+    rows = copies + [(None, f"text number {i} without id", "en") for i in range(600)] + [(5, f"text number {i} of one id", "en") for i in range(600)]
+    language_id.fit(docs_of(rows), params=language_id.Params(per_lang=80))
+    assert len(seen[0]) == 80
+    language_id.fit(docs_of(copies), params=language_id.Params(per_lang=80))
+    assert len(seen[1]) == 2  # equal rows count once

@@ -114,3 +114,34 @@ def test_prior_estimate():
     pos = rng.normal(2, 1, 4000)
     unl = np.where(rng.random(8000) < 0.6, rng.normal(2, 1, 8000), rng.normal(-2, 1, 8000))
     assert abs(quality_pu.estimate_prior(pos, unl) - 0.6) < 0.06
+
+
+def test_pu_columns_of_any_name_and_a_bounded_sample(docs_of, monkeypatch):
+    rows = [(i % 40 if i % 3 else None, f"words of text {i} and some more " * 3) for i in range(900)]
+    docs = docs_of(rows).withColumns({c: F.lit(1) for c in ("id", "pos", "low", "kind", "key", "n", "score", "_kind")})
+    seen = []
+    monkeypatch.setattr(quality_pu, "train", lambda pos, unl, p: seen.append((len(pos[0]), len(unl[0]))) or quality_pu.Model())
+    model = quality_pu.fit(docs, docs.where("doc_id < 20").select("doc_id"), quality_pu.Params(n_pos=6, n_unl=9))
+    # an id many rows share gives one text
+    assert seen == [(6, 9)]
+    assert quality_pu.predict(docs, model).count() == 900
+
+
+def test_pu_risk_and_gradient_by_finite_differences():
+    rng = np.random.default_rng(2)
+    pos, unl = rng.normal(1, 1, (30, 4)), rng.normal(0, 1, (50, 4))
+    prior = 0.3
+
+    def risk(w):
+        sig = lambda z: 1 / (1 + np.exp(-z))
+        up, uu = sig(-(pos @ w)).mean(), sig(unl @ w).mean()
+        return prior * up + max(0.0, uu - prior * sig(pos @ w).mean())
+
+    w0, b0 = quality_pu._descend(pos, unl, prior, quality_pu.Params(epochs=30, batch=80, l2=0.0, runs=1), np.random.default_rng(1))
+    w = np.append(w0, b0)
+    pos, unl = (np.column_stack([x, np.ones(len(x))]) for x in (pos, unl))
+    start = risk(np.zeros(5))
+    assert risk(w) < start - 0.02
+    # no small step in any direction gains much more
+    steps = [risk(w + 0.02 * d) for d in np.vstack([np.eye(5), -np.eye(5)])]
+    assert min(steps) > risk(w) - 0.01
