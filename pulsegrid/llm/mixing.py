@@ -14,8 +14,8 @@ seeded order, so applying the mix to a table is one broadcast of that bounded pl
 
 Defined results: null texts and texts without words have size 0 and nothing is taken; a null source
 is a source of its own, last in order; rows that share a doc_id share their place in
-the seeded order and are taken or left together; an empty table gives an empty mix. Rows with
-a null id are one document to ``mix``, as in its SQL; to ``mixed`` each text of them is its own.
+the seeded order and are taken or left together; an empty table gives an empty mix. Of rows with
+a null id each text is a document of its own.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ def size_of(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")
 
 
-def order_of(doc_id: str, seed: int, text: str | None = None) -> Column:
-    """The seeded order of a document: hexadecimal text. With ``text``, null ids are ordered by a hash of it."""
-    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text), F.lit("")))) if text else F.lit("")
+def order_of(doc_id: str, seed: int, text: str) -> Column:
+    """The seeded order of a document: hexadecimal text. Null ids are ordered by a hash of the text."""
+    unnamed = F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text), F.lit(""))))
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), unnamed)))
 
 
@@ -60,54 +60,86 @@ def water_fill(sizes: list[int], weights: list[int], max_repeats: int) -> list[f
     return target
 
 
+class Flow:
+    """Residual network for maximum flows by blocking flows on level graphs."""
+
+    def __init__(self, nodes: int):
+        self.to: list[int] = []
+        self.room: list[int] = []
+        self.at: list[list[int]] = [[] for _ in range(nodes)]
+
+    def arc(self, a: int, b: int, cap: int) -> int:
+        for x, y, c in ((a, b, cap), (b, a, 0)):
+            self.at[x].append(len(self.to))
+            self.to.append(y)
+            self.room.append(c)
+        return len(self.to) - 2
+
+    def _levels(self, start: int) -> list[int]:
+        level = [-1] * len(self.at)
+        level[start] = 0
+        queue = deque([start])
+        while queue:
+            x = queue.popleft()
+            for e in self.at[x]:
+                if self.room[e] > 0 and level[self.to[e]] < 0:
+                    level[self.to[e]] = level[x] + 1
+                    queue.append(self.to[e])
+        return level
+
+    def augment(self, start: int, end: int) -> None:
+        """Raise the flow from ``start`` to ``end`` to its maximum."""
+        to, room, at = self.to, self.room, self.at
+        while True:
+            level = self._levels(start)
+            if level[end] < 0:
+                return
+            turn = [0] * len(at)
+            path: list[int] = []
+            x = start
+            while True:
+                if x == end:
+                    push = min(room[e] for e in path)
+                    for e in path:
+                        room[e] -= push
+                        room[e ^ 1] += push
+                    # back to the first arc that is full now
+                    first = next(i for i, e in enumerate(path) if room[e] == 0)
+                    x = to[path[first] ^ 1]
+                    del path[first:]
+                    continue
+                while turn[x] < len(at[x]):
+                    e = at[x][turn[x]]
+                    if room[e] > 0 and level[to[e]] == level[x] + 1:
+                        break
+                    turn[x] += 1
+                else:
+                    if x == start:
+                        break
+                    x = to[path.pop() ^ 1]
+                    turn[x] += 1
+                    continue
+                path.append(e)
+                x = to[e]
+
+
 def route(patterns: list[tuple[int, ...]], sizes: list[int], quotas: list[int], max_repeats: int) -> dict[tuple[int, int], int]:
-    """Min-cost flow (pattern, source) -> words by successive shortest paths; repetition e of a pattern's words costs e."""
+    """Min-cost flow (pattern, source) -> words; repetition e of a pattern's words costs e.
+
+    Only the arcs into patterns have costs, so a cheapest augmenting path is one with the least e that reaches
+    a quota: the repetitions are opened one after the other, each with a maximum flow."""
     n_p, n_s = len(patterns), len(quotas)
     start, end = n_p + n_s, n_p + n_s + 1
-    to: list[int] = []
-    room: list[int] = []
-    cost: list[int] = []
-    at: list[list[int]] = [[] for _ in range(end + 1)]
-
-    def arc(a: int, b: int, cap: int, price: int) -> None:
-        for x, y, c, w in ((a, b, cap, price), (b, a, 0, -price)):
-            at[x].append(len(to))
-            to.append(y)
-            room.append(c)
-            cost.append(w)
-
-    for p, members in enumerate(patterns):
-        for e in range(max_repeats):
-            arc(start, p, sizes[p], e)
-        for s in members:
-            arc(p, n_p + s, max_repeats * sizes[p], 0)
+    net = Flow(end + 1)
+    into = [net.arc(start, p, 0) for p in range(n_p)]
+    arcs = [(p, s, net.arc(p, n_p + s, max_repeats * sizes[p])) for p, members in enumerate(patterns) for s in members]
     for s, q in enumerate(quotas):
-        arc(n_p + s, end, q, 0)
-    while True:
-        far = [None] * (end + 1)
-        by: list[int] = [-1] * (end + 1)
-        far[start] = 0
-        queue, inside = deque([start]), {start}
-        while queue:
-            x = queue.popleft()
-            inside.discard(x)
-            for e in at[x]:
-                if room[e] > 0 and (far[to[e]] is None or far[x] + cost[e] < far[to[e]]):
-                    far[to[e]], by[to[e]] = far[x] + cost[e], e
-                    if to[e] not in inside:
-                        inside.add(to[e])
-                        queue.append(to[e])
-        if far[end] is None:
-            break
-        path, x = [], end
-        while x != start:
-            path.append(by[x])
-            x = to[by[x] ^ 1]
-        push = min(room[e] for e in path)
-        for e in path:
-            room[e] -= push
-            room[e ^ 1] += push
-    return {(p, to[e] - n_p): room[e ^ 1] for p in range(n_p) for e in at[p] if n_p <= to[e] < start and room[e ^ 1] > 0}
+        net.arc(n_p + s, end, q)
+    for _ in range(max_repeats):
+        for p, e in enumerate(into):
+            net.room[e] += sizes[p]
+        net.augment(start, end)
+    return {(p, s): net.room[e ^ 1] for p, s, e in arcs if net.room[e ^ 1] > 0}
 
 
 def plan(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -164,7 +196,7 @@ def copies_of(patterns: DataFrame, rows: DataFrame, members: Column, order: Colu
 
 def mix(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """``docs(doc_id, text, source)`` -> (doc_id, size, source_size, target, taken)."""
-    sized = materialize(docs.select("doc_id", "source", size_of().alias("size"), order_of("doc_id", seed).alias("ord")).withColumn("members", F.array("source")), "mixing")
+    sized = materialize(docs.select("doc_id", "source", size_of().alias("size"), order_of("doc_id", seed, "text").alias("ord")).withColumn("members", F.array("source")), "mixing")
     patterns, sources = plan(sized, weights, max_repeats)
     got = copies_of(patterns, sized, F.col("members"), F.col("ord"))
     small = F.broadcast(sources.withColumnRenamed("source", "_source"))
@@ -183,7 +215,7 @@ def mixed(docs: DataFrame, seed: int = 1, weights: tuple[int, ...] = (1, 2, 3),
 ORACLE = r"""
 WITH s AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5('1:' || coalesce(doc_id::VARCHAR, '')) AS ord
+         md5('1:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))) AS ord
   FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w

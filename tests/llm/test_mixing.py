@@ -106,3 +106,33 @@ def test_overlapping_sources(spark):
     patterns, sources = mixing.plan(sized)
     assert {r.source: r.source_size for r in sources.collect()} == {"a": 30, "b": 25}
     assert {tuple(r.members) for r in patterns.collect()} == {("a",), ("a", "b"), ("b",)}
+
+
+def test_query_and_sql_take_null_ids_one_by_one(spark, sf_of):
+    import duckdb
+
+    rows = [(None if k % 2 else k, f"{s} word{k} " + "x " * (k % 9), "en", s) for k in range(400) for s in "ab"]
+    folder = sf_of(rows)
+    got = sorted(map(tuple, queries.op6_mixing(spark, folder).select("doc_id", "size", "source_size", "target", "taken").collect()), key=str)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    assert got == sorted(con.execute(mixing.ORACLE).fetchall(), key=str)
+    for target in {r[3] for r in got}:
+        assert abs(sum(r[4] for r in got if r[3] == target) - target) <= 10
+
+
+def test_many_patterns_are_routed_quickly():
+    import time
+
+    rng = random.Random(5)
+    single = [(s,) for s in range(10_000)]
+    sizes = [rng.randint(1, 10**9) for _ in single]
+    quotas = [rng.randint(0, 4 * n) for n in sizes]
+    begin = time.time()
+    flow = mixing.route(single, sizes, quotas, 3)
+    assert flow == {(i, i): min(q, 3 * n) for i, (n, q) in enumerate(zip(sizes, quotas)) if q}
+    both = [(s, (s + 1) % 3000) for s in range(3000)] + [(s,) for s in range(3000)]
+    flow = mixing.route(both, sizes[:6000], [sizes[s] for s in range(3000)], 3)
+    assert time.time() - begin < 10
+    for s in range(3000):
+        assert sum(flow.get((p, s), 0) for p in (s, (s - 1) % 3000, 3000 + s)) <= sizes[s]
