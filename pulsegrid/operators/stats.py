@@ -13,10 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.frame import KEY, ORDER, series_window
+from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import adjusted_kurtosis, adjusted_skewness, safe_div
 from pulsegrid.operators.quantiles import quantiles
-from pulsegrid.plans.blocked import apply_windows, choose_plan
+from pulsegrid.plans.blocked import choose_plan
 
 
 def attach(df: DataFrame, scalars: DataFrame, on: Sequence[str] = (KEY,)) -> DataFrame:
@@ -100,29 +100,22 @@ def histogram(df: DataFrame, bins: int = 50, col: str = "value") -> DataFrame:
 def acf(df: DataFrame, nlags: int = 50, col: str = "value", plan: str = "auto") -> DataFrame:
     """AGG-05: biased autocorrelation, lags 0..nlags, after dropping NULLs.
 
-    Lag columns on one window, then one aggregate of ``nlags + 1`` sums, stacked
-    to long form. Rows only for lags below the series length.
+    Lag products of whole runs (``runs``), one array a series, stacked to long form. Rows only
+    for lags below the series length.
     """
-    v = F.col(col)
-    plan = choose_plan(df, plan)
-    clean = df.select(KEY, *ORDER, v.alias("_v")).filter(F.col("_v").isNotNull())
-    mean = clean.groupBy(KEY).agg(F.avg("_v").alias("_mu"), F.count(F.lit(1)).alias("_n"))
-    d = attach(clean, mean).withColumn("_d", F.col("_v") - F.col("_mu"))
-
-    def build(x: DataFrame, part: Sequence[str]) -> DataFrame:
-        w = series_window(*part)
-        prods = [(F.col("_d") * F.lag("_d", k).over(w)).alias(f"_p{k}") for k in range(1, nlags + 1)]
-        return x.select(KEY, *ORDER, "_n", *[c for c in x.columns if c in ("_blk", "_home", "_ord")], (F.col("_d") * F.col("_d")).alias("_p0"), *prods)
-
-    prods = apply_windows(d.select(KEY, *ORDER, "_n", "_d"), build, lookback=nlags, plan=plan)
-    sums = prods.groupBy(KEY).agg(F.first("_n").alias("_n"), *[F.sum(f"_p{k}").alias(f"_s{k}") for k in range(nlags + 1)])
-    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"_s{k}").alias("s")) for k in range(nlags + 1)])
-    out = sums.select(KEY, "_n", F.col("_s0").alias("_den"), F.explode(pairs).alias("_p"))
-    return out.filter(F.col("_p.lag") < F.col("_n")).select(
-        KEY,
-        F.col("_p.lag").alias("lag"),
-        safe_div(F.coalesce(F.col("_p.s"), F.lit(0.0)), F.col("_den")).alias("acf"),
-    )
+    from pulsegrid.operators.runs import lag_products, series_scale, stream, summed
+
+    clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
+    plan = choose_plan(clean, plan)
+    heads = series_scale(clean).select(KEY, "_n", F.lit(nlags).alias("_reach"), F.array(F.col("_n").cast("double"), "_mean").alias("_head"))
+
+    def sums(head, first, before, x):
+        return [head[0] if first + before == 0 else 0.0, *lag_products(x - head[1], before, nlags)]
+
+    found = summed(stream(clean, heads, plan), sums, plan)
+    v = F.col("v")
+    long = found.select(KEY, v[0].alias("_n"), v[1].alias("_den"), F.posexplode(F.slice(v, 2, nlags + 1)).alias("lag", "_s"))
+    return long.where(F.col("lag") < F.col("_n")).select(KEY, "lag", safe_div(F.col("_s"), F.col("_den")).alias("acf"))
 
 
 def anomaly_rate(flags: DataFrame, flag: str = "anomaly") -> DataFrame:

@@ -17,7 +17,7 @@ Blocked plan (for very long series; one series may hold a third of all rows):
 3. Unbounded fills use block summaries instead of halos (``carry_fill``).
 
 ``choose_plan('auto')`` looks at the largest series once (one small aggregate, kept for
-the same plan over the same files) and takes the blocked plan above ``hot_rows``. Both
+the same plan over files of the same size) and takes the blocked plan above ``hot_rows``. Both
 plans give the same rows.
 """
 
@@ -43,7 +43,7 @@ def default_block_rows() -> int:
     """Block size for plans built now: a per-thread override (``forced_blocks``) or ``BLOCK_ROWS``."""
     return getattr(_local, "block_rows", None) or BLOCK_ROWS
 
-#: Decisions of the last plans: the plan itself (equal hashes are checked), its files, the choice.
+#: Decisions of the last plans: the plan itself (equal hashes are checked), its input size, the choice.
 _plan_cache: dict[tuple, tuple[DataFrame, str]] = {}
 PLANS_KEPT = 64
 
@@ -62,7 +62,9 @@ def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None)
         return plan
     if plan != "auto":
         raise ValueError(f"unknown plan: {plan}")
-    key = (df.semanticHash(), hot_rows, tuple(sorted(df.inputFiles())))
+    # the size of the files as the plan knows them stands for their state; their names stay in the JVM
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    key = (df.semanticHash(), hot_rows, size)
     known = _plan_cache.get(key)
     if known is not None and known[0].sameSemantics(df):
         return known[1]

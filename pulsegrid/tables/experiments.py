@@ -3,7 +3,7 @@
 Events: ``start`` (payload: description and parameters), ``metric`` (name, value,
 step), ``result`` (payload: where the result table was written), ``finish``
 (payload: final results). The latest state is derived by aggregation, never by a
-read-modify-write of a file.
+read-modify-write of a file; ``event_log`` keeps the number of files small.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.sources.files import write_frame
-from pulsegrid.tables.listing import read_listing
+from pulsegrid.tables.event_log import compact, compact_if_many, read_events
+from pulsegrid.tables.listing import readable
 
 EVENTS = T.StructType(
     [
@@ -37,7 +38,14 @@ def _now() -> datetime:
 
 
 def _append(spark: SparkSession, root: str, rows: list[tuple]) -> None:
-    spark.createDataFrame(rows, EVENTS).write.mode("append").parquet(f"{root}/events")
+    # one row: one file
+    spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(f"{root}/events")
+    compact_if_many(spark, root, EVENTS)
+
+
+def compact_log(spark: SparkSession, root: str) -> bool:
+    """Merge the log's small files (appends do so by themselves now and then)."""
+    return compact(spark, root, EVENTS)
 
 
 def start_experiment(spark: SparkSession, root: str, name: str, description: str = "", parameters: dict | None = None) -> str:
@@ -83,13 +91,13 @@ def finish_experiment(spark: SparkSession, root: str, exp_id: str, final_results
 
 
 def metrics_of(spark: SparkSession, root: str, exp_id: str) -> DataFrame:
-    ev = spark.read.schema(EVENTS).parquet(f"{root}/events")
-    return ev.filter((F.col("experiment_id") == exp_id) & (F.col("kind") == "metric")).select("name", "value", "step", "event_time")
+    ev = read_events(spark, root, EVENTS, exp_id)
+    return ev.filter(F.col("kind") == "metric").select("name", "value", "step", "event_time")
 
 
 def list_experiments(spark: SparkSession, root: str) -> DataFrame:
     """EXP-05: latest state of every experiment, newest first."""
-    ev = read_listing(spark, f"{root}/events", EVENTS)
+    ev = readable(lambda skip: read_events(spark, root, EVENTS, skip_corrupt=skip), f"{root}/events")
     return (
         ev.groupBy("experiment_id")
         .agg(
