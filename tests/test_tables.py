@@ -127,4 +127,4 @@ def test_spine_keeps_rows_off_the_grid(spark):
     long = frame(spark, [("a", datetime(2000, 1, 1), 0, 1.0), ("a", datetime(2004, 1, 1), 1, 2.0)])
     assert spine.time_spine(long).count() == spine.time_spine(long).distinct().count() == 1461 * 24 + 1
     with pytest.raises(ValueError):
-        spine.time_spine(df, "1 month")
+        spine.time_spine(df, "1 fortnight")
