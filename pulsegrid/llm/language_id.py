@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import map_batches, type_of
+from pulsegrid.llm.common import map_batches, materialize, type_of
 
 ORDERS = (1, 2, 3, 4)
 #: Code points handled at once; longer texts go through in pieces that overlap by an n-gram.
@@ -213,6 +213,8 @@ def fit(docs: DataFrame, lang: str = "lang", params: Params | None = None) -> Mo
     rank = W.partitionBy("_lang").orderBy(place, "_tag")
     near = known.select("_lang", "_tag").join(sizes, F.col("_lang") == F.col("_of")).where(place * F.col("_n") <= F.lit((2 * p.per_lang + 50) * (1 << 30)))
     picked = near.select("_lang", "_tag").distinct().withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= p.per_lang).select("_lang", "_tag")
+    # written, so its size is known and texts are not shuffled to meet it
+    picked = materialize(picked, "language_id")
     rows = known.join(picked, ["_lang", "_tag"], "left_semi").groupBy("_lang", "_tag").agg(F.min("text").alias("text"))
     buckets = p.buckets
 
