@@ -11,8 +11,9 @@ numbers are not expected to equal theirs; correctness is parameter recovery):
   reference fits on the already differenced series).
 * Trend + seasonality regression: intercept, slope, 25 hinge changepoints evenly
   spaced in time over the first 80 % of the history, and Fourier pairs (yearly
-  10, weekly 3, daily 4), ridge-regularised; Gaussian instead of Laplace priors
-  and time-spaced instead of row-quantile changepoints.
+  10, weekly 3, daily 4), ridge-regularised; changes of slope with a Laplace prior
+  on request (coordinate descent on the same sums).
+* Multiplicative seasonal models by conditional sum of squares: ``seasonal``.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.frame import KEY, ORDER, series_window
-from pulsegrid.operators.gram import add_packed, ols, packed, rank, unpack
+from pulsegrid.operators.gram import add_packed, laplace_fit, ols, packed, rank, unpack
 from pulsegrid.operators.runs import lag_products, placed, series_scale, stream, summed
 from pulsegrid.operators.stats import attach
 from pulsegrid.operators.unit_root import adf_test, auto_difference  # noqa: F401  (part of this module's interface)
@@ -123,7 +124,7 @@ def _differenced(v: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
 
 def long_order(n: int, least: int, given: int | None = None) -> int:
     """Lags of the long autoregression of a series of ``n`` values; 0 if it is too short for them."""
-    m = max(max(4, math.ceil(2.0 * round(n ** (1 / 3), 9))) if given is None else given, least)
+    m = max(max(4, math.ceil(2.0 * round(max(n, 0) ** (1 / 3), 9))) if given is None else given, least)
     return m if n > 2 * m + 1 else 0
 
 
@@ -437,10 +438,14 @@ def trend_season_fit(
     changepoints: int = 25,
     ridge: float = 1.0,
     col: str = "value",
+    laplace: float | None = None,
 ) -> DataFrame:
     """FC-05/07: partial ``X'X, X'y`` per Arrow batch and series in ``mapInPandas``,
     one packed array each, added per series, then a ridge solve on the centred, scaled
-    values per series, carried back to their units."""
+    values per series, carried back to their units.
+
+    ``laplace``: scale of a Laplace prior on the changes of slope (scaled values, time from 0 to 1) in place of
+    their ridge penalty: most changes become exactly zero, ``trend_changepoints`` lists the others."""
     comps = [c for c, on in (("yearly", yearly), ("weekly", weekly), ("daily", daily)) if on]
     base = _clean(df, col)
     sd = F.stddev_pop("value")
@@ -479,10 +484,17 @@ def trend_season_fit(
                 pen = np.full(k, ridge)
                 pen[:2] = 1e-9
                 # no more rows than independent columns: nothing is left to estimate the noise from
-                res = ols(xtx + np.diag(pen), xty, yty) if n > rank(xtx) else None
+                if n <= rank(xtx):
+                    res = None
+                elif laplace is None or not changepoints:
+                    res = ols(xtx + np.diag(pen), xty, yty)
+                    res = res and (res[0], max(res[1] - float(pen @ res[0] ** 2), 0.0))
+                else:
+                    pen[2 : 2 + changepoints] = 0.0
+                    res = laplace_fit(xtx, xty, yty, n, pen, slice(2, 2 + changepoints), laplace)
                 params, status, aic, bic, state = {}, "failed", None, None, None
                 if res is not None:
-                    beta, sse = res[0], max(res[1] - float(pen @ res[0] ** 2), 0.0)
+                    beta, sse = res
                     std = float(r["_std"])
                     beta = beta * std
                     beta[0] += float(r["_mean"])
@@ -498,6 +510,26 @@ def trend_season_fit(
     return materialize(info.mapInPandas(solve, MODEL_SCHEMA), "trend_season")
 
 
+def trend_changepoints(models: DataFrame) -> DataFrame:
+    """The changes of slope of fitted ``trend_season`` models that are not zero: (series_id, ts, delta), delta in units of the
+    series per day. A model without any has no row."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for key, params, state in zip(pdf[KEY], pdf["params"], pdf["state"]):
+                st = json.loads(state)
+                for j in range(1, st["cps"] + 1):
+                    delta = params[f"b{1 + j}"]
+                    if delta and st["span"] > 0:
+                        at = pd.Timestamp("1970-01-01") + pd.Timedelta(microseconds=round(st["t0"] + st["span"] * 0.8 * j / (st["cps"] + 1)))
+                        rows.append((key, at, delta / (st["span"] / 86400e6)))
+            yield pd.DataFrame(rows, columns=[KEY, "ts", "delta"])
+
+    fitted = models.where("model = 'trend_season' and status = 'ok'").select(KEY, F.map_filter("params", lambda k, _: k.startswith("b")).alias("params"), "state")
+    return fitted.mapInPandas(run, f"{KEY} string, ts timestamp_ntz, delta double")
+
+
 def trend_season_forecast(models: DataFrame, steps: int, every_us: int | None = None, history: DataFrame | None = None) -> DataFrame:
     """FC-06: future rows only; the step is the series' modal gap (SEM-10) unless
     ``every_us`` is given. ``history`` (the fitted frame) supplies the modal gap."""

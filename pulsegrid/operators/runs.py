@@ -41,25 +41,34 @@ def stream(clean: DataFrame, heads: DataFrame, plan: str, block_rows: int | None
 
     Rows (series_id, _ord, value, _head) sorted by run: the head row, whose ``_ord`` is where the run's own rows begin,
     then the rows from ``_reach`` before that on."""
-    none = F.lit(None).cast("array<double>")
+    return lead(run_rows(clean, heads, plan, block_rows), heads, plan, block_rows)
+
+
+def run_rows(clean: DataFrame, heads: DataFrame, plan: str, block_rows: int | None = None) -> DataFrame:
+    """The rows of all runs, each with the block (``_blk``) it is for; reads ``_n`` and ``_reach`` of ``heads``."""
+    if plan == "plain":
+        return clean.select(KEY, F.lit(0).cast("long").alias("_blk"), *ORDER, F.lit(0).cast("long").alias("_ord"), "value")
+    size = block_rows or default_block_rows()
+    x = blocked_ordinal(clean.select(KEY, *ORDER, "value"), size, "_ord").join(heads.select(KEY, "_n", "_reach"), KEY)
+    until = F.floor(F.least(F.col("_ord") + F.col("_reach"), F.col("_n") - 1) / size).cast("long")
+    x = x.withColumn("_blk", F.explode(F.sequence(F.floor(F.col("_ord") / size).cast("long"), until)))
+    return x.select(KEY, "_blk", *ORDER, "_ord", "value")
+
+
+def lead(rows: DataFrame, heads: DataFrame, plan: str, block_rows: int | None = None) -> DataFrame:
+    """``run_rows`` sorted by run, each run behind a row with its ``_head``; reads ``_n`` and ``_head`` of ``heads``."""
     if plan == "plain":
-        rows = clean.select(KEY, F.lit(0).cast("long").alias("_blk"), *ORDER, F.lit(0).cast("long").alias("_ord"), "value", none.alias("_head"))
-        first = heads.select(KEY, F.lit(0).cast("long").alias("_blk"), F.col("_head"))
+        begin, first = F.lit(0).cast("long"), heads.select(KEY, F.lit(0).cast("long").alias("_blk"), F.col("_head"))
     else:
         size = block_rows or default_block_rows()
-        x = blocked_ordinal(clean.select(KEY, *ORDER, "value"), size, "_ord").join(heads.select(KEY, "_n", "_reach"), KEY)
-        until = F.floor(F.least(F.col("_ord") + F.col("_reach"), F.col("_n") - 1) / size).cast("long")
-        x = x.withColumn("_blk", F.explode(F.sequence(F.floor(F.col("_ord") / size).cast("long"), until)))
-        rows = x.select(KEY, "_blk", *ORDER, "_ord", "value", none.alias("_head"))
         blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / size).cast("long"))
-        first = heads.where("_n > 0").select(KEY, F.explode(blocks).alias("_blk"), "_head")
-    begin = F.lit(0).cast("long") if plan == "plain" else F.col("_blk") * size
-    types = dict(clean.select(*ORDER).dtypes)
+        begin, first = F.col("_blk") * size, heads.where("_n > 0").select(KEY, F.explode(blocks).alias("_blk"), "_head")
+    types = dict(rows.select(*ORDER).dtypes)
     led = first.select(KEY, "_blk", *[F.lit(None).cast(t).alias(c) for c, t in types.items()], begin.alias("_ord"), F.lit(None).cast("double").alias("value"), "_head")
-    every = rows.unionByName(led).withColumn("_row", F.col("_head").isNull())
+    every = rows.withColumn("_head", F.lit(None).cast("array<double>")).unionByName(led).withColumn("_row", F.col("_head").isNull())
     sort = [KEY, "_blk", "_row", *ORDER]
     # a run costs far more than its bytes, so small partitions are not merged
-    tasks = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return every.repartition(tasks, KEY, "_blk").sortWithinPartitions(*sort).select(KEY, "_ord", "value", "_head")
 
 

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from pulsegrid import sqlparts as S
 from pulsegrid.functions.numeric import CDF, CDF_STEP
-from pulsegrid.operators import clean, forecast, rolling, shared_forest, unit_root
+from pulsegrid.operators import clean, forecast, rolling, seasonal, shared_forest, unit_root
 from pulsegrid.plans.lineage import materialize
 from pulsegrid.sources.panels import table
 from pulsegrid.sources.spine import fill_on_spine
-from pulsegrid.suite import _ADF0, _FEAT_COLS, _HOURLY, _LAGGED, _SCORED, _ar1_sql, _hourly_clean, p1, p3, register
+from pulsegrid.suite import _ADF0, _FEAT_COLS, _HOURLY, _LAGGED, _SCORED, _ar1_sql, _ar_rows, _hourly_clean, p1, p3, register
 
 # ---------------------------------------------------------------- autoregressions from lag products
 _R = f"""
@@ -172,3 +172,35 @@ def q_arima_monthly(spark, d):
     """FC-03 with a calendar step: 15 months of the AR(1) of monthly order revenue, on first days of months."""
     m = forecast.arima_fit(_monthly(spark, d), (1, 0, 0), auto_stationary=False)
     return forecast.arima_forecast(m, 15).select("series_id", "step", "ts", "forecast")
+
+
+# ---------------------------------------------------------------- multiplicative seasonal models
+@register("seasonal_css_100", f"SELECT * EXCLUDE (last) FROM ({_ar1_sql(S.P1)}) _x", ["const", "ar", "sigma2", "aic", "bic"], bits=12)
+def q_seasonal_css_100(spark, d):
+    """FC-02 by conditional sum of squares, without seasonal factors: AR(1) of every user series is least squares."""
+    return _ar_rows(seasonal.seasonal_fit(p1(spark, d), (1, 0, 0), (0, 0, 0, 0), auto_stationary=False))
+
+
+@register("seasonal_css_000_100_24", f"SELECT * EXCLUDE (last) FROM ({_ar1_sql(_HOURLY, 24)}) _x", ["const", "ar", "sigma2", "aic", "bic"], bits=12)
+def q_seasonal_css_000_100_24(spark, d):
+    """FC-02 by conditional sum of squares: the seasonal factor alone is least squares on lag 24."""
+    return _ar_rows(seasonal.seasonal_fit(_hourly_clean(spark, d), (0, 0, 0), (1, 0, 0, 24), auto_stationary=False), 24)
+
+
+@register("seasonal_multiplicative")
+def q_seasonal_multiplicative(spark, d):
+    """FC-02: ARIMA(1,0,1)(1,0,1,24) of every hourly series with multiplied polynomials."""
+    return seasonal.seasonal_fit(_hourly_clean(spark, d), (1, 0, 1), (1, 0, 1, 24)).drop("created", "state")
+
+
+@register("seasonal_multiplicative_forecast")
+def q_seasonal_multiplicative_forecast(spark, d):
+    """FC-03 of the multiplicative model: two days of every hourly series."""
+    return forecast.arima_forecast(seasonal.seasonal_fit(_hourly_clean(spark, d), (1, 0, 1), (1, 0, 1, 24)), 48)
+
+
+# ---------------------------------------------------------------- changepoints
+@register("trend_changepoints")
+def q_trend_changepoints(spark, d):
+    """FC-05 with a Laplace prior on changes of slope: the changepoints of every hourly series."""
+    return forecast.trend_changepoints(forecast.trend_season_fit(_hourly_clean(spark, d), yearly=False, laplace=0.05))
