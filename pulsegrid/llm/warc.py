@@ -9,10 +9,14 @@ breaks, which is the writer's line separator, so tasks are committed, retried an
 Reading: each archive (``binaryFile``) is parsed by Content-Length and every payload digest
 is verified; a wrong one raises.
 
-Index: external merge. The captures of each archive become a locally sorted run (URL key,
-timestamp); runs are stored, their rows are dealt to key ranges, and each range merges its
-k runs with a loser tree. Ranges also split by timestamp and id, so a URL with a third of all
-captures is spread over tasks. The result is the ordered capture history of every URL.
+Index: external merge. The captures of each archive become a locally sorted run (URL key, timestamp, id,
+archive, offset); runs are stored in blocks of ``BLOCK`` rows that know their first key. Key ranges are cut at
+sampled block keys, so a URL with a third of all captures is spread over ranges. A range reads its blocks
+in the order of their first keys, which is the order in which a merge needs them: a loser tree over the blocks that are
+open, at most one a run, gives every row below the first key of the next block. What a task holds depends on the number of
+runs, not on the rows of its range; beyond ``FAN_IN`` runs, groups of about half as many are merged into longer runs first. Spark's
+sort (which spills) brings the blocks in order. Ranges know how often their first URL occurs before them, so
+``history`` numbers the captures of a URL over all ranges.
 
 Defined results: a null payload is empty; a null URL has no target header and an empty URL
 key; null ids lose against every id when a response is chosen and have no id header; rows that
@@ -25,6 +29,7 @@ import base64
 import gzip
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import datetime
 
@@ -95,15 +100,37 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + ")" + (m[2].lower() or "/") if host else m[2].lower()
 
 
-RUN_FIELDS = ["url_key", "timestamp", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "run", "offset", "place"]
-RUN_KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-RUN_SCHEMA = "url_key string, timestamp string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, run string, offset long, place long"
+RUN_FIELDS = ["url_key", "timestamp", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to", "run", "offset"]
+RUN_KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+RUN_SCHEMA = "url_key string, timestamp string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, run string, offset long"
+
+#: Rows of a run that a merge takes in at once, a power of two.
+BLOCK = 256
+#: Runs that are merged at once.
+FAN_IN = 256
+#: Block keys that are drawn for a range when the ranges are cut; only their number and balance depend on it.
+DRAWN = 20
+
+KEY_FIELDS = ["url_key", "timestamp", "page_id", "run", "offset"]
+KEY_KIND = pa.struct([(f, RUN_KINDS[RUN_FIELDS.index(f)]) for f in KEY_FIELDS])
+#: A row's merge run, its place there and the first key of its block.
+SOURCE_FIELDS, SOURCE_KINDS = ["source", "place", "block"], [pa.string(), pa.int64(), KEY_KIND]
+SOURCE_SCHEMA = RUN_SCHEMA + ", source string, place long, block struct<url_key: string, timestamp: string, page_id: long, run: string, offset: long>"
 
 
 def _key(row: tuple) -> tuple:
     return row[0], row[1], row[2] is not None, row[2] or 0, row[7], row[8]
 
 
+def _block_key(row: tuple) -> dict:
+    return {f: row[RUN_FIELDS.index(f)] for f in KEY_FIELDS}
+
+
+def _ordered(key: dict) -> tuple:
+    """A block key as ``_key`` of its first row."""
+    return key["url_key"], key["timestamp"], key["page_id"] is not None, key["page_id"] or 0, key["run"], key["offset"]
+
+
 def _entry(run: str, at: int, head: dict[str, str], block: bytes) -> tuple:
     top, _, payload = block.partition(b"\r\n\r\n")
     digest = head["warc-payload-digest"].removeprefix("sha1:")
@@ -120,37 +147,42 @@ def _table(rows: list[tuple], fields=RUN_FIELDS, kinds=RUN_KINDS) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=fields)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Each archive under ``path`` as a run: its captures sorted by URL key, timestamp and id; ``place`` counts within the run."""
+def read_runs(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
+    """Each archive under ``path`` as a run: its captures sorted by URL key, timestamp and id; ``place`` counts within the run,
+    ``block`` is the key of the first row of a row's block."""
 
     def run(batches):
         for b in batches:
             for name, data in zip(b.column("path").to_pylist(), b.column("content")):
                 name = name.rsplit("/", 1)[-1]
                 rows = sorted((_entry(name, *x) for x in parse(gzip.decompress(data.as_py()))), key=_key)
-                yield _table([(*r, i) for i, r in enumerate(rows)])
+                yield _table([(*r, name, i, _block_key(rows[i - i % block])) for i, r in enumerate(rows)], RUN_FIELDS + SOURCE_FIELDS, RUN_KINDS + SOURCE_KINDS)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("path", "content")
-    return map_batches(files, run, RUN_SCHEMA)
+    return map_batches(files, run, SOURCE_SCHEMA)
+
 
+def loser_merge(runs: list[list], key, until=None, at: list[int] | None = None) -> Iterator:
+    """Merge sorted runs; each step replays the one path of the loser tree that the last winner came from.
 
-def loser_merge(runs: list[list], key) -> Iterator:
-    """Merge sorted runs; each step replays the one path of the loser tree that the last winner came from."""
+    Ends before the first key that is not below ``until``; ``at`` holds the places the runs are read from, and is moved on."""
     k = len(runs)
     if k == 0:
         return
-    at = [0] * k
+    at = [0] * k if at is None else at
     done = (1,)
-    now = [(0, key(r[0])) if r else done for r in runs]
+    now = [(0, key(r[i])) if i < len(r) else done for r, i in zip(runs, at)]
+    end = done if until is None else (0, until)
     tree = [0] * k  # losers; tree[0]: the winner
     up = [0] * k + list(range(k))
     for node in range(k - 1, 0, -1):
         a, b = up[2 * node], up[2 * node + 1]
         up[node], tree[node] = (a, b) if now[a] <= now[b] else (b, a)
     tree[0] = up[1] if k > 1 else 0
-    while now[win := tree[0]] != done:
-        yield runs[win][at[win]]
+    while now[win := tree[0]] < end:
+        row = runs[win][at[win]]
         at[win] += 1
+        yield row
         now[win] = (0, key(runs[win][at[win]])) if at[win] < len(runs[win]) else done
         node = (win + k) // 2
         while node:
@@ -160,29 +192,145 @@ def loser_merge(runs: list[list], key) -> Iterator:
         tree[0] = win
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
-    """The runs merged: partitions hold ascending key ranges, rows inside are in order; ``history`` numbers the captures of a URL in a range."""
+def merge_blocks(blocks: Iterator[tuple[tuple, list]], key) -> Iterator:
+    """Merge runs from their blocks ``(lower bound, rows)``, which come by ascending bounds; a block is in memory while its rows are due."""
+    held: list[list] = []
+    at: list[int] = []
+    ahead = next(blocks, None)
+    while ahead is not None:
+        held.append(ahead[1])
+        at.append(0)
+        ahead = next(blocks, None)
+        yield from loser_merge(held, key, ahead and ahead[0], at)
+        left = [i for i, rows in enumerate(held) if at[i] < len(rows)]
+        held, at = [held[i] for i in left], [at[i] for i in left]
+
+
+def range_bounds(runs: DataFrame, ranges: int, block: int = BLOCK) -> list[dict]:
+    """Ascending keys that cut the runs into at most ``ranges`` ranges, from at most ``DRAWN * ranges`` block keys in the order of a hash."""
+    firsts = runs.where(F.col("place") % block == 0).select("block.*")
+    drawn = firsts.orderBy(F.xxhash64(*KEY_FIELDS)).limit(DRAWN * ranges).collect()
+    keys = sorted((r.asDict() for r in drawn), key=_ordered)
+    ranges = min(ranges, -(-len(keys) // DRAWN))
+    return [keys[len(keys) * i // ranges] for i in range(1, ranges)]
+
+
+def _in_ranges(runs: DataFrame, bounds: list[dict]) -> DataFrame:
+    """The runs with the number of each row's range (``part``)."""
+    cuts = [_ordered(b) for b in bounds]
 
     def run(batches):
-        parts: dict[str, list[tuple]] = {}
         for b in batches:
-            for row in zip(*(b.column(f).to_pylist() for f in RUN_FIELDS)):
-                parts.setdefault(row[7], []).append(row)
-        for rows in parts.values():
-            rows.sort(key=lambda r: r[9])  # blocks of a run may arrive in any order
-        out: list[tuple] = []
-        last, n = None, 0
-        for row in loser_merge(list(parts.values()), _key):
-            last, n = row[0], n + 1 if row[0] == last else 1
-            out.append((*row, n))
-            if len(out) == 10_000:
-                yield _table(out, [*RUN_FIELDS, "history"], [*RUN_KINDS, pa.int64()])
+            keys = zip(*(b.column(f).to_pylist() for f in KEY_FIELDS))
+            part = [bisect_right(cuts, (url, when, page is not None, page or 0, name, at)) for url, when, page, name, at in keys]
+            yield b.append_column("part", pa.array(part, pa.int32()))
+
+    return map_batches(runs, run, runs.schema.simpleString().removeprefix("struct<").removesuffix(">") + ",part:int")
+
+
+def _earlier(runs: DataFrame, bounds: list[dict]) -> list[int]:
+    """For every bound, how many captures of its URL lie in the ranges before it. Collects a row for every range a bound's URL is in."""
+    urls = sorted({b["url_key"] for b in bounds})
+    if not urls:
+        return []
+    few = runs.sparkSession.createDataFrame([(u,) for u in urls], "url_key string")
+    found = _in_ranges(runs.join(F.broadcast(few), "url_key", "left_semi"), bounds).groupBy("url_key", "part").count().collect()
+    total, seen = {}, {}
+    for r in sorted(found, key=lambda r: r.part):
+        seen.setdefault(r.url_key, []).append((r.part, r["count"]))
+    for url, parts in seen.items():
+        n = 0
+        for part, count in parts:
+            total[url, part], n = n, n + count
+    # a bound is a capture of the range it opens
+    return [total[b["url_key"], i + 1] for i, b in enumerate(bounds)]
+
+
+def _sets(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[tuple[int, int], Iterator[tuple[tuple, list]]]]:
+    """((group, part), its blocks) of a sorted partition; the blocks of a set must be read before the next set."""
+
+    def blocks():
+        now, bound, rows = None, None, []
+        for b in batches:
+            cells = zip(b.column("group").to_pylist(), b.column("part").to_pylist(), b.column("source").to_pylist(), b.column("place").to_pylist())
+            for i, (row, (group, part, source, place)) in enumerate(zip(zip(*(b.column(f).to_pylist() for f in RUN_FIELDS)), cells)):
+                mine = (group, part, source, place // block)
+                if mine != now:
+                    if rows:
+                        yield now[:2], bound, rows
+                    now, bound, rows = mine, _ordered(b.column("block")[i].as_py()), []
+                rows.append(row)
+        if rows:
+            yield now[:2], bound, rows
+
+    every = blocks()
+    ahead = next(every, None)
+
+    def of(name):
+        nonlocal ahead
+        while ahead is not None and ahead[0] == name:
+            mine, ahead = ahead[1:], next(every, None)
+            yield mine
+
+    while ahead is not None:
+        name = ahead[0]
+        yield name, of(name)
+
+
+def _chunks(rows: Iterator, size: int) -> Iterator[list]:
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) == size:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def _longer_runs(runs: DataFrame, bounds: list[dict], groups: int, label: str, block: int) -> DataFrame:
+    """One pass: the runs of each of ``groups`` groups merged into one, range by range."""
+    grouped = _in_ranges(runs, bounds).withColumn("group", F.pmod(F.xxhash64("source"), F.lit(groups)).cast("int"))
+
+    def run(batches):
+        for (group, part), blocks in _sets(batches, block):
+            at = part << 40
+            for rows in _chunks(merge_blocks(blocks, _key), block):
+                first = _block_key(rows[0])
+                yield _table([(*r, f"{label}{group}", at + i, first) for i, r in enumerate(rows)], RUN_FIELDS + SOURCE_FIELDS, RUN_KINDS + SOURCE_KINDS)
+                at += block
+
+    return map_batches(grouped.repartition("group", "part").sortWithinPartitions("group", "part", "block", "place"), run, SOURCE_SCHEMA)
+
+
+def merge_runs(runs: DataFrame, fan_in: int = FAN_IN, ranges: int | None = None, block: int = BLOCK) -> DataFrame:
+    """The stored runs merged: partitions are ascending key ranges, rows inside are in order; ``history`` numbers the captures of a URL.
+
+    A row's order is its URL key, timestamp, id, archive and offset, however many passes there are."""
+    spark = runs.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(runs, ranges, block)
+    count, again = runs.select("source").distinct().count(), 0
+    while count > fan_in:
+        groups = -(-2 * count // fan_in)
+        if groups >= count:
+            break
+        runs = materialize(_longer_runs(runs, bounds, groups, f"{again}:", block), "warc_runs")
+        count, again = groups, again + 1
+    before = _earlier(runs, bounds)
+
+    def run(batches):
+        for (_, part), blocks in _sets(batches, block):
+            last, n = (bounds[part - 1]["url_key"], before[part - 1]) if part else (None, 0)
+            for rows in _chunks(merge_blocks(blocks, _key), 10_000):
                 out = []
-        if out:
-            yield _table(out, [*RUN_FIELDS, "history"], [*RUN_KINDS, pa.int64()])
+                for row in rows:
+                    last, n = row[0], n + 1 if row[0] == last else 1
+                    out.append((*row, n))
+                yield _table(out, [*RUN_FIELDS, "history"], [*RUN_KINDS, pa.int64()])
 
-    ranged = runs.repartitionByRange("url_key", "timestamp", "page_id")
-    return map_batches(ranged, run, RUN_SCHEMA + ", history long")
+    placed = _in_ranges(runs, bounds).withColumn("group", F.lit(0)).repartitionById(len(bounds) + 1, "part")
+    return map_batches(placed.sortWithinPartitions("part", "block", "place"), run, RUN_SCHEMA + ", history long")
 
 
 def archive_and_index(pages: DataFrame, path: str | None = None, min_payload: int = 0, records: int = 2000) -> DataFrame:

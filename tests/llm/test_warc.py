@@ -72,6 +72,63 @@ def test_loser_merge():
         assert list(warc.loser_merge(runs, lambda x: x)) == sorted(x for r in runs for x in r)
 
 
+def _blocks(runs, size):
+    cut = [(r[i], r[i : i + size]) for r in runs for i in range(0, len(r), size)]
+    return sorted(cut, key=lambda b: b[0])
+
+
+def test_merge_of_blocks_holds_one_block_a_run():
+    rng = random.Random(4)
+    peak = {}
+    for n in (200, 2000):
+        runs = [sorted((rng.random(), k) for _ in range(n)) for k in range(7)]
+        held, most = 0, 0
+
+        def counted(blocks):
+            nonlocal held, most
+            for bound, rows in blocks:
+                held += len(rows)
+                most = max(most, held)
+                yield bound, rows
+
+        got = []
+        for row in warc.merge_blocks(counted(_blocks(runs, 10)), lambda x: x):
+            got.append(row)
+            held -= 1
+        assert got == sorted(x for r in runs for x in r)
+        peak[n] = most
+    assert peak[2000] <= 10 * (7 + 2) and peak[2000] <= peak[200] + 20  # ten times the rows, the same memory
+    assert list(warc.merge_blocks(iter([]), lambda x: x)) == []
+
+
+def test_bounds_below_the_first_row_of_a_block_are_enough():
+    """Blocks that begin before a range are led by the key of their first row, which is not in the range."""
+    runs = [sorted(random.Random(k).randint(0, 500) * 10 + k for _ in range(90)) for k in range(5)]
+    inside = [(b, [x for x in rows if x >= 1234]) for b, rows in _blocks(runs, 8)]
+    got = list(warc.merge_blocks(iter([b for b in inside if b[1]]), lambda x: x))
+    assert got == sorted(x for r in runs for x in r if x >= 1234)
+
+
+@pytest.mark.parametrize("fan_in,ranges", [(256, 1), (256, 7), (4, 5), (3, 8)])
+def test_histories_are_global_in_any_number_of_passes(spark, tmp_path, monkeypatch, fan_in, ranges):
+    """A URL with a third of the captures, null ids and repeated rows; small blocks, several ranges and passes."""
+    monkeypatch.setattr(warc, "DRAWN", 2)
+    rng = random.Random(6)
+    rows = [(rng.choice([i, i, i, 7, None]), "http://hot/" if i % 3 == 0 else f"http://u{rng.randint(0, 40)}/", f"text {i % 50}") for i in range(400)]
+    warc.write_archives(warc.captures(spark.createDataFrame(rows, PAGES).repartition(10)), str(tmp_path / "w"), records=20)
+    stored = warc.materialize(warc.read_runs(spark, str(tmp_path / "w"), block=4), "warc_test")
+    assert stored.select("source").distinct().count() >= 20
+    assert len(warc.range_bounds(stored, ranges, 4)) == ranges - 1
+    got = warc.merge_runs(stored, fan_in, ranges, block=4).collect()
+    keys = [warc._key((r.url_key, r.timestamp, r.page_id, None, None, None, None, r.run, r.offset)) for r in got]
+    assert keys == sorted(keys) and len(set(keys)) == len(keys) == len(rows)
+    seen = {}
+    for r in got:
+        seen[r.url_key] = seen.get(r.url_key, 0) + 1
+        assert r.history == seen[r.url_key]
+    assert seen["hot)/"] == 134
+
+
 def test_url_keys():
     assert warc.url_key("https://www.Example.com:80/A/b?X=1#top") == "com,example)/a/b?x=1"
     assert warc.url_key("http://user:pw@h.org") == "org,h)/"
