@@ -11,7 +11,7 @@ is verified; a wrong one raises.
 
 Index: external merge. The captures of each archive become a locally sorted run (URL key, timestamp, id,
 archive, offset); runs are stored in blocks of ``BLOCK`` rows that know their first key. Key ranges are cut at
-sampled block keys, so a URL with a third of all captures is spread over ranges. A range reads its blocks
+sampled keys, so a URL with a third of all captures is spread over ranges. A range reads its blocks
 in the order of their first keys, which is the order in which a merge needs them: a loser tree over the blocks that are
 open, at most one a run, gives every row below the first key of the next block. What a task holds depends on the number of
 runs, not on the rows of its range; beyond ``FAN_IN`` runs, groups of about half as many are merged into longer runs first. Spark's
@@ -108,7 +108,8 @@ RUN_SCHEMA = "url_key string, timestamp string, page_id long, record_type string
 BLOCK = 256
 #: Runs that are merged at once.
 FAN_IN = 256
-#: Block keys that are drawn for a range when the ranges are cut; only their number and balance depend on it.
+#: Keys that are drawn for a range when the ranges are cut, and blocks a range has at least on average; only the ranges' number
+#: and balance depend on it.
 DRAWN = 20
 
 KEY_FIELDS = ["url_key", "timestamp", "page_id", "run", "offset"]
@@ -206,12 +207,13 @@ def merge_blocks(blocks: Iterator[tuple[tuple, list]], key) -> Iterator:
         held, at = [held[i] for i in left], [at[i] for i in left]
 
 
-def range_bounds(runs: DataFrame, ranges: int, block: int = BLOCK) -> list[dict]:
-    """Ascending keys that cut the runs into at most ``ranges`` ranges, from at most ``DRAWN * ranges`` block keys in the order of a hash."""
-    firsts = runs.where(F.col("place") % block == 0).select("block.*")
-    drawn = firsts.orderBy(F.xxhash64(*KEY_FIELDS)).limit(DRAWN * ranges).collect()
+def range_bounds(runs: DataFrame, ranges: int) -> list[dict]:
+    """Ascending keys that cut the runs into at most ``ranges`` ranges: quantiles of the ``DRAWN * ranges`` rows with the lowest hashes.
+
+    Any row may be drawn: the first keys of short runs are all low."""
+    drawn = runs.select(*KEY_FIELDS).orderBy(F.xxhash64(*KEY_FIELDS)).limit(DRAWN * ranges).collect()
     keys = sorted((r.asDict() for r in drawn), key=_ordered)
-    ranges = min(ranges, -(-len(keys) // DRAWN))
+    ranges = min(ranges, len(keys))
     return [keys[len(keys) * i // ranges] for i in range(1, ranges)]
 
 
@@ -308,9 +310,9 @@ def merge_runs(runs: DataFrame, fan_in: int = FAN_IN, ranges: int | None = None,
 
     A row's order is its URL key, timestamp, id, archive and offset, however many passes there are."""
     spark = runs.sparkSession
-    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(runs, ranges, block)
-    count, again = runs.select("source").distinct().count(), 0
+    rows, count = runs.agg(F.count(F.lit(1)), F.count_distinct("source")).first()
+    ranges = ranges or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (DRAWN * block)))
+    bounds, again = range_bounds(runs, ranges), 0
     while count > fan_in:
         groups = -(-2 * count // fan_in)
         if groups >= count:
