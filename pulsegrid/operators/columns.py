@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY, ORDER, series_window
 from pulsegrid.functions.numeric import key_normal, key_uniform
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import apply_windows, choose_plan, rank_within, with_ordinal
+from pulsegrid.plans.blocked import apply_windows, rank_within, split_hot, with_ordinal
 
 BASE = [KEY, *ORDER]
 
@@ -98,16 +99,18 @@ def difference(df: DataFrame, order: int = 1, col: str = "value", plan: str = "a
     if order < 0:
         raise ValueError("order must be >= 0")
     x = df.select(*BASE, F.col(col).alias("value"))
-    plan = choose_plan(x, plan) if order else plan
-    for _ in range(order):
 
-        def build(d: DataFrame, part) -> DataFrame:
-            w = series_window(*part)
-            keep = [c for c in d.columns if c.startswith("_")]
-            return d.select(*BASE, *keep, (F.col("value") - F.lag("value", 1).over(w)).alias("value"))
+    def build(d: DataFrame, part) -> DataFrame:
+        w = series_window(*part)
+        keep = [c for c in d.columns if c.startswith("_")]
+        return d.select(*BASE, *keep, (F.col("value") - F.lag("value", 1).over(w)).alias("value"))
 
-        x = apply_windows(x, build, lookback=1, plan=plan).filter(F.col("value").isNotNull())
-    return x
+    def passes(part: DataFrame, how: str) -> DataFrame:
+        for _ in range(order):
+            part = apply_windows(part, build, lookback=1, plan=how).filter(F.col("value").isNotNull())
+        return part
+
+    return reduce(DataFrame.unionByName, (passes(part, how) for part, how in split_hot(x, plan))) if order else x
 
 
 def row_ordinal(df: DataFrame, plan: str = "auto") -> DataFrame:

@@ -14,6 +14,8 @@ one small aggregate; the window length must be known when the plan is built.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import safe_div
 from pulsegrid.operators.rolling import centered_ma
 from pulsegrid.operators.stats import attach
-from pulsegrid.plans.blocked import choose_plan, with_ordinal
+from pulsegrid.plans.blocked import split_hot, with_ordinal
 
 # fixed values: implied seasonal period per sampling frequency
 FREQ_PERIOD = {"hour": 24, "day": 7, "month": 12}
@@ -57,7 +59,10 @@ def decompose(
     if period is None:
         period = infer_period(df.select(KEY, *ORDER, F.col(col).alias("value")))
     clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
-    plan = choose_plan(df, plan)
+    return reduce(DataFrame.unionByName, (_decompose(part, period, model, how) for part, how in split_hot(clean, plan)))
+
+
+def _decompose(clean: DataFrame, period: int, model: str, plan: str) -> DataFrame:
     t = centered_ma(clean, period, plan=plan)
     t = with_ordinal(t, "ord", plan)
     n = clean.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_min"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.frame import KEY, ORDER
 from pulsegrid.operators.gram import add_packed
-from pulsegrid.plans.blocked import blocked_ordinal, default_block_rows
+from pulsegrid.plans.blocked import blocked_ordinal, default_block_rows, join_null_safe
 from pulsegrid.session import ship_package
 
 SUMS = f"{KEY} string, v array<double>"
@@ -49,7 +49,7 @@ def run_rows(clean: DataFrame, heads: DataFrame, plan: str, block_rows: int | No
     if plan == "plain":
         return clean.select(KEY, F.lit(0).cast("long").alias("_blk"), *ORDER, F.lit(0).cast("long").alias("_ord"), "value")
     size = block_rows or default_block_rows()
-    x = blocked_ordinal(clean.select(KEY, *ORDER, "value"), size, "_ord").join(heads.select(KEY, "_n", "_reach"), KEY)
+    x = join_null_safe(blocked_ordinal(clean.select(KEY, *ORDER, "value"), size, "_ord"), heads.select(KEY, "_n", "_reach"), [KEY])
     until = F.floor(F.least(F.col("_ord") + F.col("_reach"), F.col("_n") - 1) / size).cast("long")
     x = x.withColumn("_blk", F.explode(F.sequence(F.floor(F.col("_ord") / size).cast("long"), until)))
     return x.select(KEY, "_blk", *ORDER, "_ord", "value")

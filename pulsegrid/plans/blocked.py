@@ -16,9 +16,10 @@ Blocked plan (for very long series; one series may hold a third of all rows):
    exact.
 3. Unbounded fills use block summaries instead of halos (``carry_fill``).
 
-``choose_plan('auto')`` looks at the largest series once (one small aggregate, kept for
-the same plan over files of the same size) and takes the blocked plan above ``hot_rows``. Both
-plans give the same rows.
+``choose_plan('auto')`` looks at the series' lengths once (one small aggregate, kept for
+the same plan over files of the same size) and takes the blocked plan where a series is longer than
+``hot_rows``. Windows, ordinals and fills then take only the long series through blocks (``split_hot``);
+the others stay on the plain plan, however many rows they hold together. Both plans give the same rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,8 +46,8 @@ def default_block_rows() -> int:
     """Block size for plans built now: a per-thread override (``forced_blocks``) or ``BLOCK_ROWS``."""
     return getattr(_local, "block_rows", None) or BLOCK_ROWS
 
-#: Decisions of the last plans: the plan itself (equal hashes are checked), its input size, the choice.
-_plan_cache: dict[tuple, tuple[DataFrame, str]] = {}
+#: Decisions of the last plans: the plan itself (equal hashes are checked), the choice, whether series of both sizes are there.
+_plan_cache: dict[tuple, tuple[DataFrame, str, bool]] = {}
 PLANS_KEPT = 64
 
 Builder = Callable[[DataFrame, Sequence[str]], DataFrame]
@@ -57,9 +60,14 @@ def epoch_micros(name: str = "ts") -> Column:
 
 def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None) -> str:
     """'plain' | 'blocked'; 'auto' checks the row count of the largest series."""
+    return _decide(df, plan, hot_rows)[0]
+
+
+def _decide(df: DataFrame, plan: str, hot_rows: int | None = None) -> tuple[str, bool]:
+    """The plan, and whether 'auto' found series of both sizes."""
     hot_rows = hot_rows or HOT_ROWS
     if plan in ("plain", "blocked"):
-        return plan
+        return plan, False
     if plan != "auto":
         raise ValueError(f"unknown plan: {plan}")
     # the size of the files as the plan knows them stands for their state; their names stay in the JVM
@@ -67,15 +75,46 @@ def choose_plan(df: DataFrame, plan: str = "auto", hot_rows: int | None = None)
     key = (df.semanticHash(), hot_rows, size)
     known = _plan_cache.get(key)
     if known is not None and known[0].sameSemantics(df):
-        return known[1]
-    row = df.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()
-    decided = "blocked" if row is not None and (row["m"] or 0) > hot_rows else "plain"
-    _plan_cache[key] = (df, decided)
+        return known[1:]
+    row = _lengths(df).agg(F.max("n").alias("most"), F.min("n").alias("least")).first()
+    hot = (row["most"] or 0) > hot_rows
+    decided = ("blocked", row["least"] <= hot_rows) if hot else ("plain", False)
+    _plan_cache[key] = (df, *decided)
     while len(_plan_cache) > PLANS_KEPT:
         _plan_cache.pop(next(iter(_plan_cache)))
     return decided
 
 
+def _lengths(df: DataFrame) -> DataFrame:
+    return df.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_hot(df: DataFrame, plan: str = "auto", hot_rows: int | None = None) -> list[tuple[DataFrame, str]]:
+    """``df`` as parts with the plan of each: with 'auto' only series above ``hot_rows`` are blocked.
+
+    The names of the long series (at most the rows of ``df`` / ``hot_rows``) are written once; Spark
+    broadcasts them where their size allows it. A null series is a series like any other."""
+    chosen, both = _decide(df, plan, hot_rows)
+    if not both:
+        return [(df, chosen)]
+    hot = _lengths(df).where(F.col("n") > (hot_rows or HOT_ROWS)).select(F.col(KEY).alias("_hot"))
+    hot = materialize(hot, "hot_series")
+    is_hot = df[KEY].eqNullSafe(hot["_hot"])
+    return [(df.join(hot, is_hot, "left_anti"), "plain"), (df.join(hot, is_hot, "left_semi"), "blocked")]
+
+
+def _by_parts(df: DataFrame, plan: str, run: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """``run(part, its plan)`` over the parts of ``split_hot``, put together."""
+    return reduce(DataFrame.unionByName, (run(part, how) for part, how in split_hot(df, plan)))
+
+
+def join_null_safe(x: DataFrame, y: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """``x.join(y, on, how)`` in which a null series meets itself."""
+    names = {c: f"__on_{i}" for i, c in enumerate(on)}
+    y = y.select(*[F.col(c).alias(names.get(c, c)) for c in y.columns])
+    return x.join(y, reduce(and_, (F.col(c).eqNullSafe(F.col(n)) for c, n in names.items())), how).drop(*names.values())
+
+
 def _bucketed(df: DataFrame, block_rows: int, order: Sequence[Column | str]) -> DataFrame:
     """Adds ``__tb``: ascending ranges of ``(series, *order)`` with about half of ``block_rows`` rows each.
 
@@ -101,23 +140,25 @@ def blocked_ordinal(
     counts = x.groupBy(KEY, "__tb").agg(F.count(F.lit(1)).alias("__bc"))
     wb = Window.partitionBy(KEY).orderBy("__tb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(KEY, "__tb", F.coalesce(F.sum("__bc").over(wb), F.lit(0)).alias("__off"))
-    x = x.join(offsets, [KEY, "__tb"])
+    x = join_null_safe(x, offsets, [KEY, "__tb"])
     rn = F.row_number().over(Window.partitionBy(KEY, "__tb").orderBy(*order))
     return x.withColumn(name, (rn - 1 + F.col("__off")).cast("long")).drop("__tb", "__off")
 
 
 def rank_within(df: DataFrame, name: str, order: Sequence[Column | str], plan: str = "auto", block_rows: int | None = None) -> DataFrame:
     """0-based rank inside each series by ``order``."""
-    if choose_plan(df, plan) == "blocked":
-        return blocked_ordinal(df, block_rows, name, order)
-    return df.withColumn(name, (F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) - 1).cast("long"))
+
+    def run(part: DataFrame, how: str) -> DataFrame:
+        if how == "blocked":
+            return blocked_ordinal(part, block_rows, name, order)
+        return part.withColumn(name, (F.row_number().over(Window.partitionBy(KEY).orderBy(*order)) - 1).cast("long"))
+
+    return _by_parts(df, plan, run)
 
 
 def with_ordinal(df: DataFrame, name: str = "ord", plan: str = "auto", block_rows: int | None = None) -> DataFrame:
     """PRJ-04: 0-based position of each row inside its series in ``(ts, seq)`` order."""
-    if choose_plan(df, plan) == "blocked":
-        return blocked_ordinal(df, block_rows, name)
-    return df.withColumn(name, (F.row_number().over(series_window()) - 1).cast("long"))
+    return rank_within(df, name, ORDER, plan, block_rows)
 
 
 def apply_windows(
@@ -133,11 +174,16 @@ def apply_windows(
     ``build`` must only use frames reaching at most ``lookback`` rows back and
     ``lookahead`` rows forward, with ``series_window(*extra)`` as the window.
     """
-    if choose_plan(df, plan) == "plain":
-        return build(df, [])
     block_rows = block_rows or default_block_rows()
-    halo = max(lookback, lookahead)
-    if block_rows < halo:
+
+    def run(part: DataFrame, how: str) -> DataFrame:
+        return build(part, []) if how == "plain" else _halo_windows(part, build, lookback, lookahead, block_rows)
+
+    return _by_parts(df, plan, run)
+
+
+def _halo_windows(df: DataFrame, build: Builder, lookback: int, lookahead: int, block_rows: int) -> DataFrame:
+    if block_rows < max(lookback, lookahead):
         raise ValueError("block_rows must be at least the frame reach")
     x = blocked_ordinal(df, block_rows, "_ord")
     blk = F.floor(F.col("_ord") / block_rows).cast("long")
@@ -164,12 +210,17 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
     The plain plan uses unbounded frames over the series; the blocked plan fills
     inside blocks and takes the carry-in from a small per-block summary table.
     """
-    chosen = choose_plan(df, plan)
-    v = F.col(col)
-    if chosen == "plain":
-        x = with_ordinal(df, "ord", "plain")
-        return _fill_cols(x, series_window(), v)
     block_rows = block_rows or default_block_rows()
+
+    def run(part: DataFrame, how: str) -> DataFrame:
+        if how == "plain":
+            return _fill_cols(with_ordinal(part, "ord", "plain"), series_window(), F.col(col))
+        return _fill_blocks(part, F.col(col), block_rows)
+
+    return _by_parts(df, plan, run)
+
+
+def _fill_blocks(df: DataFrame, v: Column, block_rows: int) -> DataFrame:
     x = blocked_ordinal(df, block_rows, "ord")
     # read by the summary, the block list and the fill: written once
     x = materialize(x.withColumn("_blk", F.floor(F.col("ord") / block_rows).cast("long")), "blocks")
@@ -187,14 +238,14 @@ def carry_fill(df: DataFrame, col: str = "value", plan: str = "auto", block_rows
     wb = Window.partitionBy(KEY).orderBy("_blk")
     # every block without a non-null value still needs carries: take them from the block list
     blocks = rows.select(KEY, "_blk").distinct()
-    allb = blocks.join(summary, [KEY, "_blk"], "left")
+    allb = join_null_safe(blocks, summary, [KEY, "_blk"], "left")
     carry = allb.select(
         KEY,
         "_blk",
         F.last("_last", ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
         F.first("_first", ignorenulls=True).over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"),
     )
-    x = x.join(carry, [KEY, "_blk"], "left")
+    x = join_null_safe(x, carry, [KEY, "_blk"], "left")
     x = (
         x.withColumn("_prev_v", F.coalesce(F.col("_prev_v"), F.col("_cin.v")))
         .withColumn("_prev_o", F.coalesce(F.col("_prev_o"), F.col("_cin.o")))

@@ -65,7 +65,7 @@ STATE_SCHEMA = T.StructType(
 )
 
 
-#: Rows of a series whose windows are laid out at once.
+#: Rows of a series whose windows are laid out, and handed on, at once.
 SLICE = 20_000
 
 
@@ -113,7 +113,10 @@ def _processor(window: int, band_window: int, margin: float):
         seq = pdf["seq"].to_numpy(np.int64)
         value = pdf["value"].to_numpy(float, na_value=np.nan)
         reset = pdf["is_reset"].fillna(False).to_numpy(bool)
-        outs = []
+
+        def rows_of(out: dict) -> pd.DataFrame:
+            return pd.DataFrame(out)[cols].astype({"current": float})
+
         # segments between reset rows; a reset clears the buffers and the lateness mark
         cuts = np.flatnonzero(reset)
         bounds = [-1, *cuts.tolist(), len(pdf)]
@@ -133,7 +136,7 @@ def _processor(window: int, band_window: int, margin: float):
             ok = ~late
             if late.any():
                 n_buf = min(len(vals), window)
-                outs.append(pd.DataFrame({KEY: sid, "ts_us": t[late], "seq": q[late], "mean": np.nan, "std": np.nan, "min": np.nan, "max": np.nan, "median": np.nan, "current": v[late], "window_size": n_buf, "mean_zero_pad": np.nan, "band_mean": np.nan, "band_lo": np.nan, "band_hi": np.nan, "late": True}))
+                yield rows_of({KEY: sid, "ts_us": t[late], "seq": q[late], "mean": np.nan, "std": np.nan, "min": np.nan, "max": np.nan, "median": np.nan, "current": v[late], "window_size": n_buf, "mean_zero_pad": np.nan, "band_mean": np.nan, "band_lo": np.nan, "band_hi": np.nan, "late": True})
             if ok.any():
                 t, q, v = t[ok], q[ok], v[ok]
                 # a long micro-batch goes through in slices: the window matrices stay small
@@ -158,14 +161,10 @@ def _processor(window: int, band_window: int, margin: float):
                     else:
                         out.update(band_mean=np.nan, band_lo=np.nan, band_hi=np.nan)
                     out["late"] = False
-                    outs.append(pd.DataFrame(out))
+                    yield rows_of(out)
                     vals = allv[-keep:]
                     last_ts, last_seq = int(tn[-1]), int(qn[-1])
         state.update(([None if np.isnan(x) else float(x) for x in vals], [None if np.isnan(x) else float(x) for x in means], last_ts, last_seq))
-        if outs:
-            res = pd.concat(outs, ignore_index=True)[cols]
-            res["current"] = res["current"].astype(float)
-            yield res
 
     return fn
 

@@ -1010,6 +1010,18 @@ def q_trend_season_fit(spark, d):
     return forecast.trend_season_fit(_hourly_clean(spark, d)).drop("state")
 
 
+# fewer rows than coefficients or no spread of time: no fit
+_USER_LINE = f"""
+SELECT series_id, b0, b1, CASE WHEN b1 IS NULL THEN 'failed' ELSE 'ok' END AS status, n FROM ({_LINE.replace(_HOURLY, S.P1)}) _x"""
+
+
+@register("trend_season_users", _USER_LINE, ["b0", "b1"], bits=12)
+def q_trend_season_users(spark, d):
+    """FC-05: the trend of every user series; series too short for it are kept with their status."""
+    m = forecast.trend_season_fit(p1(spark, d), yearly=False, weekly=False, daily=False, changepoints=0)
+    return m.select("series_id", F.col("params")["b0"].alias("b0"), F.col("params")["b1"].alias("b1"), "status", "n")
+
+
 @register("trend_season_forecast")
 def q_trend_season_forecast(spark, d):
     """FC-06: future rows only, step = modal gap of each series."""
@@ -1353,6 +1365,28 @@ def q_rolling_stats_blocked(spark, d):
         return rolling.rolling_stats(p4(spark, d), 30, plan="blocked")
 
 
+# nine of ten events of a day at its first second; all events at one time
+_BURSTY = f"SELECT series_id, CASE WHEN seq % 10 = 0 THEN ts ELSE date_trunc('day', ts) END AS ts, seq, value FROM ({S.P4}) _u"
+_TIED = f"SELECT series_id, TIMESTAMP '2024-01-01 00:00:00' AS ts, seq, value FROM ({S.P4}) _u"
+
+
+@register("rolling_bursty", S.rolling_stats(_BURSTY, 30), S.ROLLING_DOUBLES)
+def q_rolling_bursty(spark, d):
+    """WIN-01 through blocks where most rows of a day share one time."""
+    x = p4(spark, d)
+    ts = F.when(F.col("seq") % 10 == 0, F.col("ts")).otherwise(F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    with forced_blocks(1024):
+        return rolling.rolling_stats(x.withColumn("ts", ts), 30, plan="blocked")
+
+
+@register("rolling_tied", S.rolling_stats(_TIED, 30), S.ROLLING_DOUBLES)
+def q_rolling_tied(spark, d):
+    """WIN-01 through blocks where all rows share one time: the order is that of ``seq``."""
+    x = p4(spark, d)
+    with forced_blocks(1024):
+        return rolling.rolling_stats(x.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")), 30, plan="blocked")
+
+
 @register("anomaly_features_blocked", S.features(S.P4), S.FEATURES)
 def q_anomaly_features_blocked(spark, d):
     """ANO-01 on the single long series through halo blocks."""

@@ -162,3 +162,65 @@ def test_bursts_and_ties_are_split(spark, kind):
     with blocked.forced_blocks(1000):
         a = rolling.rolling_stats(df, 30, plan="blocked")
     assert rows(a) == rows(rolling.rolling_stats(df, 30, plan="plain"))
+
+
+def _mixed(spark):
+    """One long series beside the users' short ones and a null series."""
+    x = panels.masked(_long(spark)).unionByName(_masked(spark))
+    return x.withColumn("series_id", F.when(F.col("series_id") != "3", F.col("series_id")))
+
+
+@pytest.mark.parametrize("case", sorted(CASES))
+def test_only_hot_series_are_blocked(spark, small_blocks, monkeypatch, case):
+    df = _mixed(spark)
+    longest = df.groupBy("series_id").count().where("series_id <> 'all' or series_id is null").agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(blocked, "HOT_ROWS", longest + 1)
+    taken = []
+    ordinal = blocked.blocked_ordinal
+    monkeypatch.setattr(blocked, "blocked_ordinal", lambda part, *a, **k: taken.append(part) or ordinal(part, *a, **k))
+    blocked._plan_cache.clear()
+    got = rows(CASES[case](df, "auto"))
+    blocked._plan_cache.clear()
+    # the autocorrelation salts runs instead of laying rows out in blocks
+    assert case == "acf" or taken
+    assert {r[0] for part in taken for r in part.select("series_id").distinct().collect()} <= {"all"}
+    assert got == rows(CASES[case](df, "plain"))
+
+
+def test_split_keeps_a_null_series(spark, monkeypatch):
+    df = _mixed(spark)
+    for hot in (1, 10**9):
+        parts = blocked.split_hot(df, "auto", hot)
+        assert sum(part.count() for part, _ in parts) == df.count()
+    blocked._plan_cache.clear()
+
+
+def test_job_tables_are_deleted(spark):
+    import os
+    import threading
+
+    from pulsegrid.plans.lineage import job_tables, materialize
+    from pulsegrid.session import local_path
+
+    made = lambda: materialize(spark.range(3))
+    kept = made()
+    other: list[str] = []
+
+    def beside():
+        with job_tables(spark) as mine:
+            made()
+            other.extend(mine)
+
+    with pytest.raises(ZeroDivisionError), job_tables(spark) as outer:
+        made()
+        with job_tables(spark) as inner:
+            made()
+            assert os.path.isdir(local_path(inner[0]))
+        assert not os.path.exists(local_path(inner[0])) and os.path.isdir(local_path(outer[0]))
+        run = threading.Thread(target=beside)
+        run.start()
+        run.join()
+        assert len(outer) == len(inner) == len(other) == 1 and not os.path.exists(local_path(other[0]))
+        1 / 0
+    assert not os.path.exists(local_path(outer[0]))
+    assert kept.count() == 3
