@@ -9,6 +9,7 @@ is small or split by AQE's skew-join handling when it is not.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pulsegrid.frame import KEY, ORDER
 from pulsegrid.functions.numeric import adjusted_kurtosis, adjusted_skewness, safe_div
 from pulsegrid.operators.quantiles import quantiles
-from pulsegrid.plans.blocked import choose_plan
+from pulsegrid.plans.blocked import choose_plan, split_hot
 
 
 def attach(df: DataFrame, scalars: DataFrame, on: Sequence[str] = (KEY,)) -> DataFrame:
@@ -103,10 +104,13 @@ def acf(df: DataFrame, nlags: int = 50, col: str = "value", plan: str = "auto")
     Lag products of whole runs (``runs``), one array a series, stacked to long form. Rows only
     for lags below the series length.
     """
+    clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
+    return reduce(DataFrame.unionByName, (_acf(part, nlags, how) for part, how in split_hot(clean, plan)))
+
+
+def _acf(clean: DataFrame, nlags: int, plan: str) -> DataFrame:
     from pulsegrid.operators.runs import lag_products, series_scale, stream, summed
 
-    clean = df.select(KEY, *ORDER, F.col(col).alias("value")).filter(F.col("value").isNotNull())
-    plan = choose_plan(clean, plan)
     heads = series_scale(clean).select(KEY, "_n", F.lit(nlags).alias("_reach"), F.array(F.col("_n").cast("double"), "_mean").alias("_head"))
 
     def sums(head, first, before, x):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from pulsegrid.operators import clean, columns, decompose, rolling, stats
+from pulsegrid.operators import clean, columns, decompose, rolling, runs, stats
 from pulsegrid.plans import blocked
 from pulsegrid.sources import panels
 
@@ -177,12 +177,12 @@ def test_only_hot_series_are_blocked(spark, small_blocks, monkeypatch, case):
     monkeypatch.setattr(blocked, "HOT_ROWS", longest + 1)
     taken = []
     ordinal = blocked.blocked_ordinal
-    monkeypatch.setattr(blocked, "blocked_ordinal", lambda part, *a, **k: taken.append(part) or ordinal(part, *a, **k))
+    for module in (blocked, runs):
+        monkeypatch.setattr(module, "blocked_ordinal", lambda part, *a, **k: taken.append(part) or ordinal(part, *a, **k))
     blocked._plan_cache.clear()
     got = rows(CASES[case](df, "auto"))
     blocked._plan_cache.clear()
-    # the autocorrelation salts runs instead of laying rows out in blocks
-    assert case == "acf" or taken
+    assert taken
     assert {r[0] for part in taken for r in part.select("series_id").distinct().collect()} <= {"all"}
     assert got == rows(CASES[case](df, "plain"))
 
