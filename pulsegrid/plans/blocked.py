@@ -6,7 +6,8 @@ one Sort shared by every window column of an operator. A series is one task.
 Blocked plan (for very long series; one series may hold a third of all rows):
 
 1. ordinal: the rows are written once in sampled ranges of ``(series_id, ts, seq)``
-   with about half a block of rows each; range row counts (a small table) are
+   with about half a block of rows each (small blocks: many to a range, so that the ranges
+   do not grow in number as the blocks get smaller); range row counts (a small table) are
    prefix-summed into offsets; ``row_number`` inside ``(series_id, range)`` plus the
    offset is the exact global position ``_ord``.
 2. ``_blk = floor(_ord / B)``; rows in the last ``lookback`` positions of a block
@@ -38,6 +39,8 @@ from pulsegrid.plans.lineage import materialize
 
 HOT_ROWS = 5_000_000
 BLOCK_ROWS = 1_000_000
+#: Ranges that small blocks may take at most, while a range holds no more than half of ``BLOCK_ROWS``.
+RANGES = 64
 
 _local = threading.local()
 
@@ -116,13 +119,16 @@ def join_null_safe(x: DataFrame, y: DataFrame, on: Sequence[str], how: str = "in
 
 
 def _bucketed(df: DataFrame, block_rows: int, order: Sequence[Column | str]) -> DataFrame:
-    """Adds ``__tb``: ascending ranges of ``(series, *order)`` with about half of ``block_rows`` rows each.
+    """Adds ``__tb``: ascending ranges of ``(series, *order)`` with about half of ``block_rows`` rows each, or more
+    where that would be over ``RANGES`` ranges of less than half of ``BLOCK_ROWS``: every range is a task and a file,
+    and its sampled rows go to the driver.
 
     The range boundaries are sampled from the rows themselves, so bursts and equal
     timestamps are split too (only rows equal in the whole order stay together). The rows
     are written once in their ranges: counts, ranks and later readers see the same ranges.
     """
-    ranges = max(1, -(-2 * df.count() // block_rows))
+    halves = 2 * df.count()
+    ranges = max(1, min(-(-halves // block_rows), max(RANGES, -(-halves // BLOCK_ROWS))))
     return materialize(df.repartitionByRange(ranges, KEY, *order).withColumn("__tb", F.spark_partition_id().cast("long")), "blocks")
 
 

@@ -224,3 +224,12 @@ def test_job_tables_are_deleted(spark):
         1 / 0
     assert not os.path.exists(local_path(outer[0]))
     assert kept.count() == 3
+
+
+def test_small_blocks_take_a_bounded_number_of_ranges(spark):
+    df = _masked(spark)
+    assert 2 * df.count() // 8 > blocked.RANGES  # so many half blocks there are
+    ranges = blocked._bucketed(df, 8, blocked.ORDER).select("__tb").distinct().count()
+    assert 1 < ranges <= blocked.RANGES
+    with blocked.forced_blocks(8):
+        assert rows(clean.interpolate(df, "linear", plan="blocked")) == rows(clean.interpolate(df, "linear", plan="plain"))
