@@ -1,9 +1,11 @@
 """STR-01..05: trailing-row statistics kept live over a Structured Streaming source.
 
 ROWS windows are refused on streams, so the buffer is explicit keyed state:
-``groupBy(series_id).applyInPandasWithState`` holds the last N values (and, for
-the band, the last M means) per series in the state store, which is
-checkpointed, so a restarted query (or a lost executor) resumes exactly.
+series are dealt into ``GROUPS`` hash groups and ``applyInPandasWithState`` holds the last N
+values (and, for the band, the last M means) of every series of a group in the state store,
+which is checkpointed, so a restarted query (or a lost executor) resumes exactly. The rows that
+a micro-batch brings for a group are worked on together, as runs laid one after another: what a
+call, a frame and a state row cost is paid by the group, not by the series.
 
 Rules (ours, because a real stream can be out of order):
 * inside a micro-batch the rows of a series are sorted by ``(ts, seq)`` across
@@ -55,17 +57,24 @@ OUT_SCHEMA = T.StructType(
     ]
 )
 
+#: Groups that the series of a stream are dealt into. The state of a checkpoint is kept by group, so this stays as it is.
+GROUPS = 1024
+
+#: A series a place of ``keys``; its last values are the next ``n_vals`` of ``vals`` (NaN: NULL), its last means likewise.
 STATE_SCHEMA = T.StructType(
     [
+        T.StructField("keys", T.ArrayType(T.StringType())),
+        T.StructField("last_ts", T.ArrayType(T.LongType())),
+        T.StructField("last_seq", T.ArrayType(T.LongType())),
+        T.StructField("n_vals", T.ArrayType(T.LongType())),
         T.StructField("vals", T.ArrayType(T.DoubleType())),
+        T.StructField("n_means", T.ArrayType(T.LongType())),
         T.StructField("means", T.ArrayType(T.DoubleType())),
-        T.StructField("last_ts", T.LongType()),
-        T.StructField("last_seq", T.LongType()),
     ]
 )
 
 
-#: Rows of a series whose windows are laid out, and handed on, at once.
+#: Rows whose windows are laid out, and handed on, at once.
 SLICE = 20_000
 
 
@@ -81,7 +90,10 @@ def _window_stats(vals: np.ndarray, n_new: int, window: int, void_nulls: bool =
     wm = sliding_window_view(real, window)[-n_new:]
     rows = wm.sum(axis=1)
     has_null = (wm & np.isnan(wv)).any(axis=1)
-    x = np.where(wm, wv, np.nan)
+    return _stats(np.where(wm, wv, np.nan), rows, has_null, window, void_nulls)
+
+
+def _stats(x: np.ndarray, rows: np.ndarray, has_null: np.ndarray, window: int, void_nulls: bool):
     with np.errstate(all="ignore"), warnings.catch_warnings():
         warnings.simplefilter("ignore", RuntimeWarning)
         mean = np.nanmean(x, axis=1)
@@ -96,75 +108,139 @@ def _window_stats(vals: np.ndarray, n_new: int, window: int, void_nulls: bool =
     return rows, mean, std, mn, mx, med, zero
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """``start .. start + length`` of every place, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class _Runs:
+    """Values of many runs, one after another: what is held of each, then its ``n_new`` new ones (filled in later)."""
+
+    def __init__(self, held: np.ndarray, held_at: np.ndarray, n_held: np.ndarray, n_new: np.ndarray):
+        self.lengths = n_held + n_new
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.values = np.full(self.lengths.sum(), np.nan)
+        self.values[_ranges(self.starts, n_held)] = held[_ranges(held_at, n_held)]
+        self.place = _ranges(np.zeros_like(self.lengths), self.lengths)
+        self.new = _ranges(self.starts + n_held, n_new)
+
+    def windows(self, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """(values, which of them are rows of the run) of the trailing windows that end at ``at``."""
+        back = np.arange(window - 1, -1, -1)
+        inside = self.place[at][:, None] >= back
+        return np.where(inside, self.values[np.maximum(at[:, None] - back, 0)], np.nan), inside
+
+    def last(self, runs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(how many, which) of the last ``n`` values of some runs."""
+        size = np.minimum(self.lengths[runs], n)
+        return size, self.values[_ranges(self.starts[runs] + self.lengths[runs] - size, size)]
+
+
+def _whole(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(which are NULL, the values as int64, the least one for NULL)"""
+    null = column.isna().to_numpy(bool)
+    return null, column.where(~null, np.iinfo(np.int64).min).to_numpy(np.int64) if null.any() else column.to_numpy(np.int64)
+
+
 def _processor(window: int, band_window: int, margin: float):
     keep = max(window, band_window)
     cols = OUT_SCHEMA.fieldNames()
+    nothing = dict.fromkeys(("mean", "std", "min", "max", "median", "mean_zero_pad", "band_mean", "band_lo", "band_hi"), np.nan)
 
     def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sid = key[0]
-        pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts_us", "seq"], kind="mergesort")
-        if state.exists:
-            vals, means, last_ts, last_seq = state.get
-            vals = np.asarray([np.nan if v is None else v for v in (vals or [])], float)
-            means = np.asarray([np.nan if v is None else v for v in (means or [])], float)
-        else:
-            vals, means, last_ts, last_seq = np.empty(0), np.empty(0), None, None
-        ts = pdf["ts_us"].to_numpy(np.int64)
-        seq = pdf["seq"].to_numpy(np.int64)
-        value = pdf["value"].to_numpy(float, na_value=np.nan)
-        reset = pdf["is_reset"].fillna(False).to_numpy(bool)
-
-        def rows_of(out: dict) -> pd.DataFrame:
-            return pd.DataFrame(out)[cols].astype({"current": float})
-
-        # segments between reset rows; a reset clears the buffers and the lateness mark
-        cuts = np.flatnonzero(reset)
-        bounds = [-1, *cuts.tolist(), len(pdf)]
-        for si in range(len(bounds) - 1):
-            if si > 0:
-                vals, means, last_ts, last_seq = np.empty(0), np.empty(0), None, None
-            lo, hi = bounds[si] + 1, bounds[si + 1]
-            if hi <= lo:
-                continue
-            t, q, v = ts[lo:hi], seq[lo:hi], value[lo:hi]
-            late = np.zeros(len(t), bool)
-            if last_ts is not None:
-                late |= (t < last_ts) | ((t == last_ts) & (q <= last_seq))
-            dup = np.zeros(len(t), bool)
-            dup[1:] = (t[1:] == t[:-1]) & (q[1:] == q[:-1])
-            late |= dup
-            ok = ~late
-            if late.any():
-                n_buf = min(len(vals), window)
-                yield rows_of({KEY: sid, "ts_us": t[late], "seq": q[late], "mean": np.nan, "std": np.nan, "min": np.nan, "max": np.nan, "median": np.nan, "current": v[late], "window_size": n_buf, "mean_zero_pad": np.nan, "band_mean": np.nan, "band_lo": np.nan, "band_hi": np.nan, "late": True})
-            if ok.any():
-                t, q, v = t[ok], q[ok], v[ok]
-                # a long micro-batch goes through in slices: the window matrices stay small
-                for cut in range(0, len(t), SLICE):
-                    tn, qn, vn = t[cut : cut + SLICE], q[cut : cut + SLICE], v[cut : cut + SLICE]
-                    allv = np.concatenate([vals, vn])
-                    rows, mean, std, mn, mx, med, zero = _window_stats(allv, len(vn), window)
-                    out = {KEY: sid, "ts_us": tn, "seq": qn, "mean": mean, "std": std, "min": mn, "max": mx, "median": med, "current": vn, "window_size": rows, "mean_zero_pad": zero}
-                    if band_window > 0:
-                        _, bmean, _, bmin, bmax, _, _ = _window_stats(allv, len(vn), band_window, void_nulls=False)
-                        allm = np.concatenate([means, bmean])
-                        mpad = np.concatenate([np.full(band_window - 1, np.nan), allm])
-                        mw = sliding_window_view(mpad, band_window)[-len(vn):]
-                        with warnings.catch_warnings():
-                            warnings.simplefilter("ignore", RuntimeWarning)
-                            lo_b = np.fmin(bmin, np.nanmin(mw, axis=1))
-                            hi_b = np.fmax(bmax, np.nanmax(mw, axis=1))
-                        padw = (hi_b - lo_b) * margin
-                        bad = np.isnan(bmean)
-                        out.update(band_mean=bmean, band_lo=np.where(bad, np.nan, lo_b - padw), band_hi=np.where(bad, np.nan, hi_b + padw))
-                        means = allm[-band_window:]
-                    else:
-                        out.update(band_mean=np.nan, band_lo=np.nan, band_hi=np.nan)
-                    out["late"] = False
-                    yield rows_of(out)
-                    vals = allv[-keep:]
-                    last_ts, last_seq = int(tn[-1]), int(qn[-1])
-        state.update(([None if np.isnan(x) else float(x) for x in vals], [None if np.isnan(x) else float(x) for x in means], last_ts, last_seq))
+        pdf = pd.concat(list(frames), ignore_index=True)
+        code, names = pd.factorize(np.asarray(pdf[KEY], object), use_na_sentinel=False)
+        names = np.asarray([None if pd.isna(x) else x for x in names] + [None], object)[:-1]
+        (no_ts, ts), (no_seq, seq) = _whole(pdf["ts_us"]), _whole(pdf["seq"])
+        order = np.lexsort((seq, no_seq, ts, no_ts, code))
+        code, ts, seq = code[order], ts[order], seq[order]
+        value = pdf["value"].to_numpy(float, na_value=np.nan)[order]
+        reset = pdf["is_reset"].fillna(False).to_numpy(bool)[order]
+
+        held_keys, *held = state.get if state.exists else ([], [], [], [], [], [], [])
+        held_ts, held_seq, n_vals, n_means = (np.asarray(held[i], np.int64) for i in (0, 1, 2, 4))
+        vals, means = np.asarray(held[3], float), np.asarray(held[5], float)
+        vals_at, means_at = np.cumsum(n_vals) - n_vals, np.cumsum(n_means) - n_means
+        place = {k: i for i, k in enumerate(held_keys)}
+        held_no = np.asarray([place.get(k, -1) for k in names], np.int64)
+
+        # a run: the rows of a series up to a reset row, or after one; only the first goes on from the state
+        begins = np.ones(len(code), bool)
+        begins[1:] = code[1:] != code[:-1]
+        ends = np.append(begins[1:], True)[: len(code)]
+        run = np.cumsum(begins | reset) - 1
+        resets = np.cumsum(reset)
+        first = resets == np.repeat((resets - reset)[begins], np.diff(np.append(np.flatnonzero(begins), len(code))))
+        last_run, goes_on = run[ends], first[ends]  # of every series, in the order of its code
+
+        code, run, first, t, q, v = (x[~reset] for x in (code, run, first, ts, seq, value))
+        from_held = np.where(first, held_no[code], -1)
+        late = np.zeros(len(t), bool)
+        late[1:] = (run[1:] == run[:-1]) & (t[1:] == t[:-1]) & (q[1:] == q[:-1])
+        if len(held_keys):
+            mark_ts, mark_seq = held_ts[from_held], held_seq[from_held]
+            late |= (from_held >= 0) & ((t < mark_ts) | ((t == mark_ts) & (q <= mark_seq)))
+
+        def rows_of(at: np.ndarray, out: dict) -> pd.DataFrame:
+            return pd.DataFrame({KEY: names[code[at]], "ts_us": t[at], "seq": q[at], "current": v[at]} | nothing | out)[cols].astype({"current": float})
+
+        if late.any():
+            at = np.flatnonzero(late)
+            size = np.where(from_held[at] >= 0, np.minimum(n_vals[from_held[at]], window), 0) if len(held_keys) else 0
+            yield rows_of(at, {"window_size": size, "late": True})
+
+        ok = np.flatnonzero(~late)
+        starts = np.flatnonzero(np.diff(run[ok], prepend=-1))  # of each run with rows to count
+        n_new = np.diff(np.append(starts, len(ok)))
+        source = from_held[ok][starts]
+        take = lambda x: np.where(source >= 0, x[source], 0) if len(held_keys) else np.zeros(len(source), np.int64)
+        values = _Runs(vals, take(vals_at), take(n_vals), n_new)
+        values.values[values.new] = v[ok]
+        averages = _Runs(means, take(means_at), take(n_means), n_new) if band_window > 0 else None
+        # a long micro-batch goes through in slices: the window matrices stay small
+        for cut in range(0, len(ok), SLICE):
+            at = values.new[cut : cut + SLICE]
+            x, inside = values.windows(at, window)
+            size = inside.sum(axis=1)
+            _, mean, std, mn, mx, med, zero = _stats(x, size, (inside & np.isnan(x)).any(axis=1), window, True)
+            out = {"mean": mean, "std": std, "min": mn, "max": mx, "median": med, "window_size": size, "mean_zero_pad": zero, "late": False}
+            if band_window > 0:
+                x, inside = values.windows(at, band_window)
+                with np.errstate(all="ignore"), warnings.catch_warnings():
+                    warnings.simplefilter("ignore", RuntimeWarning)
+                    bmean = np.nanmean(x, axis=1)
+                    averages.values[averages.new[cut : cut + SLICE]] = bmean
+                    m, _ = averages.windows(averages.new[cut : cut + SLICE], band_window)
+                    lo_b = np.fmin(np.nanmin(x, axis=1), np.nanmin(m, axis=1))
+                    hi_b = np.fmax(np.nanmax(x, axis=1), np.nanmax(m, axis=1))
+                padw = (hi_b - lo_b) * margin
+                bad = np.isnan(bmean)
+                out.update(band_mean=bmean, band_lo=np.where(bad, np.nan, lo_b - padw), band_hi=np.where(bad, np.nan, hi_b + padw))
+            yield rows_of(ok[cut : cut + SLICE], out)
+
+        # of each series: the last run is held if it has rows that count; else what was held, unless a reset came
+        runs = run[ok][starts]
+        series = code[ok][starts]
+        held_on = np.flatnonzero(runs == last_run[series])
+        stays = np.ones(len(held_keys), bool)
+        gone = ~goes_on
+        gone[series[held_on]] = True
+        stays[held_no[gone & (held_no >= 0)]] = False
+        old, end = np.flatnonzero(stays), ok[(starts + n_new - 1)[held_on]] if len(ok) else np.empty(0, np.int64)
+        size, tail = values.last(held_on, keep)
+        m_size, m_tail = averages.last(held_on, band_window) if band_window > 0 else (np.zeros(len(held_on), np.int64), np.empty(0))
+        state.update(
+            (
+                [held_keys[i] for i in old] + names[series[held_on]].tolist(),
+                np.concatenate([held_ts[old], t[end]]).tolist(),
+                np.concatenate([held_seq[old], q[end]]).tolist(),
+                np.concatenate([n_vals[old], size]).tolist(),
+                np.concatenate([vals[_ranges(vals_at[old], n_vals[old])], tail]).tolist(),
+                np.concatenate([n_means[old], m_size]).tolist(),
+                np.concatenate([means[_ranges(means_at[old], n_means[old])], m_tail]).tolist(),
+            )
+        )
 
     return fn
 
@@ -173,8 +249,8 @@ def stream_rolling(stream: DataFrame, window: int = 30, band_window: int = 0, ma
     """STR-01/03/04 over a streaming (or batch) canonical frame, optional ``is_reset``."""
     cols = [KEY, epoch_micros("ts").alias("ts_us"), "seq", "value"]
     cols.append(F.col("is_reset") if "is_reset" in stream.columns else F.lit(False).alias("is_reset"))
-    x = stream.select(*cols)
-    out = x.groupBy(KEY).applyInPandasWithState(
+    x = stream.select(F.pmod(F.xxhash64(KEY), F.lit(GROUPS)).alias("_group"), *cols)
+    out = x.groupBy("_group").applyInPandasWithState(
         _processor(window, band_window, margin), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )
     ts = F.expr("timestampadd(MICROSECOND, ts_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')")

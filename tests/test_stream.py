@@ -117,3 +117,26 @@ def test_reordered_rows_inside_a_micro_batch(spark):
     got = spark.read.parquet(f"{root}/out")
     assert got.filter("late").count() == 0
     assert rows(got.select(*STATS), digits=8) == rows(rolling.rolling_stats(df, 30, plan="plain").select(*STATS), digits=8)
+
+
+def test_series_of_one_group_keep_their_own_buffers(spark, monkeypatch):
+    monkeypatch.setattr(rolling_state, "GROUPS", 1)  # one state row holds all series
+    at = lambda m: datetime(2024, 1, 1) + timedelta(minutes=m)
+    one = [("a", at(1), 1, 1.0, False), ("a", at(2), 2, None, False), (None, at(1), 3, 5.0, False), ("b", at(1), 4, 8.0, False), ("c", at(1), 5, 2.0, False)]
+    two = [("a", at(3), 11, 3.0, False), ("a", at(1), 12, 9.0, False), (None, at(2), 13, 7.0, False), ("b", at(2), 14, None, True), ("b", at(2), 15, 4.0, False), ("d", at(1), 16, 6.0, False), ("d", at(1), 16, 6.5, False)]
+    three = [("a", at(4), 21, 5.0, False), ("a", at(5), 22, 7.0, False), (None, at(3), 23, 9.0, False), ("b", at(3), 24, 6.0, False), ("c", at(2), 25, 4.0, False), ("d", at(1), 26, None, True), ("d", at(1), 15, 2.0, False)]
+    root = shared_dir(spark, "test-streams", uuid.uuid4().hex)
+    for part in (one, two, three):
+        df = frame(spark, part, "series_id string, ts timestamp_ntz, seq long, value double, is_reset boolean")
+        df.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(rolling_state.INPUT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        streaming.run_to_table(rolling_state.stream_rolling(src, window=3, band_window=2), f"{root}/out", f"{root}/chk")
+    got = {(r["series_id"], r["seq"], r["current"]): (r["mean"], r["window_size"], r["band_mean"], r["late"]) for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {
+        ("a", 1, 1.0): (1.0, 1, 1.0, False), ("a", 2, None): (None, 2, 1.0, False), ("a", 11, 3.0): (None, 3, 3.0, False),
+        ("a", 12, 9.0): (None, 2, None, True), ("a", 21, 5.0): (None, 3, 4.0, False), ("a", 22, 7.0): (5.0, 3, 6.0, False),
+        (None, 3, 5.0): (5.0, 1, 5.0, False), (None, 13, 7.0): (6.0, 2, 6.0, False), (None, 23, 9.0): (7.0, 3, 8.0, False),
+        ("b", 4, 8.0): (8.0, 1, 8.0, False), ("b", 15, 4.0): (4.0, 1, 4.0, False), ("b", 24, 6.0): (5.0, 2, 5.0, False),
+        ("c", 5, 2.0): (2.0, 1, 2.0, False), ("c", 25, 4.0): (3.0, 2, 3.0, False),
+        ("d", 16, 6.0): (6.0, 1, 6.0, False), ("d", 16, 6.5): (None, 0, None, True), ("d", 15, 2.0): (None, 1, None, True),
+    }
