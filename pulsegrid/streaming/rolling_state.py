@@ -285,21 +285,31 @@ def stage_for_replay(df: DataFrame, path: str, chunks: int = 4, files_per_chunk:
             fs.setTimes(f, stamp + 1000 * int(nth[1]), -1)
 
 
-def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None) -> None:
+#: Typed state variables need a state store with column families; any stateful query may use it.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def run_to_table(stream_out: DataFrame, out_path: str, checkpoint: str, foreach=None, state_store: str | None = None) -> None:
     """Run the query to completion over what is available (``availableNow``) into
     a parquet table (or a ``foreachBatch`` function), checkpointed for restart. It runs no micro-batch
-    without rows: state with an expiry would ask for one after the other and the query would not end."""
+    without rows: state with an expiry would ask for one after the other and the query would not end.
+
+    ``state_store``: the provider of this query's state, whatever the session's is (``ROCKSDB`` for typed state)."""
     w = stream_out.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    conf, name = stream_out.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = conf.get(name)
-    conf.set(name, "false")  # a query keeps the settings that it is started with
+    # a query keeps the settings that it is started with
+    wanted = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"} | ({"spark.sql.streaming.stateStore.providerClass": state_store} if state_store else {})
+    conf = stream_out.sparkSession.conf
+    before = {name: conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        conf.set(name, value)
     try:
         if foreach is not None:
             q = w.foreachBatch(foreach).start()
         else:
             q = w.outputMode("append").format("parquet").option("path", out_path).start()
     finally:
-        conf.set(name, before)
+        for name, value in before.items():
+            conf.set(name, value)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -35,5 +35,5 @@ def q_stream_typed_state(spark, d):
     root = shared_dir(spark, "streams", "typed", unique=True)
     rolling_state.stage_for_replay(p1m(spark, d).withColumn("is_reset", F.lit(False)), f"{root}/in", 5)
     out = typed_state.stream_trailing(streaming.replay_source(spark, f"{root}/in"), 30)
-    streaming.run_to_table(out, f"{root}/out", f"{root}/chk")
+    streaming.run_to_table(out, f"{root}/out", f"{root}/chk", state_store=rolling_state.ROCKSDB)
     return spark.read.parquet(f"{root}/out").select("series_id", "ts", "seq", "mean", "std", "min", "max", "median", "current", "window_size", "late")

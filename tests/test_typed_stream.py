@@ -96,3 +96,20 @@ def test_replay_of_an_empty_table(spark):
     root = shared_dir(spark, "test-replay", uuid.uuid4().hex)
     replay_rows.stage_rows(panels.user_series(spark, SF_SMALL).where("false"), f"{root}/staged")
     assert replay_rows.replay_rows(spark, f"{root}/staged", 50).isStreaming
+
+
+def test_runs_in_a_session_with_another_state_store(spark):
+    from pulsegrid import suite
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        got = suite.QUERIES["stream_typed_state"](spark, SF_SMALL)
+        assert "HDFSBacked" in spark.conf.get(name)
+    finally:
+        spark.conf.set(name, before)
+    df = panels.masked(panels.user_series(spark, SF_SMALL))
+    want = rolling.rolling_stats(df, 30, plan="plain")
+    # the query rounds its doubles
+    assert rows(got.select("series_id", "ts", "seq", "window_size", F.round("mean", 4).alias("m"))) == rows(want.select("series_id", "ts", "seq", "window_size", F.round("mean", 4).alias("m")))
