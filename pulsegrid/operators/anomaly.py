@@ -11,7 +11,7 @@
   of the series is joined to each chunk and ``cogroup(...).applyInPandas`` walks it tree
   by tree. No group ever holds a whole long series.
 * ``iforest_scores`` fits and scores in one go. A series of at most ``max_samples`` rows is its
-  own sample, so its forest is grown and walked inside one group and never stored.
+  own sample, so its forest is grown inside a group of short series and never stored.
 * Flag: score above the ``1 - contamination`` quantile of the training scores
   (the same rule as the reference's detector).
 """
@@ -31,15 +31,19 @@ from pyspark.sql import types as T
 from pulsegrid.frame import KEY, ORDER
 from pulsegrid.operators.quantiles import quantiles
 from pulsegrid.operators.stats import attach
+from pulsegrid.plans.blocked import join_null_safe
 from pulsegrid.plans.lineage import materialize
 
-# One row per series. Children are created in pairs, so a node's right child is
+# A forest is stored in pieces of at most ``PIECE`` nodes, ``first`` the number of a piece's first node: readers take
+# thousands of rows at once. Children are created in pairs, so a node's right child is
 # always ``left + 1`` and is not stored; feature (-1 at leaves) and tree are small ints.
+PIECE = 512
 FOREST_SCHEMA = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
         T.StructField("n_trees", T.IntegerType()),
         T.StructField("psi", T.IntegerType()),
+        T.StructField("first", T.IntegerType()),
         T.StructField("tree", T.ArrayType(T.ShortType())),
         T.StructField("feature", T.ArrayType(T.ByteType())),
         T.StructField("split", T.ArrayType(T.DoubleType())),
@@ -176,6 +180,102 @@ def grow_forest(X: np.ndarray, tree_of_row: np.ndarray, n_trees: int, limit: int
     return tree, feature, split, left, right, size
 
 
+def grow_many(X: np.ndarray, sizes: np.ndarray, n_trees: int, limits: np.ndarray, rngs: list[np.random.Generator]):
+    """The forests of several series at once, each grown on all of its rows as ``grow_forest`` grows it alone.
+
+    ``X``: the rows of all series, one series of ``sizes`` rows after another. Returns the nodes level by level, a
+    level's by series, and the path length of every row in every tree:
+    (series, tree, feature, split, left, size), (trees, rows)."""
+    columns = np.ascontiguousarray(X.T)
+    # a feature whose values all differ in a series is constant in none of its nodes with two rows
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    differs = np.ones((len(columns), len(sizes)), bool)
+    for f, column in enumerate(columns):
+        by = np.lexsort((column, owner))
+        differs[f, owner[by[1:]][(owner[by[1:]] == owner[by[:-1]]) & ~(column[by[1:]] > column[by[:-1]])]] = False
+    paths = np.zeros((n_trees, len(X)))
+    at, tree = np.repeat(np.arange(len(sizes)), n_trees), np.tile(np.arange(n_trees), len(sizes))
+    size = sizes[at]
+    rows = np.repeat((np.cumsum(sizes) - sizes)[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
+    levels, made, depth = [], 0, 0
+    while len(at):
+        feature, split, left = np.full(len(at), -1), np.full(len(at), np.nan), np.full(len(at), -1)
+        made += len(at)
+        alive = np.flatnonzero((size > 1) & (depth < limits[at]))
+        inside = np.zeros(len(at), bool)
+        inside[alive] = True
+        inside = np.repeat(inside, size)
+        kids = np.empty(0, np.int64)
+        if len(alive):
+            own, n = rows[inside], size[alive]
+            starts, node = np.cumsum(n) - n, np.repeat(np.arange(len(alive)), n)
+            usable = differs[:, at[alive]]
+            for f in np.flatnonzero(~usable.all(axis=1)):
+                unsure = np.flatnonzero(~usable[f])
+                x = columns[f, own[~usable[f][node]]]
+                begin = np.cumsum(n[unsure]) - n[unsure]
+                usable[f, unsure] = np.maximum.reduceat(x, begin) > np.minimum.reduceat(x, begin)
+            n_use = usable.sum(axis=0)
+            can = n_use > 0
+            u1, u2, done = np.empty(len(alive)), np.empty(len(alive)), 0
+            drawn = np.bincount(at[alive], minlength=len(sizes))
+            for s in np.flatnonzero(drawn):
+                c = drawn[s]
+                u = rngs[s].random(2 * c)
+                u1[done : done + c], u2[done : done + c] = u[:c], u[c:]
+                done += c
+            k = np.minimum((u1 * n_use).astype(np.int64), np.maximum(n_use - 1, 0))
+            chosen = np.argmax((np.cumsum(usable, axis=0) == k + 1) & usable, axis=0)
+            x = columns[chosen[node], own]
+            lo, hi = np.minimum.reduceat(x, starts), np.maximum.reduceat(x, starts)
+            cut = lo + u2 * (hi - lo)
+            kids = alive[can]
+            feature[kids], split[kids], left[kids] = chosen[can], cut[can], made + 2 * np.arange(len(kids))
+        whole = np.repeat(feature < 0, size)  # rows that end in this level's leaves
+        paths[np.repeat(tree, size)[whole], rows[whole]] = np.repeat(depth + _c(size), size)[whole]
+        levels.append((at, tree, feature, split, left, size))
+        if not len(kids):
+            break
+        goes = can[node]
+        of = np.repeat(np.arange(len(kids)), size[kids])
+        child = 2 * of + ~(x[goes] < cut[can][of])
+        rows = own[goes][np.argsort(child, kind="stable")]
+        at, tree, size = np.repeat(at[kids], 2), np.repeat(tree[kids], 2), np.bincount(child, minlength=2 * len(kids))
+        depth += 1
+    return tuple(np.concatenate(x) for x in zip(*levels)), paths
+
+
+#: Rows of short series that one group holds (about), and that are worked on together.
+BATCH_ROWS, TOGETHER = 8_000, 600
+
+
+def _batches(short: DataFrame):
+    """Whole series dealt into groups of about ``BATCH_ROWS`` rows: what a group costs is paid by many series."""
+    groups = max(1, -(-short.count() // BATCH_ROWS))
+    return short.groupBy(F.pmod(F.xxhash64(F.lit("forest-batch"), KEY), F.lit(groups)).alias("_batch"))
+
+
+def _grown(pdf: pd.DataFrame, cols: list[str], n_trees: int, seed: int):
+    """Some series of a batch at a time: (rows, series, number of rows, nodes, path lengths), see ``grow_many``."""
+    code, names = pd.factorize(np.asarray(pdf[KEY], object), use_na_sentinel=False)
+    rows = np.argsort(code, kind="stable")
+    X, sizes = pdf[cols].to_numpy(dtype=float)[rows], np.bincount(code, minlength=len(names))
+    names = [None if pd.isna(x) else x for x in names]
+    ends = np.cumsum(sizes)
+    part = (ends - 1) // TOGETHER
+    for some in np.split(np.arange(len(names)), np.flatnonzero(np.diff(part)) + 1):
+        lo, hi = ends[some[0]] - sizes[some[0]], ends[some[-1]]
+        n, keys = sizes[some], names[some[0] : some[-1] + 1]
+        limits = np.asarray([_depth_limit(psi) for psi in n])
+        yield rows[lo:hi], keys, n, *grow_many(X[lo:hi], n, n_trees, limits, [_rng(seed, k) for k in keys])
+
+
+def _pieces(sid, n_trees: int, psi: int, tree, feature, split, left, size) -> list[tuple]:
+    """The rows of ``FOREST_SCHEMA`` that store a forest."""
+    typed = [x.astype(t) for x, t in ((tree, np.int16), (feature, np.int8), (split, float), (left, np.int32), (size, np.int32))]
+    return [(sid, n_trees, psi, at, *[x[at : at + PIECE] for x in typed]) for at in range(0, len(tree), PIECE)]
+
+
 def _depth_limit(psi: int) -> int:
     return max(1, int(math.ceil(math.log2(max(psi, 2)))))
 
@@ -190,10 +290,35 @@ def _check(cols: list[str], n_trees: int) -> None:
 
 
 def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """ANO-02: the forest of every series (one row of node arrays per series)."""
+    """ANO-02: the forest of every series (rows of node arrays, see ``FOREST_SCHEMA``). A series of at most
+    ``max_samples`` rows is its own sample."""
     cols = list(cols)
     _check(cols, n_trees)
-    sampled = sample_rows(features.select(KEY, *ORDER, *cols), n_trees, max_samples, seed)
+    names = FOREST_SCHEMA.fieldNames()
+    # read by the counts, the short and the long series: written once
+    features = materialize(features.select(KEY, *ORDER, *cols), "iforest_features")
+    n = features.groupBy(KEY).agg(F.count(F.lit(1)).alias("_n"))
+    x = join_null_safe(features, n, [KEY])
+    long = x.filter(F.col("_n") > max_samples).drop("_n")
+
+    def build_short(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, keys, n, (at, *nodes), _ in _grown(pdf, cols, n_trees, seed):
+            by = np.argsort(at, kind="stable")  # a series' nodes in their own numbers
+            many = np.bincount(at, minlength=len(keys))
+            begins = np.cumsum(many) - many
+            number = np.empty(len(at), np.int64)
+            number[by] = np.arange(len(at)) - np.repeat(begins, many)
+            nodes[3] = np.where(nodes[3] < 0, -1, number[nodes[3]])
+            nodes = [x[by] for x in nodes]
+            for i, k in enumerate(keys):
+                found += _pieces(k, n_trees, int(n[i]), *[x[begins[i] : begins[i] + many[i]] for x in nodes])
+        return pd.DataFrame(found, columns=names)
+
+    short = _batches(x.filter(F.col("_n") <= max_samples).drop("_n")).applyInPandas(build_short, FOREST_SCHEMA)
+    if long.isEmpty():
+        return materialize(short, "iforest_forest")
+    sampled = sample_rows(long, n_trees, max_samples, seed)
 
     def build_all(pdf: pd.DataFrame) -> pd.DataFrame:
         sid = pdf[KEY].iloc[0]
@@ -201,22 +326,10 @@ def iforest_fit(features: DataFrame, cols: Sequence[str], n_trees: int = 100, ma
         row, t = _samples(pdf, n_trees, max_samples)
         psi = int(np.bincount(t, minlength=n_trees).max())
         tree, feature, split, left, right, size = grow_forest(X[row], t, n_trees, _depth_limit(psi), _rng(seed, sid))
-        return pd.DataFrame(
-            {
-                KEY: [sid],
-                "n_trees": [n_trees],
-                "psi": [psi],
-                "tree": [tree.astype(np.int16)],
-                "feature": [feature.astype(np.int8)],
-                "split": [split.astype(float)],
-                "left": [left.astype(np.int32)],
-                "size": [size.astype(np.int32)],
-            }
-        )
-
-    # the forest is the model (one row of node arrays per series, bounded by
-    # trees * (2 * 256 - 1) nodes): written once to the shared checkpoint folder
-    return materialize(sampled.groupBy(KEY).applyInPandas(build_all, FOREST_SCHEMA), "iforest_forest")
+        return pd.DataFrame(_pieces(sid, n_trees, psi, tree, feature, split, left, size), columns=names)
+
+    # the forest is the model (bounded by trees * (2 * 256 - 1) nodes a series): written once to the shared checkpoint folder
+    return materialize(short.unionByName(sampled.groupBy(KEY).applyInPandas(build_all, FOREST_SCHEMA)), "iforest_forest")
 
 
 #: Pairs of rows and trees that are walked at once.
@@ -254,13 +367,13 @@ def iforest_scores(features: DataFrame, cols: Sequence[str], n_trees: int = 100,
     long = x.filter(F.col("_n") > max_samples).drop("_n")
 
     def fit_and_score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(ORDER), kind="stable")
-        X = pdf[cols].to_numpy(dtype=float)
-        psi = len(X)
-        tree, feature, split, left, _, size = grow_forest(np.tile(X, (n_trees, 1)), np.repeat(np.arange(n_trees), psi), n_trees, _depth_limit(psi), _rng(seed, pdf[KEY].iloc[0]))
-        return pdf[[KEY, *ORDER]].assign(score=walk(X, feature, split, left, size, n_trees, psi))
+        score = np.empty(len(pdf))
+        for rows, _, n, _, paths in _grown(pdf, cols, n_trees, seed):
+            psi = np.repeat(np.maximum(_c(n), 1e-12), n)
+            score[rows] = np.power(2.0, -(paths.sum(axis=0) / n_trees) / psi)
+        return pdf[[KEY, *ORDER]].assign(score=score)
 
-    short = x.filter(F.col("_n") <= max_samples).drop("_n").groupBy(KEY).applyInPandas(fit_and_score, SCORE_SCHEMA)
+    short = _batches(x.filter(F.col("_n") <= max_samples).drop("_n")).applyInPandas(fit_and_score, SCORE_SCHEMA)
     if long.isEmpty():
         return short
     return short.unionByName(iforest_score(long, iforest_fit(long, cols, n_trees, max_samples, seed), cols, seed=seed))
@@ -269,11 +382,11 @@ def iforest_scores(features: DataFrame, cols: Sequence[str], n_trees: int = 100,
 def forest_nodes(forest: DataFrame) -> DataFrame:
     """The forest as a long node table ``(series_id, tree, node, feature, split, left, right, size)``."""
     z = F.arrays_zip("tree", "feature", "split", "left", "size")
-    x = forest.select(KEY, "psi", F.posexplode(z).alias("node", "n"))
+    x = forest.select(KEY, "psi", F.posexplode(z).alias("_at", "n"), "first")
     return x.select(
         KEY,
         F.col("n.tree").cast("int").alias("tree"),
-        F.col("node").cast("int").alias("node"),
+        (F.col("first") + F.col("_at")).cast("int").alias("node"),
         F.col("n.feature").cast("int").alias("feature"),
         F.col("n.split").alias("split"),
         F.col("n.left").alias("left"),
@@ -300,8 +413,9 @@ def iforest_score(features: DataFrame, forest: DataFrame, cols: Sequence[str], c
         if tree_nodes.empty:
             s = np.full(len(X), np.nan)
         else:
-            f0 = tree_nodes.iloc[0]
-            arrays = (np.asarray(f0["feature"], dtype=np.int64), np.asarray(f0["split"], dtype=float), np.asarray(f0["left"], dtype=np.int64), np.asarray(f0["size"]))
+            pieces = tree_nodes.sort_values("first")
+            f0 = pieces.iloc[0]
+            arrays = tuple(np.concatenate([np.asarray(x, t) for x in pieces[c]]) for c, t in (("feature", np.int64), ("split", float), ("left", np.int64), ("size", np.int64)))
             s = walk(X, *arrays, int(f0["n_trees"]), int(f0["psi"]))
         return pd.DataFrame({KEY: rows[KEY].to_numpy(), "ts": rows["ts"].to_numpy(), "seq": rows["seq"].to_numpy(), "score": s})
 

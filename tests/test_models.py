@@ -246,3 +246,31 @@ def test_iforest_scores_do_not_depend_on_chunking(spark):
     many = {(r["ts"], r["seq"]): r["score"] for r in anomaly.iforest_score(feats, forest, FEATURES, chunk_rows=100).collect()}
     assert one.keys() == many.keys()
     assert all(one[k] == pytest.approx(many[k]) for k in one)
+
+
+def test_forests_grown_together_equal_each_alone():
+    """Ties, constant features, missing values and one-row series: the same nodes and scores as one by one."""
+    rng = np.random.default_rng(1)
+    sizes = np.asarray([47, 1, 2, 30, 256, 5])
+    X = np.round(rng.normal(size=(sizes.sum(), 4)), 1)
+    X[48:50], X[60:70, 2], X[-5:, 1] = 1.0, np.nan, 3.0
+    limits = np.asarray([anomaly._depth_limit(n) for n in sizes])
+    (at, *nodes), paths = anomaly.grow_many(X, sizes, 20, limits, [anomaly._rng(1, str(k)) for k in range(len(sizes))])
+    for k, n in enumerate(sizes):
+        lo = sizes[:k].sum()
+        tree, feature, split, left, _, size = anomaly.grow_forest(np.tile(X[lo : lo + n], (20, 1)), np.repeat(np.arange(20), n), 20, limits[k], anomaly._rng(1, str(k)))
+        own = np.flatnonzero(at == k)
+        number = {int(g): i for i, g in enumerate(own)} | {-1: -1}
+        assert [number[int(g)] for g in nodes[3][own]] == left.tolist()
+        for mine, alone in zip((nodes[0], nodes[1], nodes[2], nodes[4]), (tree, feature, split, size)):
+            assert np.array_equal(mine[own], alone, equal_nan=True)
+        score = np.power(2.0, -(paths[:, lo : lo + n].sum(axis=0) / 20) / max(anomaly._c([n])[0], 1e-12))
+        assert np.array_equal(score, anomaly.walk(X[lo : lo + n], feature, split, left, size, 20, n))
+
+
+def test_a_stored_forest_comes_in_bounded_pieces(spark):
+    feats = rolling.anomaly_features(panels.user_series(spark, SF_SMALL)).unionByName(rolling.anomaly_features(panels.single_series(spark, SF_SMALL)))
+    forest = anomaly.iforest_fit(feats, FEATURES, 100, 256, 42)
+    assert forest.select(F.max(F.size("feature"))).first()[0] <= anomaly.PIECE
+    counted = anomaly.forest_nodes(forest).groupBy("series_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("node").alias("d"), F.max("node").alias("m")).collect()
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in counted) and any(r["n"] > anomaly.PIECE for r in counted)
