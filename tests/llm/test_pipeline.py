@@ -68,4 +68,4 @@ def test_pipeline_is_registered():
 
     assert entry.queries()["pipeline"] is pipeline.run
     assert [n for n in entry.queries() if n.startswith("op")] == sorted((n for n in entry.queries() if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len([n for n in entry.queries() if n.startswith("op")]) == 10
+    assert len([n for n in entry.queries() if n.startswith("op")]) == 13
