@@ -37,7 +37,7 @@ from pulsegrid.plans.lineage import materialize
 # A forest is stored in pieces of at most ``PIECE`` nodes, ``first`` the number of a piece's first node: readers take
 # thousands of rows at once. Children are created in pairs, so a node's right child is
 # always ``left + 1`` and is not stored; feature (-1 at leaves) and tree are small ints.
-PIECE = 512
+PIECE = 128
 FOREST_SCHEMA = T.StructType(
     [
         T.StructField(KEY, T.StringType()),
